@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The loads are batch jobs keyed by one batch id; late data is handled by
+"newest extract wins" lookups (``itinera.operators.latest_lookup``), not by
+watermarks or state.  Nothing here on purpose.
+"""
