@@ -61,7 +61,7 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
     return (d.join(offs, keys + ["_b"], "inner")
-            .withColumn(out, F.col("_loc") + F.col("_off")).drop("_b", "_loc", "_off"))
+            .withColumn(out, F.col("_loc") + F.col("_off")).select(*df.columns, out))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
@@ -80,7 +80,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return (d.join(offs, keys + ["_b"], "inner")
             .withColumn(out, F.when(F.col("_off").isNull(), F.col("_loc"))
                         .otherwise(F.col("_loc") + F.col("_off")))
-            .drop("_b", "_loc", "_off"))
+            .select(*df.columns, out))
 
 
 def _neighbour(df, keys, order, cols, out, bucket, forward: bool):
@@ -97,7 +97,7 @@ def _neighbour(df, keys, order, cols, out, bucket, forward: bool):
     carry = summ.select(*keys, "_b", fn(F.col("_e._p")).over(wb).alias("_c"))
     return (d.join(carry, keys + ["_b"], "inner")
             .withColumn(out, F.coalesce(F.col("_loc"), F.col("_c")))
-            .drop("_b", "_loc", "_c"))
+            .select(*df.columns, out))
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
