@@ -10,7 +10,9 @@ from itinera.functions.dates import (
     to_utc, duration_minutes,
 )
 from itinera.functions.numeric import (
-    map_code, classify, signed, increment_count, net_priced, money,
+    map_code, classify, signed, increment_count, net_priced, money, sign_factor,
+    BT_PURCHASE, BT_RESERVE, BT_VOID, BT_EXCHANGE, BT_REFUND, BT_PARTIAL_REFUND, BT_UTT,
+    BT_VOID_REFUND, NEGATIVE_TYPES,
 )
 from itinera.functions.geo import great_circle_miles
 

@@ -521,7 +521,7 @@ def q_text_amounts(spark, sf):
 
 def q_signed_amounts(spark, sf):
     l = _t(spark, sf, "lineitem")
-    bt = F.when(F.col("l_returnflag") == "R", 3).otherwise(1)
+    bt = F.when(F.col("l_returnflag") == "R", X.BT_REFUND).otherwise(X.BT_PURCHASE)
     return l.select(*LINE_ID, X.signed(_money("l_extendedprice"), bt).alias("signed_amount"))
 
 
@@ -590,7 +590,7 @@ def q_haversine(spark, sf):
     j = O.join_role(j, xy, "s_nationkey", "n", "f_", ["lat", "lon"], "inner", True)
     j = O.join_role(j, xy, "c_nationkey", "n", "t_", ["lat", "lon"], "inner", True)
     miles = X.great_circle_miles("f_lat", "f_lon", "t_lat", "t_lon")
-    bt = F.when(F.col("l_returnflag") == "R", 3).otherwise(1)
+    bt = F.when(F.col("l_returnflag") == "R", X.BT_REFUND).otherwise(X.BT_PURCHASE)
     return j.select(*LINE_ID, X.signed(miles, bt).cast("decimal(12,2)").alias("miles"))
 
 
@@ -681,14 +681,15 @@ def q_expand_lines(spark, sf):
     rates = spark.createDataFrame(L.fx_rates(), "time_id int, from_currency string, "
                                   "to_currency string, rate string").withColumn(
         "rate", F.col("rate").cast("decimal(19,8)"))
-    bt = F.when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "A", 5).otherwise(3)
+    bt = (F.when(F.col("l_returnflag") == "N", X.BT_PURCHASE)
+          .when(F.col("l_returnflag") == "A", X.BT_EXCHANGE).otherwise(X.BT_REFUND))
     travel = F.date_add(F.to_date("o_orderdate"), (F.col("l_quantity") * 7).cast("int"))
     j = (j.join(c, j["o_custkey"] == c["c_custkey"]).join(nc, F.col("c_nationkey") == nc["n_nationkey"])
          .withColumn("booking_type_id", bt.cast("int"))
          .withColumn("advance_days", X.advance_days("booking_type_id", F.col("l_shipdate"),
                                                     F.col("o_orderdate"), travel,
                                                     F.lit(None).cast("int")).cast("int"))
-         .withColumn("amount", X.signed(_money("l_extendedprice"), F.col("booking_type_id"), (3,)))
+         .withColumn("amount", X.signed(_money("l_extendedprice"), F.col("booking_type_id")))
          .withColumn("rate_day", F.trunc("o_orderdate", "year"))
          .withColumn("to_currency", F.lit("EUR")))
     j = O.fx_convert(j, F.broadcast(rates), "rate_day", "currency", "to_currency", ["amount"],
@@ -697,7 +698,7 @@ def q_expand_lines(spark, sf):
     band = (F.when(F.col("advance_days").isNull(), -1).when(F.col("advance_days") < 0, 99)
             .otherwise(F.coalesce(F.col("band_id"), F.lit(-1))))
     return j.select(*LINE_ID, "booking_type_id",
-                    X.increment_count("booking_type_id", refund=3).cast("int").alias("increment_cnt"),
+                    X.increment_count("booking_type_id").cast("int").alias("increment_cnt"),
                     "advance_days", band.cast("int").alias("band_id"),
                     F.col("amount_eur").cast(M).alias("amount_eur"))
 

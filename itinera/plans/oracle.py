@@ -503,15 +503,15 @@ SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM (
   SELECT *, max(CAST(ts AS DATE)) OVER (PARTITION BY event_type) AS mx FROM events) WHERE CAST(ts AS DATE) = mx""",
 
 "q_expand_lines": f"""
-WITH x AS (SELECT a.*, coalesce(a.bt0, 3) AS bt FROM (SELECT {LID}, l.l_returnflag, l.l_extendedprice, o.o_custkey, o.o_orderdate,
+WITH x AS (SELECT a.*, coalesce(a.bt0, 7) AS bt FROM (SELECT {LID}, l.l_returnflag, l.l_extendedprice, o.o_custkey, o.o_orderdate,
        CASE l.l_returnflag WHEN 'N' THEN 1 WHEN 'A' THEN 5 END AS bt0,
        l.l_shipdate AS bd, o.o_orderdate AS idt, CAST(o.o_orderdate AS DATE) + CAST(l.l_quantity * 7 AS INTEGER) AS ts
        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey) a),
 y AS (SELECT x.*, CAST({ADV} AS INTEGER) AS advance_days, nc.currency,
-             CASE WHEN bt = 3 THEN -abs(CAST(l_extendedprice AS {M})) ELSE abs(CAST(l_extendedprice AS {M})) END AS amount
+             CASE WHEN bt = 7 THEN -abs(CAST(l_extendedprice AS {M})) ELSE abs(CAST(l_extendedprice AS {M})) END AS amount
       FROM x JOIN customer c ON x.o_custkey = c.c_custkey JOIN {NC} nc ON c.c_nationkey = nc.n_nationkey)
 SELECT y.l_orderkey, y.l_linenumber, y.l_partkey, y.l_suppkey, CAST(y.bt AS INTEGER) AS booking_type_id,
-       CAST(CASE WHEN bt = 1 THEN 1 WHEN bt = 5 THEN 0 WHEN bt = 3 THEN -1 END AS INTEGER) AS increment_cnt,
+       CAST(CASE WHEN bt = 1 THEN 1 WHEN bt = 5 THEN 0 WHEN bt = 7 THEN -1 END AS INTEGER) AS increment_cnt,
        y.advance_days,
        CAST(CASE WHEN y.advance_days IS NULL THEN -1 WHEN y.advance_days < 0 THEN 99 ELSE coalesce(b.band_id, -1) END AS INTEGER) AS band_id,
        CAST(y.amount * coalesce(fx.rate, CAST(0 AS DECIMAL(19,8))) AS {M}) AS amount_eur

@@ -59,7 +59,7 @@ def test_saturday_and_signed(spark):
     rows = [(dt.date(2024, 1, 5), dt.date(2024, 1, 8)),   # Friday(6) + 3 nights -> 1
             (dt.date(2024, 1, 1), dt.date(2024, 1, 3))]   # Monday(2) + 2 -> 0
     assert one(spark, X.saturday_stay("a", "b"), rows, "a date, b date") == [1, 0]
-    got = one(spark, X.signed(F.col("a"), F.col("bt")), [(5, 1), (5, 3), (-5, 2)], "a int, bt int")
+    got = one(spark, X.signed(F.col("a"), F.col("bt")), [(5, 1), (5, 7), (-5, 4)], "a int, bt int")
     assert got == [5, -5, -5]
 
 
