@@ -3,7 +3,7 @@
 from itinera.operators.lookups import (
     first_per_key, latest_lookup, latest_all, band_join, dated_join, match_within,
     near_in_time, first_match, theta_or, join_role, with_group_total, keep_if_exists,
-    keep_if_absent, not_in, link_first,
+    keep_if_absent, not_in, delete_not_in, link_first,
 )
 from itinera.operators.scans import (
     time_bucket, value_bucket, sequence_number, running_sum, with_next, with_prev,

@@ -207,6 +207,19 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFra
         df=df, other=other)
 
 
+def delete_not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
+    """``DELETE FROM df WHERE col NOT IN (SELECT other_col FROM other)``:
+    the rows that survive.  A row goes only when the predicate is TRUE, so a
+    null ``col`` stays (unless ``other`` is empty) and a null in ``other``
+    keeps every row.  Planned as semi / existence joins, no nested loop."""
+    spark = df.sparkSession
+    return spark.sql(
+        f"SELECT * FROM {{df}} WHERE `{col}` IN (SELECT `{other_col}` FROM {{other}}) "
+        f"OR (`{col}` IS NULL AND EXISTS (SELECT 1 FROM {{other}})) "
+        f"OR EXISTS (SELECT 1 FROM {{other}} WHERE `{other_col}` IS NULL)",
+        df=df, other=other)
+
+
 def link_first(df: DataFrame, children: DataFrame, keys: Sequence[str],
                order: Sequence[str]) -> DataFrame:
     """Attach the first child per key (deduplicated before the join)."""

@@ -52,7 +52,7 @@ def q_seed_fact(spark, sf):
     seed = o.select(F.col("o_orderkey").alias("record_key"),
                     bt.cast("int").alias("booking_type_id"), "o_orderstatus")
     dim = spark.createDataFrame([(b,) for b in L.BOOKING_TYPES], "booking_type_id int")
-    return O.not_in(seed, "booking_type_id", dim, "booking_type_id")
+    return O.delete_not_in(seed, "booking_type_id", dim, "booking_type_id")
 
 
 def _fx_frame(spark, sf, how):
@@ -171,6 +171,13 @@ def q_capped_seq(spark, sf):
     return r.select(*LINE_ID, F.least(F.col("seq"), F.lit(5).cast("long")).alias("seq"))
 
 
+def q_not_in(spark, sf):
+    """Orders whose customer is NOT IN the customers of one segment."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = _t(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    return O.not_in(o, "o_custkey", c, "c_custkey")
+
+
 def q_anti(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_name")
     o = _t(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")

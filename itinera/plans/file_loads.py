@@ -26,9 +26,9 @@ AIR_AMOUNTS = ["ticket_amt", "base_amt", "tax_amt", "vat_amt", "penalty_amt", "c
 
 def seed_file_fact(stage: DataFrame, booking_types: DataFrame, file_id,
                    batch_col: str = "file_id") -> DataFrame:
-    """Status-1 rows of the batch; null booking type -> 0; unknown types
-    dropped with null-aware NOT IN semantics."""
-    s = O.lookups.not_in(
+    """Status-1 rows of the batch; null booking type -> 0; rows whose type is
+    NOT IN the booking-type dimension are deleted (SQL null semantics)."""
+    s = O.delete_not_in(
         stage.where((F.col(batch_col) == F.lit(file_id)) & (F.col("record_status_id") == 1))
         .select(F.col(batch_col).alias("file_id"), "record_key",
                 F.coalesce("booking_type_id", F.lit(0)).cast("short").alias("booking_type_id")),
@@ -44,8 +44,13 @@ def expand_ticket(fact: DataFrame, stage: DataFrame, travel_product: DataFrame,
     """Ticket attributes from the stage row of the same key: trimmed codes,
     advance-purchase days, increment count, central-bill flag, storage
     currency and FX conversion of every amount (missing rate -> 0).
-    Tax is stored as tax + VAT.  With ``card_col`` the card is masked."""
-    j = fact.select(*KEY).join(stage, KEY, "inner")
+    Tax is stored as tax + VAT.  With ``card_col`` the card is masked.
+
+    The stage row is found by (file, record key) — its own booking type may
+    be null where the fact's is 0 — deduplicated to one row per key first
+    (M1: a stated tie-break instead of an arbitrary match)."""
+    st = O.first_per_key(stage.drop("booking_type_id"), ["file_id", "record_key"], ["record_key"])
+    j = fact.select(*KEY).join(st, ["file_id", "record_key"], "inner")
     tp = travel_product.select("travel_product_id", F.col("currency_code_storage").alias("currency_code"))
     j = j.join(tp, "travel_product_id", "inner")
     j = j.withColumn("comcode", X.clean("comcode", upper=True))

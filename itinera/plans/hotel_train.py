@@ -26,7 +26,8 @@ def expand_hotel(fact: DataFrame, stage: DataFrame, travel_product: DataFrame,
     D39 booking reference (characters 2-9 of the itinerary, only when the
     itinerary is digits and fits int32; Q10 fixed: tested on the new
     source)."""
-    j = fact.select(*KEY).join(stage, KEY, "inner")
+    st = O.first_per_key(stage.drop("booking_type_id"), ["file_id", "record_key"], ["record_key"])
+    j = fact.select(*KEY).join(st, ["file_id", "record_key"], "inner")
     tp = travel_product.select("travel_product_id", F.col("currency_code_storage").alias("currency_code"))
     j = j.join(tp, "travel_product_id", "inner")
     j = j.withColumn("nights_cnt", F.col("nights_cnt") * X.sign_factor("booking_type_id"))

@@ -135,7 +135,11 @@ SELECT record_key, booking_type_id, o_orderstatus FROM (
          CAST(coalesce({_case('o_orderpriority', L.PRIORITY_BOOKING_TYPE)}, 0) AS INTEGER) AS booking_type_id,
          o_orderstatus
   FROM orders WHERE o_orderstatus IN ('P', 'O')) s
-WHERE booking_type_id NOT IN (SELECT booking_type_id FROM {values([(b,) for b in L.BOOKING_TYPES], ['booking_type_id'])} b)""",
+WHERE NOT coalesce(booking_type_id NOT IN (SELECT booking_type_id FROM {values([(b,) for b in L.BOOKING_TYPES], ['booking_type_id'])} b), false)""",
+
+"q_not_in": """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 
 "q_fx_convert": _fx("LEFT JOIN"),
 "q_fx_inner": _fx("JOIN"),

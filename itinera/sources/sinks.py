@@ -52,7 +52,13 @@ def insert_new_members(candidates: DataFrame, dim: DataFrame, natural_keys: Sequ
     names), never over facts.  The current maximum is one scalar.
     """
     nk = list(natural_keys)
-    new = candidates.select(*nk).distinct().join(dim.select(*nk), nk, "left_anti")
+    cand = candidates.select(*nk).distinct()
+    d = dim.select(*[F.col(k).alias(f"_d_{k}") for k in nk])
+    cond = None
+    for k in nk:   # null-safe: a member with a null name part is still the same member
+        c = cand[k].eqNullSafe(d[f"_d_{k}"])
+        cond = c if cond is None else cond & c
+    new = cand.join(d, cond, "left_anti")
     top = dim.agg(F.max(key_col)).first()[0] or 0
     w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in nk])
     return new.withColumn(key_col, (F.row_number().over(w) + F.lit(top)).cast(

