@@ -710,5 +710,44 @@ def q_expand_lines(spark, sf):
                     F.col("amount_eur").cast(M).alias("amount_eur"))
 
 
+def q_invoice_type(spark, sf):
+    """D3 on the driver tables: an order is a document, its part a ticket;
+    returned lines are refunds (type 2), 'A' lines voids (type 3), the rest
+    issued (type 1, exchange when the line is still open)."""
+    from itinera.plans.extract_air import invoice_booking_type
+    l = _t(spark, sf, "lineitem")
+    lines = l.select(
+        F.lit(1).alias("extract_id"), F.lit(1).alias("product_id"),
+        F.col("l_orderkey").alias("document_no"), F.lit("P").alias("id_2"),
+        F.col("l_partkey").alias("ticket"), "l_linenumber", "l_suppkey",
+        F.when(F.col("l_returnflag") == "R", 2).when(F.col("l_returnflag") == "A", 3).otherwise(1)
+        .alias("ticket_type"),
+        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("exchange_ticket"),
+        F.lit(0).alias("resource_type"),
+        F.when(F.col("l_returnflag") == "N", _money("l_extendedprice"))
+        .otherwise(-_money("l_extendedprice")).alias("amount_incl_vat"))
+    r = invoice_booking_type(lines)
+    return r.select(F.col("document_no").alias("l_orderkey"), "l_linenumber", F.col("ticket").alias("l_partkey"),
+                    "l_suppkey", F.col("booking_type_id").cast("int").alias("booking_type_id"))
+
+
+def q_route_text(spark, sf):
+    """D62 on the driver tables: the lines of an order are its legs, from
+    the supplier's nation to the customer's nation."""
+    from itinera.plans.extract_air import route_text
+    j = _line_nations(spark, sf, extra=("l_quantity", "l_extendedprice"))
+    legs = j.select(F.lit(1).alias("extract_id"), F.col("l_orderkey").alias("record_key"),
+                    F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("airport_from"),
+                    F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("airport_to"),
+                    F.lit(1).alias("trip_nbr"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                    "l_extendedprice")
+    legs = O.sequence_number(legs, ["extract_id", "record_key"],
+                             ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
+                             "segment_nbr")
+    r = route_text(legs)
+    return r.select(F.col("record_key").alias("l_orderkey"), "route_txt", "airport_from", "airport_to",
+                    "segment_cnt", "flight_cnt")
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

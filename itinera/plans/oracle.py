@@ -522,4 +522,40 @@ SELECT y.l_orderkey, y.l_linenumber, y.l_partkey, y.l_suppkey, CAST(y.bt AS INTE
 FROM y LEFT JOIN {FX} fx ON fx.time_id = CAST(strftime(date_trunc('year', y.o_orderdate), '%Y%m%d') AS INTEGER)
         AND fx.from_currency = y.currency AND fx.to_currency = 'EUR'
 LEFT JOIN {BANDS} b ON y.advance_days BETWEEN b.start_day AND b.end_day""",
+
+"q_invoice_type": f"""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  CASE WHEN l_returnflag = 'R' THEN 2 WHEN l_returnflag = 'A' THEN 3 ELSE 1 END AS tt,
+                  CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS ex,
+                  CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS {M}) ELSE -CAST(l_extendedprice AS {M}) END AS amt
+           FROM lineitem),
+g AS (SELECT l_orderkey, l_partkey, sum(CASE WHEN tt = 1 THEN amt END) AS issued,
+             sum(CASE WHEN tt IN (2, 3) THEN abs(amt) END) AS refunded FROM x GROUP BY l_orderkey, l_partkey)
+SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey,
+       CAST(CASE WHEN tt = 1 AND ex = 1 THEN 5 WHEN tt = 1 OR amt >= 0 THEN 1 WHEN tt = 4 THEN 10 WHEN tt = 3 THEN 4
+                 WHEN g.issued = g.refunded THEN 7 ELSE 8 END AS INTEGER) AS booking_type_id
+FROM x JOIN g ON x.l_orderkey = g.l_orderkey AND x.l_partkey = g.l_partkey""",
+
+"q_route_text": f"""
+WITH legs AS (SELECT l.l_orderkey AS record_key, 'N' || CAST(s.s_nationkey AS VARCHAR) AS airport_from,
+                     'N' || CAST(c.c_nationkey AS VARCHAR) AS airport_to,
+                     row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                                        l.l_quantity, l.l_extendedprice) AS segment_nbr
+              FROM {LINE_NATIONS}),
+s AS (SELECT *, lag(airport_from) OVER w AS pf, lag(airport_to) OVER w AS pt FROM legs
+      WINDOW w AS (PARTITION BY record_key ORDER BY segment_nbr)),
+p AS (SELECT *, CASE WHEN pt IS NULL THEN airport_from || '/' || airport_to
+                     WHEN pt = airport_from THEN '/' || airport_to
+                     ELSE '_' || airport_from || '/' || airport_to END AS piece,
+                CASE WHEN pt IS NOT NULL AND airport_from = pt AND airport_to = pf THEN pt
+                     WHEN pt IS NOT NULL AND airport_from <> pt THEN pt END AS turn FROM s),
+g AS (SELECT record_key, left(string_agg(piece, '' ORDER BY segment_nbr), 150) AS route_txt,
+             arg_min(airport_from, segment_nbr) AS org,
+             arg_min(turn, segment_nbr) FILTER (WHERE turn IS NOT NULL) AS first_turn,
+             count(*) AS segment_cnt, count(DISTINCT 1) AS flight_cnt FROM p GROUP BY record_key),
+lst AS (SELECT p.record_key, arg_max(p.airport_to, p.segment_nbr) AS last_to FROM p JOIN g USING (record_key)
+        WHERE p.airport_to <> g.org GROUP BY p.record_key)
+SELECT g.record_key AS l_orderkey, g.route_txt, g.org AS airport_from, coalesce(g.first_turn, lst.last_to) AS airport_to,
+       g.segment_cnt, g.flight_cnt
+FROM g LEFT JOIN lst USING (record_key)""",
 }
