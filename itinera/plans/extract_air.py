@@ -176,33 +176,33 @@ def route_text(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record
     """D62: 'A/B/C' with '_X/Y' where a leg does not start where the previous
     ended; route destination = the first return point or open-leg point in
     segment order, else the last trip's last destination that differs from
-    the route origin.  Replaces the recursive CTE by lag + ordered concat."""
+    the route origin.  Replaces the recursive CTE by one window pass over a
+    ticket's legs (a bounded group) and one aggregate."""
     k = list(keys)
-    w = Window.partitionBy(*k).orderBy("segment_nbr")   # one ticket's legs: bounded group
-    s = segments.withColumn("_pf", F.lag("airport_from").over(w)).withColumn("_pt", F.lag("airport_to").over(w))
+    w = Window.partitionBy(*k).orderBy("segment_nbr")
+    wall = Window.partitionBy(*k)
+    s = (segments.withColumn("_pf", F.lag("airport_from").over(w)).withColumn("_pt", F.lag("airport_to").over(w))
+         .withColumn("_org", F.min(F.struct("segment_nbr", "airport_from")).over(wall)["airport_from"])
+         .withColumn("_last_trip", F.max("trip_nbr").over(wall)))
     piece = (F.when(F.col("_pt").isNull(), F.concat_ws("/", "airport_from", "airport_to"))
              .when(F.col("_pt") == F.col("airport_from"), F.concat(F.lit("/"), F.col("airport_to")))
              .otherwise(F.concat(F.lit("_"), F.col("airport_from"), F.lit("/"), F.col("airport_to"))))
     turn = (F.when(F.col("_pt").isNotNull() & (F.col("airport_from") == F.col("_pt"))
                    & (F.col("airport_to") == F.col("_pf")), F.col("_pt"))
             .when(F.col("_pt").isNotNull() & (F.col("airport_from") != F.col("_pt")), F.col("_pt")))
+    last_dest = F.when((F.col("trip_nbr") == F.col("_last_trip")) & (F.col("airport_to") != F.col("_org")),
+                       F.struct("segment_nbr", "airport_to"))
     s = s.withColumn("_piece", piece).withColumn("_turn", turn)
-    first_turn = F.min(F.when(F.col("_turn").isNotNull(), F.struct("segment_nbr", "_turn")))
     g = s.groupBy(*k).agg(
         O.concat_ordered("_piece", ["segment_nbr"], "").alias("route_txt"),
-        F.min(F.struct("segment_nbr", "airport_from")).alias("_o"),
-        first_turn.alias("_t"),
-        F.max("trip_nbr").alias("_last_trip"),
-        F.count(F.lit(1)).alias("segment_cnt"), F.count_distinct("trip_nbr").alias("flight_cnt"))
-    last = (s.join(g.select(*k, "_last_trip", F.col("_o.airport_from").alias("_org")), k)
-            .where((F.col("trip_nbr") == F.col("_last_trip")) & (F.col("airport_to") != F.col("_org")))
-            .groupBy(*k).agg(F.max(F.struct("segment_nbr", "airport_to")).alias("_l")))
-    out = g.join(last, k, "left")
-    dest = F.coalesce(F.col("_t._turn"),
-                      F.when(F.col("_last_trip") == 1, F.col("_l.airport_to")).otherwise(F.col("_l.airport_to")))
-    return out.select(*k, X.fit("route_txt", max_len).alias("route_txt"),
-                      F.col("_o.airport_from").alias("airport_from"), dest.alias("airport_to"),
-                      "segment_cnt", "flight_cnt")
+        F.first("_org").alias("airport_from"),
+        F.min(F.when(F.col("_turn").isNotNull(), F.struct("segment_nbr", "_turn"))).alias("_t"),
+        F.max(last_dest).alias("_l"),
+        F.count(F.lit(1)).alias("segment_cnt"),
+        F.max("trip_nbr").cast("long").alias("flight_cnt"))   # trips are numbered 1..n
+    return g.select(*k, X.fit("route_txt", max_len).alias("route_txt"), "airport_from",
+                    F.coalesce(F.col("_t._turn"), F.col("_l.airport_to")).alias("airport_to"),
+                    "segment_cnt", "flight_cnt")
 
 
 # ---- D66-D71 ticket roll-ups ------------------------------------------------------------
