@@ -96,3 +96,11 @@ def hhmm_minutes(x, default=None) -> Column:
     mins = F.substring(c, 1, 2).cast("int") * 60 + F.substring(c, 3, 2).cast("int")
     d = default if isinstance(default, Column) else F.lit(default).cast("int")
     return F.when(ok, mins).otherwise(d)
+
+
+def clean_department_name(x) -> Column:
+    """Department name as a join key: punctuation removed, blanks squeezed,
+    trimmed and upper-cased (the source function body is absent; this rule
+    is ours)."""
+    c = F.regexp_replace(_c(x), "[^0-9A-Za-z ]", "")
+    return F.upper(F.trim(F.regexp_replace(c, " +", " ")))

@@ -2,7 +2,7 @@
 
 from itinera.operators.lookups import (
     first_per_key, latest_lookup, latest_all, band_join, dated_join, match_within,
-    near_in_time, first_match, theta_or, join_role, with_group_total, keep_if_exists,
+    near_in_time, contains_join, first_match, theta_or, join_role, with_group_total, keep_if_exists,
     keep_if_absent, not_in, delete_not_in, link_first,
 )
 from itinera.operators.scans import (

@@ -151,6 +151,15 @@ def near_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     return j
 
 
+def contains_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
+                  text, token, how: str = "inner") -> DataFrame:
+    """Equi join plus a containment residual (``charindex(token, text) <> 0``):
+    the residual is checked only inside equal keys, never as a cross join."""
+    cond = [left[lc] == right[rc] for lc, rc in on]
+    cond.append(F.instr(text, token) > 0)
+    return left.join(right, reduce(lambda a, b: a & b, cond), how)
+
+
 def first_match(branches: Iterable[tuple[str, DataFrame]], keys: Sequence[str],
                 order: Sequence[str], label: str = "branch") -> DataFrame:
     """Top-1 per key for each branch, then the union of the branches."""

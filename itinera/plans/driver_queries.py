@@ -710,6 +710,16 @@ def q_expand_lines(spark, sf):
                     F.col("amount_eur").cast(M).alias("amount_eur"))
 
 
+def q_contains(spark, sf):
+    """Orders joined to their customer only where the customer name
+    contains the order's priority digit."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    j = O.contains_join(o, c, [("o_custkey", "c_custkey")], F.col("c_name"),
+                        F.substring("o_orderpriority", 1, 1))
+    return j.select("o_orderkey", "c_custkey", "c_name")
+
+
 def q_invoice_type(spark, sf):
     """D3 on the driver tables: an order is a document, its part a ticket;
     returned lines are refunds (type 2), 'A' lines voids (type 3), the rest

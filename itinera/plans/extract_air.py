@@ -174,35 +174,37 @@ def build_flights(segments: DataFrame, geo_priority: DataFrame, keys: Sequence[s
 def route_text(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record_key"),
                max_len: int = 150) -> DataFrame:
     """D62: 'A/B/C' with '_X/Y' where a leg does not start where the previous
-    ended; route destination = the first return point or open-leg point in
-    segment order, else the last trip's last destination that differs from
-    the route origin.  Replaces the recursive CTE by one window pass over a
-    ticket's legs (a bounded group) and one aggregate."""
+    ended.  Destination: the first return or open-leg point in segment order;
+    else, from the last segment: its arrival on a one-trip ticket, otherwise
+    its flight origin (the previous segment's departure when in the same
+    trip, else its own) unless that is the route origin, then its arrival.
+    Flight count = the last segment's trip number.  One window pass over a
+    ticket's legs (a bounded group) and one aggregate replace the recursive
+    CTE."""
     k = list(keys)
     w = Window.partitionBy(*k).orderBy("segment_nbr")
-    wall = Window.partitionBy(*k)
     s = (segments.withColumn("_pf", F.lag("airport_from").over(w)).withColumn("_pt", F.lag("airport_to").over(w))
-         .withColumn("_org", F.min(F.struct("segment_nbr", "airport_from")).over(wall)["airport_from"])
-         .withColumn("_last_trip", F.max("trip_nbr").over(wall)))
+         .withColumn("_ptrip", F.lag("trip_nbr").over(w)))
     piece = (F.when(F.col("_pt").isNull(), F.concat_ws("/", "airport_from", "airport_to"))
              .when(F.col("_pt") == F.col("airport_from"), F.concat(F.lit("/"), F.col("airport_to")))
              .otherwise(F.concat(F.lit("_"), F.col("airport_from"), F.lit("/"), F.col("airport_to"))))
     turn = (F.when(F.col("_pt").isNotNull() & (F.col("airport_from") == F.col("_pt"))
                    & (F.col("airport_to") == F.col("_pf")), F.col("_pt"))
             .when(F.col("_pt").isNotNull() & (F.col("airport_from") != F.col("_pt")), F.col("_pt")))
-    last_dest = F.when((F.col("trip_nbr") == F.col("_last_trip")) & (F.col("airport_to") != F.col("_org")),
-                       F.struct("segment_nbr", "airport_to"))
-    s = s.withColumn("_piece", piece).withColumn("_turn", turn)
+    flight_from = F.when(F.col("_ptrip") == F.col("trip_nbr"), F.col("_pf")).otherwise(F.col("airport_from"))
+    s = s.withColumn("_piece", piece).withColumn("_turn", turn).withColumn("_ff", flight_from)
     g = s.groupBy(*k).agg(
         O.concat_ordered("_piece", ["segment_nbr"], "").alias("route_txt"),
-        F.first("_org").alias("airport_from"),
+        F.min(F.struct("segment_nbr", "airport_from")).alias("_o"),
         F.min(F.when(F.col("_turn").isNotNull(), F.struct("segment_nbr", "_turn"))).alias("_t"),
-        F.max(last_dest).alias("_l"),
-        F.count(F.lit(1)).alias("segment_cnt"),
-        F.max("trip_nbr").cast("long").alias("flight_cnt"))   # trips are numbered 1..n
-    return g.select(*k, X.fit("route_txt", max_len).alias("route_txt"), "airport_from",
-                    F.coalesce(F.col("_t._turn"), F.col("_l.airport_to")).alias("airport_to"),
-                    "segment_cnt", "flight_cnt")
+        F.max(F.struct("segment_nbr", "trip_nbr", "airport_to", "_ff")).alias("_l"),
+        F.count(F.lit(1)).alias("segment_cnt"))
+    org, last = F.col("_o.airport_from"), F.col("_l")
+    fallback = (F.when(last["trip_nbr"] == 1, last["airport_to"])
+                .when(last["trip_nbr"] >= 2, F.when(org != last["_ff"], last["_ff"]).otherwise(last["airport_to"])))
+    return g.select(*k, X.fit("route_txt", max_len).alias("route_txt"), org.alias("airport_from"),
+                    F.coalesce(F.col("_t._turn"), fallback).alias("airport_to"), "segment_cnt",
+                    last["trip_nbr"].cast("long").alias("flight_cnt"))
 
 
 # ---- D66-D71 ticket roll-ups ------------------------------------------------------------

@@ -91,3 +91,54 @@ def run_file_hotel(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
                                t["fx_rate"])
     back = HT.backfill_comparisons(stage, cmp, t["travel_product"], t["fx_rate"])
     return {"fact": fact, "comparisons": cmp.unionByName(back)}
+
+
+def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
+                   out_root: str | None = None) -> dict[str, DataFrame]:
+    """L3: seed -> expand (card masked) -> segments (prefix stripped, FX) ->
+    route text from city names -> routes -> keys -> custom fields."""
+    root = out_root or work_path(spark, "facts")
+    log = os.path.join(root, "run_log")
+    stage = t["train_ticket"].where(F.col("file_id") == F.lit(file_id))
+    amounts = [c for c in FL.AIR_AMOUNTS if c in stage.columns]
+    fact = FL.seed_file_fact(stage, t["booking_type"], file_id)
+    fact = FL.expand_ticket(fact, stage, t["travel_product"], t["fx_rate"], amounts, card_col="card_nbr")
+    fact = FL.add_advance_band(fact, t["advance_purchase"])
+    fact = FL.add_account(fact, t["group_account"])
+    fact = FL.add_department(fact, t["department"])
+    fact = _write(spark, fact, root, "train_fact", file_id, "expand", log)
+    segs = HT.load_train_segments(fact, t["train_ticket_segment"].where(F.col("file_id") == F.lit(file_id)),
+                                  t["fx_rate"])
+    segs = _write(spark, segs, root, "train_segment_fact", file_id, "segments", log)
+    lang = fact.select(*FL.KEY, "travel_product_id").join(
+        t["travel_product"].select("travel_product_id", F.col("default_lang_id").alias("lang_id")),
+        "travel_product_id")
+    txt = HT.train_route_text(segs.join(lang.drop("travel_product_id"), FL.KEY), t["train_station"])
+    parsed = HT.parse_route_text(txt)
+    cands = FL.route_candidates(parsed, "route_from", "route_to")
+    new_routes = FL.upsert_routes(t["route"], cands)
+    return {"fact": fact, "segments": segs, "route_text": parsed, "new_routes": new_routes,
+            "keys": register_keys(fact, FL.KEY, KEY_TYPE["train_file"])}
+
+
+def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: int, as_of,
+                    out_root: str | None = None) -> dict[str, DataFrame]:
+    """L4 core: classify invoice and credit lines -> record keys -> clean
+    legs -> number segments -> trips and flights -> route text -> ticket
+    roll-ups, for one extract."""
+    from itinera.plans import extract_air as EA
+    inv = t["invoice_line"].where(F.col("extract_id") == F.lit(extract_id))
+    cr = t["credit_line"].where(F.col("extract_id") == F.lit(extract_id))
+    lines_i = EA.record_key(EA.invoice_booking_type(inv)).withColumn("doc_kind", F.lit("I"))
+    lines_c = EA.record_key(EA.credit_booking_type(cr, t["credit_header"], inv)).withColumn("doc_kind", F.lit("C"))
+    fact = lines_i.unionByName(lines_c, allowMissingColumns=True)
+    legs = EA.clean_legs(t["travel_leg"].where(F.col("extract_id") == F.lit(extract_id)), as_of)
+    segs = legs.join(fact.select("extract_id", "document_no", "line_no", "record_key", "booking_type_id"),
+                     ["extract_id", "document_no", "line_no"], "inner")
+    segs = EA.number_legs(segs)
+    segs = (segs.withColumnRenamed("departure_ts", "segment_start").withColumnRenamed("arrival_ts", "segment_end"))
+    segs = EA.split_trips(segs)
+    flights = EA.build_flights(segs, t["geography_priority"])
+    routes = EA.route_text(segs)
+    rollups = EA.ticket_rollups(segs)
+    return {"fact": fact, "segments": segs, "flights": flights, "routes": routes, "rollups": rollups}
