@@ -6,7 +6,7 @@ from itinera.operators.lookups import (
     keep_if_absent, not_in, delete_not_in, link_first,
 )
 from itinera.operators.scans import (
-    time_bucket, value_bucket, sequence_number, running_sum, with_next, with_prev,
+    time_bucket, value_bucket, range_bucket, sequence_number, running_sum, with_next, with_prev,
     asof_join, split_by_gap,
 )
 from itinera.operators.shaping import (

@@ -44,6 +44,33 @@ def value_bucket(width: float) -> Bucket:
     return f
 
 
+class RangeBucket:
+    """Data-driven buckets: ``repartitionByRange`` over (keys, order) samples
+    the data and cuts it into ``n`` balanced ranges, so even a key holding a
+    third of all rows is spread over many partitions; the partition id is
+    monotone in the order within a key and serves as the bucket."""
+
+    def __init__(self, n: int | None = None):
+        self.n = n
+
+
+def range_bucket(n: int | None = None) -> RangeBucket:
+    return RangeBucket(n)
+
+
+def _bucketed(df: DataFrame, keys, order, bucket) -> DataFrame:
+    if isinstance(bucket, RangeBucket):
+        # The partition id is physical: it is written once (a reliable
+        # checkpoint under spark.checkpoint.dir, which also cuts the lineage)
+        # so every branch of the scan reads the same bucket per row.
+        from itinera.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        n = bucket.n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (df.repartitionByRange(n, *[F.col(k) for k in keys], *[F.col(o) for o in order])
+                .withColumn("_b", F.spark_partition_id().cast("long")).checkpoint(eager=True))
+    return df.withColumn("_b", bucket(F.col(order[0])))
+
+
 def _w(keys, order, bucketed: bool):
     parts = list(keys) + (["_b"] if bucketed else [])
     return Window.partitionBy(*parts).orderBy(*order)
@@ -55,7 +82,7 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
     keys, order = list(keys), list(order)
     if bucket is None:
         return df.withColumn(out, F.row_number().over(_w(keys, order, False)).cast("long"))
-    d = df.withColumn("_b", bucket(F.col(order[0])))
+    d = _bucketed(df, keys, order, bucket)
     d = d.withColumn("_loc", F.row_number().over(_w(keys, order, True)).cast("long"))
     counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,7 +98,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     if bucket is None:
         w = _w(keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
-    d = df.withColumn("_b", bucket(F.col(order[0])))
+    d = _bucketed(df, keys, order, bucket)
     w = _w(keys, order, True).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_loc", F.sum(value).over(w))
     tot = d.groupBy(*keys, "_b").agg(F.sum(value).alias("_n"))
@@ -89,7 +116,7 @@ def _neighbour(df, keys, order, cols, out, bucket, forward: bool):
     fn = F.lead if forward else F.lag
     if bucket is None:
         return df.withColumn(out, fn(payload).over(_w(keys, order, False)))
-    d = df.withColumn("_b", bucket(F.col(order[0])))
+    d = _bucketed(df, keys, order, bucket)
     d = d.withColumn("_loc", fn(payload).over(_w(keys, order, True)))
     edge = (F.min if forward else F.max)(F.struct(*[F.col(o) for o in order], payload.alias("_p")))
     summ = d.groupBy(*keys, "_b").agg(edge.alias("_e"))

@@ -167,7 +167,7 @@ def q_capped_seq(spark, sf):
     l = _t(spark, sf, "lineitem")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    r = O.sequence_number(l, ["l_orderkey"], order, "seq", bucket=O.value_bucket(1))
+    r = O.sequence_number(l, ["l_orderkey"], order, "seq", bucket=O.range_bucket())
     return r.select(*LINE_ID, F.least(F.col("seq"), F.lit(5).cast("long")).alias("seq"))
 
 

@@ -46,6 +46,11 @@ def test_bucketed_scans_equal_plain_windows(spark):
         rows(O.sequence_number(e, ["u"], ["ts", "id"], "s"))
     assert rows(O.running_sum(e, ["u"], ["ts", "id"], "v", "rs", bucket=b)) == \
         rows(O.running_sum(e, ["u"], ["ts", "id"], "v", "rs"))
+    rb = O.range_bucket(7)
+    assert rows(O.sequence_number(e, ["u"], ["ts", "id"], "s", bucket=rb)) == \
+        rows(O.sequence_number(e, ["u"], ["ts", "id"], "s"))
+    assert rows(O.running_sum(e, ["u"], ["ts", "id"], "v", "rs", bucket=rb)) == \
+        rows(O.running_sum(e, ["u"], ["ts", "id"], "v", "rs"))
     nb = O.with_next(e, ["u"], ["ts", "id"], ["id"], "n", bucket=b).select("id", F.col("n.id").alias("n"))
     np_ = O.with_next(e, ["u"], ["ts", "id"], ["id"], "n").select("id", F.col("n.id").alias("n"))
     assert rows(nb) == rows(np_)
