@@ -289,3 +289,73 @@ def with_utc_offset(segments: DataFrame, locations: DataFrame, zones: DataFrame,
     end_utc = X.to_utc(F.col("segment_end"), F.col("to_offset_min"))
     return out.withColumn("duration_minutes", X.duration_minutes(start_utc, end_utc,
                                                                  X.sign_factor("booking_type_id")))
+
+
+# ---- D35 record status --------------------------------------------------------------------
+
+# fixed values: fact record statuses
+STATUS_SUBSCRIPTION, STATUS_EXCHANGE_PENALTY, STATUS_ANCILLARY = 12, 11, 13
+# fixed values: products treated as ancillary regardless of the invoice date
+ANCILLARY_PRODUCTS = (60010, 60013, 60083, 60035)
+ANCILLARY_FROM = "2014-01-01"
+
+
+def record_status(fact: DataFrame, invoice_lines: DataFrame, credit_lines: DataFrame) -> DataFrame:
+    """Subscription (category 4 or subscription flag) 12; category 6
+    with subcategory 1-3 (for the listed products or invoices from 2014)
+    exchange penalty 11; other category 6 under the same condition
+    ancillary 13; category 7 subcategory 1-2 -> 11; else unchanged.  The
+    invoice-or-credit line of each fact row is one union joined once."""
+    k = ["extract_id", "product_id", "document_no", "line_no"]
+    cols = k + ["business_category", "business_sub_category", "subscription"]
+    lines = invoice_lines.select(*cols).unionByName(credit_lines.select(*cols))
+    j = fact.join(lines, k, "left")
+    cat, sub = F.col("business_category"), F.col("business_sub_category")
+    anc_scope = F.col("product_id").isin(*ANCILLARY_PRODUCTS) | (F.col("invoice_date") >= F.lit(ANCILLARY_FROM))
+    st = (F.when((cat == 4) | (F.col("subscription") == 1), STATUS_SUBSCRIPTION)
+          .when((cat == 6) & sub.isin(1, 2, 3) & anc_scope, STATUS_EXCHANGE_PENALTY)
+          .when((cat == 6) & ~F.coalesce(sub, F.lit(0)).isin(1, 2, 3) & anc_scope, STATUS_ANCILLARY)
+          .when((cat == 7) & sub.isin(1, 2), STATUS_EXCHANGE_PENALTY)
+          .otherwise(F.col("record_status_id")))
+    return j.withColumn("record_status_id", st).drop("business_category", "business_sub_category", "subscription")
+
+
+# ---- D20 / D84 / D85 amounts ------------------------------------------------------------
+
+def link_penalty_by_time(exchanges: DataFrame, penalties: DataFrame, minutes: int = 2) -> DataFrame:
+    """An exchange takes the gross of the single penalty of its
+    (dossier, traveller, locator) posted fewer than ``minutes`` minute
+    boundaries after it (not before).  Groups with several penalties are
+    ignored (HAVING count = 1)."""
+    g = ["meta_dossier_id", "traveler_id", "pnr_code"]
+    single = penalties.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"),
+                                       F.max("posting_date").alias("penalty_posting"),
+                                       F.max("gross_amt").alias("penalty_gross")).where("_n = 1").drop("_n")
+    pairs = O.near_in_time(exchanges.select("record_key", "booking_type_id", *g, "posting_date"),
+                           single, g, "posting_date", "penalty_posting", minutes)
+    add = pairs.select("record_key", "booking_type_id", "penalty_gross")
+    j = exchanges.join(add, ["record_key", "booking_type_id"], "left")
+    return j.withColumn("gross_amt", F.col("gross_amt") + F.coalesce("penalty_gross", F.lit(0)))
+
+
+def sign_refunds(fact: DataFrame, amounts: Sequence[str]) -> DataFrame:
+    """Void / refund / partial-refund amounts negative."""
+    out = fact
+    for a in amounts:
+        out = out.withColumn(a, X.signed(F.col(a), F.col("booking_type_id")))
+    return out
+
+
+def composite_key(fact: DataFrame, segments: DataFrame) -> DataFrame:
+    """Purchases get 'FROM-TO/FROM-TO...' over their segments in
+    order, online fees defaulted to 0 and the dossier as int when it is a
+    number that fits (dashes removed)."""
+    legs = (segments.where(F.col("booking_type_id") != 99)
+            .withColumn("_codes", F.concat_ws("-", "airport_from", "airport_to"))
+            .groupBy("record_key").agg(O.concat_ordered("_codes", ["segment_nbr"], "/").alias("composite_key")))
+    dossier = F.regexp_replace(X.clean("meta_dossier_id"), "-", "")
+    ok = (F.col("booking_type_id") == X.BT_PURCHASE) & X.is_int32_text(dossier)
+    j = fact.join(legs, "record_key", "left")
+    return (j.withColumn("composite_key", F.when(ok, F.col("composite_key")))
+            .withColumn("ob_fees_amt", F.coalesce("ob_fees_amt", F.lit(0)))
+            .withColumn("md_code", F.when(ok, dossier.cast("int"))))

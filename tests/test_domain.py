@@ -134,3 +134,32 @@ def test_savings_match_and_negate(spark):
                                "record_key string, ticket_amt decimal(19,4), fare_amt_lowest decimal(19,4), savings_rule string")
     got = sorted((r.record_key, float(r.fare_amt_lowest), r.savings_rule) for r in SV.negate_savings(sv).collect())
     assert got == [("R1", 100.0, "4"), ("R2", 100.0, "4"), ("R3", 90.0, "2")]
+
+
+def test_record_status_and_amount_steps(spark):
+    fact = spark.createDataFrame([
+        (1, 60010, "D1", 1, T(2013, 5, 1), 0), (1, 5, "D1", 2, T(2013, 5, 1), 0),
+        (1, 5, "D2", 1, T(2014, 5, 1), 0), (1, 5, "D3", 1, T(2014, 5, 1), 0)],
+        "extract_id int, product_id int, document_no string, line_no int, invoice_date timestamp_ntz, record_status_id int")
+    cols = ("extract_id int, product_id int, document_no string, line_no int, business_category int, "
+            "business_sub_category int, subscription int")
+    inv = spark.createDataFrame([(1, 60010, "D1", 1, 6, 2, 0), (1, 5, "D1", 2, 6, 2, 0), (1, 5, "D2", 1, 6, None, 0)], cols)
+    cr = spark.createDataFrame([(1, 5, "D3", 1, 4, 0, 0)], cols)
+    got = {(r.document_no, r.line_no): r.record_status_id for r in EA.record_status(fact, inv, cr).collect()}
+    assert got == {("D1", 1): 11, ("D1", 2): 0, ("D2", 1): 13, ("D3", 1): 12}
+    ex = spark.createDataFrame([("R1", 5, "M", 1, "P", T(2014, 2, 1, 10, 0, 30), D("100")),
+                                ("R2", 5, "M", 2, "P", T(2014, 2, 1, 10, 0, 30), D("100"))],
+                               "record_key string, booking_type_id int, meta_dossier_id string, traveler_id int, "
+                               "pnr_code string, posting_date timestamp_ntz, gross_amt decimal(19,4)")
+    pen = spark.createDataFrame([("M", 1, "P", T(2014, 2, 1, 10, 1, 50), D("25")),
+                                 ("M", 2, "P", T(2014, 2, 1, 10, 0, 40), D("5")),
+                                 ("M", 2, "P", T(2014, 2, 1, 10, 0, 50), D("6"))],
+                                "meta_dossier_id string, traveler_id int, pnr_code string, posting_date timestamp_ntz, gross_amt decimal(19,4)")
+    got = {r.record_key: float(r.gross_amt) for r in EA.link_penalty_by_time(ex, pen).collect()}
+    assert got == {"R1": 125.0, "R2": 100.0}
+    segs = spark.createDataFrame([("R1", 1, 2, "AAA", "BBB"), ("R1", 1, 1, "CCC", "AAA")],
+                                 "record_key string, booking_type_id int, segment_nbr int, airport_from string, airport_to string")
+    f = spark.createDataFrame([("R1", 1, "12-34", None), ("R9", 1, "x", None)],
+                              "record_key string, booking_type_id int, meta_dossier_id string, ob_fees_amt decimal(19,4)")
+    got = {r.record_key: (r.composite_key, r.md_code) for r in EA.composite_key(f, segs).collect()}
+    assert got == {"R1": ("CCC-AAA/AAA-BBB", 1234), "R9": (None, None)}
