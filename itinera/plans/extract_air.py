@@ -359,3 +359,54 @@ def composite_key(fact: DataFrame, segments: DataFrame) -> DataFrame:
     return (j.withColumn("composite_key", F.when(ok, F.col("composite_key")))
             .withColumn("ob_fees_amt", F.coalesce("ob_fees_amt", F.lit(0)))
             .withColumn("md_code", F.when(ok, dossier.cast("int"))))
+
+
+# ---- D2 / D4 candidate lines ----------------------------------------------------------------
+
+def _eligible(headers: DataFrame, lines: DataFrame, legs: DataFrame, extract_id) -> DataFrame:
+    h = headers.where(F.col("extract_id") == F.lit(extract_id)).select(
+        "extract_id", "product_id", F.col("no").alias("document_no"), "sell_to_customer_no",
+        *[c for c in ("issued_to_doc",) if c in headers.columns])
+    j = lines.join(h, ["extract_id", "product_id", "document_no"], "inner")
+    j = j.where((F.col("resource_type") == 0) & F.col("service_group").isin(1, 6)
+                & F.col("ticket_type").isin(1, 2, 3) & X.is_numeric_text("sell_to_customer_no"))
+    has_leg = legs.select("extract_id", "product_id", "document_no", F.col("ticket_no").alias("ticket"))
+    j = j.join(has_leg, ["extract_id", "product_id", "document_no", "ticket"], "left_semi")
+    return j.withColumn("record_key", X.fit(F.concat_ws("-", "document_no", F.col("line_no").cast("string")), 30))
+
+
+def invoice_candidates(headers: DataFrame, lines: DataFrame, legs: DataFrame, extract_id) -> DataFrame:
+    """Primary-resource air / low-cost invoice lines of ticket type 1-3,
+    numeric customer, line type 3, not a group event, with a travel leg of
+    the same ticket.  Non-exchange lines (document type 1, booking type
+    decided later) and issued exchanges (document type 2, booking type 5,
+    agent-assisted).  The cancel-repaid branch cannot fire (Q1) and is left
+    out."""
+    j = _eligible(headers, lines, legs, extract_id).where((F.col("type") == 3) & (F.col("group") != 1))
+    agent = F.when(F.col("reservation_mode") == 2, 0).otherwise(1)
+    no_principal = F.coalesce(X.clean("principal_ticket"), F.lit("")) == ""
+    base = ["extract_id", "document_no", "line_no", "record_key", "ticket", "original_ticket", "product_id"]
+    plain = j.where((F.col("exchange_ticket") == 0) & no_principal).select(
+        *base, F.lit(1).alias("sales_document_type_id"), F.lit(None).cast("int").alias("booking_type_id"),
+        agent.alias("agent_assisted"))
+    exch = j.where((F.col("exchange_ticket") == 1) & (F.col("ticket_type") == 1) & no_principal).select(
+        *base, F.lit(2).alias("sales_document_type_id"), F.lit(X.BT_EXCHANGE).alias("booking_type_id"),
+        F.lit(1).alias("agent_assisted"))
+    return plain.unionByName(exch)
+
+
+def credit_candidates(headers: DataFrame, lines: DataFrame, legs: DataFrame, extract_id) -> DataFrame:
+    """Eligible credit lines of business category 1, 3 or 10; kept when
+    they have no principal ticket, or the principal ticket's summed amount
+    on the document is non-zero (one aggregate joined back)."""
+    j = _eligible(headers, lines, legs, extract_id).where(F.col("business_category").isin(1, 3, 10))
+    sums = (lines.where((F.col("extract_id") == F.lit(extract_id)) & (F.col("resource_type") == 0))
+            .groupBy("product_id", "document_no", F.col("ticket").alias("principal_ticket"))
+            .agg(F.sum("amount_incl_vat").alias("_principal_sum")))
+    j = j.join(sums, ["product_id", "document_no", "principal_ticket"], "left")
+    no_principal = F.coalesce(X.clean("principal_ticket"), F.lit("")) == ""
+    keep = no_principal | (F.coalesce(F.col("_principal_sum") != 0, F.lit(False)))
+    return j.where(keep).select("extract_id", "document_no", "line_no", "record_key", "ticket", "original_ticket",
+                                "product_id", F.lit(2).alias("sales_document_type_id"),
+                                F.lit(None).cast("int").alias("booking_type_id"), F.lit(1).alias("agent_assisted"),
+                                F.col("issued_to_doc").alias("sales_document_prior"))

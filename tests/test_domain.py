@@ -163,3 +163,31 @@ def test_record_status_and_amount_steps(spark):
                               "record_key string, booking_type_id int, meta_dossier_id string, ob_fees_amt decimal(19,4)")
     got = {r.record_key: (r.composite_key, r.md_code) for r in EA.composite_key(f, segs).collect()}
     assert got == {"R1": ("CCC-AAA/AAA-BBB", 1234), "R9": (None, None)}
+
+
+def test_candidate_lines(spark):
+    hdr = spark.createDataFrame([(1, 1, "D1", "123", None), (1, 1, "D2", "ABC", None), (1, 1, "C1", "9", "D1")],
+                                "extract_id int, product_id int, no string, sell_to_customer_no string, issued_to_doc string")
+    cols = ("extract_id int, product_id int, document_no string, line_no int, ticket string, original_ticket string, "
+            "exchange_ticket int, ticket_type int, principal_ticket string, resource_type int, service_group int, "
+            "type int, group int, reservation_mode int, business_category int, amount_incl_vat decimal(19,4)")
+    lines = spark.createDataFrame([
+        (1, 1, "D1", 1, "T1", None, 0, 1, "", 0, 1, 3, 0, 2, 1, D("10")),     # plain, online -> agent 0
+        (1, 1, "D1", 2, "T2", "T1", 1, 1, "", 0, 6, 3, 0, 1, 1, D("10")),     # exchange -> 5
+        (1, 1, "D1", 3, "T3", None, 0, 1, "", 0, 2, 3, 0, 1, 1, D("10")),     # service group 2 -> out
+        (1, 1, "D1", 4, "T4", None, 0, 1, "", 0, 1, 3, 1, 1, 1, D("10")),     # group event -> out
+        (1, 1, "D1", 5, "T9", None, 0, 1, "", 0, 1, 3, 0, 1, 1, D("10")),     # no travel leg -> out
+        (1, 1, "D2", 1, "T1", None, 0, 1, "", 0, 1, 3, 0, 1, 1, D("10")),     # customer not numeric -> out
+    ], cols)
+    legs = spark.createDataFrame([(1, 1, "D1", t) for t in ("T1", "T2", "T3", "T4")] + [(1, 1, "C1", "T1"), (1, 1, "C1", "T5")],
+                                 "extract_id int, product_id int, document_no string, ticket_no string")
+    got = sorted((r.record_key, r.booking_type_id, r.agent_assisted, r.sales_document_type_id)
+                 for r in EA.invoice_candidates(hdr, lines, legs, 1).collect())
+    assert got == [("D1-1", None, 0, 1), ("D1-2", 5, 1, 2)]
+    cr = spark.createDataFrame([
+        (1, 1, "C1", 1, "T1", None, 0, 2, "", 0, 1, 3, 0, 1, 1, D("-10")),
+        (1, 1, "C1", 2, "T5", None, 0, 2, "T1", 0, 1, 3, 0, 1, 3, D("-10")),   # principal T1 sums -10 -> kept
+        (1, 1, "C1", 3, "T1", None, 0, 2, "", 0, 1, 3, 0, 1, 5, D("-1")),      # category 5 -> out
+    ], cols)
+    got = sorted((r.record_key, r.sales_document_prior) for r in EA.credit_candidates(hdr, cr, legs, 1).collect())
+    assert got == [("C1-1", "D1"), ("C1-2", "D1")]
