@@ -191,3 +191,31 @@ def test_candidate_lines(spark):
     ], cols)
     got = sorted((r.record_key, r.sales_document_prior) for r in EA.credit_candidates(hdr, cr, legs, 1).collect())
     assert got == [("C1-1", "D1"), ("C1-2", "D1")]
+
+
+def test_amount_steps(spark):
+    from itinera.plans import amounts as AM
+    lines = spark.createDataFrame([
+        ("D1", 1, 60010, 12, D("120"), D("100"), D("110"), D("20"), D("3"), D("1"), D("-5"), D("0"), D("0"), "F1", "1A", 1),
+        ("D1", 2, 5, 1, D("0"), D("100"), D("110"), D("20"), D("3"), D("1"), D("-5"), D("0"), D("0"), "F2", "LOWCOST", 1)],
+        "document_no string, line_no int, product_id int, business_sub_category int, public_price decimal(19,4), "
+        "amount decimal(19,4), amount_incl_vat decimal(19,4), airport_tax decimal(19,4), commission_excl_vat decimal(19,4), "
+        "ob_fees_amt decimal(19,4), markup_total decimal(19,4), markup_gds decimal(19,4), markup_pub decimal(19,4), "
+        "id_1 string, crs string, business_category int")
+    a = {r.line_no: r for r in AM.line_amounts(lines).collect()}
+    assert (float(a[1].ticket_amt), float(a[1].ticket_amt_base), float(a[1].ticket_amt_tax_vat)) == (120.0, 100.0, 0.0)
+    assert (float(a[2].ticket_amt), float(a[2].ticket_amt_base), float(a[2].ticket_amt_tax_vat)) == (110.0, 80.0, 10.0)
+    assert a[2].markup_full is None and float(a[1].markup_full) == -20.0 and float(a[1].markup_amt) == 5.0
+    tagged = spark.createDataFrame([
+        (60010, 1, "F1", "TAX", 1, "    12.50YQ     3.00YR    4.00YQ"),
+        (60010, 2, "F1", "TAX", 1, "    12.50YQ     3.00YR    4.00YQ"),   # same text, newer extract: counted once
+        (60010, 1, "F1", "KRF", 2, "   EXEMPTYQ"),
+        (5, 1, "F2", "TAX", 3, "    99.00YQ")],                            # low-cost file: ignored
+        "product_id int, extract_id int, file_name string, tag string, line_id int, text1 string")
+    got = {r.tag: (float(r.yq_amt), float(r.yr_amt))
+           for r in AM.surcharges(tagged, AM.line_amounts(lines)).collect()}
+    # the 8 characters start 9 before the code, so the one right before it is
+    # not read ("    12.50YQ" -> "    12.5"); the second YQ reads "R    4.0",
+    # not numeric, and the EXEMPT line has no numeric candidate: both dropped;
+    # the same line in two extracts counts once
+    assert got == {"TAX": (12.5, 3.0)}
