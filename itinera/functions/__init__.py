@@ -6,7 +6,7 @@ from itinera.functions.text import (
     tsql_substring, hhmm_minutes, to_money, is_numeric_text, clean_department_name,
 )
 from itinera.functions.dates import (
-    time_id, minute_diff, day_diff, plausible_date, advance_days, saturday_stay,
+    time_id, epoch_micros, minute_index, minute_diff, day_diff, plausible_date, advance_days, saturday_stay,
     to_utc, duration_minutes,
 )
 from itinera.functions.numeric import (

@@ -14,6 +14,19 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock (NTZ) time, independent
+    of the session time zone (no cast to a zoned timestamp)."""
+    c = _c(ts)
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                            c.cast("timestamp_ntz"))
+
+
+def minute_index(ts) -> Column:
+    """Whole minutes since 1970-01-01 (floor), zone independent."""
+    return F.floor(epoch_micros(ts) / F.lit(60000000)).cast("long")
+
+
 def time_id(d) -> Column:
     """Calendar key yyyymmdd as int."""
     return F.date_format(_c(d), "yyyyMMdd").cast("int")
@@ -26,10 +39,7 @@ def day_diff(a, b) -> Column:
 
 def minute_diff(a, b) -> Column:
     """Minute boundaries crossed from a to b."""
-    ta = F.unix_micros(F.date_trunc("minute", _c(a)).cast("timestamp"))
-    tb = F.unix_micros(F.date_trunc("minute", _c(b)).cast("timestamp"))
-    # both sides are whole minutes, so the quotient is exact
-    return ((tb - ta) / F.lit(60000000)).cast("long")
+    return minute_index(b) - minute_index(a)
 
 
 def plausible_date(d, fallback, as_of) -> Column:

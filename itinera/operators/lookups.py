@@ -19,6 +19,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from itinera.functions.dates import epoch_micros, minute_index as _minute_index
+
 _ORDERABLE_NEGATE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                      T.DoubleType, T.DecimalType)
 
@@ -35,7 +37,7 @@ def _desc_key(df: DataFrame, name: str) -> Column | None:
     if isinstance(dt, _ORDERABLE_NEGATE):
         return -c
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
+        return -epoch_micros(c)
     if isinstance(dt, T.DateType):
         return -F.unix_date(c)
     if isinstance(dt, T.BooleanType):
@@ -124,8 +126,7 @@ def match_within(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]
 
 
 def minute_index(ts) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(F.date_trunc("minute", c).cast("timestamp")) / F.lit(60000000)).cast("long")
+    return _minute_index(F.col(ts) if isinstance(ts, str) else ts)
 
 
 def near_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,

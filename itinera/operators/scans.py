@@ -25,6 +25,8 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from itinera.functions.dates import epoch_micros
+
 Bucket = Callable[[Column], Column]
 
 
@@ -33,7 +35,7 @@ def time_bucket(seconds: int) -> Bucket:
     us = int(seconds) * 1_000_000
 
     def f(c: Column) -> Column:
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(us)).cast("long")
+        return F.floor(epoch_micros(c) / F.lit(us)).cast("long")
     return f
 
 

@@ -205,7 +205,7 @@ def q_self_next(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
     r = O.with_next(e, ["user_id"], ["ts", "event_id"], ["event_id", "ts", "event_type"],
                     out="nx", bucket=O.time_bucket(DAY))
-    gap = (F.unix_micros(F.col("nx.ts").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")))
+    gap = X.epoch_micros(F.col("nx.ts")) - X.epoch_micros(F.col("ts"))
     return r.select("event_id", "user_id", F.col("nx.event_id").alias("next_event_id"),
                     F.col("nx.event_type").alias("next_type"), gap.alias("gap_us"))
 
@@ -344,10 +344,10 @@ def q_dedupe_two_pass(spark, sf):
 
 def _sessions(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = X.epoch_micros(F.col("ts"))
 
     def brk(prev):
-        gap = us - F.unix_micros(prev["ts"].cast("timestamp"))
+        gap = us - X.epoch_micros(prev["ts"])
         return (gap > 6 * 3600 * 10**6) | ((gap > 4 * 3600 * 10**6)
                                           & (F.col("event_type") != "error")
                                           & (prev["event_type"] != "error"))

@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from itinera import functions as X
 from itinera import operators as O
 from itinera.sources import apply_updates, insert_new_members, replace_slice
 
@@ -85,7 +86,7 @@ def test_split_by_gap(spark):
     df = spark.createDataFrame(data, "id int, u int, ts timestamp_ntz, t string")
 
     def brk(prev):
-        gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(prev["ts"].cast("timestamp"))
+        gap = X.epoch_micros(F.col("ts")) - X.epoch_micros(prev["ts"])
         return (gap > 6 * 3600 * 10**6) | ((gap > 4 * 3600 * 10**6) & (F.col("t") != "error")
                                           & (prev["t"] != "error"))
     for b in (None, O.time_bucket(7200)):
