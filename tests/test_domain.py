@@ -219,3 +219,30 @@ def test_amount_steps(spark):
     # not numeric, and the EXEMPT line has no numeric candidate: both dropped;
     # the same line in two extracts counts once
     assert got == {"TAX": (12.5, 3.0)}
+
+
+def test_extract_attributes(spark):
+    from itinera.plans import extract_attrs as XA
+    fact = spark.createDataFrame([
+        (1, 1, "D1", 1, "M1", 1, 1, T(2024, 1, 3)), (1, 1, "D2", 1, "M2", 2, 2, T(2024, 1, 3)),
+        (1, 1, "D3", 1, "M3", 1, 5, T(2024, 1, 3))],
+        "extract_id int, product_id int, document_no string, line_no int, meta_dossier_id string, "
+        "sales_document_type_id int, booking_type_id int, issue_date timestamp_ntz")
+    sl = spark.createDataFrame([(1, 1, "D1", 1, 0, 1), (1, 1, "D2", 1, 0, 2), (1, 1, "D3", 1, 0, 2)],
+                               "extract_id int, product_id int, document_no string, line_no int, exchange_ticket int, reservation_mode int")
+    fields = spark.createDataFrame([
+        ("M1", 1, 1, "TRAVEL_CONSULTANT", "x", "N"), ("M1", 1, 1, "BOOKER_PERCODE", "77", "N"),
+        ("M1", 1, 2, "BOOKER_PERCODE", "88", "N"), ("M3", 1, 1, "BOOK_DATE", "2023-12-01 10:00:00", "N"),
+        ("M3", 1, 2, "BOOK_DATE", "garbage", "N"), ("M1", 1, 3, "BOOK_DATE", "2023-11-01 00:00:00", "Y")],
+        "metaid string, product_id int, extract_id int, fld_key string, fld_value string, system string")
+    ch = {r.document_no: (r.online, r.agent_assisted, r.offline_booking_type_id)
+          for r in XA.booking_channel(fact, sl, fields).collect()}
+    assert ch == {"D1": (0, 1, 1), "D2": (0, 1, None), "D3": (1, 0, None)}
+    trav = spark.createDataFrame([("88", 1, 1)], "no string, product_id int, is_vip int")
+    acc = spark.createDataFrame([(5, 2)], "tuid int, customer_system_id int")
+    lo = {r.document_no: (r.arranger_id, r.logon_id) for r in XA.arranger_logon(fact, fields, trav, acc).collect()}
+    assert lo == {"D1": (88, 88), "D2": (None, None), "D3": (None, None)}
+    hdr = spark.createDataFrame([(1, 1, d, T(2024, 1, 2)) for d in ("D1", "D2", "D3")],
+                                "extract_id int, product_id int, no string, posting_date timestamp_ntz")
+    bd = {r.document_no: (r.booking_date, r.invoice_date) for r in XA.booking_dates(fact, hdr, fields).collect()}
+    assert bd["D1"] == (T(2024, 1, 2), T(2024, 1, 2, 12)) and bd["D2"][0] == T(2024, 1, 3) and bd["D3"][0] is None
