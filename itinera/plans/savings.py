@@ -145,3 +145,67 @@ def finish_savings(fact: DataFrame, legacy: DataFrame, engine: DataFrame, activa
     use_legacy = F.to_date("invoice_date") < F.lit(activation_date).cast("date")
     return j.withColumn("fare_amt_lowest", F.when(use_legacy, F.col("_legacy")).otherwise(F.col("_engine"))) \
         .drop("_legacy", "_engine")
+
+
+def _rule_frame(tickets, cases, options, booked, fares, shapes):
+    cond = None
+    for b, c in shapes:
+        x = (F.col("booked_geometry_type") == b) & (F.col("comparison_geometry_type") == c)
+        cond = x if cond is None else cond | x
+    opt_k = BF + ["comparison_option_number"]
+    return (cases.where(cond)
+            .join(tickets.select("record_key", "booking_type_id", "ticket_amt", "ob_fees_amt",
+                                 *[c for c in ("savings_total_flight_amount",) if c in tickets.columns]),
+                  ["record_key", "booking_type_id"])
+            .join(options.select(*opt_k, "is_booked_fare", F.col("marketing_carrier").alias("opt_carrier"),
+                                 F.col("total_amount").alias("opt_total"), F.col("is_lowcost").alias("opt_lowcost"),
+                                 F.col("first_carrier").alias("opt_first_carrier")), opt_k)
+            .join(booked.select(*BF, F.col("marketing_carrier").alias("booked_carrier")), BF)
+            .join(fares.select(*BF, "fare_number", F.col("is_lowcost").alias("fare_lowcost"),
+                               F.col("total_amount").alias("fare_total")), BF + ["fare_number"]))
+
+
+def lowest_fare_rules23(tickets: DataFrame, cases: DataFrame, comp_fares: DataFrame, options: DataFrame,
+                        booked: DataFrame, fares: DataFrame) -> DataFrame:
+    """D95 rules 2 and 3.  Rule 2 (OW booked vs RT offered): the offered
+    fare pro-rated by the booked fare's share of the flight total (the first
+    comparison fare of the option stands in: the source join is not
+    restricted).  Rule 3 (RT vs 2OW): the option total.  Both add online
+    fees when the regular offered carrier equals the booked one; the paid
+    amount when the lowest option is the booked fare."""
+    opt_k = BF + ["comparison_option_number"]
+    first_cf = O.first_per_key(
+        comp_fares.select(*opt_k, "comparison_fare_number", F.col("total_amount").alias("cmp_total"),
+                          F.col("is_lowcost").alias("cmp_lowcost"), F.col("first_carrier").alias("cmp_first_carrier")),
+        opt_k, ["comparison_fare_number"])
+    r2 = _rule_frame(tickets, cases, options, booked, fares, [("OW", "RT")]).join(first_cf, opt_k)
+    share = F.col("fare_total") / F.col("savings_total_flight_amount") * F.col("cmp_total")
+    same2 = (F.col("cmp_lowcost") == 0) & (F.col("booked_carrier") == F.col("opt_carrier"))
+    low2 = (F.when(F.col("is_booked_fare") == 1, F.col("ticket_amt"))
+            .when((F.col("fare_lowcost") == 0) & same2, share + F.col("ob_fees_amt")).otherwise(share))
+    out2 = r2.select("record_key", "booking_type_id", F.lit(2).alias("_rule"), low2.alias("fare_amt_lowest"),
+                     F.col("cmp_first_carrier").alias("airline_lowest"), "is_booked_fare",
+                     "booked_geometry_type", "comparison_geometry_type")
+    r3 = _rule_frame(tickets, cases, options, booked, fares, [("RT", "2OW")])
+    same3 = (F.col("opt_lowcost") == 0) & (F.col("booked_carrier") == F.col("opt_carrier"))
+    low3 = (F.when(F.col("is_booked_fare") == 1, F.col("ticket_amt"))
+            .when((F.col("fare_lowcost") == 0) & same3, F.col("opt_total") + F.col("ob_fees_amt"))
+            .otherwise(F.col("opt_total")))
+    out3 = r3.select("record_key", "booking_type_id", F.lit(3).alias("_rule"), low3.alias("fare_amt_lowest"),
+                     F.col("opt_first_carrier").alias("airline_lowest"), "is_booked_fare",
+                     "booked_geometry_type", "comparison_geometry_type")
+    u = out2.unionByName(out3)
+    return u.select("record_key", "booking_type_id",
+                    F.concat(F.col("_rule").cast("string"), F.lit(". || "), F.col("booked_geometry_type"),
+                             F.lit(" vs "), F.col("comparison_geometry_type")).alias("savings_rule"),
+                    F.when(F.col("is_booked_fare") == 1, 1).otherwise(0).alias("low_fare_chosen"),
+                    "fare_amt_lowest", "airline_lowest")
+
+
+def published_options(options: DataFrame) -> DataFrame:
+    """Cheapest published option per booked fare and flexibility level
+    (lowest recommended options excluded; a missing fare type counts as
+    UNKNOWN)."""
+    pub = options.where((F.col("is_lowest_recommended_fare") == 0)
+                        & (F.coalesce(F.col("fare_type"), F.lit("UNKNOWN")) == "PUBLISHED"))
+    return O.first_per_key(pub, BF + ["flexibility_level"], ["total_amount", "comparison_option_number"])

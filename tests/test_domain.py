@@ -246,3 +246,37 @@ def test_extract_attributes(spark):
                                 "extract_id int, product_id int, no string, posting_date timestamp_ntz")
     bd = {r.document_no: (r.booking_date, r.invoice_date) for r in XA.booking_dates(fact, hdr, fields).collect()}
     assert bd["D1"] == (T(2024, 1, 2), T(2024, 1, 2, 12)) and bd["D2"][0] == T(2024, 1, 3) and bd["D3"][0] is None
+
+
+def test_lowest_fare_rules(spark):
+    bf = "extract_id int, message_unique_id string, booked_fare_number int"
+    tickets = spark.createDataFrame([("R1", 1, D("200"), D("10"), D("400")), ("R2", 1, D("300"), D("10"), D("300")),
+                                     ("R3", 1, D("300"), D("10"), D("300"))],
+                                    "record_key string, booking_type_id int, ticket_amt decimal(19,4), "
+                                    "ob_fees_amt decimal(19,4), savings_total_flight_amount decimal(19,4)")
+    cases = spark.createDataFrame([
+        ("R1", 1, 1, "M1", 1, 1, 1, "OW", "RT"), ("R2", 1, 1, "M2", 1, 1, 1, "RT", "2OW"),
+        ("R3", 1, 1, "M3", 1, 1, 1, "OW", "OW")],
+        "record_key string, booking_type_id int, extract_id int, message_unique_id string, booked_fare_number int, "
+        "fare_number int, comparison_option_number int, booked_geometry_type string, comparison_geometry_type string")
+    options = spark.createDataFrame([(1, "M1", 1, 1, 0, "AF", D("500"), 0, "AF"), (1, "M2", 1, 1, 0, "LH", D("250"), 0, "LH"),
+                                     (1, "M3", 1, 1, 1, "AF", D("280"), 0, "AF")],
+                                    bf + ", comparison_option_number int, is_booked_fare int, marketing_carrier string, "
+                                    "total_amount decimal(19,4), is_lowcost int, first_carrier string")
+    comp = spark.createDataFrame([(1, "M1", 1, 1, 2, D("600"), 0, "AF"), (1, "M1", 1, 1, 1, D("500"), 0, "AF")],
+                                 bf + ", comparison_option_number int, comparison_fare_number int, "
+                                 "total_amount decimal(19,4), is_lowcost int, first_carrier string")
+    booked = spark.createDataFrame([(1, "M1", 1, "AF"), (1, "M2", 1, "AF"), (1, "M3", 1, "AF")],
+                                   bf + ", marketing_carrier string")
+    fares = spark.createDataFrame([(1, "M1", 1, 1, 0, D("200")), (1, "M2", 1, 1, 0, D("300")), (1, "M3", 1, 1, 0, D("300"))],
+                                  bf + ", fare_number int, is_lowcost int, total_amount decimal(19,4)")
+    got = {r.record_key: (r.savings_rule, float(r.fare_amt_lowest))
+           for r in SV.lowest_fare_rules23(tickets, cases, comp, options, booked, fares).collect()}
+    # 200 / 400 * 500 (first comparison fare) + fees 10 (same regular carrier) = 260
+    # R2: option total 250, other carrier -> no fees; R3 is a rule-1 shape -> not here
+    assert got == {"R1": ("2. || OW vs RT", 260.0), "R2": ("3. || RT vs 2OW", 250.0)}
+    opts = spark.createDataFrame([(1, "M1", 1, 1, 0, "PUBLISHED", 2, D("90")), (1, "M1", 1, 2, 0, "PUBLISHED", 2, D("80")),
+                                  (1, "M1", 1, 3, 1, "PUBLISHED", 2, D("10")), (1, "M1", 1, 4, 0, None, 2, D("5"))],
+                                 bf + ", comparison_option_number int, is_lowest_recommended_fare int, fare_type string, "
+                                 "flexibility_level int, total_amount decimal(19,4)")
+    assert [r.comparison_option_number for r in SV.published_options(opts).collect()] == [2]
