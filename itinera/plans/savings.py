@@ -209,3 +209,35 @@ def published_options(options: DataFrame) -> DataFrame:
     pub = options.where((F.col("is_lowest_recommended_fare") == 0)
                         & (F.coalesce(F.col("fare_type"), F.lit("UNKNOWN")) == "PUBLISHED"))
     return O.first_per_key(pub, BF + ["flexibility_level"], ["total_amount", "comparison_option_number"])
+
+
+def published_fare_rule1(tickets: DataFrame, pub_cases: DataFrame, comp_fares: DataFrame,
+                         fares: DataFrame) -> DataFrame:
+    """D97 (same-shape cases): published fare = the paid amount for a
+    low-cost booked fare, else the published comparison fare of the same
+    flexibility scaled by the match percentage, plus online fees; basis and
+    class only for regular fares.  Money is computed exactly and stored at
+    4 decimals (M5)."""
+    shapes = None
+    for b, c in RULE1_SHAPES:
+        x = (F.col("booked_geometry_type") == b) & (F.col("comparison_geometry_type") == c)
+        shapes = x if shapes is None else shapes | x
+    opt_k = BF + ["comparison_option_number"]
+    j = (pub_cases.where(shapes)
+         .join(tickets.select("record_key", "booking_type_id", "ticket_amt", "ob_fees_amt", "amt_percentage_diff"),
+               ["record_key", "booking_type_id"])
+         .join(comp_fares.select(*opt_k, F.col("comparison_fare_number").alias("fare_number"),
+                                 F.col("total_amount").alias("cmp_total"), "first_fare_basis",
+                                 "first_booking_class", "first_cabin_class_id",
+                                 F.col("flexibility_level").alias("cmp_flex")), opt_k + ["fare_number"])
+         .join(fares.select(*BF, "fare_number", F.col("is_lowcost").alias("fare_lowcost"),
+                            F.col("flexibility_level").alias("fare_flex")), BF + ["fare_number"])
+         .where(F.col("fare_flex") == F.col("cmp_flex")))
+    regular = F.col("fare_lowcost") != 1
+    amt = (F.col("cmp_total") * F.col("amt_percentage_diff").cast("decimal(19,4)") / F.lit(100)
+           + F.col("ob_fees_amt"))
+    return j.select("record_key", "booking_type_id",
+                    F.when(regular, amt).otherwise(F.col("ticket_amt")).cast("decimal(19,4)").alias("fare_amt_published"),
+                    F.when(regular, F.col("first_fare_basis")).alias("fare_basis_published"),
+                    F.when(regular, F.col("first_booking_class")).alias("class_published"),
+                    F.col("first_cabin_class_id").alias("cabin_class_published"))

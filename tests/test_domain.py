@@ -280,3 +280,22 @@ def test_lowest_fare_rules(spark):
                                  bf + ", comparison_option_number int, is_lowest_recommended_fare int, fare_type string, "
                                  "flexibility_level int, total_amount decimal(19,4)")
     assert [r.comparison_option_number for r in SV.published_options(opts).collect()] == [2]
+
+
+def test_published_fare(spark):
+    bf = "extract_id int, message_unique_id string, booked_fare_number int"
+    tickets = spark.createDataFrame([("R1", 1, D("200"), D("10"), 102.0), ("R2", 1, D("300"), D("10"), 100.0)],
+                                    "record_key string, booking_type_id int, ticket_amt decimal(19,4), "
+                                    "ob_fees_amt decimal(19,4), amt_percentage_diff double")
+    cases = spark.createDataFrame([("R1", 1, 1, "M1", 1, 1, 7, "OW", "OW"), ("R2", 1, 1, "M2", 1, 1, 7, "RT", "RT")],
+                                  "record_key string, booking_type_id int, extract_id int, message_unique_id string, "
+                                  "booked_fare_number int, fare_number int, comparison_option_number int, "
+                                  "booked_geometry_type string, comparison_geometry_type string")
+    comp = spark.createDataFrame([(1, "M1", 1, 7, 1, D("150"), "YBAS", "Y", 1, 2), (1, "M2", 1, 7, 1, D("150"), "YBAS", "Y", 1, 2)],
+                                 bf + ", comparison_option_number int, comparison_fare_number int, total_amount decimal(19,4), "
+                                 "first_fare_basis string, first_booking_class string, first_cabin_class_id int, flexibility_level int")
+    fares = spark.createDataFrame([(1, "M1", 1, 1, 0, 2), (1, "M2", 1, 1, 1, 2)],
+                                  bf + ", fare_number int, is_lowcost int, flexibility_level int")
+    got = {r.record_key: (float(r.fare_amt_published), r.fare_basis_published)
+           for r in SV.published_fare_rule1(tickets, cases, comp, fares).collect()}
+    assert got == {"R1": (163.0, "YBAS"), "R2": (300.0, None)}
