@@ -410,3 +410,48 @@ def credit_candidates(headers: DataFrame, lines: DataFrame, legs: DataFrame, ext
                                 "product_id", F.lit(2).alias("sales_document_type_id"),
                                 F.lit(None).cast("int").alias("booking_type_id"), F.lit(1).alias("agent_assisted"),
                                 F.col("issued_to_doc").alias("sales_document_prior"))
+
+
+# ---- D47 cabin override -----------------------------------------------------------------
+
+# fixed values: cabin of the special class codes
+SPECIAL_CLASS_CABIN = {"-B": 2, "-E": 3, "-F": 1, "-P": 5}
+# fixed values: countries whose flights to or from France count as economy
+# for the AF class rule
+AF_SHORT_HAUL = ["ALB", "AND", "ARM", "AUT", "AZE", "BLR", "BEL", "BIH", "BGR", "HRV", "CZE", "DNK",
+                 "EST", "FRO", "FIN", "GEO", "DEU", "GIB", "GRC", "HUN", "ISL", "IRL", "ITA", "LVA",
+                 "LIE", "LTU", "LUX", "MLT", "MDA", "MCO", "NLD", "NOR", "POL", "PRT", "MKD", "ROU",
+                 "RUS", "SMR", "SCG", "SVK", "SVN", "ESP", "SJM", "SWE", "CHE", "TUR", "UKR", "GBR",
+                 "MNE", "SRB", "VAT", "GRL", "CYP", "ISR", "DZA", "MAR", "TUN"]
+
+
+def cabin_class(legs: DataFrame, class_dim: DataFrame) -> DataFrame:
+    """Cabin of a leg.  Special class codes map directly; for AF a
+    domestic French leg is economy, classes A/S/W/P/F between France and a
+    listed country are economy, otherwise A/S/W premium economy and P/F
+    first; anything else comes from the class-of-service dimension
+    (airline, first class letter), default 0.  Also the stored class code
+    ('-' for the special codes) and the within-country flag."""
+    classe = X.clean("class_code_raw")
+    c1 = F.substring(classe, 1, 1)
+    cf = F.coalesce(F.col("from_country_code"), F.lit("---"))
+    ct = F.coalesce(F.col("to_country_code"), F.lit("---"))
+    domestic_fr = F.concat(cf, ct) == "FRAFRA"
+    short = ((cf == "FRA") & ct.isin(*AF_SHORT_HAUL)) | ((ct == "FRA") & cf.isin(*AF_SHORT_HAUL))
+    dim = O.first_per_key(class_dim.select("airline_code", "class_code", "cabin_class_id"),
+                          ["airline_code", "class_code"], ["cabin_class_id"])
+    d = dim.select(F.col("airline_code").alias("_al"), F.col("class_code").alias("_cc"),
+                   F.col("cabin_class_id").alias("_dim_cabin"))
+    j = legs.join(d, (F.col("airline") == d["_al"]) & (c1 == d["_cc"]), "left")
+    af = F.col("airline") == "AF"
+    cabin = (F.when(classe.isin(*SPECIAL_CLASS_CABIN), X.map_code(classe, SPECIAL_CLASS_CABIN))
+             .when(af & domestic_fr, 3)
+             .when(af & c1.isin("A", "S", "W", "P", "F") & short, 3)
+             .when(af & c1.isin("A", "S", "W") & ~domestic_fr, 5)
+             .when(af & c1.isin("P", "F") & ~domestic_fr, 1)
+             .otherwise(F.coalesce(F.col("_dim_cabin"), F.lit(0))))
+    return (j.withColumn("cabin_class_id", cabin)
+            .withColumn("class_code", F.when(classe.isin(*SPECIAL_CLASS_CABIN), F.lit("-")).otherwise(c1))
+            .withColumn("within_country", F.when(F.col("from_country_code") == F.col("to_country_code"), 1)
+                        .otherwise(0))
+            .drop("_al", "_cc", "_dim_cabin"))

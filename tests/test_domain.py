@@ -299,3 +299,14 @@ def test_published_fare(spark):
     got = {r.record_key: (float(r.fare_amt_published), r.fare_basis_published)
            for r in SV.published_fare_rule1(tickets, cases, comp, fares).collect()}
     assert got == {"R1": (163.0, "YBAS"), "R2": (300.0, None)}
+
+
+def test_cabin_class(spark):
+    legs = spark.createDataFrame([
+        (1, "-B", "XX", "DEU", "FRA"), (2, "Y", "AF", "FRA", "FRA"), (3, "A", "AF", "FRA", "DEU"),
+        (4, "A", "AF", "FRA", "USA"), (5, "F", "AF", "USA", "FRA"), (6, "Q", "AF", "USA", "FRA"),
+        (7, "J", "LH", "DEU", "USA"), (8, "Z", "LH", None, "USA")],
+        "id int, class_code_raw string, airline string, from_country_code string, to_country_code string")
+    dim = spark.createDataFrame([("LH", "J", 2), ("AF", "Q", 3)], "airline_code string, class_code string, cabin_class_id int")
+    got = {r.id: (r.cabin_class_id, r.class_code) for r in EA.cabin_class(legs, dim).collect()}
+    assert got == {1: (2, "-"), 2: (3, "Y"), 3: (3, "A"), 4: (5, "A"), 5: (1, "F"), 6: (3, "Q"), 7: (2, "J"), 8: (0, "Z")}
