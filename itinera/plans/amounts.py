@@ -88,3 +88,53 @@ def surcharges(tagged: DataFrame, lines: DataFrame) -> DataFrame:
     kept = s.join(newest, eq + ["extract_id"], "left_semi")
     return kept.groupBy("product_id", "file_name", "tag").agg(
         F.sum("yq").alias("yq_amt"), F.sum("yr").alias("yr_amt"))
+
+
+# fixed values: fare types excluded from the tax fee (company fares)
+TAX_FEE_EXCLUDED_FARE_TYPES = (101, 102, 103, 104, 105)
+
+
+def apply_amounts(fact: DataFrame, amounts: DataFrame, surcharge: DataFrame) -> DataFrame:
+    """Line amounts onto the fact; tax = other tax + tax/VAT; gross =
+    ticket; tax fee = |YQ| and |YR| of the first tag that applies — TAX or
+    KST for purchase / void / exchange (1, 4, 5), KRF for refunds (7, 8) —
+    only for ticket categories 1, 3, 10 and not company fares."""
+    k = ["product_id", "document_no", "line_no"]
+    j = fact.join(amounts, k, "inner")
+    s = surcharge.select("product_id", "file_name", "tag", "yq_amt", "yr_amt")
+    for tag in ("TAX", "KRF", "KST"):
+        t = s.where(F.col("tag") == tag).select("product_id", "file_name",
+                                                 F.col("yq_amt").alias(f"_yq_{tag}"), F.col("yr_amt").alias(f"_yr_{tag}"))
+        j = j.join(t, ["product_id", "file_name"], "left")
+    bt = F.col("booking_type_id")
+    eligible = F.col("business_category").isin(1, 3, 10) & ~F.coalesce(
+        F.col("fare_type_id").isin(*TAX_FEE_EXCLUDED_FARE_TYPES), F.lit(False))
+
+    def pick(tag, types):
+        return F.when(eligible & bt.isin(*types), F.abs(F.col(f"_yq_{tag}"))), \
+            F.when(eligible & bt.isin(*types), F.abs(F.col(f"_yr_{tag}")))
+    q1, r1 = pick("TAX", (1, 4, 5))
+    q2, r2 = pick("KRF", (7, 8))
+    q3, r3 = pick("KST", (1, 4, 5))
+    fee = F.coalesce(q1, q2, q3, F.lit(0)) + F.coalesce(r1, r2, r3, F.lit(0))
+    out = (j.withColumn("ticket_amt_tax", F.col("other_tax_amt") + F.col("ticket_amt_tax_vat"))
+           .withColumn("ticket_amt_gross", F.col("ticket_amt"))
+           .withColumn("ticket_amt_tax_fee", fee))
+    return out.drop(*[f"_{a}_{t}" for a in ("yq", "yr") for t in ("TAX", "KRF", "KST")])
+
+
+def add_exchange_origin(fact: DataFrame, origin: DataFrame) -> DataFrame:
+    """Exchanges add the original ticket's amounts (nulls count as 0)."""
+    k = ["product_id", "document_no", "line_no"]
+    j = fact.join(origin, k, "left")
+    hit = F.col("original_amt").isNotNull()
+
+    def add(col, extra):
+        return F.when(hit, F.coalesce(F.col(col), F.lit(0)) + extra).otherwise(F.col(col))
+    return (j.withColumn("ticket_amt", add("ticket_amt", F.col("original_amt")))
+            .withColumn("commission_amt", add("commission_amt", F.col("original_commission")))
+            .withColumn("ticket_amt_base", add("ticket_amt_base", F.col("original_base")))
+            .withColumn("ticket_amt_tax_vat", add("ticket_amt_tax_vat", F.col("original_vat")))
+            .withColumn("ticket_amt_tax", add("ticket_amt_tax", F.col("original_tax") + F.col("original_vat")))
+            .drop("sle_document_no", "sle_line_no", "original_amt", "original_commission", "original_base",
+                  "original_vat", "original_tax"))

@@ -310,3 +310,26 @@ def test_cabin_class(spark):
     dim = spark.createDataFrame([("LH", "J", 2), ("AF", "Q", 3)], "airline_code string, class_code string, cabin_class_id int")
     got = {r.id: (r.cabin_class_id, r.class_code) for r in EA.cabin_class(legs, dim).collect()}
     assert got == {1: (2, "-"), 2: (3, "Y"), 3: (3, "A"), 4: (5, "A"), 5: (1, "F"), 6: (3, "Q"), 7: (2, "J"), 8: (0, "Z")}
+
+
+def test_apply_amounts_and_exchange_origin(spark):
+    from itinera.plans import amounts as AM
+    fact = spark.createDataFrame([(1, "D1", 1, 1, None), (1, "D1", 2, 7, None), (1, "D1", 3, 1, 101)],
+                                 "product_id int, document_no string, line_no int, booking_type_id int, fare_type_id int")
+    amts = spark.createDataFrame([(1, "D1", n, D("100"), D("10"), D("5"), "F1", 1) for n in (1, 2, 3)],
+                                 "product_id int, document_no string, line_no int, ticket_amt decimal(19,4), "
+                                 "ticket_amt_tax_vat decimal(19,4), other_tax_amt decimal(19,4), file_name string, "
+                                 "business_category int")
+    sur = spark.createDataFrame([(1, "F1", "TAX", D("-3"), D("2")), (1, "F1", "KRF", D("7"), D("1"))],
+                                "product_id int, file_name string, tag string, yq_amt decimal(19,4), yr_amt decimal(19,4)")
+    got = {r.line_no: (float(r.ticket_amt_tax), float(r.ticket_amt_tax_fee))
+           for r in AM.apply_amounts(fact, amts, sur).collect()}
+    assert got == {1: (15.0, 5.0), 2: (15.0, 8.0), 3: (15.0, 0.0)}
+    origin = spark.createDataFrame([(1, "D1", 1, "S", 9, D("50"), D("1"), D("40"), D("4"), D("6"))],
+                                   "product_id int, document_no string, line_no int, sle_document_no string, sle_line_no int, "
+                                   "original_amt decimal(19,4), original_commission decimal(19,4), original_base decimal(19,4), "
+                                   "original_vat decimal(19,4), original_tax decimal(19,4)")
+    f2 = AM.apply_amounts(fact, amts, sur).withColumn("commission_amt", F.lit(None).cast("decimal(19,4)")) \
+        .withColumn("ticket_amt_base", F.lit(D("80")))
+    got = {r.line_no: (float(r.ticket_amt), float(r.ticket_amt_tax)) for r in AM.add_exchange_origin(f2, origin).collect()}
+    assert got == {1: (150.0, 25.0), 2: (100.0, 15.0), 3: (100.0, 15.0)}
