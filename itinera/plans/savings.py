@@ -241,3 +241,54 @@ def published_fare_rule1(tickets: DataFrame, pub_cases: DataFrame, comp_fares: D
                     F.when(regular, F.col("first_fare_basis")).alias("fare_basis_published"),
                     F.when(regular, F.col("first_booking_class")).alias("class_published"),
                     F.col("first_cabin_class_id").alias("cabin_class_published"))
+
+
+# fixed values: legacy fare type -> fare type id
+LEGACY_FARE_TYPE = {1: 1, 2: 9, 3: 10, 4: 0, 5: 2, 6: 1, 7: 1, 8: 1, 9: 1}
+# fixed values: legacy cabin letter -> cabin class id (text)
+LEGACY_CABIN = {"Y": "3", "C": "2", "F": "1", "W": "5"}
+
+
+def _cabin(col):
+    return X.map_code(F.substring(F.upper(col), 1, 1), LEGACY_CABIN, "0")
+
+
+def legacy_savings(fact: DataFrame, fare_infos: DataFrame, fields: DataFrame) -> DataFrame:
+    """Savings from the newest fare-info rows of (dossier code,
+    composite key) — all rows of the newest extract, ties kept — with prices
+    per traveller (newest numeric NB_TRAVELLER of the dossier), low fare
+    chosen (1 accepted A01, 2 other, 0 when the booked fare differs, null
+    without a low fare), fare type and cabin codes mapped."""
+    newest = O.latest_all(fare_infos, ["md_code", "composite_key"], "extract_id")
+    nb = fields.where((F.col("fld_key") == "NB_TRAVELLER") & X.is_int32_text(X.clean("fld_value"))).select(
+        F.col("metaid").alias("meta_dossier_id"), "product_id", "extract_id",
+        X.clean("fld_value").cast("int").alias("nb_traveller"))
+    nb = O.latest_lookup(nb, ["meta_dossier_id", "product_id"], ["extract_id", "nb_traveller"]).drop("extract_id")
+    f = fact.where(X.is_numeric_text("meta_dossier_id")).select(
+        "record_key", "booking_type_id", "md_code", "composite_key", "meta_dossier_id", "product_id")
+    j = f.join(newest, ["md_code", "composite_key"], "inner").join(nb, ["meta_dossier_id", "product_id"], "left")
+    has_low = F.col("low_farebasis").isNotNull()
+    def eq_text(a, b):   # text compares ignore case and trailing blanks (M3)
+        return X.clean(a, upper=True) == X.clean(b, upper=True)
+    same = ((F.col("book_price") == F.col("low_price")) & eq_text("book_airline", "low_airline")
+            & eq_text("book_farebasis", "low_farebasis") & (F.col("book_faretype") == F.col("low_faretype"))
+            & eq_text("book_cabinclass", "low_cabinclass"))
+    chosen = F.when(~has_low, F.lit(None)).when(F.coalesce(same, F.lit(False)),
+                                                 F.when(F.col("accepted_code") == "A01", 1).otherwise(2)).otherwise(0)
+    per = lambda c: F.try_divide(F.col(c), F.col("nb_traveller"))
+    nego = F.col("ref_faretype") == 2
+    return j.select(
+        "record_key", "booking_type_id",
+        F.substring(F.coalesce("refusal_code", "accepted_code"), 1, 3).alias("saving_reason_code"),
+        chosen.alias("low_fare_chosen"), per("low_price").alias("low_price"),
+        F.substring("low_airline", 1, 3).alias("low_airline"),
+        F.substring(F.upper("low_farebasis"), 1, 15).alias("low_farebasis"),
+        F.substring(F.upper("low_farebasis"), 1, 1).alias("low_class_of_service"),
+        F.when(has_low, X.map_code("low_faretype", LEGACY_FARE_TYPE, 0)).alias("low_fare_type_id"),
+        F.when(has_low, _cabin(F.col("low_cabinclass"))).alias("low_cabin_class"),
+        per("iata_price").alias("iata_price"),
+        F.substring(F.upper("iata_farebasis"), 1, 15).alias("iata_farebasis"),
+        F.when(F.col("iata_farebasis").isNotNull(), _cabin(F.col("iata_cabinclass"))).alias("iata_cabin_class"),
+        F.when(nego, per("ref_price")).alias("nego_price"),
+        F.when(nego, F.substring(F.upper("ref_farebasis"), 1, 15)).alias("nego_farebasis"),
+        F.when(nego, _cabin(F.col("ref_cabinclass"))).alias("nego_cabin_class"))

@@ -333,3 +333,29 @@ def test_apply_amounts_and_exchange_origin(spark):
         .withColumn("ticket_amt_base", F.lit(D("80")))
     got = {r.line_no: (float(r.ticket_amt), float(r.ticket_amt_tax)) for r in AM.add_exchange_origin(f2, origin).collect()}
     assert got == {1: (150.0, 25.0), 2: (100.0, 15.0), 3: (100.0, 15.0)}
+
+
+def test_legacy_savings(spark):
+    fact = spark.createDataFrame([("R1", 1, 42, "A-B", "42", 1), ("R2", 1, 43, "A-C", "x", 1)],
+                                 "record_key string, booking_type_id int, md_code int, composite_key string, "
+                                 "meta_dossier_id string, product_id int")
+    cols = ("md_code int, composite_key string, extract_id int, refusal_code string, accepted_code string, "
+            "book_price decimal(19,4), low_price decimal(19,4), book_airline string, low_airline string, "
+            "book_farebasis string, low_farebasis string, book_faretype int, low_faretype int, book_cabinclass string, "
+            "low_cabinclass string, iata_price decimal(19,4), iata_farebasis string, iata_cabinclass string, "
+            "ref_faretype int, ref_price decimal(19,4), ref_farebasis string, ref_cabinclass string")
+    fi = spark.createDataFrame([
+        (42, "A-B", 1, None, "A01", D("1"), D("1"), "AF", "AF", "Y", "Y", 1, 1, "Y", "Y", D("1"), "y", "Y", 1, D("1"), "n", "Y"),
+        (42, "A-B", 2, None, "A01X", D("200"), D("200"), "AF", "AF", "YOW", "yow", 2, 2, "Y", "Y", D("300"), "yflex", "C",
+         2, D("250"), "nego", "W"),
+        (43, "A-C", 2, None, "A01", D("1"), D("1"), "AF", "AF", "Y", "Y", 1, 1, "Y", "Y", D("1"), "y", "Y", 1, D("1"), "n", "Y")],
+        cols)
+    fields = spark.createDataFrame([("42", 1, 1, "NB_TRAVELLER", "2"), ("42", 1, 2, "NB_TRAVELLER", "x")],
+                                   "metaid string, product_id int, extract_id int, fld_key string, fld_value string")
+    r = SV.legacy_savings(fact, fi, fields).collect()
+    assert len(r) == 1 and r[0].record_key == "R1"
+    x = r[0]
+    assert (x.saving_reason_code, x.low_fare_chosen, float(x.low_price), x.low_farebasis, x.low_fare_type_id) == \
+        ("A01", 2, 100.0, "YOW", 9)   # same fare ignoring case; acceptance code is not A01
+    assert (x.low_cabin_class, float(x.iata_price), x.iata_cabin_class, float(x.nego_price), x.nego_cabin_class) == \
+        ("3", 150.0, "2", 125.0, "5")
