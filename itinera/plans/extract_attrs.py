@@ -97,3 +97,52 @@ def storage_currency(fact: DataFrame, travel_product: DataFrame) -> DataFrame:
     t = travel_product.select("product_id", F.col("currency_code_storage").alias("currency_code"))
     return fact.drop("currency_code").join(t, "product_id", "inner") if "currency_code" in fact.columns \
         else fact.join(t, "product_id", "inner")
+
+
+# fixed values: ERP card type -> card type id (unmatched -> 254 other)
+CARD_TYPE_MAP = {0: 0, 1: 1, 2: 11, 3: 2, 4: 4, 5: 3, 6: 8, 7: 8, 8: 254, 9: 254, 10: 254, 11: 254,
+                 12: 5, 13: 12, 14: 100}
+CARD_OTHER = 254
+
+
+def payment_card(fact: DataFrame, headers: DataFrame, sales_lines: DataFrame, cards: DataFrame,
+                 card_history: DataFrame, payment_data: DataFrame) -> DataFrame:
+    """The card of each line — for tokenised lines (RTU 1) the newest
+    card of the token and customer, else its newest history entry; for
+    other lines the newest payment-data entry of the card reference and
+    document.  Card type mapped (unknown 254); for known types the first 6
+    and last 4 digits and the central-bill flag from the sharing type."""
+    h = headers.select("extract_id", "product_id", F.col("no").alias("document_no"), "sell_to_customer_no")
+    cc = (fact.select("extract_id", "product_id", "document_no", "line_no")
+          .join(h, ["extract_id", "product_id", "document_no"], "inner")
+          .join(sales_lines.select(*KEY_SL, "rtu", "card_number", "card_reference"), KEY_SL, "inner"))
+
+    def newest(df, keys, prefix):
+        cols = ["card_no_1", "card_no_2", "card_no_3", "card_no_4", "card_type", "sharing_type"]
+        n = O.latest_lookup(df.select(*keys, "extract_id", *cols), keys, ["extract_id"]).drop("extract_id")
+        return n.select(*keys, F.concat(*[F.col(c) for c in cols[:4]]).alias(f"{prefix}_num"),
+                        F.col("card_type").alias(f"{prefix}_type"), F.col("sharing_type").alias(f"{prefix}_share"))
+    tok = ["product_id", "customer_no", "token"]
+    pc = newest(cards, tok, "pc")
+    pch = newest(card_history, tok, "pch")
+    pdh = newest(payment_data, ["product_id", "customer_no", "card_reference", "no"], "pdh")
+    j = (cc.join(pc, (cc["product_id"] == pc["product_id"]) & (cc["sell_to_customer_no"] == pc["customer_no"])
+                 & (cc["card_number"] == pc["token"]), "left").drop(pc["product_id"]).drop("customer_no", "token")
+         .join(pch, (cc["product_id"] == pch["product_id"]) & (cc["sell_to_customer_no"] == pch["customer_no"])
+               & (cc["card_number"] == pch["token"]), "left").drop(pch["product_id"]).drop("customer_no", "token")
+         .join(pdh, (cc["product_id"] == pdh["product_id"]) & (cc["sell_to_customer_no"] == pdh["customer_no"])
+               & (cc["card_reference"] == pdh["card_reference"]) & (cc["document_no"] == pdh["no"]), "left")
+         .drop(pdh["product_id"]).drop(pdh["card_reference"]).drop("customer_no", "no"))
+    rtu = F.col("rtu")
+    use_pc = F.coalesce(F.col("pc_num"), F.lit("")) != ""
+    num = F.when(rtu == 1, F.when(use_pc, F.col("pc_num")).otherwise(F.col("pch_num"))) \
+        .when(rtu == 0, F.col("pdh_num"))
+    ctype = F.when(rtu == 1, F.coalesce("pc_type", "pch_type")).when(rtu == 0, F.col("pdh_type"))
+    share = F.when(rtu == 1, F.coalesce("pc_share", "pch_share")).when(rtu == 0, F.col("pdh_share"))
+    type_id = X.map_code(ctype, CARD_TYPE_MAP, CARD_OTHER)
+    known = type_id != CARD_OTHER
+    out = j.select(*KEY_SL, type_id.alias("credit_card_type_id"),
+                   F.when(known, F.left(num, F.lit(6))).alias("card_first6"),
+                   F.when(known, F.right(num, F.lit(4))).alias("card_last4"),
+                   F.when(known, F.when(share == 1, 1).when(share == 2, 0)).alias("central_bill"))
+    return fact.join(out, KEY_SL, "left")

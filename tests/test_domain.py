@@ -359,3 +359,28 @@ def test_legacy_savings(spark):
         ("A01", 2, 100.0, "YOW", 9)   # same fare ignoring case; acceptance code is not A01
     assert (x.low_cabin_class, float(x.iata_price), x.iata_cabin_class, float(x.nego_price), x.nego_cabin_class) == \
         ("3", 150.0, "2", 125.0, "5")
+
+
+def test_payment_card(spark):
+    from itinera.plans import extract_attrs as XA
+    fact = spark.createDataFrame([(1, 1, "D1", 1), (1, 1, "D1", 2), (1, 1, "D2", 1)],
+                                 "extract_id int, product_id int, document_no string, line_no int")
+    hdr = spark.createDataFrame([(1, 1, "D1", "C9"), (1, 1, "D2", "C9")],
+                                "extract_id int, product_id int, no string, sell_to_customer_no string")
+    sl = spark.createDataFrame([(1, 1, "D1", 1, 1, "TOK1", None), (1, 1, "D1", 2, 1, "TOK2", None),
+                                (1, 1, "D2", 1, 0, None, "REF")],
+                               "extract_id int, product_id int, document_no string, line_no int, rtu int, "
+                               "card_number string, card_reference string")
+    cc = "product_id int, customer_no string, token string, extract_id int, card_no_1 string, card_no_2 string, " \
+         "card_no_3 string, card_no_4 string, card_type int, sharing_type int"
+    cards = spark.createDataFrame([(1, "C9", "TOK1", 1, "4111", "1111", "2222", "3333", 0, 1),
+                                   (1, "C9", "TOK1", 2, "4999", "1111", "2222", "4444", 0, 2)], cc)
+    hist = spark.createDataFrame([(1, "C9", "TOK2", 1, "5500", "0000", "0000", "0004", 9, 1)], cc)
+    pdata = spark.createDataFrame([(1, "C9", "REF", "D2", 1, "3700", "0000", "0000", "0002", 3, None)],
+                                  "product_id int, customer_no string, card_reference string, no string, extract_id int, "
+                                  "card_no_1 string, card_no_2 string, card_no_3 string, card_no_4 string, card_type int, "
+                                  "sharing_type int")
+    got = {(r.document_no, r.line_no): (r.credit_card_type_id, r.card_first6, r.card_last4, r.central_bill)
+           for r in XA.payment_card(fact, hdr, sl, cards, hist, pdata).collect()}
+    assert got == {("D1", 1): (0, "499911", "4444", 0), ("D1", 2): (254, None, None, None),
+                   ("D2", 1): (2, "370000", "0002", None)}
