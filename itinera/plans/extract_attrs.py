@@ -146,3 +146,50 @@ def payment_card(fact: DataFrame, headers: DataFrame, sales_lines: DataFrame, ca
                    F.when(known, F.right(num, F.lit(4))).alias("card_last4"),
                    F.when(known, F.when(share == 1, 1).when(share == 2, 0)).alias("central_bill"))
     return fact.join(out, KEY_SL, "left")
+
+
+def approval_info(fact: DataFrame, fields: DataFrame, date_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """Approval date (valid date text), approver (numeric) and comment
+    (non-empty) of the dossier.  The source joins the key-value rows
+    without an order (M1); here the newest extract wins, then the value."""
+    d = _latest_field(fields, "APPROVAL_DATE",
+                      F.try_to_timestamp(X.clean("fld_value"), F.lit(date_format)).isNotNull())
+    a = _latest_field(fields, "APPROVER_PERCODE", X.is_int32_text(X.clean("fld_value")))
+    c = _latest_field(fields, "APPROVER_COMMENT", F.col("fld_value") != "")
+    k = ["meta_dossier_id", "product_id"]
+    return (fact.join(d.select(*k, F.try_to_timestamp(X.clean("fld_value"), F.lit(date_format))
+                               .cast("timestamp_ntz").alias("approval_date")), k, "left")
+            .join(a.select(*k, X.clean("fld_value").cast("int").alias("approver_id")), k, "left")
+            .join(c.select(*k, F.col("fld_value").alias("approval_txt")), k, "left"))
+
+
+POLICY_SWITCH = "2014-03-25"
+
+
+def policy_info(fact: DataFrame, reasons: DataFrame, fields: DataFrame) -> DataFrame:
+    """Exchanges get reason and status 0.  Others: reason = newest
+    numeric out-of-policy reason of the dossier whose locator list contains
+    the ticket's locator (air / low-cost services); status from the newest
+    ISCOMPLIANT field (matching the locator from 2014-03-25 on): True 1,
+    False 2, else 0."""
+    fk = ["record_key", "booking_type_id"]
+    r = reasons.where((F.col("reason_type") == "WHY_CHOSEN_AS_OOP_ID") & F.col("service_type_id").isin(1, 6)
+                      & X.is_int32_text(X.clean("reasons_txt")))
+    f = fact.select(*fk, "meta_dossier_id", "pnr_code")
+    pairs = O.contains_join(f, r, [("meta_dossier_id", "md_code")], F.col("pnr"), F.col("pnr_code"))
+    best_r = O.latest_lookup(pairs.select(*fk, "extract_id", X.clean("reasons_txt").cast("int").alias("reason")),
+                             fk, ["extract_id", "reason"]).drop("extract_id")
+    comp = fields.where(F.col("fld_key") == "ISCOMPLIANT")
+    fc = (fact.select(*fk, "meta_dossier_id", "product_id", "pnr_code")
+          .join(comp.select(F.col("metaid").alias("meta_dossier_id"), "product_id", "extract_id", "fld_value",
+                            "date_insert", "ref"), ["meta_dossier_id", "product_id"], "inner")
+          .where(((F.col("date_insert") >= F.lit(POLICY_SWITCH)) & (F.col("ref") == F.col("pnr_code")))
+                 | (F.col("date_insert") < F.lit(POLICY_SWITCH))))
+    best_s = O.latest_lookup(fc.select(*fk, "extract_id", "fld_value"), fk, ["extract_id", "fld_value"]) \
+        .drop("extract_id")
+    j = fact.join(best_r, fk, "left").join(best_s, fk, "left")
+    ex = F.col("booking_type_id") == X.BT_EXCHANGE
+    status = F.when(F.col("fld_value") == "True", 1).when(F.col("fld_value") == "False", 2).otherwise(0)
+    return (j.withColumn("policy_reason_code_id", F.when(ex, F.lit(0)).otherwise(F.col("reason")))
+            .withColumn("policy_status_id", F.when(ex, F.lit(0)).otherwise(status))
+            .drop("reason", "fld_value"))

@@ -384,3 +384,28 @@ def test_payment_card(spark):
            for r in XA.payment_card(fact, hdr, sl, cards, hist, pdata).collect()}
     assert got == {("D1", 1): (0, "499911", "4444", 0), ("D1", 2): (254, None, None, None),
                    ("D2", 1): (2, "370000", "0002", None)}
+
+
+def test_approval_and_policy(spark):
+    from itinera.plans import extract_attrs as XA
+    fact = spark.createDataFrame([("R1", 1, "M1", 1, "PNR1"), ("R2", 5, "M1", 1, "PNR1"), ("R3", 1, "M2", 1, "PNR9")],
+                                 "record_key string, booking_type_id int, meta_dossier_id string, product_id int, pnr_code string")
+    fields = spark.createDataFrame([
+        ("M1", 1, 1, "APPROVAL_DATE", "2024-01-02 03:04:05", T(2024, 1, 1), None),
+        ("M1", 1, 2, "APPROVAL_DATE", "not a date", T(2024, 1, 1), None),
+        ("M1", 1, 1, "APPROVER_PERCODE", "77", T(2024, 1, 1), None),
+        ("M1", 1, 1, "APPROVER_COMMENT", "", T(2024, 1, 1), None),
+        ("M1", 1, 1, "ISCOMPLIANT", "False", T(2024, 1, 1), "PNR1"),
+        ("M1", 1, 2, "ISCOMPLIANT", "True", T(2024, 1, 1), "OTHER"),
+        ("M2", 1, 1, "ISCOMPLIANT", "True", T(2013, 1, 1), None)],
+        "metaid string, product_id int, extract_id int, fld_key string, fld_value string, date_insert timestamp_ntz, ref string")
+    a = {r.record_key: (r.approval_date, r.approver_id, r.approval_txt)
+         for r in XA.approval_info(fact, fields).collect()}
+    assert a["R1"] == (T(2024, 1, 2, 3, 4, 5), 77, None) and a["R3"] == (None, None, None)
+    reasons = spark.createDataFrame([("M1", "X PNR1 Y", 1, "WHY_CHOSEN_AS_OOP_ID", 1, "12"),
+                                     ("M1", "PNR1", 2, "WHY_CHOSEN_AS_OOP_ID", 1, "x"),
+                                     ("M1", "PNR2", 3, "WHY_CHOSEN_AS_OOP_ID", 1, "99")],
+                                    "md_code string, pnr string, extract_id int, reason_type string, service_type_id int, reasons_txt string")
+    p = {r.record_key: (r.policy_reason_code_id, r.policy_status_id)
+         for r in XA.policy_info(fact, reasons, fields).collect()}
+    assert p == {"R1": (12, 2), "R2": (0, 0), "R3": (None, 1)}
