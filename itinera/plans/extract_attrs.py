@@ -193,3 +193,74 @@ def policy_info(fact: DataFrame, reasons: DataFrame, fields: DataFrame) -> DataF
     return (j.withColumn("policy_reason_code_id", F.when(ex, F.lit(0)).otherwise(F.col("reason")))
             .withColumn("policy_status_id", F.when(ex, F.lit(0)).otherwise(status))
             .drop("reason", "fld_value"))
+
+
+def _newest_tag(tagged: DataFrame, tag: str) -> DataFrame:
+    t = tagged.where(F.col("tag") == tag).select(
+        "product_id", "file_name", F.col("code_pnr").alias("pnr_code"), "extract_id", "text1")
+    return O.latest_lookup(t, ["product_id", "file_name", "pnr_code"], ["extract_id", "text1"]).drop("extract_id")
+
+
+def flatten_sales_line(fact: DataFrame, sales_lines: DataFrame, tagged: DataFrame) -> DataFrame:
+    """Ticket attributes from the ERP line: traveller, locator, airline
+    ('YY' when missing or longer than 2), ticket codes, e-ticket type and
+    refusal, group flag, issue date (posting date when missing or a 1753 /
+    1900 placeholder) plus the line's increment seconds, booking source
+    (low-cost 4 else 3), increment count, tour code (newest FT line: text
+    before the first ';', from its 3rd character) and pricing entry
+    (newest Q- line: text after the last ';', blanks removed, 'UU' -> 'U',
+    100 characters)."""
+    l = sales_lines.select(
+        *KEY_SL, "traveller_code", "id_1", "id_2", "corporation", "ticket", "original_ticket", "e_ticket",
+        "e_ticket_refused", "group", "issued_date", "posting_date", "increment_order", "meta_id", "ect_error",
+        "rtu", "service_group", "amount_incl_vat", "public_price")
+    j = fact.join(l, KEY_SL, "inner").withColumn("pnr_code", X.clean("id_2")).withColumn(
+        "file_name", F.col("id_1"))
+    issued = F.when(F.col("issued_date").isNull() | F.year("issued_date").isin(1753, 1900),
+                    F.col("posting_date")).otherwise(F.col("issued_date"))
+    bt = F.col("booking_type_id")
+    incr = (F.when(bt == X.BT_PURCHASE, F.when(F.col("amount_incl_vat") + F.col("public_price") == 0, 0).otherwise(1))
+            .when(bt.isin(X.BT_EXCHANGE, X.BT_PARTIAL_REFUND), 0)
+            .when(bt.isin(X.BT_VOID, X.BT_REFUND), -1))
+    ft = _newest_tag(tagged, "FT").withColumnRenamed("text1", "_ft")
+    qp = _newest_tag(tagged, "Q-").withColumnRenamed("text1", "_q")
+    j = j.join(ft, ["product_id", "file_name", "pnr_code"], "left").join(
+        qp, ["product_id", "file_name", "pnr_code"], "left")
+    head = F.when(F.instr("_ft", ";") > 0, F.substring_index("_ft", ";", 1)).otherwise(F.substring("_ft", 1, 150))
+    tail = F.when(F.instr("_q", ";") > 0, F.substring_index("_q", ";", -1)).otherwise(F.right("_q", F.lit(150)))
+    pricing = F.substring(F.regexp_replace(F.regexp_replace(tail, " ", ""), "UU", "U"), 1, 100)
+    corp = F.col("corporation")
+    return j.select(
+        *fact.columns,
+        F.lit(2).alias("customer_system_id"), F.col("traveller_code").alias("traveler_code"), "pnr_code",
+        F.when(F.length(corp) > 2, F.lit("YY")).otherwise(F.coalesce(corp, F.lit("YY"))).alias("airline_code"),
+        X.clean("ticket").alias("ticket_code"), F.col("original_ticket").alias("ticket_code_prior"),
+        F.when(F.col("e_ticket") == 1, 2).otherwise(1).alias("ticket_type_id"),
+        F.when((F.col("e_ticket") != 1) & (F.col("e_ticket_refused") == 1), 1).otherwise(0).alias("e_ticket_refused"),
+        F.when(F.col("group") == 1, 1).otherwise(0).alias("group_ticket"),
+        (issued + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.coalesce("increment_order", F.lit(0))))
+        .alias("issue_date"),
+        F.col("meta_id").alias("meta_dossier_id"), F.col("ect_error").alias("agent_error"),
+        F.coalesce("rtu", F.lit(0)).alias("direct_payment"),
+        F.when(F.col("service_group") == 6, 4).otherwise(3).alias("booking_source_id"),
+        F.lit(1).alias("transaction_cnt"), incr.alias("increment_cnt"),
+        F.substring(head, 3, 150).alias("tour_code"), pricing.alias("pricing_entry"),
+        F.when(F.col("service_group") == 6, 1).otherwise(0).alias("low_cost"))
+
+
+def service_fee_flag(fact: DataFrame, sales_lines: DataFrame, remarks: DataFrame,
+                     agent_logins: DataFrame) -> DataFrame:
+    """A line whose file (air, not low-cost, primary, type 3) carries an
+    IFD remark (rank 1 of ``parse_remarks``) is a service-fee sale; the
+    remark's login names the consultant (unknown login -> null)."""
+    files = sales_lines.where((F.col("service_group") == 1) & (F.col("crs") != "LOWCOST")
+                              & (F.col("resource_type") == 0) & (F.col("id_1") != "") & (F.col("type") == 3)) \
+        .select(*KEY_SL, F.col("id_1").alias("file_name"))
+    logins = O.first_per_key(agent_logins.select(F.upper(X.clean("login")).alias("_login"),
+                                                 F.col("id").alias("consultant_id")), ["_login"], ["consultant_id"])
+    rem = remarks.select("extract_id", "file_name", "remark_rank", F.upper(X.clean("login")).alias("_login")) \
+        .join(logins, "_login", "left")
+    j = fact.join(files, KEY_SL, "left").join(rem, ["extract_id", "file_name"], "left")
+    return (j.withColumn("fsf", F.when(F.col("remark_rank") == 1, 1).otherwise(0))
+            .withColumn("fsf_consultant_id", F.when(F.col("remark_rank") == 1, F.col("consultant_id")))
+            .drop("file_name", "remark_rank", "_login", "consultant_id"))

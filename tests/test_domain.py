@@ -409,3 +409,45 @@ def test_approval_and_policy(spark):
     p = {r.record_key: (r.policy_reason_code_id, r.policy_status_id)
          for r in XA.policy_info(fact, reasons, fields).collect()}
     assert p == {"R1": (12, 2), "R2": (0, 0), "R3": (None, 1)}
+
+
+def test_flatten_sales_line(spark):
+    from itinera.plans import extract_attrs as XA
+    fact = spark.createDataFrame([(1, 1, "D1", 1, 1), (1, 1, "D1", 2, 7)],
+                                 "extract_id int, product_id int, document_no string, line_no int, booking_type_id int")
+    sl = spark.createDataFrame([
+        (1, 1, "D1", 1, "TR1", "F1", " PNR1 ", "AFX", " T1 ", "T0", 1, 0, 0, T(1900, 1, 1), T(2024, 2, 1), 5, "M1", 0, None,
+         6, D("0"), D("0")),
+        (1, 1, "D1", 2, "TR1", "F1", "PNR1", None, "T2", None, 0, 1, 1, T(2024, 1, 5), T(2024, 2, 1), 0, "M1", 1, 1,
+         1, D("-10"), D("0"))],
+        "extract_id int, product_id int, document_no string, line_no int, traveller_code string, id_1 string, id_2 string, "
+        "corporation string, ticket string, original_ticket string, e_ticket int, e_ticket_refused int, group int, "
+        "issued_date timestamp_ntz, posting_date timestamp_ntz, increment_order int, meta_id string, ect_error int, rtu int, "
+        "service_group int, amount_incl_vat decimal(19,4), public_price decimal(19,4)")
+    tagged = spark.createDataFrame([(1, "F1", "PNR1", 1, "FT", "FTTOUR1;rest"), (1, "F1", "PNR1", 2, "FT", "FTTOUR2"),
+                                    (1, "F1", "PNR1", 1, "Q-", "x;FARE UU CALC")],
+                                   "product_id int, file_name string, code_pnr string, extract_id int, tag string, text1 string")
+    r = {x.line_no: x for x in XA.flatten_sales_line(fact, sl, tagged).collect()}
+    a, b = r[1], r[2]
+    assert (a.airline_code, a.pnr_code, a.ticket_code, a.ticket_type_id, a.issue_date) == \
+        ("YY", "PNR1", "T1", 2, T(2024, 2, 1, 0, 0, 5))
+    assert (a.increment_cnt, a.booking_source_id, a.low_cost, a.tour_code, a.pricing_entry) == (0, 4, 1, "TOUR2", "FAREUCALC")
+    assert (b.airline_code, b.ticket_type_id, b.e_ticket_refused, b.group_ticket, b.increment_cnt, b.direct_payment) == \
+        ("YY", 1, 1, 1, -1, 1)
+
+
+def test_remarks_and_service_fee(spark):
+    from itinera.plans import extract_attrs as XA
+    tagged = spark.createDataFrame([(1, "F1", 1, "RM MICE ok"), (1, "F1", 2, "RM IFD 12,50 jdoe"),
+                                    (1, "F2", 1, "RM AO x bob")],
+                                   "extract_id int, file_name string, line_id int, text1 string")
+    rem = EA.parse_remarks(tagged, [("IFD", 1), ("AO", 3), ("MICE", 4)])
+    got = {r.file_name: (r.remark_rank, r.login, r.amount) for r in rem.collect()}
+    assert got["F1"] == (1, "jdoe", D("12.5000")) and got["F2"][0:2] == (3, "bob")
+    fact = spark.createDataFrame([(1, 1, "D1", 1), (1, 1, "D2", 1)], "extract_id int, product_id int, document_no string, line_no int")
+    sl = spark.createDataFrame([(1, 1, "D1", 1, 1, "1A", 0, "F1", 3), (1, 1, "D2", 1, 1, "1A", 0, "F2", 3)],
+                               "extract_id int, product_id int, document_no string, line_no int, service_group int, crs string, "
+                               "resource_type int, id_1 string, type int")
+    logins = spark.createDataFrame([("JDOE", 501)], "login string, id int")
+    got = {r.document_no: (r.fsf, r.fsf_consultant_id) for r in XA.service_fee_flag(fact, sl, rem, logins).collect()}
+    assert got == {"D1": (1, 501), "D2": (0, None)}
