@@ -455,3 +455,35 @@ def cabin_class(legs: DataFrame, class_dim: DataFrame) -> DataFrame:
             .withColumn("within_country", F.when(F.col("from_country_code") == F.col("to_country_code"), 1)
                         .otherwise(0))
             .drop("_al", "_cc", "_dim_cabin"))
+
+
+# ---- D8 / D43 seeds --------------------------------------------------------------------------
+
+UNKNOWN_BOOKING_TYPE = 199
+
+
+def write_seeds(working: DataFrame, path: str | None = None) -> DataFrame:
+    """The classified working rows become fact seeds (null booking type
+    -> 199, status 0).  With ``path`` the extract's partition is replaced
+    (a re-run does not append twice, M8)."""
+    out = working.select(
+        "extract_id", "document_no", "line_no", "sales_document_type_id",
+        F.coalesce(F.col("booking_type_id"), F.lit(UNKNOWN_BOOKING_TYPE)).alias("booking_type_id"),
+        "product_id", "record_key",
+        *[F.col(c) for c in ("record_key_prior", "record_key_original", "sales_document_prior", "ticket",
+                             "original_ticket", "agent_assisted") if c in working.columns],
+        F.lit(0).alias("record_status_id"))
+    if path:
+        from itinera.sources import replace_slice
+        replace_slice(out, path, ["extract_id"])
+    return out
+
+
+def segment_seeds(fact: DataFrame, legs: DataFrame) -> DataFrame:
+    """The travel legs of the loaded tickets (same extract, product,
+    document and ticket), each with its ticket's record key and booking
+    type, so segments inherit the classification of the fact."""
+    f = fact.select("extract_id", "product_id", "document_no", F.col("ticket").alias("ticket_no"),
+                    "record_key", "booking_type_id", "line_no").dropDuplicates(
+        ["extract_id", "product_id", "document_no", "ticket_no", "record_key", "booking_type_id"])
+    return legs.join(f.drop("line_no"), ["extract_id", "product_id", "document_no", "ticket_no"], "inner")

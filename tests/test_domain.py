@@ -451,3 +451,20 @@ def test_remarks_and_service_fee(spark):
     logins = spark.createDataFrame([("JDOE", 501)], "login string, id int")
     got = {r.document_no: (r.fsf, r.fsf_consultant_id) for r in XA.service_fee_flag(fact, sl, rem, logins).collect()}
     assert got == {"D1": (1, 501), "D2": (0, None)}
+
+
+def test_seeds(spark, tmp_path):
+    w = spark.createDataFrame([(1, "D1", 1, 1, None, 10, "D1-1"), (1, "D1", 2, 2, 7, 10, "D1-2")],
+                              "extract_id int, document_no string, line_no int, sales_document_type_id int, "
+                              "booking_type_id int, product_id int, record_key string")
+    path = str(tmp_path / "seeds")
+    EA.write_seeds(w, path)
+    EA.write_seeds(w, path)
+    got = sorted((r.record_key, r.booking_type_id) for r in spark.read.parquet(path).collect())
+    assert got == [("D1-1", 199), ("D1-2", 7)]
+    fact = spark.createDataFrame([(1, 10, "D1", "T1", "D1-1", 1, 1)],
+                                 "extract_id int, product_id int, document_no string, ticket string, record_key string, "
+                                 "booking_type_id int, line_no int")
+    legs = spark.createDataFrame([(1, 10, "D1", "T1", 1), (1, 10, "D1", "T1", 2), (1, 10, "D1", "T9", 1)],
+                                 "extract_id int, product_id int, document_no string, ticket_no string, leg_no int")
+    assert sorted(r.leg_no for r in EA.segment_seeds(fact, legs).collect()) == [1, 2]
