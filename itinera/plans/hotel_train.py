@@ -39,11 +39,11 @@ def expand_hotel(fact: DataFrame, stage: DataFrame, travel_product: DataFrame,
 
 
 def hotel_brand_chain(fact: DataFrame, sku_brand: DataFrame, extracts: DataFrame,
-                      brand_chain: DataFrame) -> DataFrame:
+                      brand_chain: DataFrame, catalog_source: str = "hotel_catalog") -> DataFrame:
     """Brand from the newest complete catalogue extract (rank-1 brand,
     newest update per hotel); default 0 for some sources else -10000; chain
     by the brand's effective dates on the check-in date, default 0."""
-    newest = latest_extract(extracts.where(F.col("source") == "LodgingCatalog"), "source", "extract_id",
+    newest = latest_extract(extracts.where(F.col("source") == catalog_source), "source", "extract_id",
                             complete_col="complete")
     cat = sku_brand.where(F.col("brand_use_rank") == 1).join(
         newest.select(F.col("extract_id").alias("extract_id_max")), "extract_id_max", "left_semi")
