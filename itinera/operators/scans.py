@@ -186,8 +186,12 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     carry = (targets.unionByName(summ)
              .withColumn("_c", F.last("_e", ignorenulls=True).over(wb))
              .where("_f = 0").select(*keys, "_b", "_c"))
-    res = (u.where("_side = 1").join(carry, keys + ["_b"], "inner")
-           .withColumn(out, F.coalesce(F.col("_loc"), F.col("_c"))))
+    lrows = u.where("_side = 1")
+    cr = carry.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col("_b").alias("_cb"), "_c")
+    cond = lrows["_b"] == cr["_cb"]
+    for k in keys:   # null-safe: a left row with a null key is kept (it matches nothing)
+        cond = cond & lrows[k].eqNullSafe(cr[f"_ck_{k}"])
+    res = lrows.join(cr, cond, "left").withColumn(out, F.coalesce(F.col("_loc"), F.col("_c")))
     return res.select(*lcols, out)
 
 

@@ -78,6 +78,16 @@ def test_asof_matches_brute_force(spark):
     assert got == sorted(exp, key=lambda x: (x[0], x[1] if x[1] is not None else -1))
 
 
+def test_asof_keeps_null_keys(spark):
+    t = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, 1, t), (2, None, t)], "id int, k int, ts timestamp_ntz")
+    right = spark.createDataFrame([(1, t, 9), (None, t, 8)], "k int, rts timestamp_ntz, v int")
+    for b in (None, O.time_bucket(3600)):
+        got = sorted((r.id, r.m.v if r.m else None)
+                     for r in O.asof_join(left, right, ["k"], "ts", "rts", ["v"], out="m", bucket=b).collect())
+        assert got == [(1, 9), (2, None)]
+
+
 def test_split_by_gap(spark):
     t = dt.datetime(2024, 1, 1)
     h = dt.timedelta(hours=1)
