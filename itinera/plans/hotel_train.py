@@ -194,3 +194,17 @@ def parse_route_text(df: DataFrame, excluded_prefixes=("FR", "ES")) -> DataFrame
     return (df.withColumn("route_from", F.when(keep & (F.size(parts) >= 2), X.clean(parts.getItem(0))))
             .withColumn("route_to", F.when(keep & (F.size(parts) >= 2),
                                            X.clean(F.element_at(parts, -1)))))
+
+
+def train_policy_backfill(fact: DataFrame, reasons: DataFrame) -> DataFrame:
+    """D26 (train): non-compliant tickets without a reason take the newest
+    numeric rail out-of-policy reason of the dossier and locator."""
+    r = reasons.where((F.col("reason_type") == "WHY_CHOSEN_AS_OOP_ID") & (F.col("service_type_id") == 2)
+                      & X.is_int32_text(X.clean("reasons_txt"))).select(
+        F.col("md_code").alias("meta_dossier_id"), F.col("pnr").alias("pnr_code"), "extract_id",
+        X.clean("reasons_txt").cast("int").alias("_reason"))
+    newest = O.latest_lookup(r, ["meta_dossier_id", "pnr_code"], ["extract_id", "_reason"]).drop("extract_id")
+    j = fact.join(newest, ["meta_dossier_id", "pnr_code"], "left")
+    fill = (F.col("policy_status_id") == 2) & F.col("policy_reason_code_id").isNull()
+    return j.withColumn("policy_reason_code_id",
+                        F.when(fill, F.col("_reason")).otherwise(F.col("policy_reason_code_id"))).drop("_reason")

@@ -141,4 +141,18 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
     flights = EA.build_flights(segs, t["geography_priority"])
     routes = EA.route_text(segs)
     rollups = EA.ticket_rollups(segs)
-    return {"fact": fact, "segments": segs, "flights": flights, "routes": routes, "rollups": rollups}
+    out = {"fact": fact, "segments": segs, "flights": flights, "routes": routes, "rollups": rollups}
+    if "tagged_text" in t:
+        # amounts: line amounts, YQ/YR surcharges, tax fee, refund signs
+        from itinera.plans import amounts as AM
+        lines = inv.unionByName(cr, allowMissingColumns=True)
+        la = AM.line_amounts(lines)
+        sur = AM.surcharges(t["tagged_text"].where(F.col("extract_id") == F.lit(extract_id)), la)
+        f = fact.withColumn("fare_type_id", F.lit(None).cast("int")) if "fare_type_id" not in fact.columns else fact
+        amt = AM.apply_amounts(f.drop("amount", "amount_incl_vat", "business_category", "business_sub_category",
+                                      "public_price", "airport_tax", "commission_excl_vat", "ob_fees_amt",
+                                      "markup_total", "markup_gds", "markup_pub", "id_1", "crs"),
+                               la, sur)
+        out["amounts"] = EA.sign_refunds(amt, ["ticket_amt", "ticket_amt_base", "ticket_amt_tax",
+                                               "ticket_amt_tax_vat", "ticket_amt_gross"])
+    return out

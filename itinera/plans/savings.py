@@ -292,3 +292,47 @@ def legacy_savings(fact: DataFrame, fare_infos: DataFrame, fields: DataFrame) ->
         F.when(nego, per("ref_price")).alias("nego_price"),
         F.when(nego, F.substring(F.upper("ref_farebasis"), 1, 15)).alias("nego_farebasis"),
         F.when(nego, _cabin(F.col("ref_cabinclass"))).alias("nego_cabin_class"))
+
+
+def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares: DataFrame,
+                           options: DataFrame, booked: DataFrame, fares: DataFrame) -> DataFrame:
+    """D97 for the other shapes.  OW booked vs RT published: the paid amount
+    when the option is the booked fare, else the booked fare's share of the
+    flight total times the published comparison fare scaled by the match
+    percentage (+ online fees for the same regular carrier).  RT vs 2OW:
+    the option total scaled by the match percentage + online fees, or the
+    paid amount for a low-cost booked fare."""
+    opt_k = BF + ["comparison_option_number"]
+    base = (pub_cases.join(tickets.select("record_key", "booking_type_id", "ticket_amt", "ob_fees_amt",
+                                          "amt_percentage_diff", "savings_total_flight_amount"),
+                           ["record_key", "booking_type_id"])
+            .join(fares.select(*BF, "fare_number", F.col("is_lowcost").alias("fare_lowcost"),
+                               F.col("total_amount").alias("fare_total")), BF + ["fare_number"])
+            .join(options.select(*opt_k, "is_booked_fare", F.col("marketing_carrier").alias("opt_carrier"),
+                                 F.col("total_amount").alias("opt_total"), F.col("first_fare_basis").alias("opt_basis"),
+                                 F.col("first_booking_class").alias("opt_class"),
+                                 F.col("first_cabin_class_id").alias("opt_cabin")), opt_k)
+            .join(booked.select(*BF, F.col("marketing_carrier").alias("booked_carrier")), BF))
+    pct = F.col("amt_percentage_diff").cast("decimal(19,4)") / F.lit(100)
+    regular = F.col("fare_lowcost") != 1
+    first_cf = O.first_per_key(
+        comp_fares.select(*opt_k, "comparison_fare_number", F.col("total_amount").alias("cmp_total"),
+                          F.col("is_lowcost").alias("cmp_lowcost"), "first_fare_basis", "first_booking_class",
+                          "first_cabin_class_id"), opt_k, ["comparison_fare_number"])
+    r2 = base.where((F.col("booked_geometry_type") == "OW") & (F.col("comparison_geometry_type") == "RT")) \
+        .join(first_cf, opt_k)
+    share = F.col("fare_total") / F.col("savings_total_flight_amount") * (F.col("cmp_total") * pct)
+    same = (F.col("cmp_lowcost") == 0) & (F.col("booked_carrier") == F.col("opt_carrier"))
+    amt2 = (F.when(F.col("is_booked_fare") == 1, F.col("ticket_amt"))
+            .when(regular & same, share + F.col("ob_fees_amt")).otherwise(share))
+    out2 = r2.select("record_key", "booking_type_id", amt2.cast("decimal(19,4)").alias("fare_amt_published"),
+                     F.when(regular, F.col("first_fare_basis")).alias("fare_basis_published"),
+                     F.when(regular, F.col("first_booking_class")).alias("class_published"),
+                     F.col("first_cabin_class_id").alias("cabin_class_published"))
+    r3 = base.where((F.col("booked_geometry_type") == "RT") & (F.col("comparison_geometry_type") == "2OW"))
+    amt3 = F.when(regular, F.col("opt_total") * pct + F.col("ob_fees_amt")).otherwise(F.col("ticket_amt"))
+    out3 = r3.select("record_key", "booking_type_id", amt3.cast("decimal(19,4)").alias("fare_amt_published"),
+                     F.when(regular, F.col("opt_basis")).alias("fare_basis_published"),
+                     F.when(regular, F.col("opt_class")).alias("class_published"),
+                     F.col("opt_cabin").alias("cabin_class_published"))
+    return out2.unionByName(out3)

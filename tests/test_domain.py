@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from itinera.plans import extract_air as EA
 from itinera.plans import hotel_train as HT
-from itinera.plans import savings as SV
+from itinera.plans import savings as SV  # noqa: F401
 
 T = dt.datetime
 
@@ -468,3 +468,36 @@ def test_seeds(spark, tmp_path):
     legs = spark.createDataFrame([(1, 10, "D1", "T1", 1), (1, 10, "D1", "T1", 2), (1, 10, "D1", "T9", 1)],
                                  "extract_id int, product_id int, document_no string, ticket_no string, leg_no int")
     assert sorted(r.leg_no for r in EA.segment_seeds(fact, legs).collect()) == [1, 2]
+
+
+def test_published_rules23_and_train_backfill(spark):
+    bf = "extract_id int, message_unique_id string, booked_fare_number int"
+    tickets = spark.createDataFrame([("R1", 1, D("200"), D("10"), 100.0, D("400")), ("R2", 1, D("300"), D("10"), 110.0, D("300"))],
+                                    "record_key string, booking_type_id int, ticket_amt decimal(19,4), ob_fees_amt decimal(19,4), "
+                                    "amt_percentage_diff double, savings_total_flight_amount decimal(19,4)")
+    cases = spark.createDataFrame([("R1", 1, 1, "M1", 1, 1, 1, "OW", "RT"), ("R2", 1, 1, "M2", 1, 1, 1, "RT", "2OW")],
+                                  "record_key string, booking_type_id int, extract_id int, message_unique_id string, "
+                                  "booked_fare_number int, fare_number int, comparison_option_number int, "
+                                  "booked_geometry_type string, comparison_geometry_type string")
+    options = spark.createDataFrame([(1, "M1", 1, 1, 0, "AF", D("500"), "B1", "Y", 3), (1, "M2", 1, 1, 0, "LH", D("250"), "B2", "M", 3)],
+                                    bf + ", comparison_option_number int, is_booked_fare int, marketing_carrier string, "
+                                    "total_amount decimal(19,4), first_fare_basis string, first_booking_class string, "
+                                    "first_cabin_class_id int")
+    comp = spark.createDataFrame([(1, "M1", 1, 1, 1, D("500"), 0, "CB", "C", 2)],
+                                 bf + ", comparison_option_number int, comparison_fare_number int, total_amount decimal(19,4), "
+                                 "is_lowcost int, first_fare_basis string, first_booking_class string, first_cabin_class_id int")
+    booked = spark.createDataFrame([(1, "M1", 1, "AF"), (1, "M2", 1, "AF")], bf + ", marketing_carrier string")
+    fares = spark.createDataFrame([(1, "M1", 1, 1, 0, D("200")), (1, "M2", 1, 1, 0, D("300"))],
+                                  bf + ", fare_number int, is_lowcost int, total_amount decimal(19,4)")
+    got = {r.record_key: (float(r.fare_amt_published), r.fare_basis_published)
+           for r in SV.published_fare_rules23(tickets, cases, comp, options, booked, fares).collect()}
+    # 200/400 * (500 * 1.00) + 10 = 260; R2: 250 * 1.10 + 10 = 285
+    assert got == {"R1": (260.0, "CB"), "R2": (285.0, "B2")}
+    fact = spark.createDataFrame([("M", "P", 2, None), ("M", "P", 1, None), ("M", "Q", 2, 5)],
+                                 "meta_dossier_id string, pnr_code string, policy_status_id int, policy_reason_code_id int")
+    reasons = spark.createDataFrame([("M", "P", 1, "WHY_CHOSEN_AS_OOP_ID", 2, "7"), ("M", "P", 2, "WHY_CHOSEN_AS_OOP_ID", 2, "8"),
+                                     ("M", "Q", 1, "WHY_CHOSEN_AS_OOP_ID", 2, "9")],
+                                    "md_code string, pnr string, extract_id int, reason_type string, service_type_id int, reasons_txt string")
+    got = sorted((r.pnr_code, r.policy_status_id, r.policy_reason_code_id)
+                 for r in HT.train_policy_backfill(fact, reasons).collect())
+    assert got == [("P", 1, None), ("P", 2, 8), ("Q", 2, 5)]

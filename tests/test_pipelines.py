@@ -34,6 +34,18 @@ def extract_tables(spark):
                        .withColumn("class_code", F.lit("Y")).withColumn("cabin_class_id", F.lit(1))
                        .withColumn("basis", F.lit("YOW")).withColumn("airline", F.lit("XX")))
     t["geography_priority"] = spark.createDataFrame([(1, 20), (2, 10)], "geography_type_id int, priority int")
+    extra = {"public_price": F.lit(0).cast("decimal(19,4)"), "amount": F.col("amount_incl_vat") - F.lit(20),
+             "airport_tax": F.lit(15).cast("decimal(19,4)"), "commission_excl_vat": F.lit(1).cast("decimal(19,4)"),
+             "ob_fees_amt": F.lit(2).cast("decimal(19,4)"), "markup_total": F.lit(0).cast("decimal(19,4)"),
+             "markup_gds": F.lit(0).cast("decimal(19,4)"), "markup_pub": F.lit(0).cast("decimal(19,4)"),
+             "id_1": F.lit("FILE1"), "crs": F.lit("1A"), "business_category": F.lit(1),
+             "business_sub_category": F.lit(0)}
+    for name in ("invoice_line", "credit_line"):
+        for c, v in extra.items():
+            t[name] = t[name].withColumn(c, v)
+    t["tagged_text"] = spark.createDataFrame([(1, 5, "FILE1", "TAX", 1, "     7.50YQ     2.00YR")],
+                                             "product_id int, extract_id int, file_name string, tag string, "
+                                             "line_id int, text1 string")
     return t
 
 
@@ -49,5 +61,9 @@ def test_extract_pipeline(spark):
     assert routes["INV1-10"] == ("AAA/BBB/CCC/AAA", "CCC")
     ru = {r.record_key: r for r in out["rollups"].collect()}
     assert ru["INV1-10"].trip_cnt == 3 and ru["INV1-10"].travel_start == T(2024, 5, 1, 8, 0)
+    am = {(r.document_no, r.line_no): (float(r.ticket_amt), float(r.ticket_amt_tax), float(r.ticket_amt_tax_fee))
+          for r in out["amounts"].collect()}
+    # invoice 300: tax = airport 15 + VAT 20; tax fee |7.5| + |2.0|; the refund credit is negative
+    assert am[("INV1", 10)] == (300.0, 35.0, 9.5) and am[("CR1", 10)][0] == -300.0
     fl = {(r.record_key, r.trip_nbr): r for r in out["flights"].collect()}
     assert fl[("INV1-10", 1)].airport_from == "AAA" and fl[("INV1-10", 1)].airport_to == "BBB"
