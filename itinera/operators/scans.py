@@ -61,6 +61,8 @@ def range_bucket(n: int | None = None) -> RangeBucket:
 
 
 def _bucketed(df: DataFrame, keys, order, bucket) -> DataFrame:
+    if "_b" in df.columns:          # chained scans reuse one bucket column,
+        return df                   # so the (keys, _b) partitioning is reused too
     if isinstance(bucket, RangeBucket):
         # The partition id is physical: it is written once (a reliable
         # checkpoint under spark.checkpoint.dir, which also cuts the lineage)
@@ -79,7 +81,7 @@ def _w(keys, order, bucketed: bool):
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                    bucket: Bucket | None = None) -> DataFrame:
+                    bucket: Bucket | None = None, keep_bucket: bool = False) -> DataFrame:
     """1-based position of each row inside its key, in ``order``."""
     keys, order = list(keys), list(order)
     if bucket is None:
@@ -90,11 +92,12 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
     return (d.join(offs, keys + ["_b"], "inner")
-            .withColumn(out, F.col("_loc") + F.col("_off")).select(*df.columns, out))
+            .withColumn(out, F.col("_loc") + F.col("_off"))
+            .select(*_cols(df, keep_bucket), out))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                bucket: Bucket | None = None) -> DataFrame:
+                bucket: Bucket | None = None, keep_bucket: bool = False) -> DataFrame:
     """Sum of ``value`` over all rows of the key up to and including this row."""
     keys, order = list(keys), list(order)
     if bucket is None:
@@ -109,10 +112,15 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return (d.join(offs, keys + ["_b"], "inner")
             .withColumn(out, F.when(F.col("_off").isNull(), F.col("_loc"))
                         .otherwise(F.col("_loc") + F.col("_off")))
-            .select(*df.columns, out))
+            .select(*_cols(df, keep_bucket), out))
 
 
-def _neighbour(df, keys, order, cols, out, bucket, forward: bool):
+def _cols(df: DataFrame, keep_bucket: bool) -> list[str]:
+    cols = [c for c in df.columns if c != "_b"]
+    return cols + ["_b"] if keep_bucket else cols
+
+
+def _neighbour(df, keys, order, cols, out, bucket, forward: bool, keep_bucket: bool = False):
     keys, order = list(keys), list(order)
     payload = F.struct(*[F.col(c) for c in cols])
     fn = F.lead if forward else F.lag
@@ -126,7 +134,7 @@ def _neighbour(df, keys, order, cols, out, bucket, forward: bool):
     carry = summ.select(*keys, "_b", fn(F.col("_e._p")).over(wb).alias("_c"))
     return (d.join(carry, keys + ["_b"], "inner")
             .withColumn(out, F.coalesce(F.col("_loc"), F.col("_c")))
-            .select(*df.columns, out))
+            .select(*_cols(df, keep_bucket), out))
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
@@ -137,9 +145,9 @@ def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Se
 
 
 def with_prev(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-              out: str = "prev", bucket: Bucket | None = None) -> DataFrame:
+              out: str = "prev", bucket: Bucket | None = None, keep_bucket: bool = False) -> DataFrame:
     """Struct ``out`` with ``cols`` of the previous row of the same key."""
-    return _neighbour(df, keys, order, cols, out, bucket, False)
+    return _neighbour(df, keys, order, cols, out, bucket, False, keep_bucket)
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str,
@@ -202,8 +210,10 @@ def split_by_gap(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     and wherever ``is_break(prev)`` holds (``prev`` is a struct of
     ``prev_cols`` of the previous row; current columns are plain columns).
     Replaces a recursive CTE carrying a counter with lag + running sum."""
-    d = with_prev(df, keys, order, prev_cols, "_prev", bucket)
+    keys, order = list(keys), list(order)
+    d = _bucketed(df, keys, order, bucket) if bucket is not None else df
+    d = with_prev(d, keys, order, prev_cols, "_prev", bucket, keep_bucket=True)
     d = d.withColumn("_brk", F.when(F.col("_prev").isNull(), F.lit(1))
                      .when(is_break(F.col("_prev")), F.lit(1)).otherwise(F.lit(0)).cast("long"))
-    d = running_sum(d, keys, order, "_brk", out, bucket)
-    return d.drop("_prev", "_brk")
+    d = running_sum(d, keys, order, "_brk", out, bucket, keep_bucket=True)
+    return d.drop("_prev", "_brk", "_b")

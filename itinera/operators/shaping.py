@@ -82,13 +82,15 @@ def mode_with_priority(df: DataFrame, keys: Sequence[str], value: str,
 
 def first_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                cols: Sequence[str], first_prefix: str = "first_",
-               last_prefix: str = "last_") -> DataFrame:
+               last_prefix: str = "last_", extra: Sequence[Column] = ()) -> DataFrame:
     """Attributes of the first and last row of each group (partial aggregates
-    over (order, payload) structs)."""
+    over (order, payload) structs); ``extra`` aggregates (aliased) are
+    computed in the same pass."""
     st = F.struct(*[F.col(o) for o in order], F.struct(*[F.col(c) for c in cols]).alias("_p"))
-    g = df.groupBy(*keys).agg(F.min(st).alias("_f"), F.max(st).alias("_l"))
+    g = df.groupBy(*keys).agg(F.min(st).alias("_f"), F.max(st).alias("_l"), *extra)
+    extra_names = [c for c in g.columns if c not in set(keys) | {"_f", "_l"}]
     return g.select(*keys, *[F.col(f"_f._p.{c}").alias(f"{first_prefix}{c}") for c in cols],
-                    *[F.col(f"_l._p.{c}").alias(f"{last_prefix}{c}") for c in cols])
+                    *[F.col(f"_l._p.{c}").alias(f"{last_prefix}{c}") for c in cols], *extra_names)
 
 
 def geometry_type(n_legs, n_fares) -> Column:

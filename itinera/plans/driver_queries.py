@@ -322,9 +322,8 @@ def q_concat_ordered(spark, sf):
 
 def q_first_last(spark, sf):
     e = _t(spark, sf, "events")
-    fl = O.first_last(e, ["user_id"], ["ts", "event_id"], ["event_id", "event_type"])
-    n = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
-    return fl.join(n, "user_id")
+    return O.first_last(e, ["user_id"], ["ts", "event_id"], ["event_id", "event_type"],
+                        extra=[F.count(F.lit(1)).alias("n_events")])
 
 
 def q_shape_class(spark, sf):
@@ -357,11 +356,9 @@ def _sessions(spark, sf):
 
 def q_split_by_gap(spark, sf):
     s = _sessions(spark, sf)
-    fl = O.first_last(s, ["user_id", "session_nbr"], ["ts", "event_id"], ["event_id"])
-    agg = s.groupBy("user_id", "session_nbr").agg(
+    return O.first_last(s, ["user_id", "session_nbr"], ["ts", "event_id"], ["event_id"], extra=[
         F.count(F.lit(1)).alias("n_events"), F.sum(_money("value")).cast(M).alias("total_value"),
-        F.bool_and(F.col("event_type") != "error").alias("error_free"))
-    return fl.join(agg, ["user_id", "session_nbr"])
+        F.bool_and(F.col("event_type") != "error").alias("error_free")])
 
 
 def q_sequence(spark, sf):
@@ -581,14 +578,15 @@ def q_lineage(spark, sf):
                      .when(F.col("o_orderstatus") == "O", 2).otherwise(3))
     c = c.withColumn("prior_rank", F.when(F.col("branch") == 2, 1).otherwise(2))
     keys = ["l_orderkey", "l_partkey"]
-    orig = O.first_per_key(c.select(*keys, "orig_rank", "o_orderdate", "o_orderkey"), keys,
-                           ["orig_rank", "o_orderdate", "o_orderkey"])
-    prior = O.first_per_key(c.select(*keys, "prior_rank", "o_orderdate", "o_orderkey"), keys,
-                            ["prior_rank", "-o_orderdate", "-o_orderkey"])
-    r = (refs.join(orig.select(*keys, F.col("o_orderkey").alias("original_orderkey")), keys, "left")
-         .join(prior.select(*keys, F.col("o_orderkey").alias("prior_orderkey")), keys, "left"))
-    return r.select(*keys, F.coalesce("original_orderkey", "l_orderkey").alias("original_orderkey"),
-                    F.coalesce("prior_orderkey", "l_orderkey").alias("prior_orderkey"))
+    # both rankings in one aggregate over the candidates (each a min over a
+    # struct; descending date / key by negation)
+    g = c.groupBy(*keys).agg(
+        F.min(F.struct("orig_rank", "o_orderdate", "o_orderkey")).alias("_o"),
+        F.min(F.struct("prior_rank", (-X.epoch_micros("o_orderdate")).alias("d"),
+                       (-F.col("o_orderkey")).alias("k"), F.col("o_orderkey").alias("key"))).alias("_p"))
+    r = refs.join(g, keys, "left")
+    return r.select(*keys, F.coalesce(F.col("_o.o_orderkey"), F.col("l_orderkey")).alias("original_orderkey"),
+                    F.coalesce(F.col("_p.key"), F.col("l_orderkey")).alias("prior_orderkey"))
 
 
 def q_haversine(spark, sf):
