@@ -11,7 +11,7 @@ from itinera.operators.scans import (
 )
 from itinera.operators.shaping import (
     strict_sum, guarded_sum, has_amount, concat_ordered, pivot_sum, unpivot_nonnull,
-    mode_with_priority, first_last, geometry_type, dedupe_two_pass, prorate, union_all,
+    mode_with_priority, mode_by_levels, first_last, geometry_type, dedupe_two_pass, prorate, union_all,
     union_distinct, groups_to_rows, min_by_priority,
 )
 from itinera.operators.rules import apply_rules, apply_rule_groups, active_conditions

@@ -80,6 +80,36 @@ def mode_with_priority(df: DataFrame, keys: Sequence[str], value: str,
     return best.select(*keys, F.col("_m._v").alias(out), (-F.col("_m._a")).alias(f"{out}_cnt"))
 
 
+def mode_by_levels(df: DataFrame, levels: Sequence[Sequence[str]], value: str,
+                   priority: Mapping[str, int], out: str = "mode",
+                   default_priority: int = 1 << 30) -> DataFrame:
+    """``mode_with_priority`` for several key sets in one pass (like
+    GROUPING SETS): every row is expanded once per level into
+    (level, key columns of that level, others null), counted in one
+    aggregate and reduced to the mode per (level, keys).  The input is read
+    once whatever the number of fallback levels.  Output: level (1-based),
+    the union of key columns, ``out``."""
+    all_keys = []
+    for lv in levels:
+        for k in lv:
+            if k not in all_keys:
+                all_keys.append(k)
+    items = [F.struct(F.lit(i + 1).alias("_lvl"),
+                      *[(F.col(k) if k in lv else F.lit(None).cast(df.schema[k].dataType)).alias(k)
+                        for k in all_keys]) for i, lv in enumerate(levels)]
+    x = (df.where(F.col(value).isNotNull())
+         .select(F.explode(F.array(*items)).alias("_g"), F.col(value))
+         .select("_g.*", value))
+    pairs = []
+    for k, v in priority.items():
+        pairs += [F.lit(k), F.lit(v)]
+    pr = F.coalesce(F.create_map(*pairs)[F.col(value)], F.lit(default_priority)) if pairs else F.lit(default_priority)
+    counts = x.groupBy("_lvl", *all_keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_pr", pr)
+    best = counts.groupBy("_lvl", *all_keys).agg(
+        F.min(F.struct((-F.col("_n")).alias("_a"), F.col("_pr").alias("_b"), F.col(value).alias("_v"))).alias("_m"))
+    return best.select(F.col("_lvl").alias("level"), *all_keys, F.col("_m._v").alias(out))
+
+
 def first_last(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                cols: Sequence[str], first_prefix: str = "first_",
                last_prefix: str = "last_", extra: Sequence[Column] = ()) -> DataFrame:

@@ -300,9 +300,12 @@ def q_mode_priority(spark, sf):
     s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     l = l.withColumn("ship_year", F.year("l_shipdate"))
     hist = l.where(F.col("l_quantity") >= 45).join(s, F.col("l_suppkey") == s["s_suppkey"])
-    m1 = O.mode_with_priority(hist, ["l_suppkey", "ship_year"], "l_returnflag", L.FLAG_PRIORITY, "m1")
-    m2 = O.mode_with_priority(hist, ["l_suppkey"], "l_returnflag", L.FLAG_PRIORITY, "m2")
-    m3 = O.mode_with_priority(hist, ["s_nationkey"], "l_returnflag", L.FLAG_PRIORITY, "m3")
+    # the three fallback levels are counted in one pass over the history
+    modes = O.mode_by_levels(hist, [["l_suppkey", "ship_year"], ["l_suppkey"], ["s_nationkey"]],
+                             "l_returnflag", L.FLAG_PRIORITY, "m")
+    m1 = modes.where("level = 1").select("l_suppkey", "ship_year", F.col("m").alias("m1"))
+    m2 = modes.where("level = 2").select("l_suppkey", F.col("m").alias("m2"))
+    m3 = modes.where("level = 3").select("s_nationkey", F.col("m").alias("m3"))
     tg = (l.select("l_suppkey", "ship_year").distinct()
           .join(s, F.col("l_suppkey") == s["s_suppkey"]).drop("s_suppkey"))
     r = (tg.join(m1, ["l_suppkey", "ship_year"], "left").join(m2, ["l_suppkey"], "left")

@@ -99,18 +99,26 @@ def clean_legs(legs: DataFrame, as_of) -> DataFrame:
                         .otherwise(F.col("arrival_ts")))
 
 
+# fixed values: flexibility id -> tie-break priority (lower wins):
+# 100 TravelFusion -1, 0 Unknown 0, 1 Non-flexible 1, 4 Changeable 2,
+# 2 Refundable 3, 3 Fully-flexible 4
+FLEX_PRIORITY = {"100": -1, "0": 0, "1": 1, "4": 2, "2": 3, "3": 4}
+
+
 def fare_flexibility(segments: DataFrame, rules: DataFrame) -> DataFrame:
-    """Most frequent flexibility for (product, airline, basis), else
-    (airline, basis), else (airline, class); ties to the smaller id;
-    low-cost carriers 100; default 0."""
-    r = rules.withColumn("_f", F.col("flexibility_id").cast("string"))
-    prio = {}
-    l1 = O.mode_with_priority(r, ["product_id", "airline", "basis"], "_f", prio, "f1")
-    l2 = O.mode_with_priority(r, ["airline", "basis"], "_f", prio, "f2")
-    l3 = O.mode_with_priority(r, ["airline", "class_code"], "_f", prio, "f3")
-    j = (segments.join(l1.drop("f1_cnt"), ["product_id", "airline", "basis"], "left")
-         .join(l2.drop("f2_cnt"), ["airline", "basis"], "left")
-         .join(l3.drop("f3_cnt"), ["airline", "class_code"], "left"))
+    """Most frequent flexibility (null counts as 0) for (product,
+    airline, basis), else (airline, basis), else (airline, class); ties go
+    to the flexibility priority; low-cost carriers 100; default 0.  The
+    three levels are counted in one pass over the rule table."""
+    r = rules.withColumn("_f", F.coalesce(F.col("flexibility_id"), F.lit(0)).cast("string"))
+    modes = O.mode_by_levels(r, [["product_id", "airline", "basis"], ["airline", "basis"],
+                                 ["airline", "class_code"]], "_f", FLEX_PRIORITY, "f")
+    l1 = modes.where("level = 1").select("product_id", "airline", "basis", F.col("f").alias("f1"))
+    l2 = modes.where("level = 2").select("airline", "basis", F.col("f").alias("f2"))
+    l3 = modes.where("level = 3").select("airline", "class_code", F.col("f").alias("f3"))
+    j = (segments.join(l1, ["product_id", "airline", "basis"], "left")
+         .join(l2, ["airline", "basis"], "left")
+         .join(l3, ["airline", "class_code"], "left"))
     flex = F.when(F.col("low_cost") == 1, F.lit(100)).otherwise(
         F.coalesce(F.coalesce("f1", "f2", "f3").cast("int"), F.lit(0)))
     return j.withColumn("fare_flexibility_id", flex).drop("f1", "f2", "f3")

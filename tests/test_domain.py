@@ -501,3 +501,20 @@ def test_published_rules23_and_train_backfill(spark):
     got = sorted((r.pnr_code, r.policy_status_id, r.policy_reason_code_id)
                  for r in HT.train_policy_backfill(fact, reasons).collect())
     assert got == [("P", 1, None), ("P", 2, 8), ("Q", 2, 5)]
+
+
+def test_fare_flexibility(spark):
+    rules = spark.createDataFrame([
+        (1, "AF", "Y1", "Y", 3), (1, "AF", "Y1", "Y", 3), (1, "AF", "Y1", "Y", 2),   # level 1 mode 3
+        (2, "AF", "Y1", "Y", 5), (2, "AF", "Y1", "Y", 5),                           # other product
+        (1, "LH", "B1", "B", 2), (1, "LH", "B1", "B", 4),                           # tie -> priority: 4 before 2
+        (1, "BA", "Z9", "Q", 4)],
+        "product_id int, airline string, basis string, class_code string, flexibility_id int")
+    segs = spark.createDataFrame([(1, "AF", "Y1", "Y", 0), (9, "AF", "Y1", "Y", 0), (1, "LH", "B1", "B", 0),
+                                  (1, "BA", "ZZ", "Q", 0), (1, "XX", "A", "A", 0), (1, "XX", "A", "A", 1)],
+                                 "product_id int, airline string, basis string, class_code string, low_cost int")
+    got = sorted((r.product_id, r.airline, r.basis, r.low_cost, r.fare_flexibility_id)
+                 for r in EA.fare_flexibility(segs, rules).collect())
+    # product 9 falls back to (airline, basis): 3,3,2,5,5 -> tie 3 vs 5; 3 has priority 4, 5 none -> 3
+    assert got == [(1, "AF", "Y1", 0, 3), (1, "BA", "ZZ", 0, 4), (1, "LH", "B1", 0, 4), (1, "XX", "A", 0, 0),
+                   (1, "XX", "A", 1, 100), (9, "AF", "Y1", 0, 3)]
