@@ -211,8 +211,18 @@ def published_options(options: DataFrame) -> DataFrame:
     return O.first_per_key(pub, BF + ["flexibility_level"], ["total_amount", "comparison_option_number"])
 
 
+def _flex_ok(a: str, b: str, exclude_unknown: bool):
+    """Equal flexibility levels.  The source also tests both against a
+    misspelt 'UNKNONW', which only drops nulls (quirk Q3, kept by default);
+    ``exclude_unknown`` drops 'UNKNOWN' levels as intended."""
+    ok = F.col(a) == F.col(b)
+    if exclude_unknown:
+        ok = ok & (F.col(a) != "UNKNOWN") & (F.col(b) != "UNKNOWN")
+    return F.coalesce(ok, F.lit(False))
+
+
 def published_fare_rule1(tickets: DataFrame, pub_cases: DataFrame, comp_fares: DataFrame,
-                         fares: DataFrame) -> DataFrame:
+                         fares: DataFrame, exclude_unknown: bool = False) -> DataFrame:
     """D97 (same-shape cases): published fare = the paid amount for a
     low-cost booked fare, else the published comparison fare of the same
     flexibility scaled by the match percentage, plus online fees; basis and
@@ -232,7 +242,7 @@ def published_fare_rule1(tickets: DataFrame, pub_cases: DataFrame, comp_fares: D
                                  F.col("flexibility_level").alias("cmp_flex")), opt_k + ["fare_number"])
          .join(fares.select(*BF, "fare_number", F.col("is_lowcost").alias("fare_lowcost"),
                             F.col("flexibility_level").alias("fare_flex")), BF + ["fare_number"])
-         .where(F.col("fare_flex") == F.col("cmp_flex")))
+         .where(_flex_ok("fare_flex", "cmp_flex", exclude_unknown)))
     regular = F.col("fare_lowcost") != 1
     amt = (F.col("cmp_total") * F.col("amt_percentage_diff").cast("decimal(19,4)") / F.lit(100)
            + F.col("ob_fees_amt"))
@@ -295,7 +305,8 @@ def legacy_savings(fact: DataFrame, fare_infos: DataFrame, fields: DataFrame) ->
 
 
 def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares: DataFrame,
-                           options: DataFrame, booked: DataFrame, fares: DataFrame) -> DataFrame:
+                           options: DataFrame, booked: DataFrame, fares: DataFrame,
+                           exclude_unknown: bool = False) -> DataFrame:
     """D97 for the other shapes.  OW booked vs RT published: the paid amount
     when the option is the booked fare, else the booked fare's share of the
     flight total times the published comparison fare scaled by the match
@@ -307,20 +318,24 @@ def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares:
                                           "amt_percentage_diff", "savings_total_flight_amount"),
                            ["record_key", "booking_type_id"])
             .join(fares.select(*BF, "fare_number", F.col("is_lowcost").alias("fare_lowcost"),
-                               F.col("total_amount").alias("fare_total")), BF + ["fare_number"])
+                               F.col("total_amount").alias("fare_total"),
+                               F.col("flexibility_level").alias("fare_flex")), BF + ["fare_number"])
             .join(options.select(*opt_k, "is_booked_fare", F.col("marketing_carrier").alias("opt_carrier"),
                                  F.col("total_amount").alias("opt_total"), F.col("first_fare_basis").alias("opt_basis"),
                                  F.col("first_booking_class").alias("opt_class"),
-                                 F.col("first_cabin_class_id").alias("opt_cabin")), opt_k)
-            .join(booked.select(*BF, F.col("marketing_carrier").alias("booked_carrier")), BF))
+                                 F.col("first_cabin_class_id").alias("opt_cabin"),
+                                 F.col("flexibility_level").alias("opt_flex")), opt_k)
+            .join(booked.select(*BF, F.col("marketing_carrier").alias("booked_carrier"),
+                                F.col("flexibility_level").alias("booked_flex")), BF))
     pct = F.col("amt_percentage_diff").cast("decimal(19,4)") / F.lit(100)
     regular = F.col("fare_lowcost") != 1
-    first_cf = O.first_per_key(
-        comp_fares.select(*opt_k, "comparison_fare_number", F.col("total_amount").alias("cmp_total"),
-                          F.col("is_lowcost").alias("cmp_lowcost"), "first_fare_basis", "first_booking_class",
-                          "first_cabin_class_id"), opt_k, ["comparison_fare_number"])
-    r2 = base.where((F.col("booked_geometry_type") == "OW") & (F.col("comparison_geometry_type") == "RT")) \
-        .join(first_cf, opt_k)
+    cf = comp_fares.select(*opt_k, "comparison_fare_number", F.col("total_amount").alias("cmp_total"),
+                           F.col("is_lowcost").alias("cmp_lowcost"), "first_fare_basis", "first_booking_class",
+                           "first_cabin_class_id", F.col("flexibility_level").alias("cmp_flex"))
+    r2 = (base.where((F.col("booked_geometry_type") == "OW") & (F.col("comparison_geometry_type") == "RT"))
+          .join(cf, opt_k).where(_flex_ok("fare_flex", "cmp_flex", exclude_unknown)))
+    # the source join is not restricted to one comparison fare: the first by number stands in
+    r2 = O.first_per_key(r2, ["record_key", "booking_type_id"], ["comparison_fare_number"])
     share = F.col("fare_total") / F.col("savings_total_flight_amount") * (F.col("cmp_total") * pct)
     same = (F.col("cmp_lowcost") == 0) & (F.col("booked_carrier") == F.col("opt_carrier"))
     amt2 = (F.when(F.col("is_booked_fare") == 1, F.col("ticket_amt"))
@@ -329,7 +344,8 @@ def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares:
                      F.when(regular, F.col("first_fare_basis")).alias("fare_basis_published"),
                      F.when(regular, F.col("first_booking_class")).alias("class_published"),
                      F.col("first_cabin_class_id").alias("cabin_class_published"))
-    r3 = base.where((F.col("booked_geometry_type") == "RT") & (F.col("comparison_geometry_type") == "2OW"))
+    r3 = (base.where((F.col("booked_geometry_type") == "RT") & (F.col("comparison_geometry_type") == "2OW"))
+          .where(_flex_ok("booked_flex", "opt_flex", exclude_unknown)))
     amt3 = F.when(regular, F.col("opt_total") * pct + F.col("ob_fees_amt")).otherwise(F.col("ticket_amt"))
     out3 = r3.select("record_key", "booking_type_id", amt3.cast("decimal(19,4)").alias("fare_amt_published"),
                      F.when(regular, F.col("opt_basis")).alias("fare_basis_published"),

@@ -479,20 +479,26 @@ def test_published_rules23_and_train_backfill(spark):
                                   "record_key string, booking_type_id int, extract_id int, message_unique_id string, "
                                   "booked_fare_number int, fare_number int, comparison_option_number int, "
                                   "booked_geometry_type string, comparison_geometry_type string")
-    options = spark.createDataFrame([(1, "M1", 1, 1, 0, "AF", D("500"), "B1", "Y", 3), (1, "M2", 1, 1, 0, "LH", D("250"), "B2", "M", 3)],
+    options = spark.createDataFrame([(1, "M1", 1, 1, 0, "AF", D("500"), "B1", "Y", 3, "F"),
+                                     (1, "M2", 1, 1, 0, "LH", D("250"), "B2", "M", 3, "UNKNOWN")],
                                     bf + ", comparison_option_number int, is_booked_fare int, marketing_carrier string, "
                                     "total_amount decimal(19,4), first_fare_basis string, first_booking_class string, "
-                                    "first_cabin_class_id int")
-    comp = spark.createDataFrame([(1, "M1", 1, 1, 1, D("500"), 0, "CB", "C", 2)],
+                                    "first_cabin_class_id int, flexibility_level string")
+    comp = spark.createDataFrame([(1, "M1", 1, 1, 1, D("500"), 0, "CB", "C", 2, "F"), (1, "M1", 1, 1, 0, D("1"), 0, "X", "X", 2, "R")],
                                  bf + ", comparison_option_number int, comparison_fare_number int, total_amount decimal(19,4), "
-                                 "is_lowcost int, first_fare_basis string, first_booking_class string, first_cabin_class_id int")
-    booked = spark.createDataFrame([(1, "M1", 1, "AF"), (1, "M2", 1, "AF")], bf + ", marketing_carrier string")
-    fares = spark.createDataFrame([(1, "M1", 1, 1, 0, D("200")), (1, "M2", 1, 1, 0, D("300"))],
-                                  bf + ", fare_number int, is_lowcost int, total_amount decimal(19,4)")
+                                 "is_lowcost int, first_fare_basis string, first_booking_class string, first_cabin_class_id int, "
+                                 "flexibility_level string")
+    booked = spark.createDataFrame([(1, "M1", 1, "AF", "F"), (1, "M2", 1, "AF", "UNKNOWN")],
+                                   bf + ", marketing_carrier string, flexibility_level string")
+    fares = spark.createDataFrame([(1, "M1", 1, 1, 0, D("200"), "F"), (1, "M2", 1, 1, 0, D("300"), "F")],
+                                  bf + ", fare_number int, is_lowcost int, total_amount decimal(19,4), flexibility_level string")
     got = {r.record_key: (float(r.fare_amt_published), r.fare_basis_published)
            for r in SV.published_fare_rules23(tickets, cases, comp, options, booked, fares).collect()}
-    # 200/400 * (500 * 1.00) + 10 = 260; R2: 250 * 1.10 + 10 = 285
+    # 200/400 * (500 * 1.00) + 10 = 260 (the R-level comparison fare does not match F)
+    # R2: 250 * 1.10 + 10 = 285 (booked and option both UNKNOWN: kept by default, quirk Q3)
     assert got == {"R1": (260.0, "CB"), "R2": (285.0, "B2")}
+    strict = SV.published_fare_rules23(tickets, cases, comp, options, booked, fares, exclude_unknown=True)
+    assert sorted(r.record_key for r in strict.collect()) == ["R1"]
     fact = spark.createDataFrame([("M", "P", 2, None), ("M", "P", 1, None), ("M", "Q", 2, 5)],
                                  "meta_dossier_id string, pnr_code string, policy_status_id int, policy_reason_code_id int")
     reasons = spark.createDataFrame([("M", "P", 1, "WHY_CHOSEN_AS_OOP_ID", 2, "7"), ("M", "P", 2, "WHY_CHOSEN_AS_OOP_ID", 2, "8"),
