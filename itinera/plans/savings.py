@@ -89,11 +89,31 @@ def matched_total(matches: DataFrame, flights: DataFrame) -> DataFrame:
 
 
 def lowest_recommended(options: DataFrame) -> DataFrame:
-    """Cheapest recommended comparison option per booked fare."""
-    rec = options.where(F.col("is_recommended") == 1)
+    """Cheapest lowest-recommended comparison option per booked fare."""
+    rec = options.where(F.col("is_lowest_recommended_fare") == 1)
     return O.first_per_key(rec, BF, ["total_amount", "comparison_option_number"])
 
 
+def _cases(matches: DataFrame, fares: DataFrame, chosen: DataFrame, extra=()) -> DataFrame:
+    m = matches.select("record_key", "booking_type_id", *BF, "fare_number")
+    f = fares.select(*BF, "fare_number", F.col("geometry_type").alias("booked_geometry_type"))
+    c = chosen.select(*BF, "comparison_option_number", F.col("geometry_type").alias("comparison_geometry_type"),
+                      *extra)
+    return m.join(f, BF + ["fare_number"]).join(c, BF)
+
+
+def lrf_cases(matches: DataFrame, fares: DataFrame, options: DataFrame) -> DataFrame:
+    """Each matched ticket with its booked fare's shape and the shape of
+    the cheapest lowest-recommended option."""
+    return _cases(matches, fares, lowest_recommended(options))
+
+
+def pub_cases(matches: DataFrame, fares: DataFrame, options: DataFrame) -> DataFrame:
+    """Each matched ticket with the cheapest published option of every
+    flexibility level."""
+    return _cases(matches, fares, published_options(options), extra=("flexibility_level",))
+
+
 def lowest_fare_rule1(tickets: DataFrame, cases: DataFrame, comp_fares: DataFrame,
                       options: DataFrame, booked: DataFrame, fares: DataFrame) -> DataFrame:
     """D95 rule 1 (same shape: OW/OW, RT/RT, OW/2OW): lowest fare in policy
@@ -352,3 +372,25 @@ def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares:
                      F.when(regular, F.col("opt_class")).alias("class_published"),
                      F.col("opt_cabin").alias("cabin_class_published"))
     return out2.unionByName(out3)
+
+
+def run_savings(tickets: DataFrame, booked: DataFrame, fares: DataFrame, options: DataFrame,
+                comp_fares: DataFrame, exclude_unknown: bool = False) -> DataFrame:
+    """D90-D98 chained over the summarised savings tables: match each
+    purchase to a fare, build the lowest-recommended and published cases,
+    apply the lowest-fare rules (1-3) and the published-fare rules, then the
+    negation.  One row per ticket; unmatched tickets keep nulls."""
+    k = ["record_key", "booking_type_id"]
+    matches = match_savings(tickets, fares)
+    t = tickets.join(matches.select(*k, "amt_percentage_diff"), k, "left")
+    lrf = lrf_cases(matches, fares, options)
+    low = lowest_fare_rule1(t, lrf, comp_fares, options, booked, fares).unionByName(
+        lowest_fare_rules23(t, lrf, comp_fares, options, booked, fares))
+    low = O.first_per_key(low, k, ["savings_rule"])     # shapes are disjoint; stated tie-break anyway
+    pc = pub_cases(matches, fares, options)
+    pub = published_fare_rule1(t, pc, comp_fares, fares, exclude_unknown).unionByName(
+        published_fare_rules23(t, pc, comp_fares, options, booked, fares, exclude_unknown))
+    pub = O.first_per_key(pub, k, ["fare_amt_published"])
+    out = (tickets.select(*k, "ticket_amt").join(matches.select(*k, "amt_percentage_diff"), k, "left")
+           .join(low, k, "left").join(pub, k, "left"))
+    return negate_savings(out)

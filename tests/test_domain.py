@@ -524,3 +524,36 @@ def test_fare_flexibility(spark):
     # product 9 falls back to (airline, basis): 3,3,2,5,5 -> tie 3 vs 5; 3 has priority 4, 5 none -> 3
     assert got == [(1, "AF", "Y1", 0, 3), (1, "BA", "ZZ", 0, 4), (1, "LH", "B1", 0, 4), (1, "XX", "A", 0, 0),
                    (1, "XX", "A", 1, 100), (9, "AF", "Y1", 0, 3)]
+
+
+def test_run_savings_chain(spark):
+    bf = "extract_id int, message_unique_id string, booked_fare_number int"
+    tickets = spark.createDataFrame([
+        (1, "R1", 1, "42", "A-B", 1, T(2024, 1, 1), T(2024, 1, 1), 7, "P1", D("100"), D("0"), D("100")),
+        (1, "R2", 1, "43", "C-D", 1, T(2024, 1, 1), T(2024, 1, 1), 8, "P2", D("100"), D("0"), D("100"))],
+        "extract_id int, record_key string, booking_type_id int, meta_dossier_id string, composite_key string, "
+        "segment_cnt int, travel_start timestamp_ntz, travel_end timestamp_ntz, traveler_id int, pnr_code string, "
+        "ticket_amt decimal(19,4), ob_fees_amt decimal(19,4), savings_total_flight_amount decimal(19,4)")
+    fares = spark.createDataFrame([(1, "M1", 1, 1, "A-B", 1, T(2024, 1, 1), T(2024, 1, 1), 7, "P1", 0,
+                                    D("100"), D("97"), D("103"), "OW", 0, "F")],
+                                  bf + ", fare_number int, route_txt string, segment_cnt int, from_date timestamp_ntz, "
+                                  "to_date timestamp_ntz, percode int, pnr string, has_ancillaries int, "
+                                  "total_amount decimal(19,4), total_amount_down decimal(19,4), total_amount_up decimal(19,4), "
+                                  "geometry_type string, is_lowcost int, flexibility_level string")
+    options = spark.createDataFrame([
+        (1, "M1", 1, 1, 0, "AF", D("80"), 0, "AF", "OW", 1, "PUBLISHED", "F", "B", "Y", 3),
+        (1, "M1", 1, 2, 0, "AF", D("90"), 0, "AF", "OW", 0, "PUBLISHED", "F", "B", "Y", 3)],
+        bf + ", comparison_option_number int, is_booked_fare int, marketing_carrier string, total_amount decimal(19,4), "
+        "is_lowcost int, first_carrier string, geometry_type string, is_lowest_recommended_fare int, fare_type string, "
+        "flexibility_level string, first_fare_basis string, first_booking_class string, first_cabin_class_id int")
+    comp = spark.createDataFrame([(1, "M1", 1, 1, 1, D("80"), 0, "AF", "LB", "L", 3, "F"),
+                                  (1, "M1", 1, 2, 1, D("90"), 0, "AF", "PB", "P", 3, "F")],
+                                 bf + ", comparison_option_number int, comparison_fare_number int, total_amount decimal(19,4), "
+                                 "is_lowcost int, first_carrier string, first_fare_basis string, first_booking_class string, "
+                                 "first_cabin_class_id int, flexibility_level string")
+    booked = spark.createDataFrame([(1, "M1", 1, "AF", "F")], bf + ", marketing_carrier string, flexibility_level string")
+    got = {r.record_key: (r.savings_rule, float(r.fare_amt_lowest), r.fare_amt_published and float(r.fare_amt_published))
+           for r in SV.run_savings(tickets, booked, fares, options, comp).collect()}
+    # R1 matches (100 within +-3 %): lowest recommended option 1 (80, same regular carrier -> + fees 0),
+    # published option 2 (90 * 100 % + 0); R2 matches nothing -> negated to the paid amount, rule 4
+    assert got == {"R1": ("1. || OW vs OW", 80.0, 90.0), "R2": ("4", 100.0, None)}
