@@ -452,17 +452,28 @@ def _rule_facts(spark, sf):
 RULE_ATTRS = ["l_returnflag", "l_linestatus", "p_brand", "p_type", "p_size", "disc_flag"]
 
 
-def q_rules_engine(spark, sf):
+def _rules_query(spark, sf, method):
     f = _rule_facts(spark, sf)
     rules = spark.createDataFrame(
         L.RULES, "rule_id int, column_name string, comparison string, value string, "
                  "effective_start date, effective_end date")
     groups = spark.createDataFrame(L.RULE_GROUPS, "rule_id int, fare_type_id int")
-    r = O.apply_rules(f, RULE_ATTRS, rules, L.RULES_AS_OF)
+    r = O.apply_rules(f, RULE_ATTRS, rules, L.RULES_AS_OF, method=method)
     r = O.apply_rule_groups(r, groups)
     return r.select(*LINE_ID, "rule_id", "fare_type_id")
 
 
+def q_rules_engine(spark, sf):
+    """D33 with the size-checked rule table compiled into one projection."""
+    return _rules_query(spark, sf, "auto")
+
+
+def q_rules_engine_setbased(spark, sf):
+    """D33 through the set-based plan used for large rule tables (distinct
+    attribute tuples, one join to the conditions, counts, minimum id)."""
+    return _rules_query(spark, sf, "join")
+
+
 # ---- scalar semantics --------------------------------------------------------
 
 def q_code_map(spark, sf):

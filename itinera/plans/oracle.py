@@ -562,3 +562,4 @@ FROM g""",
 SELECT o.o_orderkey, c.c_custkey, c.c_name FROM orders o JOIN customer c
   ON o.o_custkey = c.c_custkey AND instr(c.c_name, substr(o.o_orderpriority, 1, 1)) > 0""",
 }
+SQL["q_rules_engine_setbased"] = SQL["q_rules_engine"]
