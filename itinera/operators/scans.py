@@ -182,7 +182,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
         w = _w(keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
         res = u.withColumn(out, F.last("_r", ignorenulls=True).over(w))
         return res.where("_side = 1").select(*lcols, out)
-    u = u.withColumn("_b", bucket(F.col("_t")))
+    if isinstance(bucket, RangeBucket):
+        u = _bucketed(u, keys, order, bucket)      # sampled ranges over (keys, time, side, ties)
+    else:
+        u = u.withColumn("_b", bucket(F.col("_t")))
     w = _w(keys, order, True).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_loc", F.last("_r", ignorenulls=True).over(w))
     summ = (u.where("_side = 0").groupBy(*keys, "_b")

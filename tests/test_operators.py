@@ -66,6 +66,8 @@ def test_asof_matches_brute_force(spark):
     right = e.where("t = 'click'").select(F.col("id").alias("cid"), "u", F.col("ts").alias("cts"))
     got = O.asof_join(left, right, ["u"], "ts", "cts", ["cid"], ["cid"], "m", bucket=O.time_bucket(86400))
     got = rows(got.select("id", F.col("m.cid").alias("cid")))
+    ranged = O.asof_join(left, right, ["u"], "ts", "cts", ["cid"], ["cid"], "m", bucket=O.range_bucket(6))
+    assert rows(ranged.select("id", F.col("m.cid").alias("cid"))) == got
     plain = O.asof_join(left, right, ["u"], "ts", "cts", ["cid"], ["cid"], "m")
     assert got == rows(plain.select("id", F.col("m.cid").alias("cid")))
     L = left.collect()
