@@ -257,7 +257,8 @@ def mark_incomplete(fact: DataFrame, segments: DataFrame, keys=("extract_id", "r
     bad = segments.where(F.col("airport_from").isNull() | F.col("airport_to").isNull())
     f = fact.join(bad.select(*k).distinct().withColumn("_bad", F.lit(True)), k, "left")
     f = f.withColumn("record_status_id", F.when(F.col("_bad"), F.lit(10)).otherwise(F.col("record_status_id")))
-    return f.drop("_bad"), segments.join(bad, segments.columns, "left_anti")
+    keep = segments.where(F.col("airport_from").isNotNull() & F.col("airport_to").isNotNull())
+    return f.drop("_bad"), keep
 
 
 # ---- D31 remarks ------------------------------------------------------------------------
