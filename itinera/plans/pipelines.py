@@ -10,6 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from itinera import operators as O
 from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
 from itinera.session import work_path
@@ -155,4 +156,16 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
                                la, sur)
         out["amounts"] = EA.sign_refunds(amt, ["ticket_amt", "ticket_amt_base", "ticket_amt_tax",
                                                "ticket_amt_tax_vat", "ticket_amt_gross"])
+        # Segment value = GDS miles share of the ticket base;
+        # flight value = null-strict sum of its segments
+        base = out["amounts"].select("record_key", "booking_type_id", "ticket_amt_base").dropDuplicates(
+            ["record_key", "booking_type_id"])
+        sv = O.prorate(segs.join(base, ["record_key", "booking_type_id"], "inner"),
+                       ["extract_id", "record_key", "booking_type_id"], "mileage_gds", "ticket_amt_base",
+                       "segment_value")
+        out["segment_values"] = sv.select("extract_id", "record_key", "booking_type_id", "segment_nbr",
+                                          "trip_nbr", "segment_value")
+        fv = sv.groupBy("extract_id", "record_key", "booking_type_id", "trip_nbr").agg(
+            O.strict_sum("segment_value").alias("flight_value"))
+        out["flights"] = flights.join(fv, ["extract_id", "record_key", "booking_type_id", "trip_nbr"], "left")
     return out

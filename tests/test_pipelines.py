@@ -65,5 +65,9 @@ def test_extract_pipeline(spark):
           for r in out["amounts"].collect()}
     # invoice 300: tax = airport 15 + VAT 20; tax fee |7.5| + |2.0|; the refund credit is negative
     assert am[("INV1", 10)] == (300.0, 35.0, 9.5) and am[("CR1", 10)][0] == -300.0
+    sv = {(r.record_key, r.segment_nbr): float(r.segment_value) for r in out["segment_values"].collect()}
+    # INV1 base = 280 - 15 airport tax = 265 over three legs of 100 GDS miles each
+    assert abs(sv[("INV1-10", 1)] - 265 / 3) < 1e-6
     fl = {(r.record_key, r.trip_nbr): r for r in out["flights"].collect()}
+    assert abs(float(fl[("INV1-10", 2)].flight_value) - 265 / 3) < 1e-6
     assert fl[("INV1-10", 1)].airport_from == "AAA" and fl[("INV1-10", 1)].airport_to == "BBB"
