@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from itinera import operators as O
 from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
-from itinera.session import work_path
+from itinera.session import checkpoint_dir, work_path
 from itinera.sources import log_step, register_keys, replace_slice
 
 # fixed values: key-table type per source
@@ -132,16 +132,19 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
     cr = t["credit_line"].where(F.col("extract_id") == F.lit(extract_id))
     lines_i = EA.record_key(EA.invoice_booking_type(inv)).withColumn("doc_kind", F.lit("I"))
     lines_c = EA.record_key(EA.credit_booking_type(cr, t["credit_header"], inv)).withColumn("doc_kind", F.lit("C"))
-    fact = lines_i.unionByName(lines_c, allowMissingColumns=True)
+    # each step's result is checkpointed (reliable, under spark.checkpoint.dir):
+    # later steps reuse it without recomputing or re-planning its lineage
+    checkpoint_dir(spark)
+    fact = lines_i.unionByName(lines_c, allowMissingColumns=True).checkpoint()
     legs = EA.clean_legs(t["travel_leg"].where(F.col("extract_id") == F.lit(extract_id)), as_of)
     segs = legs.join(fact.select("extract_id", "document_no", "line_no", "record_key", "booking_type_id"),
                      ["extract_id", "document_no", "line_no"], "inner")
     segs = EA.number_legs(segs)
     segs = (segs.withColumnRenamed("departure_ts", "segment_start").withColumnRenamed("arrival_ts", "segment_end"))
-    segs = EA.split_trips(segs)
+    segs = EA.split_trips(segs).checkpoint()
     flights = EA.build_flights(segs, t["geography_priority"])
     routes = EA.route_text(segs)
-    rollups = EA.ticket_rollups(segs)
+    rollups = EA.ticket_rollups(segs).checkpoint()
     out = {"fact": fact, "segments": segs, "flights": flights, "routes": routes, "rollups": rollups}
     if "tagged_text" in t:
         # amounts: line amounts, YQ/YR surcharges, tax fee, refund signs
@@ -155,7 +158,7 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
                                       "markup_total", "markup_gds", "markup_pub", "id_1", "crs"),
                                la, sur)
         out["amounts"] = EA.sign_refunds(amt, ["ticket_amt", "ticket_amt_base", "ticket_amt_tax",
-                                               "ticket_amt_tax_vat", "ticket_amt_gross"])
+                                               "ticket_amt_tax_vat", "ticket_amt_gross"]).checkpoint()
         # Segment value = GDS miles share of the ticket base;
         # flight value = null-strict sum of its segments
         base = out["amounts"].select("record_key", "booking_type_id", "ticket_amt_base").dropDuplicates(
@@ -167,5 +170,29 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
                                           "trip_nbr", "segment_value")
         fv = sv.groupBy("extract_id", "record_key", "booking_type_id", "trip_nbr").agg(
             O.strict_sum("segment_value").alias("flight_value"))
-        out["flights"] = flights.join(fv, ["extract_id", "record_key", "booking_type_id", "trip_nbr"], "left")
+        out["flights"] = flights.join(fv, ["extract_id", "record_key", "booking_type_id", "trip_nbr"],
+                                      "left").checkpoint()
+        if "savings" in t:
+            # savings: purchase tickets with dossier, locator, traveller, composite
+            # route key, travel dates and amounts, matched to the fare summaries
+            from itinera.plans import extract_attrs as XA
+            from itinera.plans import savings as SV
+            flat = XA.flatten_sales_line(
+                fact.select("extract_id", "product_id", "document_no", "line_no", "record_key", "booking_type_id"),
+                lines, t["tagged_text"].select("product_id", "file_name",
+                                             F.col("pnr").alias("code_pnr") if "pnr" in t["tagged_text"].columns
+                                             else F.lit(None).cast("string").alias("code_pnr"),
+                                             "extract_id", "tag", "text1"))
+            k = ["record_key", "booking_type_id"]
+            amts = out["amounts"].select(*k, "ticket_amt", "ob_fees_amt").dropDuplicates(k)
+            tickets = (flat.select("extract_id", *k, "meta_dossier_id", "pnr_code",
+                                   F.col("traveler_code").cast("int").alias("traveler_id"))
+                       .join(amts, k, "inner")
+                       .join(rollups.select("record_key", "travel_start", "travel_end", "segment_cnt"),
+                             "record_key", "left"))
+            tickets = EA.composite_key(tickets, segs)
+            fl_tot = out["flights"].groupBy(*k).agg(F.sum("flight_value").alias("flight_value"))
+            sv = t["savings"]
+            out["savings"] = SV.run_savings(tickets, sv["booked"], sv["fares"], sv["options"], sv["comp_fares"],
+                                            flights=fl_tot)
     return out

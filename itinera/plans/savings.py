@@ -375,7 +375,8 @@ def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares:
 
 
 def run_savings(tickets: DataFrame, booked: DataFrame, fares: DataFrame, options: DataFrame,
-                comp_fares: DataFrame, exclude_unknown: bool = False) -> DataFrame:
+                comp_fares: DataFrame, exclude_unknown: bool = False,
+                flights: DataFrame | None = None) -> DataFrame:
     """D90-D98 chained over the summarised savings tables: match each
     purchase to a fare, build the lowest-recommended and published cases,
     apply the lowest-fare rules (1-3) and the published-fare rules, then the
@@ -383,6 +384,12 @@ def run_savings(tickets: DataFrame, booked: DataFrame, fares: DataFrame, options
     k = ["record_key", "booking_type_id"]
     matches = match_savings(tickets, fares)
     t = tickets.join(matches.select(*k, "amt_percentage_diff"), k, "left")
+    if flights is not None:
+        # Total flight amount of all tickets matched to the same booked fare
+        tot = (matched_total(matches.select(*k, *BF), flights)
+               .select(*k, F.col("booked_fare_total").alias("_tot")).dropDuplicates(k))
+        t = t.drop("savings_total_flight_amount") if "savings_total_flight_amount" in t.columns else t
+        t = t.join(tot, k, "left").withColumnRenamed("_tot", "savings_total_flight_amount")
     lrf = lrf_cases(matches, fares, options)
     low = lowest_fare_rule1(t, lrf, comp_fares, options, booked, fares).unionByName(
         lowest_fare_rules23(t, lrf, comp_fares, options, booked, fares))

@@ -40,9 +40,38 @@ def extract_tables(spark):
              "markup_gds": F.lit(0).cast("decimal(19,4)"), "markup_pub": F.lit(0).cast("decimal(19,4)"),
              "id_1": F.lit("FILE1"), "crs": F.lit("1A"), "business_category": F.lit(1),
              "business_sub_category": F.lit(0)}
+    erp = {"traveller_code": F.lit("55"), "corporation": F.lit("XX"), "e_ticket": F.lit(1),
+           "e_ticket_refused": F.lit(0), "group": F.lit(0), "issued_date": F.lit(None).cast("timestamp_ntz"),
+           "posting_date": F.lit(T(2024, 4, 1)).cast("timestamp_ntz"), "increment_order": F.lit(0),
+           "meta_id": F.lit("42"), "ect_error": F.lit(0), "rtu": F.lit(0), "service_group": F.lit(1),
+           "original_ticket": F.lit(None).cast("string")}
     for name in ("invoice_line", "credit_line"):
-        for c, v in extra.items():
+        for c, v in {**extra, **erp}.items():
             t[name] = t[name].withColumn(c, v)
+    bf = "extract_id int, message_unique_id string, booked_fare_number int"
+    t["savings"] = {
+        "fares": spark.createDataFrame([(5, "M1", 1, 1, "AAA-BBB/BBB-CCC/CCC-AAA", 3, T(2024, 5, 1, 8), T(2024, 5, 8, 11),
+                                         55, "P", 0, D("300"), D("291"), D("309"), "RT", 0, "F")],
+                                       bf + ", fare_number int, route_txt string, segment_cnt long, from_date timestamp_ntz, "
+                                       "to_date timestamp_ntz, percode int, pnr string, has_ancillaries int, "
+                                       "total_amount decimal(19,4), total_amount_down decimal(19,4), "
+                                       "total_amount_up decimal(19,4), geometry_type string, is_lowcost int, "
+                                       "flexibility_level string"),
+        "options": spark.createDataFrame([
+            (5, "M1", 1, 1, 0, "XX", D("250"), 0, "XX", "RT", 1, "PUBLISHED", "F", "B", "Y", 3),
+            (5, "M1", 1, 2, 0, "XX", D("280"), 0, "XX", "RT", 0, "PUBLISHED", "F", "B", "Y", 3)],
+            bf + ", comparison_option_number int, is_booked_fare int, marketing_carrier string, "
+            "total_amount decimal(19,4), is_lowcost int, first_carrier string, geometry_type string, "
+            "is_lowest_recommended_fare int, fare_type string, flexibility_level string, first_fare_basis string, "
+            "first_booking_class string, first_cabin_class_id int"),
+        "comp_fares": spark.createDataFrame([(5, "M1", 1, 1, 1, D("250"), 0, "XX", "LB", "L", 3, "F"),
+                                             (5, "M1", 1, 2, 1, D("280"), 0, "XX", "PB", "P", 3, "F")],
+                                            bf + ", comparison_option_number int, comparison_fare_number int, "
+                                            "total_amount decimal(19,4), is_lowcost int, first_carrier string, "
+                                            "first_fare_basis string, first_booking_class string, "
+                                            "first_cabin_class_id int, flexibility_level string"),
+        "booked": spark.createDataFrame([(5, "M1", 1, "XX", "F")], bf + ", marketing_carrier string, flexibility_level string"),
+    }
     t["tagged_text"] = spark.createDataFrame([(1, 5, "FILE1", "TAX", 1, "     7.50YQ     2.00YR")],
                                              "product_id int, extract_id int, file_name string, tag string, "
                                              "line_id int, text1 string")
@@ -70,4 +99,11 @@ def test_extract_pipeline(spark):
     assert abs(sv[("INV1-10", 1)] - 265 / 3) < 1e-6
     fl = {(r.record_key, r.trip_nbr): r for r in out["flights"].collect()}
     assert abs(float(fl[("INV1-10", 2)].flight_value) - 265 / 3) < 1e-6
+    sav = {r.record_key: r for r in out["savings"].collect()}
+    # INV1-10 paid 300 - 2 online fees matches the 300 fare (+-3 %): lowest recommended 250 + fees 2;
+    # published 280 scaled by the match percentage (99.33 %) + fees 2
+    x = sav["INV1-10"]
+    assert x.savings_rule == "1. || RT vs RT" and float(x.fare_amt_lowest) == 252.0
+    assert abs(float(x.fare_amt_published) - (280 * 0.993333 + 2)) < 0.01
+    assert sav["CR1-10"].savings_rule == "4"   # refunds never match: negated to the paid amount
     assert fl[("INV1-10", 1)].airport_from == "AAA" and fl[("INV1-10", 1)].airport_to == "BBB"
