@@ -31,18 +31,24 @@ def fare_summary(fares: DataFrame, amounts: DataFrame, segments: DataFrame,
                  pct: float = PCT) -> DataFrame:
     """Per fare key: amounts pivoted by type, geometry type
     (legs and fares), first / last segment attributes, route text
-    (ordered concatenation of airports), ancillary flag, +-pct bounds."""
+    ('FROM-TO/FROM-TO' in segment order) and marketing carriers ('C1/C2'),
+    ancillary flag, +-pct bounds."""
     k = list(keys)
     piv = O.pivot_sum(amounts.select(*k, "amount_type", "amount"), k, "amount_type", "amount",
                       list(amount_types), prefix="amt_")
+    # route text 'FROM-TO/FROM-TO' in segment order (the ticket composite key's
+    # format) and the carriers joined by '/'; missing codes count as ''
+    segments = (segments.withColumn("_leg", F.concat(F.coalesce("airport_from", F.lit("")), F.lit("-"),
+                                                    F.coalesce("airport_to", F.lit(""))))
+                .withColumn("_carrier", F.coalesce("marketing_carrier", F.lit(""))))
     seg = segments.groupBy(*k).agg(
         F.count(F.lit(1)).alias("segment_cnt"),
         F.count_distinct("leg_number").alias("leg_cnt"),
         F.min(F.struct("segment_rank", "departure_date", "marketing_carrier", "booking_class",
                        "cabin_class_id", "fare_basis", "airport_from")).alias("_first"),
         F.max(F.struct("segment_rank", "arrival_date", "airport_to")).alias("_last"),
-        O.concat_ordered("airport_from", ["segment_rank"], "-").alias("_route_from"),
-        F.max(F.struct("segment_rank", "airport_to")).alias("_route_end"))
+        O.concat_ordered("_leg", ["segment_rank"], "/").alias("route_txt"),
+        O.concat_ordered("_carrier", ["segment_rank"], "/").alias("marketing_carrier"))
     out = fares.join(piv, k, "left").join(seg, k, "left")
     total = F.coalesce(F.col("amt_TOTAL"), F.lit(0))
     return out.select(
@@ -54,7 +60,7 @@ def fare_summary(fares: DataFrame, amounts: DataFrame, segments: DataFrame,
         F.col("_first.booking_class").alias("first_booking_class"),
         F.col("_first.cabin_class_id").alias("first_cabin_class_id"),
         F.col("_first.fare_basis").alias("first_fare_basis"),
-        F.concat_ws("-", "_route_from", F.col("_route_end.airport_to")).alias("route_txt"),
+        "route_txt", "marketing_carrier",
         F.when(F.coalesce(F.col("amt_ANCILLARY"), F.lit(0)) != 0, 1).otherwise(0).alias("has_ancillaries"),
         total.alias("total_amount"),
         (total * F.lit(1 - pct)).alias("total_amount_down"), (total * F.lit(1 + pct)).alias("total_amount_up"))

@@ -58,7 +58,9 @@ def test_fare_summary_keys_totals_finish(spark):
         "leg_number int, departure_date timestamp_ntz, arrival_date timestamp_ntz, marketing_carrier string, "
         "booking_class string, cabin_class_id int, fare_basis string, airport_from string, airport_to string")
     s = {r.fare_number: r for r in SV.fare_summary(fares, amounts, segs, k).collect()}
-    assert (s[1].geometry_type, s[1].route_txt, float(s[1].total_amount), s[1].has_ancillaries) == ("RT", "CDG-LHR-CDG", 100.0, 0)
+    assert (s[1].geometry_type, s[1].route_txt, float(s[1].total_amount), s[1].has_ancillaries) == \
+        ("RT", "CDG-LHR/LHR-CDG", 100.0, 0)
+    assert s[1].marketing_carrier == "AF/AF"
     assert (s[2].geometry_type, s[2].first_carrier, s[2].has_ancillaries) == ("OW", "BA", 1)
     assert (float(s[1].total_amount_down), float(s[1].total_amount_up)) == (97.0, 103.0)
     msgs = spark.createDataFrame([(1, "M1", "ORIGINAL", "P1"), (2, "M1", "ORIGINAL", "P1"), (1, "M2", "ORIGINAL", "P9"),
