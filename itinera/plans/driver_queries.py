@@ -771,5 +771,37 @@ def q_route_text(spark, sf):
                     "segment_cnt", "flight_cnt")
 
 
+def q_fare_summary(spark, sf):
+    """D88 on the driver tables: an order is a fare, its lines are the
+    segments (supplier nation -> customer nation) and its amounts (returned
+    lines as ancillaries, accepted as base, the rest as total)."""
+    from itinera.plans.savings import fare_summary
+    j = _line_nations(spark, sf, extra=("l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+                                        "l_discount"))
+    j = O.sequence_number(j, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                              "l_extendedprice"], "segment_rank")
+    segs = j.select(F.col("l_orderkey").alias("o_orderkey"), "segment_rank",
+                    F.col("l_linenumber").alias("leg_number"),
+                    F.lit(None).cast("timestamp_ntz").alias("departure_date"),
+                    F.lit(None).cast("timestamp_ntz").alias("arrival_date"),
+                    F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("marketing_carrier"),
+                    F.col("l_linestatus").alias("booking_class"),
+                    F.round(F.col("l_discount") * 100).cast("int").alias("cabin_class_id"),
+                    F.col("l_returnflag").alias("fare_basis"),
+                    F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("airport_from"),
+                    F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("airport_to"))
+    kind = F.when(F.col("l_returnflag") == "R", "ANCILLARY").when(F.col("l_returnflag") == "A", "BASE") \
+        .otherwise("TOTAL")
+    amounts = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                               kind.alias("amount_type"), _money("l_extendedprice").alias("amount"))
+    fares = _t(spark, sf, "orders").select("o_orderkey")
+    r = fare_summary(fares, amounts, segs, ["o_orderkey"])
+    return r.select("o_orderkey", *[F.col(f"amt_{t}").cast(M).alias(f"amt_{t.lower()}")
+                                    for t in ("BASE", "TAX", "TOTAL", "ANCILLARY")],
+                    "segment_cnt", "geometry_type", "first_carrier", "first_booking_class",
+                    "first_cabin_class_id", "first_fare_basis", "route_txt", "marketing_carrier",
+                    "has_ancillaries", F.col("total_amount").cast(M).alias("total_amount"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

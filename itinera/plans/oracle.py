@@ -563,3 +563,33 @@ SELECT o.o_orderkey, c.c_custkey, c.c_name FROM orders o JOIN customer c
   ON o.o_custkey = c.c_custkey AND instr(c.c_name, substr(o.o_orderpriority, 1, 1)) > 0""",
 }
 SQL["q_rules_engine_setbased"] = SQL["q_rules_engine"]
+SQL["q_fare_summary"] = f"""
+WITH legs AS (SELECT l.l_orderkey AS o_orderkey, l.l_linenumber AS leg_number,
+                     'S' || CAST(s.s_nationkey AS VARCHAR) AS carrier, l.l_linestatus AS booking_class,
+                     CAST(round(l.l_discount * 100) AS INTEGER) AS cabin, l.l_returnflag AS basis,
+                     'N' || CAST(s.s_nationkey AS VARCHAR) || '-' || 'N' || CAST(c.c_nationkey AS VARCHAR) AS leg,
+                     row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                                        l.l_quantity, l.l_extendedprice) AS segment_rank
+              FROM {LINE_NATIONS}),
+seg AS (SELECT o_orderkey, count(*) AS segment_cnt, count(DISTINCT leg_number) AS leg_cnt,
+               arg_min(carrier, segment_rank) AS first_carrier, arg_min(booking_class, segment_rank) AS first_booking_class,
+               arg_min(cabin, segment_rank) AS first_cabin_class_id, arg_min(basis, segment_rank) AS first_fare_basis,
+               string_agg(leg, '/' ORDER BY segment_rank) AS route_txt,
+               string_agg(carrier, '/' ORDER BY segment_rank) AS marketing_carrier
+        FROM legs GROUP BY o_orderkey),
+amt AS (SELECT l_orderkey AS o_orderkey,
+               sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_extendedprice AS {M}) END) AS amt_base,
+               CAST(NULL AS {M}) AS amt_tax,
+               sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS {M}) END) AS amt_total,
+               sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS {M}) END) AS amt_ancillary
+        FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey, CAST(a.amt_base AS {M}) AS amt_base, CAST(a.amt_tax AS {M}) AS amt_tax,
+       CAST(a.amt_total AS {M}) AS amt_total, CAST(a.amt_ancillary AS {M}) AS amt_ancillary,
+       g.segment_cnt,
+       CASE WHEN coalesce(g.leg_cnt, 0) = 0 THEN 'NA' WHEN g.leg_cnt = 1 THEN 'OW' WHEN g.leg_cnt = 2 THEN 'RT' ELSE 'MD' END
+           AS geometry_type,
+       g.first_carrier, g.first_booking_class, g.first_cabin_class_id, g.first_fare_basis, g.route_txt,
+       g.marketing_carrier,
+       CASE WHEN coalesce(a.amt_ancillary, 0) <> 0 THEN 1 ELSE 0 END AS has_ancillaries,
+       CAST(coalesce(a.amt_total, 0) AS {M}) AS total_amount
+FROM orders o LEFT JOIN amt a ON a.o_orderkey = o.o_orderkey LEFT JOIN seg g ON g.o_orderkey = o.o_orderkey"""

@@ -43,7 +43,7 @@ def fare_summary(fares: DataFrame, amounts: DataFrame, segments: DataFrame,
                 .withColumn("_carrier", F.coalesce("marketing_carrier", F.lit(""))))
     seg = segments.groupBy(*k).agg(
         F.count(F.lit(1)).alias("segment_cnt"),
-        F.count_distinct("leg_number").alias("leg_cnt"),
+        F.size(F.collect_set("leg_number")).alias("leg_cnt"),   # legs of one fare: bounded set
         F.min(F.struct("segment_rank", "departure_date", "marketing_carrier", "booking_class",
                        "cabin_class_id", "fare_basis", "airport_from")).alias("_first"),
         F.max(F.struct("segment_rank", "arrival_date", "airport_to")).alias("_last"),
