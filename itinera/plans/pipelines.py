@@ -135,7 +135,14 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
     # each step's result is checkpointed (reliable, under spark.checkpoint.dir):
     # later steps reuse it without recomputing or re-planning its lineage
     checkpoint_dir(spark)
-    fact = lines_i.unionByName(lines_c, allowMissingColumns=True).checkpoint()
+    fact = lines_i.unionByName(lines_c, allowMissingColumns=True)
+    if "fare_rules" in t:
+        # Fare type from the rules engine (first matching active rule)
+        from itinera.operators.rules import apply_rule_groups, apply_rules
+        fact = apply_rules(fact, t.get("fare_rule_attrs", ["ticket", "doc_kind"]), t["fare_rules"], as_of,
+                           out="fare_rule_id")
+        fact = apply_rule_groups(fact, t["fare_rule_groups"], rule_col="fare_rule_id")
+    fact = fact.checkpoint()
     legs = EA.clean_legs(t["travel_leg"].where(F.col("extract_id") == F.lit(extract_id)), as_of)
     segs = legs.join(fact.select("extract_id", "document_no", "line_no", "record_key", "booking_type_id"),
                      ["extract_id", "document_no", "line_no"], "inner")

@@ -107,3 +107,19 @@ def test_extract_pipeline(spark):
     assert abs(float(x.fare_amt_published) - (280 * 0.993333 + 2)) < 0.01
     assert sav["CR1-10"].savings_rule == "4"   # refunds never match: negated to the paid amount
     assert fl[("INV1-10", 1)].airport_from == "AAA" and fl[("INV1-10", 1)].airport_to == "BBB"
+
+
+
+def test_extract_pipeline_rules_exclude_company_fares(spark):
+    t = extract_tables(spark)
+    t.pop("savings")
+    on = (dt.date(2000, 1, 1), dt.date(2100, 1, 1))
+    t["fare_rules"] = spark.createDataFrame([(300, "ticket", "=", "T1", *on), (300, "doc_kind", "=", "I", *on)],
+                                            "rule_id int, column_name string, comparison string, value string, "
+                                            "effective_start date, effective_end date")
+    t["fare_rule_groups"] = spark.createDataFrame([(300, 101)], "rule_id int, fare_type_id int")
+    out = run_extract_air(spark, t, 5, dt.date(2024, 6, 1))
+    ft = {(r.document_no, r.line_no): r.fare_type_id for r in out["fact"].collect()}
+    assert ft[("INV1", 10)] == 101 and ft[("CR1", 10)] is None
+    am = {(r.document_no, r.line_no): float(r.ticket_amt_tax_fee) for r in out["amounts"].collect()}
+    assert am[("INV1", 10)] == 0.0        # company fare: no tax fee
