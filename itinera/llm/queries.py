@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from itinera.llm import ann, langid, pieces, quality, sharding
+from itinera.llm import ann, decontam, langid, licences, pieces, pii, quality, sharding
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_sharding": sharding.op2_sharding,
     "op3_langid": langid.op3_langid,
+    "op4_licences": licences.op4_licences,
+    "op5_decontam": decontam.op5_decontam,
     "op8_ann": ann.op8_ann,
     "op9_pieces": pieces.op9_pieces,
     "op10_quality": quality.op10_quality,
 }
 
 SQL = {
+    "op4_licences": licences.OP4_SQL,
+    "op5_decontam": decontam.OP5_SQL,
     "op8_ann": ann.OP8_SQL,
 }
