@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from itinera.session import checkpoint_dir
 
-# One word of the licence and decontamination contracts, after A-Z is lowered.
+# One word of the licence and decontamination contracts, after A-Z is lowered,
+# and what stands between words.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-/:-`{-\x7F]++"
 U64 = np.uint64
 
 
@@ -24,13 +26,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only; every other character stays."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Lower-case A-Z only; every other character stays (``lower`` is faster, and the same for ASCII)."""
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def words_of(text: Column) -> Column:
     """Array of words; null text has none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def is_held_out(doc_id: Column) -> Column:

@@ -8,9 +8,9 @@ documents.  Document positions are joined with the windows on that shingle, the
 window's place must lie inside the document (positional and length bounds), and
 its words are compared exactly.
 
-A bitmap of fixed size (``BITS``) over the shingles' hashes, computed as a
-scalar subquery, drops nearly all document positions before the shuffle; the
-join behind it is exact whatever the bitmap lets through.
+A bitmap of fixed size (``BITS``) over the shingles' hashes drops nearly all
+document positions before the shuffle; the join behind it is exact whatever the
+bitmap lets through.
 """
 
 from __future__ import annotations
@@ -47,59 +47,73 @@ def window_shingles(windows: DataFrame) -> DataFrame:
     return w.withColumn("tok", tok)
 
 
+def _is_set(bits: Column, tok: Column) -> Column:
+    at = tok.bitwiseAND(BITS - 1)
+    word = F.get(bits, F.shiftrightunsigned(at, 6).cast("int"))
+    return F.call_function("getbit", word, at.bitwiseAND(63).cast("int")) == 1
+
+
 def bitmap(tokens: DataFrame) -> Column:
-    """Scalar subquery: BITS bits in an array of longs, set at the tokens' hashes."""
-    at = tokens.select(F.expr(f"tok & {BITS - 1}").alias("b"))
+    """Scalar subquery: BITS bits, set at the tokens' hashes, as an array of longs."""
+    at = tokens.select(F.col("tok").bitwiseAND(BITS - 1).alias("b"))
     words = (at.groupBy(F.shiftright("b", 6).alias("i"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("bits")))
-    spark = tokens.sparkSession
-    dense = spark.range(BITS // 64).withColumnRenamed("id", "i").join(words, "i", "left")
+    dense = tokens.sparkSession.range(BITS // 64).withColumnRenamed("id", "i").join(words, "i", "left")
     return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("bits", F.lit(0)).alias("bits")))),
                                  lambda x: x["bits"])).scalar()
 
 
-def positions(docs: DataFrame, sizes: list[int], tokens: DataFrame) -> DataFrame:
-    """Document positions whose shingle may be among ``tokens``: doc_id, key, pos, tok, words.
+def marked(docs: DataFrame, sizes: list[int], tokens: DataFrame, window: int) -> DataFrame:
+    """doc_id, m: the number of words and the positions whose shingle may be among
+    ``tokens``, each with up to ``window`` words to either side.
 
-    ``key`` (a hash of the text) tells rows with one doc_id apart.
+    Beyond the last full shingle the hashes mean nothing; the exact comparison drops
+    them.  The words are bound as a lambda variable: as a column, the optimiser may
+    copy the split into every shingle.
     """
-    spark = docs.sparkSession
-    base = docs.select("doc_id", F.xxhash64("text").alias("key"), words_of(F.col("text")).alias("words"))
-    bits, out = bitmap(tokens), None
-    for k in sizes:
-        shifted = [F.col("words"), *[F.slice("words", j + 1, F.size("words")) for j in range(1, k)]]
-        rows = base.filter(F.size("words") >= k).select(
-            "doc_id", "key", "words", F.posexplode(F.arrays_zip(*[x.alias(f"w{j}") for j, x in enumerate(shifted)])).alias("pos", "z"))
-        fields = [F.col("z")[f] for f in rows.schema["z"].dataType.names]
-        rows = rows.select("doc_id", "key", "words", "pos", shingle(fields).alias("tok"), fields[-1].isNotNull().alias("full"))
-        word = bits[F.expr(f"cast(shiftright(tok & {BITS - 1}, 6) as int)")]
-        rows = rows.withColumn("word", word)
-        rows = rows.filter(F.col("full") & (F.expr("shiftright(word, cast(tok & 63 as int)) & 1") == 1)).drop("full", "word")
-        out = rows if out is None else out.unionByName(rows)
-    return out if out is not None else spark.createDataFrame([], "doc_id long, key long, words array<string>, pos int, tok long")
-
-
-def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """doc_id, key, start, len, win: each place in a document where a window stands."""
+    bits = F.col("bits")
+
+    def places(words, k):
+        every = F.transform(words, lambda word, i: F.struct(
+            i.alias("pos"), shingle([word, *[F.get(words, i + j) for j in range(1, k)]]).alias("tok")))
+        return F.filter(every, lambda s: _is_set(bits, s["tok"]))
+
+    def whole(words):
+        def near(s):
+            left = F.least(s["pos"], F.lit(window - 1))
+            return F.struct(s["pos"].alias("pos"), s["tok"].alias("tok"), left.alias("left"),
+                            F.slice(words, s["pos"] - left + 1, left + window).alias("near"))
+
+        seen = F.concat(F.array().cast("array<struct<pos:int,tok:bigint>>"), *[places(words, k) for k in sizes])
+        return F.struct(F.size(words).cast("long").alias("n_words"), F.transform(seen, near).alias("seen"))
+
+    rows = docs.select("doc_id", "text", bitmap(tokens).alias("bits"))
+    return rows.select("doc_id", F.transform(F.array(words_of(F.col("text"))), whole)[0].alias("m"))
+
+
+def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The documents (row, doc_id, n_words), and each place where a window stands
+    (row, start, len, win)."""
     parts = cut(window_shingles(windows))
     sizes = sorted(r["k"] for r in parts.select("k").distinct().collect())          # at most SHINGLE values
     tokens = parts.select("tok").distinct()
-    counts = (positions(docs, sizes, tokens).groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
-              .join(tokens, "tok", "left_semi"))
+    # explode_outer: explode would add a filter that splits every text once more
+    counts = (marked(docs, sizes, tokens, window).select(F.explode_outer("m.seen.tok").alias("tok"))
+              .groupBy("tok").agg(F.count(F.lit(1)).alias("n")).join(tokens, "tok", "left_semi"))
     # windows with a shingle that no document has cannot occur
     ranked = parts.join(counts, "tok", "left").groupBy("win", "words", "k").agg(
         F.min(F.coalesce("n", F.lit(0))).alias("least"), F.min(F.struct("n", "tok", "rel")).alias("rarest"))
     prefix = cut(ranked.filter(F.col("least") > 0).select("win", F.size("words").alias("len"), "rarest.tok", "rarest.rel"))
 
-    left = F.least(F.col("pos"), F.lit(window - 1))
-    seen = positions(docs, sizes, prefix.select("tok").distinct()).select(
-        "doc_id", "key", "pos", "tok", left.alias("left"),
-        F.slice("words", F.col("pos") - left + 1, left + window).alias("near"))
+    rows = cut(marked(docs, sizes, prefix.select("tok").distinct(), window).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "m"))
+    rows = rows.select("row", "doc_id", "m.n_words", "m.seen")
     at = F.col("left") - F.col("rel")
-    return (seen.join(prefix, "tok")
-            .filter((at >= 0) & (at + F.col("len") <= F.size("near")))
-            .filter(F.array_join(F.slice("near", F.greatest(at, F.lit(0)) + 1, F.col("len")), " ") == F.col("win"))
-            .select("doc_id", "key", (F.col("pos") - F.col("rel")).alias("start"), "len", "win"))
+    found = (rows.select("row", F.inline("seen")).join(prefix, "tok")
+             .filter((at >= 0) & (at + F.col("len") <= F.size("near")))
+             .filter(F.array_join(F.slice("near", F.greatest(at, F.lit(0)) + 1, F.col("len")), " ") == F.col("win"))
+             .select("row", (F.col("pos") - F.col("rel")).alias("start"), "len", "win"))
+    return rows.select("row", "doc_id", "n_words"), found
 
 
 def covered(spans: Column) -> Column:
@@ -119,36 +133,30 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     Only doc_id, text and item_id, text are read.
     """
     windows = cut(item_windows(items, window))
-    found = cut(occurrences(docs, windows, window))
-    hit = found.groupBy("doc_id", "key").agg(
+    rows, found = occurrences(docs, windows, window)
+    found = cut(found)
+    hit = found.groupBy("row").agg(
         covered(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end"))))).cast("long").alias("n_hit"))
-    named = (found.select("doc_id", "key", "win").distinct()
+    named = (found.select("row", "win").distinct()
              .join(windows.select("win", F.col("item_id").cast("string").alias("item")).distinct(), "win")
-             .groupBy("doc_id", "key").agg(F.collect_set("item").alias("ids")))
-    base = docs.select("doc_id", F.xxhash64("text").alias("key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-
-    def with_(left, right, col):
-        r = right.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), col)
-        return left.join(r, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left").drop("d", "k")
-
-    out = with_(with_(base, hit, "n_hit"), named, "ids")
+             .groupBy("row").agg(F.collect_set("item").alias("ids")))
+    out = rows.join(hit.join(named, "row"), "row", "left")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort(ids), ","), 256).alias("items_sha256"),
-                      ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), F.col("key").alias("text_key"))
+                      ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that are not contaminated, with the columns they had."""
-    bad = (decontaminate(docs, items).filter("contaminated")
-           .select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct())
-    bad = cut(bad)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_key"]), "left_anti")
+    """Rows of ``docs`` that are not contaminated, with the columns they had.  Rows that
+    share a doc_id go together."""
+    bad = cut(decontaminate(docs, items).filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 
 
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
