@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itinera.llm import ann, decontam, langid, licences, pieces, pii, quality, sharding
+from itinera.llm import ann, decontam, langid, licences, minhash, pieces, pii, quality, sharding
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_langid": langid.op3_langid,
     "op4_licences": licences.op4_licences,
     "op5_decontam": decontam.op5_decontam,
+    "op6_minhash": minhash.op6_minhash,
     "op8_ann": ann.op8_ann,
     "op9_pieces": pieces.op9_pieces,
     "op10_quality": quality.op10_quality,
@@ -18,5 +19,6 @@ QUERIES = {
 SQL = {
     "op4_licences": licences.OP4_SQL,
     "op5_decontam": decontam.OP5_SQL,
+    "op6_minhash": minhash.OP6_SQL,
     "op8_ann": ann.OP8_SQL,
 }
