@@ -155,5 +155,12 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
         F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
 
 
+def tokenised(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """``docs`` with piece_ids, n_pieces and exact (the ids decode to the text)."""
+    done = decode(encode(docs, path, name="piece_ids"), path, "piece_ids", "decoded_text")
+    return (done.withColumn("n_pieces", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long"))
+            .withColumn("exact", F.col("decoded_text").eqNullSafe(F.col("text"))).drop("decoded_text"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itinera.llm import ann, decontam, langid, licences, minhash, pieces, pii, quality, sharding
+from itinera.llm import ann, decontam, langid, licences, minhash, pieces, pii, quality, repeats, sharding
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_licences": licences.op4_licences,
     "op5_decontam": decontam.op5_decontam,
     "op6_minhash": minhash.op6_minhash,
+    "op7_repeats": repeats.op7_repeats,
     "op8_ann": ann.op8_ann,
     "op9_pieces": pieces.op9_pieces,
     "op10_quality": quality.op10_quality,
