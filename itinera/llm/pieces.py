@@ -29,6 +29,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"      # must exist at this path on
 SPACE = "▁"
 CACHE = 600_000
 UNKNOWN_PENALTY = 10.0
+NEVER = float("-inf")
 
 
 class PieceModel:
@@ -41,6 +42,7 @@ class PieceModel:
         normal = [i for i in ids if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i))]
         self.score = {p.id_to_piece(i): (i, p.get_score(i)) for i in normal}
         self.fallback = min(s for _, s in self.score.values()) - UNKNOWN_PENALTY
+        self.alphabet = {x for x in self.score if len(x) == 1}
         self.automaton = ahocorasick.Automaton()
         for piece, (i, s) in self.score.items():
             self.automaton.add_word(piece, (i, len(piece), s))
@@ -55,28 +57,32 @@ class PieceModel:
         self.cache: dict[str, bytes] = {}
 
     def viterbi(self, unit: str) -> list[int]:
-        """Best segmentation; equal scores go to the longer last piece."""
-        n, unknown = len(unit), self.fallback
-        best, back, done = [0.0] * (n + 1), [None] * (n + 1), 0
-        for end, (i, size, score) in self.automaton.iter(unit):
-            end += 1
-            while done < end:
-                done += 1
-                best[done], back[done] = best[done - 1] + unknown, (1, -1)
-            got = best[end - size] + score
-            if got > best[end] or got == best[end] and size > back[end][0]:
-                best[end], back[end] = got, (size, i)
-        while done < n:
-            done += 1
-            best[done], back[done] = best[done - 1] + unknown, (1, -1)
-        out, at = [], n
-        while at:
-            size, i = back[at]
-            if i < 0:
-                out.extend(self.byte_ids[b] for b in reversed(unit[at - 1].encode("utf-8", "surrogatepass")))
+        """Best segmentation; equal scores go to the longer last piece (the automaton
+        gives the pieces that end at one place longest first)."""
+        n = len(unit)
+        # the place before the text is index -1
+        best, size_at, id_at = [NEVER] * n + [0.0], [1] * n, [-1] * n
+        if self.alphabet.issuperset(unit):
+            for end, (i, size, score) in self.automaton.iter(unit):
+                got = best[end - size] + score
+                if got > best[end]:
+                    best[end], size_at[end], id_at[end] = got, size, i
+        else:
+            done = 0
+            for end, (i, size, score) in self.automaton.iter(unit):
+                while done <= end:
+                    best[done] = best[done - 1] + self.fallback
+                    done += 1
+                got = best[end - size] + score
+                if got > best[end] or got == best[end] and size > size_at[end]:
+                    best[end], size_at[end], id_at[end] = got, size, i
+        out, at = [], n - 1
+        while at >= 0:
+            if id_at[at] < 0:
+                out.extend(self.byte_ids[b] for b in reversed(unit[at].encode("utf-8", "surrogatepass")))
             else:
-                out.append(i)
-            at -= size
+                out.append(id_at[at])
+            at -= size_at[at]
         out.reverse()
         return out
 
