@@ -28,6 +28,8 @@ HASHES, ROWS = 128, 4                 # 32 bands of 4: a pair at 0.85 shares non
 THRESHOLD = (85, 100)
 LEAST_EQUAL = 82                      # of 128 equal coordinates: 6.5 deviations below 0.85
 BLOCK = 512
+FEW = 12                              # so few sets are compared without signatures
+BATCH = 4096
 _rng = np.random.default_rng(20240611)
 BYTE_CODE = _rng.integers(1, 2 ** 63, 256, dtype=np.uint64) | np.uint64(1)
 PLACE = _rng.integers(1, 2 ** 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -128,7 +130,7 @@ def link_block(label, sets, sigs) -> list[int]:
         common = np.add.reduceat((sets[i][place] == both).astype(np.int64), at)
         return den * common >= num * (size[i] + size[others] - common)
 
-    for whole in (False, True):
+    for whole in (False, True) if sigs is not None else (True,):
         for i in range(n):
             own = np.array([find(j) for j in range(n)]) if whole or i == 0 else own  # noqa: F821
             fits = (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (own != own[i])
@@ -138,6 +140,10 @@ def link_block(label, sets, sigs) -> list[int]:
             near = np.flatnonzero(fits)
             if not len(near):
                 continue
+            if sigs is None:
+                for j in near[linked(i, near)]:
+                    join(i, int(j))
+                continue
             equal = (sigs[near] == sigs[i]).sum(axis=1)
             if whole:
                 near = near[equal >= LEAST_EQUAL]
@@ -150,13 +156,28 @@ def link_block(label, sets, sigs) -> list[int]:
 
 
 def _link(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.drop_duplicates("node").sort_values("node").reset_index(drop=True)
-    sets = [np.frombuffer(b, np.uint64) for b in pdf["sets"]]
-    sigs = np.stack([signature(s) for s in sets])
-    roots = link_block(pdf["label"].tolist(), sets, sigs)
-    node = pdf["node"].to_numpy()
-    out = pd.DataFrame({"a": node, "b": node[roots]})
-    return out[out["a"] != out["b"]]
+    """Links (member, first member of its component) of every block in ``pdf``."""
+    links = []
+    for _, block in pdf.groupby(["bucket", "i", "j"], sort=False):
+        block = block.drop_duplicates("node").sort_values("node")
+        if len(block) < 2:
+            continue
+        sets = [np.frombuffer(b, np.uint64) for b in block["sets"]]
+        sigs = np.stack([signature(s) for s in sets]) if len(sets) > FEW else None
+        node = block["node"].to_numpy()
+        roots = np.array(link_block(block["label"].tolist(), sets, sigs))
+        moved = roots != np.arange(len(roots))
+        links.append(pd.DataFrame({"a": node[moved], "b": node[roots[moved]]}))
+    return pd.concat(links) if links else pd.DataFrame({"a": [], "b": []}).astype("int64")
+
+
+def linked_blocks(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """All blocks (bucket, i, j, node, label) linked, about BATCH members to a task's group."""
+    blocks = cut(blocks)
+    parts = max(1, -(-blocks.count() // BATCH))
+    return cut(blocks.join(sets, "node")
+               .withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(parts)))
+               .groupBy("part").applyInPandas(_link, "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -221,9 +242,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # round one: the first band, one block of each bucket; links stay within a block
     n_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     spread = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-    own = met.filter("band = 0").select("node", "bucket", spread.alias("block"))
-    found = cut(own.join(sets, "node").withColumn("label", F.col("node"))
-                .groupBy("bucket", "block").applyInPandas(_link, "a long, b long"))
+    own = met.filter("band = 0").select("bucket", spread.alias("i"), spread.alias("j"), "node", F.col("node").alias("label"))
+    found = linked_blocks(own, sets)
     labels = components(found)
 
     # round two: buckets that hold several components, every pair of their blocks
@@ -235,8 +255,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .withColumn("own", spread)
               .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
               .select("bucket", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
-    more = (blocks.join(sets, "node").groupBy("bucket", "i", "j").applyInPandas(_link, "a long, b long"))
-    labels = components(found.unionByName(cut(more)))
+    labels = components(found.unionByName(linked_blocks(blocks, sets)))
 
     least = (classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     ids = cut(least.groupBy("label").agg(F.min("least_id").alias("component_id")))
