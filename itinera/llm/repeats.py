@@ -11,7 +11,8 @@ are ordered most significant digit first, ``DIGIT`` bytes at a time, single ones
 dropping out after each pass: what is left after LENGTH bytes are exactly the
 repeated windows.
 
-An anchor with more than ``HOT`` regions would burden one task: its windows are
+An anchor with more than ``HOT`` regions (or a millionth of all, so that at most a
+million anchors are hot) would burden one task: its windows are
 counted one by one instead, spread by their own hash with partial counts.
 """
 
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from itinera.llm.common import cut, mix64, table
 
-LENGTH, GRAM, DIGIT = 200, 16, 100
-HOT = 5000
+LENGTH, GRAM, DIGIT = 200, 64, 100
+HOT = 50_000
 REGIONS = 20_000                       # of one task
 BITS = 1 << 25
 CHUNK = 1 << 20
@@ -171,7 +172,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             ok &= (shared.value[b >> 6] >> (b & 63)) & 1 == 1
         return ok
 
-    def regions(batches):
+    def regions(batches, want_hot):
         for batch in batches:
             rows, held = [], 0
             for d, t in zip(batch["doc"], batch["text"]):
@@ -179,6 +180,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 text = raw.tobytes()
                 first, n, at, anchor = runs(raw)
                 ok = may_repeat(anchor)
+                if len(hot_set.value):
+                    ok &= np.isin(anchor, hot_set.value) == want_hot
                 for f, k, a, h in zip(first[ok].tolist(), n[ok].tolist(), at[ok].tolist(), anchor[ok].tolist()):
                     rows.append((d, f, k, a - f, h, text[f:f + k - 1 + LENGTH]))
                     held += k + LENGTH
@@ -189,15 +192,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     totals = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     parts = max(1, -(-totals // REGIONS))
-    rows = long_.mapInPandas(regions, "doc string, first long, n long, at long, anchor long, bytes binary")
-    hot = counts.filter(F.col("n") > HOT).select(F.col("anchor").alias("hot"))
-    n_hot = hot.count()
+    hot = counts.filter(F.col("n") > max(HOT, totals // 1_000_000)).select("anchor").toPandas()["anchor"].to_numpy(np.int64)
+    n_hot = len(hot)
+    hot_set = spark.sparkContext.broadcast(np.sort(hot))
     spans = "doc string, start long, end long"
-    cold = rows if not n_hot else rows.join(hot, F.col("anchor") == F.col("hot"), "left_anti")
-    covered = (cold.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
+    region = "doc string, first long, n long, at long, anchor long, bytes binary"
+    covered = (long_.mapInPandas(lambda batches: regions(batches, False), region).withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
                .groupBy("part").applyInPandas(lambda pdf: sort_regions(pdf), spans))
     if n_hot:
-        single = (rows.join(hot, F.col("anchor") == F.col("hot"), "left_semi")
+        single = (long_.mapInPandas(lambda batches: regions(batches, True), region)
                   .select("doc", "first", "bytes", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("o"))
                   .select("doc", (F.col("first") + F.col("o")).alias("start"),
                           F.unhex(F.md5(F.substring("bytes", F.col("o") + 1, F.lit(LENGTH)))).alias("win")))
