@@ -91,7 +91,7 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ou
     counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
-    return (d.join(offs, keys + ["_b"], "inner")
+    return (_join_back(d, offs, keys + ["_b"])
             .withColumn(out, F.col("_loc") + F.col("_off"))
             .select(*_cols(df, keep_bucket), out))
 
@@ -109,12 +109,23 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     tot = d.groupBy(*keys, "_b").agg(F.sum(value).alias("_n"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*keys, "_b", F.sum("_n").over(wb).alias("_off"))
-    return (d.join(offs, keys + ["_b"], "inner")
+    return (_join_back(d, offs, keys + ["_b"])
             .withColumn(out, F.when(F.col("_off").isNull(), F.col("_loc"))
                         .otherwise(F.col("_loc") + F.col("_off")))
             .select(*_cols(df, keep_bucket), out))
 
 
+def _join_back(d: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Null-safe join of a one-row-per-bucket summary: rows with a null key or a
+    null time keep their place, as in the plain window."""
+    named = side.select(*[F.col(c).alias(f"_j_{c}") for c in on], *[c for c in side.columns if c not in on])
+    cond = None
+    for c in on:
+        same = F.col(c).eqNullSafe(F.col(f"_j_{c}"))
+        cond = same if cond is None else cond & same
+    return d.join(named, cond, "inner").drop(*[f"_j_{c}" for c in on])
+
+
 def _cols(df: DataFrame, keep_bucket: bool) -> list[str]:
     cols = [c for c in df.columns if c != "_b"]
     return cols + ["_b"] if keep_bucket else cols
@@ -132,7 +143,7 @@ def _neighbour(df, keys, order, cols, out, bucket, forward: bool, keep_bucket: b
     summ = d.groupBy(*keys, "_b").agg(edge.alias("_e"))
     wb = Window.partitionBy(*keys).orderBy("_b")
     carry = summ.select(*keys, "_b", fn(F.col("_e._p")).over(wb).alias("_c"))
-    return (d.join(carry, keys + ["_b"], "inner")
+    return (_join_back(d, carry, keys + ["_b"])
             .withColumn(out, F.coalesce(F.col("_loc"), F.col("_c")))
             .select(*_cols(df, keep_bucket), out))
 
@@ -158,7 +169,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     ``right_cols`` (null when none).  Left rows are kept as they are.
 
     Built as one ordered scan over the union of both sides (no pairwise join,
-    so a key with many rows on both sides stays linear).
+    so a key with many rows on both sides stays linear).  Right rows without a
+    time match nothing, left rows without a time find nothing.
     """
     keys = list(keys)
     rcols = list(right_cols)
@@ -166,7 +178,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     lcols = left.columns
     l2 = left.select(*[F.col(c) for c in lcols], F.col(left_time).alias("_t"),
                      F.lit(1).alias("_side"))
-    not_null = F.lit(True)
+    not_null = F.col(right_time).isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     r2 = (right.where(not_null)
@@ -180,7 +192,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     order = ["_t", "_side"] + [f"_o{i}" for i in range(len(ro))]
     if bucket is None:
         w = _w(keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
-        res = u.withColumn(out, F.last("_r", ignorenulls=True).over(w))
+        res = u.withColumn(out, F.when(F.col("_t").isNotNull(), F.last("_r", ignorenulls=True).over(w)))
         return res.where("_side = 1").select(*lcols, out)
     if isinstance(bucket, RangeBucket):
         u = _bucketed(u, keys, order, bucket)      # sampled ranges over (keys, time, side, ties)
@@ -199,10 +211,11 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
              .where("_f = 0").select(*keys, "_b", "_c"))
     lrows = u.where("_side = 1")
     cr = carry.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col("_b").alias("_cb"), "_c")
-    cond = lrows["_b"] == cr["_cb"]
+    cond = lrows["_b"].eqNullSafe(cr["_cb"])
     for k in keys:   # null-safe: a left row with a null key is kept (it matches nothing)
         cond = cond & lrows[k].eqNullSafe(cr[f"_ck_{k}"])
-    res = lrows.join(cr, cond, "left").withColumn(out, F.coalesce(F.col("_loc"), F.col("_c")))
+    res = lrows.join(cr, cond, "left").withColumn(
+        out, F.when(F.col("_t").isNotNull(), F.coalesce(F.col("_loc"), F.col("_c"))))
     return res.select(*lcols, out)
 
 

@@ -133,18 +133,22 @@ def geometry_type(n_legs, n_fares) -> Column:
 def dedupe_two_pass(df: DataFrame, equal_cols: Sequence[str], newest: str,
                     group_keys: Sequence[str], amount: str, out: str) -> DataFrame:
     """Among rows equal on ``equal_cols`` keep those of the newest ``newest``
-    value, then sum ``amount`` per ``group_keys``."""
+    value, then sum ``amount`` per ``group_keys``.  A row with a null in an
+    equal column or in ``newest`` equals no other row and is kept."""
     m = df.groupBy(*equal_cols).agg(F.max(newest).alias(newest))
-    kept = df.join(m, list(equal_cols) + [newest], "left_semi")
+    alone = F.lit(False)
+    for c in [*equal_cols, newest]:
+        alone = alone | F.col(c).isNull()
+    kept = df.join(m, list(equal_cols) + [newest], "left_semi").unionByName(df.where(alone))
     return kept.groupBy(*group_keys).agg(F.sum(amount).alias(out),
                                          F.count(F.lit(1)).alias(f"{out}_rows"))
 
 
 def prorate(df: DataFrame, keys: Sequence[str], weight: str, amount: str, out: str) -> DataFrame:
     """``weight / sum(weight) * amount`` per key; null when any weight of the
-    key is missing or the total is 0."""
+    key is missing, the total is 0 or the key is null."""
     tot = df.groupBy(*keys).agg(strict_sum(weight).alias("_tw"))
-    return (df.join(tot, list(keys), "inner")
+    return (df.join(tot, list(keys), "left")
             .withColumn(out, F.when(F.coalesce(F.col("_tw"), F.lit(0)) != 0,
                                     F.col(weight) * F.col(amount) / F.col("_tw")))
             .drop("_tw"))

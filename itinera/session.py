@@ -48,11 +48,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value always wins.  Only when it is unset (local tests) a
-    fresh folder is created and registered.
+    The cluster's value always wins.  Only when it is unset on a local master
+    (tests) a fresh folder is created and registered; a cluster must name one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         d = tempfile.mkdtemp(prefix="itinera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
