@@ -8,8 +8,11 @@ share a band meet in blocks of bounded size, where signatures discard pairs
 far below the threshold and full sets decide the rest.  Pairs already
 connected are skipped, so a group of copies costs its members, not its pairs.
 
-Round one looks at one block per bucket of the first band, round two at all blocks
-of every bucket that still holds more than one component.
+Buckets with the same members are looked at once.  Round one takes the buckets of
+the first bands: a bucket falls into blocks that have a few of its members in
+common, so a group of near copies becomes one component at a linear cost.  Round
+two takes every bucket that still holds several components and compares what
+lies outside its largest one with everything in it.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ HASHES, ROWS = 128, 4                 # 32 bands of 4: a pair at 0.85 shares non
 THRESHOLD = (85, 100)
 LEAST_EQUAL = 82                      # of 128 equal coordinates: 6.5 deviations below 0.85
 BLOCK = 512
-FEW = 12                              # so few sets are compared without signatures
+FIRST_BANDS = 4                       # bands of round one
 BATCH = 4096
 _rng = np.random.default_rng(20240611)
 BYTE_CODE = _rng.integers(1, 2 ** 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -89,84 +92,59 @@ def signature(sets: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band."""
-    s = sig.astype(np.uint64).reshape(-1, ROWS)
-    h = np.arange(len(s), dtype=np.uint64)
+def bands(sigs: np.ndarray) -> np.ndarray:
+    """One 64-bit key per band of each signature."""
+    s = sigs.astype(np.uint64).reshape(len(sigs), -1, ROWS)
+    h = np.broadcast_to(np.arange(s.shape[1], dtype=np.uint64), s.shape[:2])
     for j in range(ROWS):
-        h = mix64(h * STEP + s[:, j])
+        h = mix64(h * STEP + s[:, :, j])
     return h.astype(np.int64)
 
 
-def link_block(label, sets, sigs) -> list[int]:
+def link_block(label, sets, sigs) -> np.ndarray:
     """For each member the first member of its component: exact Jaccard links within the block.
 
-    First every member meets its most similar one, then all pairs that are still
-    apart, may reach the threshold by their sizes and agree in enough coordinates.
+    Each member meets all later ones that are still apart, may reach the threshold
+    by their sizes and agree in enough coordinates.
     """
     n = len(sets)
-    root = list(range(n))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    def join(i, j):
-        a, b = find(i), find(j)
-        root[max(a, b)] = min(a, b)
-
-    first: dict[int, int] = {}
-    for i, x in enumerate(label):
-        join(first.setdefault(x, i), i)
+    _, first, at = np.unique(label, return_index=True, return_inverse=True)
+    own = first[at]
     size = np.array([len(s) for s in sets])
+    # shingles numbered within the block: a set is marked once and looked up by all others
+    known, number = np.unique(np.concatenate(sets), return_inverse=True)
+    numbers = np.split(number, np.cumsum(size)[:-1])
+    marked = np.zeros(len(known), np.uint8)
     num, den = THRESHOLD
-
-    def linked(i, others):
-        both = np.concatenate([sets[j] for j in others])
-        at = np.concatenate([[0], np.cumsum(size[others])[:-1]])
-        place = np.minimum(np.searchsorted(sets[i], both), size[i] - 1)
-        common = np.add.reduceat((sets[i][place] == both).astype(np.int64), at)
-        return den * common >= num * (size[i] + size[others] - common)
-
-    for whole in (False, True) if sigs is not None else (True,):
-        for i in range(n):
-            own = np.array([find(j) for j in range(n)]) if whole or i == 0 else own  # noqa: F821
-            fits = (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (own != own[i])
-            fits[i] = False
-            if whole:
-                fits[:i] = False
-            near = np.flatnonzero(fits)
-            if not len(near):
-                continue
-            if sigs is None:
-                for j in near[linked(i, near)]:
-                    join(i, int(j))
-                continue
-            equal = (sigs[near] == sigs[i]).sum(axis=1)
-            if whole:
-                near = near[equal >= LEAST_EQUAL]
-            else:
-                near = near[[equal.argmax()]] if equal.max() >= LEAST_EQUAL else near[:0]
-            if len(near):
-                for j in near[linked(i, near)]:
-                    join(i, int(j))
-    return [find(i) for i in range(n)]
+    for i in range(n):
+        fits = (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (own != own[i])
+        near = i + 1 + np.flatnonzero(fits[i + 1:])
+        if len(near):
+            near = near[(sigs[near] == sigs[i]).sum(axis=1) >= LEAST_EQUAL]
+        if not len(near):
+            continue
+        marked[numbers[i]] = 1
+        starts = np.concatenate([[0], np.cumsum(size[near])[:-1]])
+        common = np.add.reduceat(marked[np.concatenate([numbers[j] for j in near])], starts, dtype=np.int64)
+        marked[numbers[i]] = 0
+        joined = own[near[den * common >= num * (size[i] + size[near] - common)]]
+        if len(joined):
+            own[np.isin(own, np.append(joined, own[i]))] = min(joined.min(), own[i])
+    return own
 
 
 def _link(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links (member, first member of its component) of every block in ``pdf``."""
+    """Links (first member of a label, first member of its component) of every block in ``pdf``."""
     links = []
     for _, block in pdf.groupby(["bucket", "i", "j"], sort=False):
         block = block.drop_duplicates("node").sort_values("node")
-        if len(block) < 2:
+        if block["label"].nunique() < 2:
             continue
-        sets = [np.frombuffer(b, np.uint64) for b in block["sets"]]
-        sigs = np.stack([signature(s) for s in sets]) if len(sets) > FEW else None
         node = block["node"].to_numpy()
-        roots = np.array(link_block(block["label"].tolist(), sets, sigs))
-        moved = roots != np.arange(len(roots))
+        roots = link_block(block["label"].to_numpy(), [np.frombuffer(b, np.uint64) for b in block["sets"]],
+                           np.frombuffer(b"".join(block["sig"]), np.uint32).reshape(-1, HASHES))
+        first = np.unique(block["label"], return_index=True)[1]
+        moved = first[roots[first] != first]
         links.append(pd.DataFrame({"a": node[moved], "b": node[roots[moved]]}))
     return pd.concat(links) if links else pd.DataFrame({"a": [], "b": []}).astype("int64")
 
@@ -208,16 +186,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     @F.pandas_udf("n long, class binary, bands array<long>")
     def featured(texts: pd.Series) -> pd.DataFrame:
-        rows = []
+        rows, sigs = [], []
         for t in texts:
             s = shingles(t)
-            rows.append((len(s), hashlib.md5(s.tobytes()).digest() if len(s) else None,
-                         bands(signature(s)) if len(s) else np.zeros(0, np.int64)))
-        return pd.DataFrame(rows, columns=["n", "class", "bands"])
+            rows.append((len(s), hashlib.md5(s.tobytes()).digest() if len(s) else None))
+            sigs.append(signature(s))
+        out = pd.DataFrame(rows, columns=["n", "class"])
+        out["bands"] = list(bands(np.stack(sigs))) if sigs else []
+        return out
 
-    @F.pandas_udf("binary")
-    def sets_of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: shingles(t).tobytes())
+    @F.pandas_udf("sets binary, sig binary")
+    def sets_of(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingles(t) for t in texts]
+        return pd.DataFrame({"sets": [x.tobytes() for x in sets], "sig": [signature(x).tobytes() for x in sets]})
 
     text = F.col("text")
     rows = (docs.select("doc_id", F.xxhash64(text).alias("key"), featured(text).alias("f"))
@@ -228,8 +209,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("row").alias("node"), F.min("doc_id").alias("least_id")))
     picked = cut(rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi"))
     keyed = picked.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    met = cut(keyed.join(shared, "bucket"))
+    # of the buckets with the same members one stays: two 64-bit sums tell member sets apart
+    mixed = F.xxhash64("node")
+    buckets = (keyed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.min("band").alias("band"),
+        F.bit_xor(mixed).alias("sum_a"), F.bit_xor(F.xxhash64(F.lit("b"), "node")).alias("sum_b"),
+        F.array(F.min("node"), F.max("node"), F.min_by("node", mixed), F.max_by("node", mixed)).alias("common"))
+        .filter("members > 1"))
+    shared = cut(buckets.groupBy("members", "sum_a", "sum_b").agg(F.min_by(
+        F.struct("bucket", "band", "common"), F.struct("band", "bucket")).alias("b")).select("members", "b.*"))
+    met = cut(keyed.drop("band").join(shared.drop("common"), "bucket"))
 
     # the sets of the members only, read again from their texts
     asked = met.select(F.col("node").alias("row")).distinct()
@@ -237,23 +226,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .select(F.col("row").alias("node"), F.col("doc_id").alias("wanted_id"), F.col("key").alias("wanted_key")))
     sets = cut(docs.select("doc_id", "text")
                .join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.xxhash64("text") == F.col("wanted_key")))
-               .select("node", sets_of("text").alias("sets")))
+               .select("node", sets_of("text").alias("s")).select("node", "s.*"))
 
-    # round one: the first band, one block of each bucket; links stay within a block
+    # round one: the first bands, block by block; every block of a bucket has its common members
     n_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     spread = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-    own = met.filter("band = 0").select("bucket", spread.alias("i"), spread.alias("j"), "node", F.col("node").alias("label"))
-    found = linked_blocks(own, sets)
+    own = met.filter(F.col("band") < FIRST_BANDS).select("bucket", spread.alias("i"), "node")
+    everywhere = (shared.filter((F.col("band") < FIRST_BANDS) & (F.col("members") > BLOCK))
+                  .select("bucket", "common", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("i"))
+                  .select("bucket", "i", F.explode("common").alias("node")))
+    found = linked_blocks(own.unionByName(everywhere).distinct()
+                          .select("bucket", "i", F.col("i").alias("j"), "node", F.col("node").alias("label")), sets)
     labels = components(found)
 
-    # round two: buckets that hold several components, every pair of their blocks
-    named = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = (named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                         F.count(F.lit(1)).alias("members"))
-             .filter("low <> high").select("bucket", "members"))
-    blocks = (named.select("bucket", "node", "label").join(open_, "bucket")
-              .withColumn("own", spread)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+    # round two: buckets that hold several components; all but the largest component against all
+    named = cut(met.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")))
+    open_ = (named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("members"))
+             .filter("main.n < members"))
+    whole = F.col("members") <= BLOCK
+    rest = F.when(whole, 1).otherwise(F.ceil((F.col("members") - F.col("main.n")) / BLOCK)).cast("int")
+    large = F.when(whole, 0).otherwise(F.ceil(F.col("main.n") / BLOCK)).cast("int")
+    of_main = ~whole & (F.col("label") == F.col("main.label"))
+    blocks = (named.join(open_, "bucket").withColumn("rest", rest).withColumn("large", large).withColumn("of_main", of_main)
+              .withColumn("own", F.when(F.col("of_main"), F.col("rest") + F.pmod(F.xxhash64("node"), "large"))
+                          .otherwise(F.pmod(F.xxhash64("node"), "rest")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(
+                  F.lit(0), F.when(F.col("of_main"), F.col("rest")).otherwise(F.col("rest") + F.col("large")) - 1)))
               .select("bucket", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
     labels = components(found.unionByName(linked_blocks(blocks, sets)))
 
