@@ -122,6 +122,36 @@ def test_near_duplicates(odd):
     assert sorted(r.doc_id or 0 for r in minhash.keep_one_of_each(odd).collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9]
 
 
+@pytest.mark.parametrize("block, first_bands", [(512, 4), (4, 4), (3, 1)])
+def test_near_duplicates_over_many_blocks(spark, monkeypatch, block, first_bands):
+    """Groups far larger than a block, and texts that share buckets without being linked."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "FIRST_BANDS", first_bands)
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(3):
+        base = [f"w{x}" for x in rng.integers(0, 500, 120)]
+        for k in range(24):
+            t = list(base)
+            for at in rng.integers(0, 120, k % 6):
+                t[at] = f"n{rng.integers(0, 10 ** 6)}"
+            texts.append(" ".join(t))
+    texts += ["too short", "too short", "Too Short", texts[0].upper(), None]
+    rows = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    own = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                low, high = sorted((own[i], own[j]))
+                own = [low if x == high else x for x in own]
+    assert len(set(own)) > 5
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {i: (len(sets[i]), own[i]) for i in range(len(texts))}
+
+
 def test_shingle_hashes_match_sets():
     for t in ["a b c d e f a b c d e f", "A b", "x", " \t", "one two three four five"]:
         w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
