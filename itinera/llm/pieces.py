@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -22,12 +23,15 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from itinera.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"      # must exist at this path on every executor
 SPACE = "▁"
-CACHE = 600_000
+CACHE = 150_000                 # units in each of the two generations of a worker's cache
+ROWS = 256                      # rows in one Arrow batch: whole texts of a larger one take much memory beside the heap
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
 
@@ -47,14 +51,16 @@ class PieceModel:
         for piece, (i, s) in self.score.items():
             self.automaton.add_word(piece, (i, len(piece), s))
         self.automaton.make_automaton()
-        self.raw = [b""] * p.get_piece_size()
+        raw = [b""] * p.get_piece_size()
         for piece, (i, _) in self.score.items():
-            self.raw[i] = piece.replace(SPACE, " ").encode("utf-8", "surrogatepass")
+            raw[i] = piece.replace(SPACE, " ").encode("utf-8", "surrogatepass")
         for b, i in self.byte_ids.items():
-            self.raw[i] = bytes([b])
+            raw[i] = bytes([b])
+        self.raw = pa.array(raw, pa.large_binary())
         whole = any(SPACE in x.lstrip(SPACE) or "\n" in x for x in self.score)
         self.units = re.compile(r"(?s).+" if whole else rf"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def viterbi(self, unit: str) -> list[int]:
         """Best segmentation; equal scores go to the longer last piece (the automaton
@@ -86,27 +92,45 @@ class PieceModel:
         out.reverse()
         return out
 
+    def learn(self, unit: str) -> bytes:
+        """Ids of a unit that the young generation lacks; units in use outlive a change of generations."""
+        ids = self.old.get(unit)
+        if ids is None:
+            ids = array("i", self.viterbi(unit)).tobytes()
+        if len(unit) <= 64:
+            if len(self.young) >= CACHE:
+                self.old, self.young = self.young, {}
+            self.young[unit] = ids
+        return ids
+
     def encode(self, text: str) -> np.ndarray:
         """int32 ids of the whole text.  Empty text has none.  A literal space mark is spelled in bytes."""
         out: list[bytes] = []
-        get, cache = self.cache.get, self.cache
         for k, part in enumerate(text.split(SPACE) if text else ()):
             if k:
                 out.append(np.array([self.byte_ids[b] for b in SPACE.encode()], np.int32).tobytes())
             for unit in self.units.findall((" " + part if not k else part).replace(" ", SPACE)):
-                ids = get(unit)
-                if ids is None:
-                    ids = array("i", self.viterbi(unit)).tobytes()
-                    if len(unit) <= 64:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        cache[unit] = ids
-                out.append(ids)
+                out.append(self.young.get(unit) or self.learn(unit))
         return np.frombuffer(b"".join(out), np.int32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        raw = self.raw
-        return b"".join([raw[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every text; null for null."""
+        found = [self.encode(t or "") for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        values = np.concatenate([np.zeros(0, np.int32), *found])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=texts.is_null())
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The text of every list of ids; null for null."""
+        ends = ids.offsets.to_numpy()
+        pieces = self.raw.take(ids.values[ends[0]:ends[-1]])
+        if not len(pieces):
+            return pa.array([None if n else "" for n in ids.is_null().to_pylist()], pa.string())
+        _, starts, raw = pieces.buffers()
+        at = np.frombuffer(starts, np.int64)[ends - ends[0]].tolist()
+        raw = memoryview(raw)
+        return pa.array([str(raw[a + 1:b], "utf-8", "surrogatepass") if ok else None     # without the space put before
+                         for ok, a, b in zip(ids.is_valid().to_pylist(), at, at[1:])], pa.string())
 
 
 _models: dict[str, PieceModel] = {}
@@ -121,28 +145,34 @@ def model(path: str) -> PieceModel:
 
 def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with the piece ids of the whole text in ``name`` (null for null text, [] for empty)."""
-    @F.arrow_udf("array<int>")
-    def run(texts: pa.Array) -> pa.Array:
-        m = model(path)
-        found = [m.encode(t or "") for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        values = np.concatenate([np.zeros(0, np.int32), *found])
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=texts.is_null())
-
+    run = F.arrow_udf(lambda texts: model(path).encode_all(texts), "array<int>")
     return docs.withColumn(name, run(F.col(text_col)))
 
 
 def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """``docs`` with the text that the ids stand for in ``name`` (null for null)."""
-    @F.arrow_udf("string")
-    def run(ids: pa.Array) -> pa.Array:
+    run = F.arrow_udf(lambda ids: model(path).decode_all(ids), "string")
+    return docs.withColumn(name, run(F.col(ids_col)))
+
+
+def encode_and_decode(docs: DataFrame, path: str = MODEL, text_col: str = "text", name: str = "ids",
+                      decoded: str = "decoded") -> DataFrame:
+    """``docs`` with both columns, in one pass: chained UDFs whose ids are also kept would encode
+    every text twice.  Columns of these names are replaced.  Sets the session's Arrow batches to
+    ``ROWS`` rows at most."""
+    docs, conf = docs.drop(name, decoded), docs.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_ROWS)) <= ROWS:
+        conf.set(BATCH_ROWS, str(ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-        known = ids.is_valid().to_pylist()
-        return pa.array([m.decode(values[a:b]) if ok else None
-                         for ok, a, b in zip(known, ends, ends[1:])], pa.string())
+        for batch in batches:
+            ids = m.encode_all(batch.column(text_col))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids, m.decode_all(ids)],
+                                             [*batch.schema.names, name, decoded])
 
-    return docs.withColumn(name, run(F.col(ids_col)))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, ArrayType(IntegerType())),
+                                            StructField(decoded, StringType())]))
 
 
 def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
@@ -153,7 +183,7 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
     decode to empty.  Repeated rows give a row each; an empty table none; only
     doc_id and text are read.
     """
-    done = decode(encode(docs.select("doc_id", "text"), path), path)
+    done = encode_and_decode(docs.select("doc_id", "text"), path)
     return done.select(
         "doc_id", F.greatest(F.size(F.coalesce("ids", F.array().cast("array<int>"))), F.lit(0)).cast("long").alias("n_pieces"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
@@ -163,7 +193,7 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 def tokenised(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``docs`` with piece_ids, n_pieces and exact (the ids decode to the text)."""
-    done = decode(encode(docs, path, name="piece_ids"), path, "piece_ids", "decoded_text")
+    done = encode_and_decode(docs, path, name="piece_ids", decoded="decoded_text")
     return (done.withColumn("n_pieces", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long"))
             .withColumn("exact", F.col("decoded_text").eqNullSafe(F.col("text"))).drop("decoded_text"))
 

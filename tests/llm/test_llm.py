@@ -209,6 +209,19 @@ def test_pieces(odd):
         assert m.viterbi(unit) == best[-1][1]
 
 
+def test_pieces_pass_and_parts_agree(odd, monkeypatch):
+    """One pass gives what encode and decode give; clashing names are replaced; generations of the cache change nothing."""
+    clash = odd.withColumn("ids", F.lit("x")).withColumn("decoded", F.lit(1))
+    one = pieces.encode_and_decode(clash)
+    two = pieces.decode(pieces.encode(odd))
+    assert sorted(one.columns) == sorted(two.columns)
+    assert sorted(map(repr, one.select(two.columns).collect())) == sorted(map(repr, two.collect()))
+    m, small = pieces.model(pieces.MODEL), pieces.PieceModel(pieces.MODEL)
+    monkeypatch.setattr(pieces, "CACHE", 2)
+    for _, t in ODD * 2:
+        assert small.encode(t or "").tolist() == m.encode(t or "").tolist()
+
+
 def test_quality(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify_quality(docs, labels).join(labels, "doc_id").filter("held_out")
