@@ -210,10 +210,12 @@ def keep_if_absent(df: DataFrame, other: DataFrame, on) -> DataFrame:
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """``col NOT IN (SELECT other_col FROM other)`` with SQL null semantics
     (a null in ``other`` removes every row; a null ``col`` is removed unless
-    ``other`` is empty) — Spark plans it as a null-aware anti join."""
-    spark = df.sparkSession
-    return spark.sql(
-        f"SELECT * FROM {{df}} WHERE `{col}` NOT IN (SELECT `{other_col}` FROM {{other}})",
+    ``other`` is empty): an equi anti join, so neither side need be broadcast,
+    and two scalar tests of ``other``."""
+    return df.sparkSession.sql(
+        f"SELECT * FROM {{df}} AS d WHERE NOT EXISTS (SELECT 1 FROM {{other}} AS o WHERE o.`{other_col}` = d.`{col}`) "
+        f"AND NOT EXISTS (SELECT 1 FROM {{other}} WHERE `{other_col}` IS NULL) "
+        f"AND (d.`{col}` IS NOT NULL OR NOT EXISTS (SELECT 1 FROM {{other}}))",
         df=df, other=other)
 
 

@@ -57,69 +57,13 @@ def validate(rules: DataFrame) -> None:
         raise ValueError(f"unknown rule comparison {bad[0][0]!r}")
 
 
-# rule tables up to this many active conditions are compiled into one
-# projection; larger ones use the set-based join
-MAX_COMPILED_CONDITIONS = 5000
-
-
-def _holds(col: Column, cmp: str, value: str) -> Column:
-    if cmp in ("=", "IN"):
-        return col == F.lit(value)
-    if cmp == "<>":
-        return col != F.lit(value)
-    if cmp in ("LIKE", "MATCH"):
-        return col.like(value)
-    if cmp == "NOT LIKE":
-        return ~col.like(value)
-    raise ValueError(cmp)
-
-
-def compile_rules(conditions: list, attrs: Sequence[str]) -> Column:
-    """First matching rule id as one CASE expression (rules ascending).
-    ``conditions`` are (rule_id, column_name, comparison, value) rows with
-    names and values already normalised and lists exploded."""
-    amap = {a.upper(): a for a in attrs}
-    by_rule: dict[int, list] = {}
-    for rid, name, cmp, val in conditions:
-        by_rule.setdefault(rid, []).append((name, cmp, val))
-    out = None
-    for rid in sorted(by_rule):
-        conds = by_rule[rid]
-        ok = F.lit(True)
-        for kinds in (DIRECT, ("IN",), ("MATCH",)):
-            part = [c for c in conds if c[1] in kinds]
-            if not part:
-                continue
-            passes, fails = F.lit(False), F.lit(False)
-            for name, cmp, val in part:
-                if name not in amap:          # unknown attribute: neither passes nor fails
-                    continue
-                v = _norm(F.col(amap[name]).cast("string"))
-                h = _holds(v, cmp, val)
-                passes = passes | F.coalesce(h, F.lit(False))
-                if kinds == DIRECT:
-                    fails = fails | F.coalesce(~h, F.lit(False))
-            ok = ok & passes & ~fails
-        out = F.when(ok, F.lit(rid)) if out is None else out.when(ok, F.lit(rid))
-    return out if out is not None else F.lit(None).cast("int")
-
-
 def apply_rules(facts: DataFrame, attrs: Sequence[str], rules: DataFrame, as_of,
-                out: str = "rule_id", check: bool = True, method: str = "auto") -> DataFrame:
-    """Add ``out`` = the smallest matching active rule id (null if none).
-
-    ``method='compiled'`` turns the (size-checked) active conditions into
-    one CASE projection — no shuffle at all; ``'join'`` is the set-based
-    plan below; ``'auto'`` compiles when the active conditions number at
-    most ``MAX_COMPILED_CONDITIONS`` (one count over the rule table)."""
+                out: str = "rule_id", check: bool = True) -> DataFrame:
+    """Add ``out`` = the smallest matching active rule id (null if none), in
+    the type of the rule ids, by one plan whatever the size of the rule table."""
     if check:
         validate(rules)
-    if method in ("auto", "compiled"):
-        conds = active_conditions(rules, as_of)
-        if method == "compiled" or conds.count() <= MAX_COMPILED_CONDITIONS:
-            rows = [tuple(r) for r in conds.select("rule_id", "column_name", "comparison", "value").collect()]
-            return facts.withColumn(out, compile_rules(rows, attrs).cast("int"))
-    conds = F.broadcast(active_conditions(rules, as_of))
+    conds = active_conditions(rules, as_of)
     flags = (conds.groupBy("rule_id").agg(
         F.max(F.col("comparison").isin(*DIRECT).cast("int")).alias("_has_d"),
         F.max((F.col("comparison") == "IN").cast("int")).alias("_has_in"),
@@ -144,7 +88,7 @@ def apply_rules(facts: DataFrame, attrs: Sequence[str], rules: DataFrame, as_of,
     cnt = per.groupBy(*attrs, "rule_id").agg(
         F.sum("_dp").alias("_dp"), F.sum("_df").alias("_df"),
         F.sum("_ip").alias("_ip"), F.sum("_mp").alias("_mp"))
-    ok = cnt.join(F.broadcast(flags), "rule_id").where(
+    ok = cnt.join(flags, "rule_id").where(
         ((F.col("_has_d") == 0) | ((F.col("_dp") > 0) & (F.col("_df") == 0)))
         & ((F.col("_has_in") == 0) | (F.col("_ip") > 0))
         & ((F.col("_has_m") == 0) | (F.col("_mp") > 0)))
@@ -160,7 +104,7 @@ def apply_rule_groups(facts: DataFrame, rule_groups: DataFrame, rule_col: str =
                       target: str = "fare_type_id") -> DataFrame:
     """Fill ``target`` from the matched rule's group where still null."""
     g = rule_groups.select(F.col("rule_id").alias("_rg"), F.col(target).alias("_ft"))
-    j = facts.join(F.broadcast(g), facts[rule_col] == g["_rg"], "left")
+    j = facts.join(g, facts[rule_col] == g["_rg"], "left")
     if target in facts.columns:
         j = j.withColumn(target, F.coalesce(F.col(target), F.col("_ft")))
     else:

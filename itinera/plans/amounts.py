@@ -3,6 +3,8 @@ exchange, and YQ / YR surcharges parsed from tagged text lines."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from itinera import functions as X
@@ -63,7 +65,8 @@ def surcharges(tagged: DataFrame, lines: DataFrame) -> DataFrame:
     of non-low-cost sales lines — the amount before the first and before the
     second occurrence of each code, a row kept when either amount text is
     numeric.  Equal rows seen in several extracts count once (the newest
-    extract); the rest is summed per (product, file, tag)."""
+    extract); the rest is summed per (product, file, tag, extract), and the
+    newest extract's sum holds, so a corrected amount replaces the old one."""
     files = (lines.where((F.col("crs") != "LOWCOST") & (F.col("file_name") != ""))
              .select("product_id", "file_name").distinct())
     t = (tagged.where(F.col("tag").isin(*SURCHARGE_TAGS)
@@ -85,9 +88,12 @@ def surcharges(tagged: DataFrame, lines: DataFrame) -> DataFrame:
     s = parts[0].unionByName(parts[1])
     eq = ["product_id", "file_name", "tag", "yq", "yr"]
     newest = s.groupBy(*eq).agg(F.max("extract_id").alias("extract_id"))
-    kept = s.join(newest, eq + ["extract_id"], "left_semi")
-    return kept.groupBy("product_id", "file_name", "tag").agg(
-        F.sum("yq").alias("yq_amt"), F.sum("yr").alias("yr_amt"))
+    alone = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in eq])       # equals no other row
+    kept = s.join(newest, eq + ["extract_id"], "left_semi").unionByName(s.where(alone))
+    sums = kept.groupBy("product_id", "file_name", "tag", "extract_id").agg(F.sum("yq").alias("yq"), F.sum("yr").alias("yr"))
+    return (sums.groupBy("product_id", "file_name", "tag")
+            .agg(F.max_by(F.struct("yq", "yr"), "extract_id").alias("_s"))
+            .select("product_id", "file_name", "tag", F.col("_s.yq").alias("yq_amt"), F.col("_s.yr").alias("yr_amt")))
 
 
 # fixed values: fare types excluded from the tax fee (company fares)

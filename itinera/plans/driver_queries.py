@@ -16,6 +16,7 @@ from itinera import functions as X
 from itinera import operators as O
 from itinera.plans import literals as L
 from itinera.session import work_path
+from itinera.plans.file_loads import segment_geography
 from itinera.sources import insert_new_members, latest_extract, replace_slice
 
 M = "decimal(18,2)"
@@ -388,25 +389,16 @@ def q_dominance(spark, sf):
 
 
 def _geography(spark, sf):
-    j = _line_nations(spark, sf)
-    single = _lit_df(spark, [(n, t, L.GEO_PRIORITY[t]) for n, t in L.geo_country()],
-                     "g_nation int, g_type int, g_prio int")
-    pairs = _lit_df(spark, [(a, b, 6) for a, b in L.GEO_PAIRS], "p_from int, p_to int, p_type int")
-    f = single.select(F.col("g_nation").alias("f_nation"), F.col("g_type").alias("f_type"),
-                      F.col("g_prio").alias("f_prio"))
-    h = single.select(F.col("g_nation").alias("h_nation"), F.col("g_type").alias("h_type"),
-                      F.col("g_prio").alias("h_prio"))
-    j = (j.join(f, j["c_nationkey"] == f["f_nation"], "left")
-         .join(h, j["s_nationkey"] == h["h_nation"], "left")
-         .join(pairs, (j["s_nationkey"] == pairs["p_from"]) & (j["c_nationkey"] == pairs["p_to"]), "left"))
-    jt, jp = F.lit(L.GEO_DEFAULT), F.lit(L.GEO_PRIORITY[L.GEO_DEFAULT])
-    fp, hp = F.col("f_prio"), F.col("h_prio")
-    geo = (F.when(F.col("p_type").isNotNull(), F.col("p_type"))
-           .when(fp.isNotNull() & hp.isNotNull(), F.when(fp < hp, F.col("f_type")).otherwise(F.col("h_type")))
-           .when(fp.isNull() & hp.isNotNull(), F.when(jp < hp, jt).otherwise(F.col("h_type")))
-           .when(fp.isNotNull() & hp.isNull(), F.when(jp < fp, jt).otherwise(F.col("f_type")))
-           .otherwise(jt))
-    return j.select(*LINE_ID, geo.cast("int").alias("geography_type_id"))
+    j = _line_nations(spark, sf).select(
+        "*", F.lit(1).alias("travel_product_id"), F.col("s_nationkey").cast("string").alias("from_country_code"),
+        F.col("c_nationkey").cast("string").alias("to_country_code"))
+    country = ([(1, 1, str(n), None, t) for n, t in L.geo_country()]
+               + [(1, 1, str(a), str(b), 6) for a, b in L.GEO_PAIRS] + [(1, 1, "", None, L.GEO_DEFAULT)])
+    country = spark.createDataFrame(country, "travel_product_id int, line_of_business_id int, country_code string, "
+                                             "country_code_destination string, geography_type_id int")
+    priority = spark.createDataFrame([(1, 1, t, p) for t, p in L.GEO_PRIORITY.items()],
+                                     "travel_product_id int, line_of_business_id int, geography_type_id int, priority int")
+    return segment_geography(j, country, priority).select(*LINE_ID, F.col("geography_type_id").cast("int"))
 
 
 def q_priority_cascade(spark, sf):
@@ -452,26 +444,21 @@ def _rule_facts(spark, sf):
 RULE_ATTRS = ["l_returnflag", "l_linestatus", "p_brand", "p_type", "p_size", "disc_flag"]
 
 
-def _rules_query(spark, sf, method):
+def q_rules_engine(spark, sf):
+    """Distinct attribute tuples, one join to the conditions, counts, minimum id."""
     f = _rule_facts(spark, sf)
     rules = spark.createDataFrame(
         L.RULES, "rule_id int, column_name string, comparison string, value string, "
                  "effective_start date, effective_end date")
     groups = spark.createDataFrame(L.RULE_GROUPS, "rule_id int, fare_type_id int")
-    r = O.apply_rules(f, RULE_ATTRS, rules, L.RULES_AS_OF, method=method)
+    r = O.apply_rules(f, RULE_ATTRS, rules, L.RULES_AS_OF)
     r = O.apply_rule_groups(r, groups)
     return r.select(*LINE_ID, "rule_id", "fare_type_id")
 
 
-def q_rules_engine(spark, sf):
-    """D33 with the size-checked rule table compiled into one projection."""
-    return _rules_query(spark, sf, "auto")
-
-
 def q_rules_engine_setbased(spark, sf):
-    """D33 through the set-based plan used for large rule tables (distinct
-    attribute tuples, one join to the conditions, counts, minimum id)."""
-    return _rules_query(spark, sf, "join")
+    """The name under which the set-based plan, now the only one, was registered at first."""
+    return q_rules_engine(spark, sf)
 
 
 # ---- scalar semantics --------------------------------------------------------

@@ -9,6 +9,7 @@ broadcast explicitly; everything else is left to AQE.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -144,49 +145,59 @@ def segment_values(segments: DataFrame) -> DataFrame:
     return O.prorate(segments, KEY, "mileage_cnt", "base_amt", "segment_value")
 
 
+LAST = 2 ** 31 - 1          # a priority behind all others
+
+
+def least_geography(pair: Column, singles: Sequence[Column], default: Column) -> Column:
+    """The pair's type where there is one; else the type of least priority among
+    the singles and, unless all of them are known, the default.  Equal priorities
+    go to the earlier single, then the default.  Singles and default are structs
+    of priority and type."""
+    complete = F.lit(True)
+    for c in singles:
+        complete = complete & c.isNotNull()
+    offered = [*singles, F.when(~complete, default)]
+    ranked = [F.when(c.isNotNull(), F.struct(F.coalesce(c["priority"], F.lit(LAST)).alias("priority"),
+                                             F.lit(i).alias("place"), c["type"].alias("type")))
+              for i, c in enumerate(offered)]
+    return F.coalesce(pair, F.array_min(F.array_compact(F.array(*ranked)))["type"])
+
+
 def segment_geography(segments: DataFrame, geo_country: DataFrame, geo_priority: DataFrame,
                       travel_product_col: str = "travel_product_id", line_of_business: int = 1,
                       from_country: str = "from_country_code",
                       to_country: str = "to_country_code") -> DataFrame:
-    """city/country pair first; else the lower-priority of the two
-    single-country geographies; with one of them, it against the default
-    (country ''); else the default."""
-    gc = geo_country.where(F.col("line_of_business_id") == line_of_business)
-    gp = geo_priority.where(F.col("line_of_business_id") == line_of_business).select(
-        "travel_product_id", "geography_type_id", "priority")
-    single = (gc.where(F.col("country_code_destination").isNull() & (F.col("country_code") != ""))
-              .join(gp, ["travel_product_id", "geography_type_id"], "inner"))
-    single = O.first_per_key(single.select("travel_product_id", "country_code", "priority", "geography_type_id"),
-                             ["travel_product_id", "country_code"], ["priority", "geography_type_id"])
-    dflt = O.first_per_key(
-        gc.where(F.col("country_code") == "").join(gp, ["travel_product_id", "geography_type_id"])
-        .select("travel_product_id", F.col("priority").alias("j_prio"), F.col("geography_type_id").alias("j_type")),
-        ["travel_product_id"], ["j_prio", "j_type"])
-    pairs = O.first_per_key(
-        gc.where(F.col("country_code_destination").isNotNull())
-        .select("travel_product_id", F.col("country_code").alias("k_from"),
-                F.col("country_code_destination").alias("k_to"), F.col("geography_type_id").alias("k_type")),
-        ["travel_product_id", "k_from", "k_to"], ["k_type"])
-    f = single.select(F.col("travel_product_id").alias("_fp"), F.col("country_code").alias("_fc"),
-                      F.col("priority").alias("f_prio"), F.col("geography_type_id").alias("f_type"))
-    h = single.select(F.col("travel_product_id").alias("_hp"), F.col("country_code").alias("_hc"),
-                      F.col("priority").alias("h_prio"), F.col("geography_type_id").alias("h_type"))
-    tp = F.col(travel_product_col)
-    s = (segments.join(f, (tp == f["_fp"]) & (F.col(to_country) == f["_fc"]), "left")
-         .join(h, (tp == h["_hp"]) & (F.col(from_country) == h["_hc"]), "left")
-         .join(dflt.withColumnRenamed("travel_product_id", "_jp"), tp == F.col("_jp"), "left")
-         .join(pairs.withColumnRenamed("travel_product_id", "_kp"),
-               (tp == F.col("_kp")) & (F.col(from_country) == F.col("k_from")) & (F.col(to_country) == F.col("k_to")),
-               "left"))
-    fp, hp, jp = F.col("f_prio"), F.col("h_prio"), F.col("j_prio")
-    geo = (F.when(F.col("k_type").isNotNull(), F.col("k_type"))
-           .when(fp.isNotNull() & hp.isNotNull(), F.when(fp < hp, F.col("f_type")).otherwise(F.col("h_type")))
-           .when(fp.isNull() & hp.isNotNull(), F.when(jp < hp, F.col("j_type")).otherwise(F.col("h_type")))
-           .when(fp.isNotNull() & hp.isNull(), F.when(jp < fp, F.col("j_type")).otherwise(F.col("f_type")))
-           .otherwise(F.col("j_type")))
-    return s.withColumn("geography_type_id", geo).drop(
-        "_fp", "_fc", "f_prio", "f_type", "_hp", "_hc", "h_prio", "h_type", "_jp", "j_prio", "j_type",
-        "_kp", "k_from", "k_to", "k_type")
+    """The country pair's geography first; else the one of least priority
+    among both countries' own and, where one of these is missing, the default
+    (country '')."""
+    ours = F.col("line_of_business_id") == line_of_business
+    country = geo_country.where(ours).select(
+        F.col("travel_product_id").alias("_product"), F.col("country_code").alias("_country"),
+        F.col("country_code_destination").alias("_to"), F.col("geography_type_id").alias("type"))
+    priority = geo_priority.where(ours & F.col("priority").isNotNull()).select(
+        F.col("travel_product_id").alias("_product"), F.col("geography_type_id").alias("type"), "priority")
+    own = (country.where(F.col("_to").isNull()).join(priority, ["_product", "type"])
+           .groupBy("_product", "_country").agg(F.min(F.struct("priority", "type")).alias("_offer")))
+    pairs = country.where(F.col("_to").isNotNull()).groupBy("_product", "_country", "_to").agg(
+        F.min("type").alias("_pair"))
+    product = travel_product_col
+    out = _with_value(segments, own.where("_country != ''"), {product: "_product", from_country: "_country"},
+                      "_offer", "_origin")
+    out = _with_value(out, own.where("_country != ''"), {product: "_product", to_country: "_country"},
+                      "_offer", "_destination")
+    out = _with_value(out, own.where("_country = ''"), {product: "_product"}, "_offer", "_default")
+    out = _with_value(out, pairs, {product: "_product", from_country: "_country", to_country: "_to"},
+                      "_pair", "_both")
+    chosen = least_geography(F.col("_both"), [F.col("_origin"), F.col("_destination")], F.col("_default"))
+    return out.withColumn("geography_type_id", chosen).drop("_origin", "_destination", "_default", "_both")
+
+
+def _with_value(df: DataFrame, dim: DataFrame, on: dict[str, str], value: str, out: str) -> DataFrame:
+    """``df`` with the ``value`` of the dimension row whose columns equal its own, as ``out``."""
+    keys = {c: f"{out}_{k}" for k, c in enumerate(on.values())}
+    d = dim.select(*[F.col(c).alias(k) for c, k in keys.items()], F.col(value).alias(out))
+    same = reduce(lambda a, b: a & b, [df[c] == d[keys[k]] for c, k in on.items()])
+    return df.join(d, same, "left").drop(*keys.values())
 
 
 # ---- D42 / D50 / D52 flights -----------------------------------------------------------

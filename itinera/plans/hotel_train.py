@@ -167,20 +167,26 @@ def load_train_segments(fact: DataFrame, seg_stage: DataFrame, fx_rates: DataFra
 
 
 def train_route_text(segments: DataFrame, stations: DataFrame, lang_col: str = "lang_id") -> DataFrame:
-    """City names in segment order, each cut to 25 characters, joined
-    with '/' (each next segment adds its arrival city) and cut to 500."""
-    st = stations.select(F.col("station_code").alias("_sc"), F.col("city_name").alias("_city"),
-                         F.col(lang_col).alias("_lang"))
-    s = segments.join(st, (segments["station_from"] == st["_sc"]) & (segments["lang_id"] == st["_lang"]), "left") \
-        .withColumnRenamed("_city", "city_from").drop("_sc", "_lang")
-    s = s.join(st, (s["station_to"] == st["_sc"]) & (s["lang_id"] == st["_lang"]), "left") \
-        .withColumnRenamed("_city", "city_to").drop("_sc", "_lang")
+    """City names in segment order, each cut to 25 characters and
+    'Unknown' where missing: every departure with '/', the arrival with '_'
+    where the next segment departs elsewhere, and the last arrival; cut to 500."""
+    city = X.clean("city_name")
+    shown = F.coalesce(city, X.clean("display_name")) if "display_name" in stations.columns else city
+    st = stations.select(F.col("station_code").alias("_sc"), F.col(lang_col).alias("_lang"),
+                         F.coalesce(city, F.col("station_code")).alias("_place"), shown.alias("_name"))
+    s = segments
+    for side in ("from", "to"):
+        d = st.select(*[F.col(c).alias(f"{c}_{side}") for c in st.columns])
+        s = s.join(d, (s[f"station_{side}"] == d[f"_sc_{side}"]) & (s["lang_id"] == d[f"_lang_{side}"]), "left")
     # the segments of one ticket are a bounded group
-    first_seg = F.min("segment_nbr").over(Window.partitionBy(*KEY))
-    piece = F.when(F.col("segment_nbr") == first_seg,
-                   F.concat_ws("/", X.fit("city_from", 25), X.fit("city_to", 25))).otherwise(
-        F.concat(F.lit("/"), X.fit("city_to", 25)))
-    s = s.withColumn("_piece", piece)
+    w = Window.partitionBy(*KEY).orderBy("segment_nbr")
+    follows = F.lead("segment_nbr").over(w) == F.col("segment_nbr") + 1
+    s = s.withColumn("_next", F.when(follows, F.lead("_place_from").over(w)))
+    name = {side: X.fit(F.coalesce(f"_name_{side}", F.lit("Unknown")), 25) for side in ("from", "to")}
+    s = s.withColumn("_piece", F.concat(
+        name["from"], F.lit("/"),
+        F.when(F.col("_next").isNull(), name["to"])
+        .when(F.col("_place_to") != F.col("_next"), F.concat(name["to"], F.lit("_"))).otherwise("")))
     out = s.groupBy(*KEY).agg(O.concat_ordered("_piece", ["segment_nbr"], "").alias("route_txt"))
     return out.withColumn("route_txt", X.fit("route_txt", 500))
 

@@ -14,7 +14,7 @@ from itinera import operators as O
 from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
 from itinera.session import checkpoint_dir, work_path
-from itinera.sources import log_step, register_keys, replace_slice
+from itinera.sources import log_step, register_keys, replace_batch
 
 # fixed values: key-table type per source
 KEY_TYPE = {"air_file": 18, "hotel_file": 19, "train_file": 17, "air_extract": 28}
@@ -24,7 +24,7 @@ def _write(spark: SparkSession, df: DataFrame, root: str, name: str, batch_id, s
            log: str) -> DataFrame:
     start = dt.datetime.now()
     path = os.path.join(root, name)
-    replace_slice(df, path, ["file_id"])
+    replace_batch(df, path, "file_id", batch_id)
     log_step(spark, log, batch_id, step, start, dt.datetime.now())
     return spark.read.parquet(path).where(F.col("file_id") == F.lit(batch_id))
 
@@ -158,7 +158,7 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
         from itinera.plans import amounts as AM
         lines = inv.unionByName(cr, allowMissingColumns=True)
         la = AM.line_amounts(lines)
-        sur = AM.surcharges(t["tagged_text"].where(F.col("extract_id") == F.lit(extract_id)), la)
+        sur = AM.surcharges(t["tagged_text"].where(F.col("extract_id") <= F.lit(extract_id)), la)
         f = fact.withColumn("fare_type_id", F.lit(None).cast("int")) if "fare_type_id" not in fact.columns else fact
         amt = AM.apply_amounts(f.drop("amount", "amount_incl_vat", "business_category", "business_sub_category",
                                       "public_price", "airport_tax", "commission_excl_vat", "ob_fees_amt",

@@ -7,7 +7,9 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from itinera.operators.scans import range_bucket, sequence_number
 
 
 def append_slice(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
@@ -20,6 +22,13 @@ def replace_slice(df: DataFrame, path: str, partition_cols: Sequence[str]) -> No
      .partitionBy(*partition_cols).parquet(path))
 
 
+def replace_batch(df: DataFrame, path: str, batch_col: str, batch) -> None:
+    """Overwrite one batch with ``df``, also when it has no rows: the batch's
+    old rows go and the table stays readable."""
+    df.where(F.col(batch_col) == F.lit(batch)).drop(batch_col).write.mode("overwrite").parquet(
+        f"{path}/{batch_col}={batch}")
+
+
 def apply_updates(base: DataFrame, upd: DataFrame, keys: Sequence[str],
                   cols: Sequence[str]) -> DataFrame:
     """``UPDATE base SET cols = upd.cols FROM upd WHERE keys match``.
@@ -47,9 +56,9 @@ def insert_new_members(candidates: DataFrame, dim: DataFrame, natural_keys: Sequ
 
     New members are the distinct candidates absent from ``dim``; they get
     ``max(existing key) + row_number()`` in natural-key order, so a re-run
-    gives the same keys.  The numbering window is global: it runs over the
-    new members only, a set bounded by the dimension's domain (routes,
-    names), never over facts.  The current maximum is one scalar.
+    gives the same keys.  The numbering is two-level (range buckets, then one
+    row per bucket), so no task holds all new members.  The current maximum is
+    one scalar.
     """
     nk = list(natural_keys)
     cand = candidates.select(*nk).distinct()
@@ -60,9 +69,8 @@ def insert_new_members(candidates: DataFrame, dim: DataFrame, natural_keys: Sequ
         cond = c if cond is None else cond & c
     new = cand.join(d, cond, "left_anti")
     top = dim.agg(F.max(key_col)).first()[0] or 0
-    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in nk])
-    return new.withColumn(key_col, (F.row_number().over(w) + F.lit(top)).cast(
-        dim.schema[key_col].dataType))
+    new = sequence_number(new.withColumn("_all", F.lit(1)), ["_all"], nk, "_nbr", bucket=range_bucket())
+    return new.select(*nk, (F.col("_nbr") + F.lit(top)).cast(dim.schema[key_col].dataType).alias(key_col))
 
 
 def register_keys(fact: DataFrame, keys: Sequence[str], type_id: int,

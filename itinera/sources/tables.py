@@ -3,9 +3,9 @@ run reads one slice through partition pruning and pushed-down filters."""
 
 from __future__ import annotations
 
-import os
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -13,13 +13,13 @@ from pyspark.sql.types import StructType
 def read_table(spark: SparkSession, root: str, name: str, schema: StructType | None = None,
                columns: Sequence[str] | None = None) -> DataFrame:
     """A parquet table by name under ``root`` (explicit schema when given)."""
-    path = os.path.join(root, name if name.endswith(".parquet") else f"{name}.parquet")
-    if not os.path.exists(path) and os.path.exists(os.path.join(root, name)):
-        path = os.path.join(root, name)
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.parquet(path)
+    r = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        df = r.parquet(f"{root}/{name.removesuffix('.parquet')}.parquet")
+    except AnalysisException as e:          # Spark looks, so any shared file system will do
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = r.parquet(f"{root}/{name}")
     return df.select(*columns) if columns else df
 
 

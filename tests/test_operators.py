@@ -170,10 +170,10 @@ def test_rules_engine_semantics(spark):
         (13, "flag", "NOT LIKE", "R%", *on), (13, "extra", "=", "zzz", *on),   # null extra: neither
         (14, "extra", "IN", "<v>N1</v><v>N2</v>", *on),
     ], "rule_id int, column_name string, comparison string, value string, effective_start date, effective_end date")
-    for method in ("join", "compiled"):
-        got = rows(O.apply_rules(facts, ["typ", "flag", "extra"], rules, dt.date(2024, 1, 1), method=method)
-                   .select("id", "rule_id"))
-        assert got == [(1, 10), (2, 13), (3, 11), (4, 13), (5, 14)], method
+    wide = rules.withColumn("rule_id", F.col("rule_id") + F.lit(5_000_000_000))
+    for r, base in ((rules, 0), (wide, 5_000_000_000)):
+        got = rows(O.apply_rules(facts, ["typ", "flag", "extra"], r, dt.date(2024, 1, 1)).select("id", "rule_id"))
+        assert got == [(i, base + k) for i, k in [(1, 10), (2, 13), (3, 11), (4, 13), (5, 14)]]
 
 
 def test_dimension_upsert_is_stable(spark):
