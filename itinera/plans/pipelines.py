@@ -168,8 +168,13 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
                                                "ticket_amt_tax_vat", "ticket_amt_gross"]).checkpoint()
         # Segment value = GDS miles share of the ticket base;
         # flight value = null-strict sum of its segments
-        base = out["amounts"].select("record_key", "booking_type_id", "ticket_amt_base").dropDuplicates(
-            ["record_key", "booking_type_id"])
+        # the lines of a conjunction ticket share a record key (D6): a ticket's
+        # amounts are the sums over its lines, in the lines' own types
+        k = ["record_key", "booking_type_id"]
+        types = out["amounts"].schema
+        totals = out["amounts"].groupBy(*k).agg(*[F.sum(c).cast(types[c].dataType).alias(c) for c in (
+            "ticket_amt", "ticket_amt_base", "ob_fees_amt")])
+        base = totals.select(*k, "ticket_amt_base")
         sv = O.prorate(segs.join(base, ["record_key", "booking_type_id"], "inner"),
                        ["extract_id", "record_key", "booking_type_id"], "mileage_gds", "ticket_amt_base",
                        "segment_value")
@@ -190,10 +195,13 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
                                              F.col("pnr").alias("code_pnr") if "pnr" in t["tagged_text"].columns
                                              else F.lit(None).cast("string").alias("code_pnr"),
                                              "extract_id", "tag", "text1"))
-            k = ["record_key", "booking_type_id"]
-            amts = out["amounts"].select(*k, "ticket_amt", "ob_fees_amt").dropDuplicates(k)
-            tickets = (flat.select("extract_id", *k, "meta_dossier_id", "pnr_code",
-                                   F.col("traveler_code").cast("int").alias("traveler_id"))
+            amts = totals.select(*k, "ticket_amt", "ob_fees_amt")
+            # one row per ticket: the attributes of its smallest line
+            first = O.first_per_key(flat.select("extract_id", *k, "product_id", "document_no", "line_no",
+                                                "meta_dossier_id", "pnr_code",
+                                                F.col("traveler_code").cast("int").alias("traveler_id")),
+                                    k, ["product_id", "document_no", "line_no"])
+            tickets = (first.select("extract_id", *k, "meta_dossier_id", "pnr_code", "traveler_id")
                        .join(amts, k, "inner")
                        .join(rollups.select("record_key", "travel_start", "travel_end", "segment_cnt"),
                              "record_key", "left"))

@@ -123,3 +123,27 @@ def test_extract_pipeline_rules_exclude_company_fares(spark):
     assert ft[("INV1", 10)] == 101 and ft[("CR1", 10)] is None
     am = {(r.document_no, r.line_no): float(r.ticket_amt_tax_fee) for r in out["amounts"].collect()}
     assert am[("INV1", 10)] == 0.0        # company fare: no tax fee
+
+
+def test_extract_conjunction_ticket_sums_its_lines(spark):
+    from pyspark.sql import functions as F
+    t = extract_tables(spark)
+    # INV1 becomes a conjunction ticket: a second line of the same principal ticket, 120 beside 300
+    line = t["invoice_line"].where("document_no = 'INV1'").withColumn("principal_ticket", F.lit("T1"))
+    second = (line.withColumn("line_no", F.lit(20)).withColumn("ticket", F.lit("T1B"))
+              .withColumn("amount_incl_vat", F.lit(D("120")).cast("decimal(19,4)"))
+              .withColumn("amount", F.lit(D("100")).cast("decimal(19,4)")))
+    t["invoice_line"] = t["invoice_line"].where("document_no <> 'INV1'").unionByName(line).unionByName(second)
+    leg = t["travel_leg"].where("document_no = 'INV1' AND entry_no = 2").withColumn("line_no", F.lit(20))
+    t["travel_leg"] = t["travel_leg"].where("document_no <> 'INV1' OR entry_no <> 2").unionByName(leg)
+    out = run_extract_air(spark, t, 5, dt.date(2024, 6, 1))
+    assert sorted((r.line_no, float(r.ticket_amt_base)) for r in out["amounts"].where("record_key = 'INV1-10'").collect()) \
+        == [(10, 265.0), (20, 85.0)]
+    # 265 + 85 over three legs of 100 miles, and nothing lost
+    sv = [float(r.segment_value) for r in out["segment_values"].where("record_key = 'INV1-10'").collect()]
+    assert len(sv) == 3 and abs(sum(sv) - 350) < 1e-6 and all(abs(v - 350 / 3) < 1e-6 for v in sv)
+    fl = [float(r.flight_value) for r in out["flights"].where("record_key = 'INV1-10'").collect()]
+    assert abs(sum(fl) - 350) < 1e-6
+    # one savings row per ticket, with the whole paid amount
+    sav = out["savings"].where("record_key = 'INV1-10'").collect()
+    assert [float(r.ticket_amt) for r in sav] == [420.0]
