@@ -125,10 +125,17 @@ def fare_flexibility(segments: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def number_legs(segments: DataFrame, keys: Sequence[str] = SEG_KEY,
-                order: Sequence[str] = ("entry_no", "leg_no"), cap: int = 255) -> DataFrame:
-    """Segment number per ticket in (entry, leg) order, capped."""
-    s = O.sequence_number(segments, list(keys), list(order), "segment_nbr")
-    return s.withColumn("segment_nbr", F.least("segment_nbr", F.lit(cap).cast("long")))
+                order: Sequence[str] = ("entry_no", "leg_no")) -> DataFrame:
+    """Segment number per ticket in (entry, leg) order, uncapped, as
+    it is the order key of all later steps (``stored_numbers`` caps it)."""
+    return O.sequence_number(segments, list(keys), list(order), "segment_nbr")
+
+
+def stored_numbers(segments: DataFrame, cap: int = 255) -> DataFrame:
+    """W2 at the sink: ``segment_nbr`` capped as stored; ``segment_order`` is
+    the uncapped number, which still tells the segments of a ticket apart."""
+    return (segments.withColumn("segment_order", F.col("segment_nbr"))
+            .withColumn("segment_nbr", F.least("segment_nbr", F.lit(cap).cast("long"))))
 
 
 # ---- D55-D59 trips ------------------------------------------------------------------------

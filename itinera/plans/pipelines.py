@@ -152,7 +152,7 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
     flights = EA.build_flights(segs, t["geography_priority"])
     routes = EA.route_text(segs)
     rollups = EA.ticket_rollups(segs).checkpoint()
-    out = {"fact": fact, "segments": segs, "flights": flights, "routes": routes, "rollups": rollups}
+    out = {"fact": fact, "segments": EA.stored_numbers(segs), "flights": flights, "routes": routes, "rollups": rollups}
     if "tagged_text" in t:
         # amounts: line amounts, YQ/YR surcharges, tax fee, refund signs
         from itinera.plans import amounts as AM
@@ -178,8 +178,8 @@ def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: in
         sv = O.prorate(segs.join(base, ["record_key", "booking_type_id"], "inner"),
                        ["extract_id", "record_key", "booking_type_id"], "mileage_gds", "ticket_amt_base",
                        "segment_value")
-        out["segment_values"] = sv.select("extract_id", "record_key", "booking_type_id", "segment_nbr",
-                                          "trip_nbr", "segment_value")
+        out["segment_values"] = EA.stored_numbers(sv.select(
+            "extract_id", "record_key", "booking_type_id", "segment_nbr", "trip_nbr", "segment_value"))
         fv = sv.groupBy("extract_id", "record_key", "booking_type_id", "trip_nbr").agg(
             O.strict_sum("segment_value").alias("flight_value"))
         out["flights"] = flights.join(fv, ["extract_id", "record_key", "booking_type_id", "trip_nbr"],

@@ -557,3 +557,25 @@ def test_run_savings_chain(spark):
     # R1 matches (100 within +-3 %): lowest recommended option 1 (80, same regular carrier -> + fees 0),
     # published option 2 (90 * 100 % + 0); R2 matches nothing -> negated to the paid amount, rule 4
     assert got == {"R1": ("1. || OW vs OW", 80.0, 90.0), "R2": ("4", 100.0, None)}
+
+
+def test_more_than_255_legs_keep_their_order(spark):
+    n, t0 = 300, T(2024, 1, 1, 8)
+    # the last leg by number lies before the others in time and goes home
+    day = [i if i < n else 260 for i in range(n + 1)]
+    rows = [(1, "R1", 1, i, 1, t0 + dt.timedelta(days=day[i]), t0 + dt.timedelta(days=day[i], hours=2), 1,
+             f"C{999 - i}", f"C{998 - i}" if i < n else "AAA", 0, 100, "Y", 1, f"B{i}", "XX") for i in range(n, 0, -1)]
+    df = spark.createDataFrame(rows, "extract_id int, record_key string, booking_type_id int, entry_no int, leg_no int, "
+                                     "segment_start timestamp_ntz, segment_end timestamp_ntz, geography_type_id int, "
+                                     "airport_from string, airport_to string, within_country int, mileage_gds int, "
+                                     "class_code string, cabin_class_id int, basis string, airline string")
+    s = EA.split_trips(EA.number_legs(df)).cache()
+    ru = EA.ticket_rollups(s).first()
+    assert ru.travel_end == t0 + dt.timedelta(days=260, hours=2) and ru.segment_cnt == n
+    legs = [f"C{999 - i}-" + (f"C{998 - i}" if i < n else "AAA") for i in range(1, n + 1)]
+    f = spark.createDataFrame([("R1", 1, "12", None)], "record_key string, booking_type_id int, meta_dossier_id string, "
+                                                       "ob_fees_amt decimal(19,4)")
+    assert EA.composite_key(f, s).first().composite_key == "/".join(legs)
+    assert EA.route_text(s, max_len=9999).first().route_txt == "/".join(f"C{999 - i}" for i in range(1, n + 1)) + "/AAA"
+    st = EA.stored_numbers(s).collect()
+    assert max(r.segment_nbr for r in st) == 255 and sorted(r.segment_order for r in st) == list(range(1, n + 1))
