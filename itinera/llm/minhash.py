@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from itinera.llm.common import cut, mix64, table
 
 SHINGLE = 5
-HASHES, ROWS = 128, 4                 # 32 bands of 4: a pair at 0.85 shares none with probability 6e-11
-THRESHOLD = (85, 100)
-LEAST_EQUAL = 82                      # of 128 equal coordinates: 6.5 deviations below 0.85
+HASHES, ROWS = 128, 4                 # 32 bands of 4: a pair at 0.85 shares none with probability 6e-11, at 0.8 5e-8
+THRESHOLD = (85, 100)                 # the contract of op6
+STAGE_THRESHOLD = (80, 100)           # of the pipeline's stage
 BLOCK = 512
 FIRST_BANDS = 4                       # bands of round one
 BATCH = 4096
@@ -101,7 +101,13 @@ def bands(sigs: np.ndarray) -> np.ndarray:
     return h.astype(np.int64)
 
 
-def link_block(label, sets, sigs) -> np.ndarray:
+def least_equal(threshold: tuple[int, int]) -> int:
+    """Equal coordinates of HASHES that a pair at the threshold has: 6.5 deviations below the mean."""
+    t = threshold[0] / threshold[1]
+    return max(0, int(HASHES * t - 6.5 * (HASHES * t * (1 - t)) ** 0.5))
+
+
+def link_block(label, sets, sigs, threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
     """For each member the first member of its component: exact Jaccard links within the block.
 
     Each member meets all later ones that are still apart, may reach the threshold
@@ -115,12 +121,13 @@ def link_block(label, sets, sigs) -> np.ndarray:
     known, number = np.unique(np.concatenate(sets), return_inverse=True)
     numbers = np.split(number, np.cumsum(size)[:-1])
     marked = np.zeros(len(known), np.uint8)
-    num, den = THRESHOLD
+    num, den = threshold
+    least = least_equal(threshold)
     for i in range(n):
         fits = (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (own != own[i])
         near = i + 1 + np.flatnonzero(fits[i + 1:])
         if len(near):
-            near = near[(sigs[near] == sigs[i]).sum(axis=1) >= LEAST_EQUAL]
+            near = near[(sigs[near] == sigs[i]).sum(axis=1) >= least]
         if not len(near):
             continue
         marked[numbers[i]] = 1
@@ -133,7 +140,7 @@ def link_block(label, sets, sigs) -> np.ndarray:
     return own
 
 
-def _link(pdf: pd.DataFrame) -> pd.DataFrame:
+def _link(pdf: pd.DataFrame, threshold: tuple[int, int]) -> pd.DataFrame:
     """Links (first member of a label, first member of its component) of every block in ``pdf``."""
     links = []
     for _, block in pdf.groupby(["bucket", "i", "j"], sort=False):
@@ -142,20 +149,23 @@ def _link(pdf: pd.DataFrame) -> pd.DataFrame:
             continue
         node = block["node"].to_numpy()
         roots = link_block(block["label"].to_numpy(), [np.frombuffer(b, np.uint64) for b in block["sets"]],
-                           np.frombuffer(b"".join(block["sig"]), np.uint32).reshape(-1, HASHES))
+                           np.frombuffer(b"".join(block["sig"]), np.uint32).reshape(-1, HASHES), threshold)
         first = np.unique(block["label"], return_index=True)[1]
         moved = first[roots[first] != first]
         links.append(pd.DataFrame({"a": node[moved], "b": node[roots[moved]]}))
     return pd.concat(links) if links else pd.DataFrame({"a": [], "b": []}).astype("int64")
 
 
-def linked_blocks(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+def linked_blocks(blocks: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """All blocks (bucket, i, j, node, label) linked, about BATCH members to a task's group."""
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _link(pdf, threshold)
+
     blocks = cut(blocks)
     parts = max(1, -(-blocks.count() // BATCH))
     return cut(blocks.join(sets, "node")
                .withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(parts)))
-               .groupBy("part").applyInPandas(_link, "a long, b long"))
+               .groupBy("part").applyInPandas(link, "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -175,8 +185,9 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; pairs whose
+    similarity reaches ``threshold`` (a fraction) are linked.
 
     Texts without words and null texts have empty sets and link with nothing: their
     component is their own id.  Repeated rows are linked like any equal texts; null
@@ -236,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                   .select("bucket", "common", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("i"))
                   .select("bucket", "i", F.explode("common").alias("node")))
     found = linked_blocks(own.unionByName(everywhere).distinct()
-                          .select("bucket", "i", F.col("i").alias("j"), "node", F.col("node").alias("label")), sets)
+                          .select("bucket", "i", F.col("i").alias("j"), "node", F.col("node").alias("label")), sets, threshold)
     labels = components(found)
 
     # round two: buckets that hold several components; all but the largest component against all
@@ -254,7 +265,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .withColumn("other", F.explode(F.sequence(
                   F.lit(0), F.when(F.col("of_main"), F.col("rest")).otherwise(F.col("rest") + F.col("large")) - 1)))
               .select("bucket", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
-    labels = components(found.unionByName(linked_blocks(blocks, sets)))
+    labels = components(found.unionByName(linked_blocks(blocks, sets, threshold)))
 
     least = (classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     ids = cut(least.groupBy("label").agg(F.min("least_id").alias("component_id")))
@@ -267,8 +278,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each group of near duplicates (that of the smallest id), with the
-    columns ``docs`` had; rows that repeat an id are one document."""
-    kept = cut(near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct())
+    columns ``docs`` had; rows that repeat an id are one document.  Pairs are
+    linked from ``STAGE_THRESHOLD`` on."""
+    kept = cut(near_duplicates(docs, STAGE_THRESHOLD).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct())
     rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
     # without an id, the text tells documents apart
     name = next(c for i in range(99) if (c := f"own_text_{i}") not in docs.columns)

@@ -152,6 +152,16 @@ def test_near_duplicates_over_many_blocks(spark, monkeypatch, block, first_bands
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {i: (len(sets[i]), own[i]) for i in range(len(texts))}
 
 
+def test_threshold_of_the_stage(spark):
+    """104 shingles each, 93 in common: 93 / 115 = 0.809, linked by the stage and not by op6."""
+    base = [f"w{i}" for i in range(108)]
+    other = base[:97] + [f"n{i}" for i in range(11)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id long, text string")
+    assert sorted(r.component_id for r in minhash.near_duplicates(docs).collect()) == [1, 2]
+    assert [r.doc_id for r in minhash.keep_one_of_each(docs).collect()] == [1]
+    assert (minhash.least_equal((85, 100)), minhash.least_equal((80, 100))) == (82, 72)
+
+
 def test_shingle_hashes_match_sets():
     for t in ["a b c d e f a b c d e f", "A b", "x", " \t", "one two three four five"]:
         w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
