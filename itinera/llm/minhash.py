@@ -195,6 +195,18 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) ->
     other) and are kept if so.  An empty table gives no rows.  Only doc_id and
     text are read.
     """
+    rows, least = with_components(docs, threshold)
+    per_class = cut(least.select("class", F.col("least.doc_id").alias("component_id")))
+    out = rows.select("doc_id", "n", "class").join(per_class, "class", "left")
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def with_components(docs: DataFrame, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Every row's doc_id, key (hash of the text), number of shingles n and class of
+    equal sets (null without words); and for every class its component's label and the
+    component's least member (no_id, doc_id, key), null ids last."""
     @F.pandas_udf("n long, class binary, bands array<long>")
     def featured(texts: pd.Series) -> pd.DataFrame:
         rows, sigs = [], []
@@ -217,7 +229,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) ->
     rows = cut(rows)
     # one member of each class of equal sets stands for it
     classes = cut(rows.filter("n > 0").groupBy("class").agg(
-        F.min("row").alias("node"), F.min("doc_id").alias("least_id")))
+        F.min("row").alias("node"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")))
     picked = cut(rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi"))
     keyed = picked.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "bucket"))
     # of the buckets with the same members one stays: two 64-bit sums tell member sets apart
@@ -267,25 +279,24 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) ->
               .select("bucket", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
     labels = components(found.unionByName(linked_blocks(blocks, sets, threshold)))
 
-    least = (classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    ids = cut(least.groupBy("label").agg(F.min("least_id").alias("component_id")))
-    per_class = cut(least.join(ids, "label").select("class", "component_id"))
-    out = rows.select("doc_id", "n", "class").join(per_class, "class", "left")
-    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    first = cut(named.groupBy("label").agg(F.min("least").alias("least")))
+    return rows, named.select("class", "label").join(first, "label")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each group of near duplicates (that of the smallest id), with the
-    columns ``docs`` had; rows that repeat an id are one document.  Pairs are
-    linked from ``STAGE_THRESHOLD`` on."""
-    kept = cut(near_duplicates(docs, STAGE_THRESHOLD).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct())
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    # without an id, the text tells documents apart
+    """One row of each group of near duplicates (linked from ``STAGE_THRESHOLD`` on), with
+    the columns ``docs`` had: that of the smallest id, null ids last, and of its texts the
+    one of the smallest hash.  Rows of the same id with unrelated texts are documents of
+    their own; texts without words fold only with the same text of the same id."""
+    rows, least = with_components(docs, STAGE_THRESHOLD)
+    kept = cut(least.select("least.doc_id", "least.key")
+               .unionByName(rows.filter("class IS NULL").select("doc_id", "key")).distinct()
+               .select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key")))
     name = next(c for i in range(99) if (c := f"own_text_{i}") not in docs.columns)
-    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return rows.withColumn(name, own).dropDuplicates(["doc_id", name]).drop(name)
+    own = docs.withColumn(name, F.xxhash64("text"))
+    rows = own.join(kept, own["doc_id"].eqNullSafe(kept["kept_id"]) & (own[name] == kept["kept_key"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", name]).drop(name)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -162,6 +162,22 @@ def test_threshold_of_the_stage(spark):
     assert (minhash.least_equal((85, 100)), minhash.least_equal((80, 100))) == (82, 72)
 
 
+def test_one_of_each_without_or_with_repeated_ids(spark):
+    def text(word, changed=0):
+        return " ".join([f"{word}{i}" for i in range(120 - changed)] + [f"x{i}" for i in range(changed)])
+
+    rows = [(None, text("a")), (None, text("a", 2)), (None, text("b")),      # near copies without an id, and another
+            (1, text("c")), (2, text("c", 2)), (2, text("d")),               # id 2: a near copy of 1, and its own text
+            (3, text("e")), (3, text("f")), (3, text("f")),                  # id 3: two texts of its own, one twice
+            (4, None), (4, None), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = Counter((r.doc_id, r.text) for r in minhash.keep_one_of_each(docs).collect())
+    near = [k for k in got if k in {(None, text("a")), (None, text("a", 2))}]
+    assert len(near) == 1 and set(got.values()) == {1}
+    assert set(got) == {near[0], (None, text("b")), (1, text("c")), (2, text("d")), (3, text("e")), (3, text("f")),
+                        (4, None), (None, None), (None, "")}
+
+
 def test_shingle_hashes_match_sets():
     for t in ["a b c d e f a b c d e f", "A b", "x", " \t", "one two three four five"]:
         w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
