@@ -5,7 +5,9 @@ learned filters slide over each chunk, every filter is max-pooled per chunk,
 and the mean and the maximum over all chunks feed one logistic unit.  The
 network is trained here, on the driver, on a bounded sample of labelled rows
 (``TRAIN_ROWS`` rows of each label, ``TRAIN_CHUNKS`` chunks of each, spread
-over the whole text); scoring always reads every chunk.
+over the whole text); scoring always reads every chunk.  The sample's bounds
+change the ratio of the labels, so the output bias is shifted back to the
+ratio of all learnable labels: the same text scores alike at every size.
 """
 
 from __future__ import annotations
@@ -118,10 +120,21 @@ class ByteCNN:
                 "out": feats.T @ d, "c": d.sum(keepdims=True)}
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, most: tuple[int, int]) -> DataFrame:
+def learnable(labels: DataFrame, label_col: str) -> DataFrame:
+    """doc_id and its label y, for every id that may be learned from."""
+    return (labels.filter(may_learn(F.col("doc_id")) & F.col(label_col).isin(0, 1))
+            .groupBy("doc_id").agg(F.min(label_col).cast("int").alias("y")))
+
+
+def prior_shift(one: DataFrame, most: tuple[int, int]) -> float:
+    """Log odds of label 1 over all learnable ids less those in the bounded sample."""
+    n = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    over = [np.log(n[y] / min(n[y], most[y])) for y in (0, 1)]
+    return float(over[1] - over[0])
+
+
+def training_rows(docs: DataFrame, one: DataFrame, most: tuple[int, int]) -> DataFrame:
     """The bounded training sample: for each label at most that many ids, lowest in hash order."""
-    one = (labels.filter(may_learn(F.col("doc_id")) & F.col(label_col).isin(0, 1))
-           .groupBy("doc_id").agg(F.min(label_col).cast("int").alias("y")))
     picks = [one.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in enumerate(most)]
     sample = picks[0].unionByName(picks[1])
     return (docs.filter(may_learn(F.col("doc_id"))).select("doc_id", "text")
@@ -138,7 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
             return c[np.unique(np.linspace(0, len(c) - 1, TRAIN_CHUNKS).round().astype(int))].tobytes()
         return texts.map(spread)
 
-    rows = (training_rows(docs, labels, label_col, most)
+    one = learnable(labels, label_col)
+    rows = (training_rows(docs, one, most)
             .select("doc_id", "y", some_chunks(F.coalesce("text", F.lit(""))).alias("chunks"))
             .toPandas().sort_values(["doc_id", "chunks"]))
     y = rows["y"].to_numpy(np.float32)
@@ -146,6 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
         return float(y.mean()) if len(y) else 1.0
     net = ByteCNN()
     net.fit([np.frombuffer(c, np.uint8).reshape(-1, CHUNK) for c in rows["chunks"]], y)
+    net.p["c"] += np.float32(prior_shift(one, most))
     return net
 
 

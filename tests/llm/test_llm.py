@@ -255,6 +255,19 @@ def test_quality(spark, odd):
     assert quality.classify_quality(odd, labels.limit(0)).filter("score = 1.0").count() == len(ODD)
 
 
+def test_quality_prior_is_the_corpus_own(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    one = quality.learnable(labels, "quality")
+    n0, n1 = (one.filter(F.col("y") == y).count() for y in (0, 1))
+    most = (10, 10)
+    assert n0 >= 10 and n1 > n0
+    net = quality.train(docs, labels, most=most)
+    assert abs(quality.prior_shift(one, quality.TRAIN_ROWS)) < 1e-9 or n1 > quality.TRAIN_ROWS[1]
+    monkeypatch.setattr(quality, "prior_shift", lambda one, most: 0.0)
+    plain = quality.train(docs, labels, most=most)
+    assert abs(float(net.p["c"][0] - plain.p["c"][0]) - np.log(n1 / n0)) < 1e-4
+
+
 def test_empty_tables(empty, items):
     assert sharding.shard_documents(empty).count() == 0
     assert decontam.decontaminate(empty, items).count() == 0
