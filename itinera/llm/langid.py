@@ -7,7 +7,9 @@ on rows left out of the training calibrates the probabilities.
 
 Document frequencies cover every learnable document (one distributed pass, at
 most ``DIMS`` sums).  The regression is fitted on a bounded sample
-(``TRAIN_PER_LANG`` rows of each language).
+(``TRAIN_PER_LANG`` ids of each language, one text of each id), so the driver
+takes that many rows times the number of languages.  It is sized for up to 50
+languages; every language of the table is learned, however many there are.
 """
 
 from __future__ import annotations
@@ -110,6 +112,16 @@ class LanguageModel:
         return self.langs[best], round(float(p[best]), 6)
 
 
+def training_texts(rows: DataFrame, per_lang: int) -> DataFrame:
+    """doc_id, lang, text: of each language at most ``per_lang`` ids, lowest in hash order,
+    and of an id's texts the one of the smallest hash."""
+    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = (rows.select("doc_id", "lang").distinct().withColumn("rn", F.row_number().over(w))
+              .filter(F.col("rn") <= per_lang).select("doc_id", "lang"))
+    return (rows.join(F.broadcast(picked), ["doc_id", "lang"])            # per_lang ids of each language at most
+            .groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+
+
 def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
     """Learn from rows with a language whose id is known and not held out."""
     rows = (docs.filter(may_learn(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -131,16 +143,12 @@ def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
     known = df[df["i"] >= 0]
     idf[known["i"].to_numpy(int)] = np.log((1 + n_docs) / (1 + known["n"].to_numpy(float))) + 1
 
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (rows.select("doc_id", "lang").withColumn("rn", F.row_number().over(w))
-              .filter(F.col("rn") <= per_lang).select("doc_id", "lang").distinct())
-
     @F.pandas_udf("i binary, c binary")
     def features(texts: pd.Series) -> pd.DataFrame:
         found = [ngram_counts(t) for t in texts]
         return pd.DataFrame({"i": [i.tobytes() for i, _ in found], "c": [c.tobytes() for _, c in found]})
 
-    sample = (rows.join(F.broadcast(picked), ["doc_id", "lang"])          # per_lang rows of each language at most
+    sample = (training_texts(rows, per_lang)
               .select("doc_id", "lang", features("text").alias("f")).select("doc_id", "lang", "f.i", "f.c")
               .toPandas().sort_values(["doc_id", "i"]))
     langs = sorted(sample["lang"].unique())

@@ -134,11 +134,14 @@ def prior_shift(one: DataFrame, most: tuple[int, int]) -> float:
 
 
 def training_rows(docs: DataFrame, one: DataFrame, most: tuple[int, int]) -> DataFrame:
-    """The bounded training sample: for each label at most that many ids, lowest in hash order."""
+    """The bounded training sample: for each label at most that many ids, lowest in hash order,
+    and of an id's texts the one of the smallest hash (null counts as empty)."""
     picks = [one.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in enumerate(most)]
     sample = picks[0].unionByName(picks[1])
-    return (docs.filter(may_learn(F.col("doc_id"))).select("doc_id", "text")
-            .join(F.broadcast(sample), "doc_id"))             # at most sum(most) rows
+    text = F.coalesce("text", F.lit(""))
+    return (docs.filter(may_learn(F.col("doc_id"))).select("doc_id", text.alias("text"))
+            .join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")))   # at most sum(most) rows
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
@@ -153,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
 
     one = learnable(labels, label_col)
     rows = (training_rows(docs, one, most)
-            .select("doc_id", "y", some_chunks(F.coalesce("text", F.lit(""))).alias("chunks"))
+            .select("doc_id", "y", some_chunks("text").alias("chunks"))
             .toPandas().sort_values(["doc_id", "chunks"]))
     y = rows["y"].to_numpy(np.float32)
     if len(set(y)) < 2:

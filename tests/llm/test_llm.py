@@ -268,6 +268,18 @@ def test_quality_prior_is_the_corpus_own(spark, monkeypatch):
     assert abs(float(net.p["c"][0] - plain.p["c"][0]) - np.log(n1 / n0)) < 1e-4
 
 
+def test_training_takes_one_text_of_an_id(spark):
+    learn = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:6]
+    rows = [(learn[0], f"copy {k}", "en") for k in range(50)] + [(i, f"text {i}", "en") for i in learn[1:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.training_texts(docs, 4).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 4
+    assert len(langid.training_texts(docs, 800).collect()) == len(learn)
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(learn)], "doc_id long, quality int")
+    got = quality.training_rows(docs, quality.learnable(labels, "quality"), (1500, 4500)).collect()
+    assert sorted(r.doc_id for r in got) == learn
+
+
 def test_empty_tables(empty, items):
     assert sharding.shard_documents(empty).count() == 0
     assert decontam.decontaminate(empty, items).count() == 0
