@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from itinera.llm import ann, decontam, langid, licences, minhash, pieces, pii, quality, repeats, sharding
+from itinera.llm import (alignment, ann, decontam, langid, licences, minhash, packing, pieces, pii, quality, repeats,
+                         sharding, whitening)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_ann": ann.op8_ann,
     "op9_pieces": pieces.op9_pieces,
     "op10_quality": quality.op10_quality,
+    "op11_alignment": alignment.op11_alignment,
+    "op12_packing": packing.op12_packing,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL = {
