@@ -31,7 +31,7 @@ from itinera.llm.common import table
 from itinera.llm.vocab import BYTE_BPE, PIECE_BPE, ByteLevel, Pieces, encode, loaded, read_bytes, slices
 from itinera.session import work_path
 
-SLICE = 4 << 20                     # bytes of text in one slice
+SLICE = 2 << 20                     # bytes of text in one slice
 SLICES = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
           "n_links array<long>, groups_sha256 array<string>, n_pairs array<int>, pair array<int>, times array<int>, "
           "a array<int>, b array<int>, n array<long>")
