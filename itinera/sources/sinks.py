@@ -5,6 +5,7 @@ them twice."""
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,27 +51,32 @@ def insert_absent(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFr
     return src.join(tgt.select(*keys), list(keys), "left_anti")
 
 
-def insert_new_members(candidates: DataFrame, dim: DataFrame, natural_keys: Sequence[str],
-                       key_col: str) -> DataFrame:
-    """New dimension members with stable surrogate keys.
-
-    New members are the distinct candidates absent from ``dim``; they get
-    ``max(existing key) + row_number()`` in natural-key order, so a re-run
-    gives the same keys.  The numbering is two-level (range buckets, then one
-    row per bucket), so no task holds all new members.  The current maximum is
-    one scalar.
-    """
+def new_members(candidates: DataFrame, dim: DataFrame, natural_keys: Sequence[str]) -> DataFrame:
+    """The distinct candidates that ``dim`` lacks.  Keys compare null-safely: a member with a
+    null name part is still the same member."""
     nk = list(natural_keys)
     cand = candidates.select(*nk).distinct()
     d = dim.select(*[F.col(k).alias(f"_d_{k}") for k in nk])
-    cond = None
-    for k in nk:   # null-safe: a member with a null name part is still the same member
-        c = cand[k].eqNullSafe(d[f"_d_{k}"])
-        cond = c if cond is None else cond & c
-    new = cand.join(d, cond, "left_anti")
-    top = dim.agg(F.max(key_col)).first()[0] or 0
+    cond = [cand[k].eqNullSafe(d[f"_d_{k}"]) for k in nk]
+    return cand.join(d, reduce(lambda a, b: a & b, cond), "left_anti")
+
+
+def number_members(new: DataFrame, natural_keys: Sequence[str], key_col: str, first: int, kind) -> DataFrame:
+    """Members with keys from ``first`` on in natural-key order, so a re-run gives the same
+    keys.  The numbering is two-level (range buckets, then one row per bucket), so no task
+    holds all new members."""
+    nk = list(natural_keys)
     new = sequence_number(new.withColumn("_all", F.lit(1)), ["_all"], nk, "_nbr", bucket=range_bucket())
-    return new.select(*nk, (F.col("_nbr") + F.lit(top)).cast(dim.schema[key_col].dataType).alias(key_col))
+    return new.select(*nk, (F.col("_nbr") + F.lit(first - 1)).cast(kind).alias(key_col))
+
+
+def insert_new_members(candidates: DataFrame, dim: DataFrame, natural_keys: Sequence[str],
+                       key_col: str) -> DataFrame:
+    """New dimension members with stable surrogate keys behind the largest one of ``dim``
+    (one scalar).  They are not stored here; ``jobs.Job.members`` does that durably."""
+    top = dim.agg(F.max(key_col)).first()[0] or 0
+    return number_members(new_members(candidates, dim, natural_keys), natural_keys, key_col, top + 1,
+                          dim.schema[key_col].dataType)
 
 
 def register_keys(fact: DataFrame, keys: Sequence[str], type_id: int,
