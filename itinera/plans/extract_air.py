@@ -68,6 +68,55 @@ def record_key(lines: DataFrame) -> DataFrame:
         "-", X.clean("document_no"), F.coalesce("_first_line", "line_no").cast("string"))).drop("_first_line")
 
 
+# ---- D7 lineage ---------------------------------------------------------------------------
+
+def lineage_keys(fact: DataFrame, lines: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Original and prior record key of each line, from the service ledger; its own key
+    where nothing is found.
+
+    Ledger entries of the same product, customer, traveller and locator (air, primary, entry
+    type 3 or 4, amount not 0) are looked up by the line's ticket and by its original ticket,
+    one equi join over both.  A candidate is the line's own entry for an invoice without an
+    original ticket, another line's entry of the original ticket, or for a credit of the
+    ticket as well; posted no later than the line.  No candidate lies behind the newest entry
+    of the line's ticket (of the original one for exchanges).  Original: the issue of an
+    exchange's original ticket first, then the own ticket, then the oldest; prior: the own
+    ticket first, then an exchange's original ticket, then the newest.  The newest entry and
+    both ranked choices are aggregates, so a hot customer is combined before the shuffle.
+    """
+    k = ["extract_id", "product_id", "document_no", "line_no"]
+    same = ["product_id", "sell_to_customer_no", "traveller_code", "id_2"]
+    l = lines.select(*k, *same[1:], "doc_kind", "ticket", "original_ticket", "exchange_ticket", "business_category",
+                     "posting_date").withColumn(
+        "token", F.explode(F.array_distinct(F.array_compact(F.array("ticket", "original_ticket")))))
+    e = (ledger.where(F.col("service_group").isin(1, 6) & F.col("entry_type").isin(3, 4) & (F.col("resource_type") == 0)
+                      & (F.col("amount_lcy_incl_vat") != 0))
+         .select(*same, F.col("ticket_no").alias("token"), F.col("extract_id").alias("e_extract"), "entry_no", "entry_type",
+                 F.col("document_no").alias("e_document"), F.col("line_no").alias("e_line"),
+                 F.col("posting_date").alias("e_posting")))
+    j = l.join(e, same + ["token"], "inner")
+    own_ticket, original = F.col("token") == F.col("ticket"), F.col("token") == F.col("original_ticket")
+    exchange = F.col("exchange_ticket") == 1
+    at_limit = F.when(exchange, original).otherwise(own_ticket & (F.col("e_document") == F.col("document_no")))
+    limit = (j.where(at_limit).groupBy(*k).agg(F.max(F.struct("e_extract", "entry_no")).alias("_m"))
+             .select(*k, F.col("_m.entry_no").alias("_limit")))
+    other = ~((F.col("e_document") == F.col("document_no")) & (F.col("e_line") == F.col("line_no")))
+    own = ~other & F.col("original_ticket").isNull() & own_ticket
+    fits = (F.when(F.col("doc_kind") == "I", own | (original & other)).otherwise((own_ticket | original) & other)
+            & (F.col("e_posting") <= F.col("posting_date")))
+    c = j.where(fits).join(limit, k, "inner").where(F.col("entry_no") <= F.col("_limit"))
+    c = c.withColumn("_key", F.concat_ws("-", X.clean("e_document"), F.col("e_line").cast("string")))
+    flag = lambda x: F.when(x, 0).otherwise(1)
+    best = c.groupBy(*k).agg(
+        F.min(F.struct(flag(exchange & (F.col("doc_kind") == "I") & original & (F.col("entry_type") == 3)).alias("a"),
+                       flag(own_ticket).alias("b"), F.col("entry_no").alias("c"), F.col("_key"))).alias("_o"),
+        F.min(F.struct(flag(own_ticket).alias("a"), flag((F.col("business_category") == 3) & original).alias("b"),
+                       (-F.col("entry_no")).alias("c"), F.col("_key"))).alias("_p"))
+    j = fact.join(best.select(*k, F.col("_o._key").alias("_ok"), F.col("_p._key").alias("_pk")), k, "left")
+    return (j.withColumn("record_key_original", F.coalesce("_ok", "record_key"))
+            .withColumn("record_key_prior", F.coalesce("_pk", "record_key")).drop("_ok", "_pk"))
+
+
 # ---- D44 legs -------------------------------------------------------------------------------
 
 def clean_legs(legs: DataFrame, as_of) -> DataFrame:
@@ -124,18 +173,32 @@ def fare_flexibility(segments: DataFrame, rules: DataFrame) -> DataFrame:
     return j.withColumn("fare_flexibility_id", flex).drop("f1", "f2", "f3")
 
 
-def number_legs(segments: DataFrame, keys: Sequence[str] = SEG_KEY,
-                order: Sequence[str] = ("entry_no", "leg_no")) -> DataFrame:
-    """Segment number per ticket in (entry, leg) order, uncapped, as
-    it is the order key of all later steps (``stored_numbers`` caps it)."""
-    return O.sequence_number(segments, list(keys), list(order), "segment_nbr")
+def number_legs(segments: DataFrame, keys: Sequence[str] = SEG_KEY) -> DataFrame:
+    """The two numbers of a segment within its ticket, side by side: ``segment_nbr``
+    in (sales line, ledger entry, leg) order, and ``segment_nbr_adj`` in the order of the
+    itinerary's own segment number first.  Trips are split along the first, everything told of
+    a ticket or flight as a whole follows the second.  Both are uncapped, as they are order
+    keys of later steps (``stored_numbers`` caps them)."""
+    entry = [c for c in ("line_no", "entry_no", "leg_no") if c in segments.columns]
+    own = ["segment_no"] if "segment_no" in segments.columns else []
+    s = O.sequence_number(segments, list(keys), entry, "segment_nbr")
+    return O.sequence_number(s, list(keys), own + entry, "segment_nbr_adj")
 
 
 def stored_numbers(segments: DataFrame, cap: int = 255) -> DataFrame:
-    """W2 at the sink: ``segment_nbr`` capped as stored; ``segment_order`` is
-    the uncapped number, which still tells the segments of a ticket apart."""
-    return (segments.withColumn("segment_order", F.col("segment_nbr"))
-            .withColumn("segment_nbr", F.least("segment_nbr", F.lit(cap).cast("long"))))
+    """W2 at the sink: the numbers capped as stored; ``segment_order`` is the uncapped
+    number, which still tells the segments of a ticket apart."""
+    out = segments.withColumn("segment_order", F.col("segment_nbr"))
+    for c in ("segment_nbr", "segment_nbr_adj"):
+        if c in segments.columns:
+            out = out.withColumn(c, F.least(c, F.lit(cap).cast("long")))
+    return out
+
+
+def in_itinerary_order(segments: DataFrame) -> DataFrame:
+    """Segments whose order key ``segment_nbr`` is the itinerary's, where both are there."""
+    return (segments.withColumn("segment_nbr", F.col("segment_nbr_adj")) if "segment_nbr_adj" in segments.columns
+            else segments)
 
 
 # ---- D55-D59 trips ------------------------------------------------------------------------
@@ -151,8 +214,8 @@ def split_trips(segments: DataFrame, keys: Sequence[str] = SEG_KEY, domestic_geo
                  & (prev["geography_type_id"] != domestic_geo)) | (gap_h > 6.0))
     s = O.split_by_gap(segments, list(keys), ["segment_nbr"], ["segment_end", "geography_type_id"],
                        brk, out="trip_nbr", bucket=bucket)
-    s = O.sequence_number(s, list(keys) + ["trip_nbr"], ["segment_nbr"], "sequence_in_trip")
-    return s
+    order = "segment_nbr_adj" if "segment_nbr_adj" in s.columns else "segment_nbr"
+    return O.sequence_number(s, list(keys) + ["trip_nbr"], [order], "sequence_in_trip")
 
 
 def build_flights(segments: DataFrame, geo_priority: DataFrame, keys: Sequence[str] = SEG_KEY) -> DataFrame:
@@ -161,7 +224,7 @@ def build_flights(segments: DataFrame, geo_priority: DataFrame, keys: Sequence[s
     key); class/cabin/airline of the first segment with that geography;
     first origin and the last destination differing from it."""
     gp = geo_priority.select("geography_type_id", "priority")
-    s = segments.join(F.broadcast(gp), "geography_type_id", "left")
+    s = in_itinerary_order(segments).join(gp, "geography_type_id", "left")
     g = list(keys) + ["trip_nbr"]
     agg = s.groupBy(*g).agg(
         F.min("segment_start").alias("travel_start"), F.max("segment_end").alias("travel_end"),
@@ -198,7 +261,7 @@ def route_text(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record
     CTE."""
     k = list(keys)
     w = Window.partitionBy(*k).orderBy("segment_nbr")
-    s = (segments.withColumn("_pf", F.lag("airport_from").over(w)).withColumn("_pt", F.lag("airport_to").over(w))
+    s = (in_itinerary_order(segments).withColumn("_pf", F.lag("airport_from").over(w)).withColumn("_pt", F.lag("airport_to").over(w))
          .withColumn("_ptrip", F.lag("trip_nbr").over(w)))
     piece = (F.when(F.col("_pt").isNull(), F.concat_ws("/", "airport_from", "airport_to"))
              .when(F.col("_pt") == F.col("airport_from"), F.concat(F.lit("/"), F.col("airport_to")))
@@ -236,7 +299,7 @@ def ticket_rollups(segments: DataFrame, keys: Sequence[str] = ("extract_id", "re
     priority then trip."""
     k = list(keys)
     prio = X.map_code("cabin_class_id", CABIN_PRIORITY, 99)
-    s = segments.withColumn("_cp", prio)
+    s = in_itinerary_order(segments).withColumn("_cp", prio)
     g = s.groupBy(*k).agg(
         F.min(F.struct("segment_nbr", "segment_start", "basis")).alias("_first"),
         F.max(F.struct("segment_nbr", "segment_end")).alias("_last"),
@@ -366,7 +429,7 @@ def composite_key(fact: DataFrame, segments: DataFrame) -> DataFrame:
     """Purchases get 'FROM-TO/FROM-TO...' over their segments in
     order, online fees defaulted to 0 and the dossier as int when it is a
     number that fits (dashes removed)."""
-    legs = (segments.where(F.col("booking_type_id") != 99)
+    legs = (in_itinerary_order(segments).where(F.col("booking_type_id") != 99)
             .withColumn("_codes", F.concat_ws("-", "airport_from", "airport_to"))
             .groupBy("record_key").agg(O.concat_ordered("_codes", ["segment_nbr"], "/").alias("composite_key")))
     dossier = F.regexp_replace(X.clean("meta_dossier_id"), "-", "")
@@ -383,7 +446,7 @@ def _eligible(headers: DataFrame, lines: DataFrame, legs: DataFrame, extract_id)
     h = headers.where(F.col("extract_id") == F.lit(extract_id)).select(
         "extract_id", "product_id", F.col("no").alias("document_no"), "sell_to_customer_no",
         *[c for c in ("issued_to_doc",) if c in headers.columns])
-    j = lines.join(h, ["extract_id", "product_id", "document_no"], "inner")
+    j = lines.drop("sell_to_customer_no").join(h, ["extract_id", "product_id", "document_no"], "inner")
     j = j.where((F.col("resource_type") == 0) & F.col("service_group").isin(1, 6)
                 & F.col("ticket_type").isin(1, 2, 3) & X.is_numeric_text("sell_to_customer_no"))
     has_leg = legs.select("extract_id", "product_id", "document_no", F.col("ticket_no").alias("ticket"))

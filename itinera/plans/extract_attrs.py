@@ -120,19 +120,19 @@ def payment_card(fact: DataFrame, headers: DataFrame, sales_lines: DataFrame, ca
     def newest(df, keys, prefix):
         cols = ["card_no_1", "card_no_2", "card_no_3", "card_no_4", "card_type", "sharing_type"]
         n = O.latest_lookup(df.select(*keys, "extract_id", *cols), keys, ["extract_id"]).drop("extract_id")
-        return n.select(*keys, F.concat(*[F.col(c) for c in cols[:4]]).alias(f"{prefix}_num"),
+        return n.select(*[F.col(k).alias(f"{prefix}_{k}") for k in keys],
+                        F.concat(*[F.col(c) for c in cols[:4]]).alias(f"{prefix}_num"),
                         F.col("card_type").alias(f"{prefix}_type"), F.col("sharing_type").alias(f"{prefix}_share"))
+
+    def of_customer(prefix):
+        return ((F.col("product_id") == F.col(f"{prefix}_product_id"))
+                & (F.col("sell_to_customer_no") == F.col(f"{prefix}_customer_no")))
     tok = ["product_id", "customer_no", "token"]
-    pc = newest(cards, tok, "pc")
-    pch = newest(card_history, tok, "pch")
-    pdh = newest(payment_data, ["product_id", "customer_no", "card_reference", "no"], "pdh")
-    j = (cc.join(pc, (cc["product_id"] == pc["product_id"]) & (cc["sell_to_customer_no"] == pc["customer_no"])
-                 & (cc["card_number"] == pc["token"]), "left").drop(pc["product_id"]).drop("customer_no", "token")
-         .join(pch, (cc["product_id"] == pch["product_id"]) & (cc["sell_to_customer_no"] == pch["customer_no"])
-               & (cc["card_number"] == pch["token"]), "left").drop(pch["product_id"]).drop("customer_no", "token")
-         .join(pdh, (cc["product_id"] == pdh["product_id"]) & (cc["sell_to_customer_no"] == pdh["customer_no"])
-               & (cc["card_reference"] == pdh["card_reference"]) & (cc["document_no"] == pdh["no"]), "left")
-         .drop(pdh["product_id"]).drop(pdh["card_reference"]).drop("customer_no", "no"))
+    j = (cc.join(newest(cards, tok, "pc"), of_customer("pc") & (F.col("card_number") == F.col("pc_token")), "left")
+         .join(newest(card_history, tok, "pch"), of_customer("pch") & (F.col("card_number") == F.col("pch_token")), "left")
+         .join(newest(payment_data, ["product_id", "customer_no", "card_reference", "no"], "pdh"),
+               of_customer("pdh") & (F.col("card_reference") == F.col("pdh_card_reference"))
+               & (F.col("document_no") == F.col("pdh_no")), "left"))
     rtu = F.col("rtu")
     use_pc = F.coalesce(F.col("pc_num"), F.lit("")) != ""
     num = F.when(rtu == 1, F.when(use_pc, F.col("pc_num")).otherwise(F.col("pch_num"))) \

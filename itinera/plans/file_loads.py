@@ -247,16 +247,19 @@ def route_candidates(df: DataFrame, from_col: str, to_col: str) -> DataFrame:
                                                   & F.col("airport_to").isNotNull()).distinct()
 
 
+def with_both_ways(routes: DataFrame) -> DataFrame:
+    """Routes with their form for both directions (smaller code first)."""
+    lo, hi = F.least("airport_from", "airport_to"), F.greatest("airport_from", "airport_to")
+    return routes.select("route_id", "route_code", "airport_from", "airport_to",
+                         F.concat_ws(":", lo, hi).alias("route_code_bidirectional"),
+                         lo.alias("airport_from_bidirectional"), hi.alias("airport_to_bidirectional"))
+
+
 def upsert_routes(route_dim: DataFrame, candidates: DataFrame) -> DataFrame:
-    """New routes with surrogate keys and the bidirectional form
-    (smaller code first).  Returns only the new members."""
+    """The new routes with surrogate keys, not stored; jobs keep them durably with
+    ``Job.members``."""
     from itinera.sources import insert_new_members
-    new = insert_new_members(candidates, route_dim, ["route_code", "airport_from", "airport_to"], "route_id")
-    lo = F.least("airport_from", "airport_to")
-    hi = F.greatest("airport_from", "airport_to")
-    return new.select("route_id", "route_code", "airport_from", "airport_to",
-                      F.concat_ws(":", lo, hi).alias("route_code_bidirectional"),
-                      lo.alias("airport_from_bidirectional"), hi.alias("airport_to_bidirectional"))
+    return with_both_ways(insert_new_members(candidates, route_dim, ["route_code", "airport_from", "airport_to"], "route_id"))
 
 
 def add_route_id(df: DataFrame, route_dim: DataFrame, from_col: str, to_col: str,

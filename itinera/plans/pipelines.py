@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from itinera import operators as O
 from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
-from itinera.session import checkpoint_dir, work_path
+from itinera.plans.extract_job import run_extract_air  # noqa: F401
+from itinera.session import work_path
 from itinera.sources import log_step, register_keys, replace_batch
 
 # fixed values: key-table type per source
@@ -120,94 +121,3 @@ def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
     new_routes = FL.upsert_routes(t["route"], cands)
     return {"fact": fact, "segments": segs, "route_text": parsed, "new_routes": new_routes,
             "keys": register_keys(fact, FL.KEY, KEY_TYPE["train_file"])}
-
-
-def run_extract_air(spark: SparkSession, t: dict[str, DataFrame], extract_id: int, as_of,
-                    out_root: str | None = None) -> dict[str, DataFrame]:
-    """L4 core: classify invoice and credit lines -> record keys -> clean
-    legs -> number segments -> trips and flights -> route text -> ticket
-    roll-ups, for one extract."""
-    from itinera.plans import extract_air as EA
-    inv = t["invoice_line"].where(F.col("extract_id") == F.lit(extract_id))
-    cr = t["credit_line"].where(F.col("extract_id") == F.lit(extract_id))
-    lines_i = EA.record_key(EA.invoice_booking_type(inv)).withColumn("doc_kind", F.lit("I"))
-    lines_c = EA.record_key(EA.credit_booking_type(cr, t["credit_header"], inv)).withColumn("doc_kind", F.lit("C"))
-    # each step's result is checkpointed (reliable, under spark.checkpoint.dir):
-    # later steps reuse it without recomputing or re-planning its lineage
-    checkpoint_dir(spark)
-    fact = lines_i.unionByName(lines_c, allowMissingColumns=True)
-    if "fare_rules" in t:
-        # Fare type from the rules engine (first matching active rule)
-        from itinera.operators.rules import apply_rule_groups, apply_rules
-        fact = apply_rules(fact, t.get("fare_rule_attrs", ["ticket", "doc_kind"]), t["fare_rules"], as_of,
-                           out="fare_rule_id")
-        fact = apply_rule_groups(fact, t["fare_rule_groups"], rule_col="fare_rule_id")
-    fact = fact.checkpoint()
-    legs = EA.clean_legs(t["travel_leg"].where(F.col("extract_id") == F.lit(extract_id)), as_of)
-    segs = legs.join(fact.select("extract_id", "document_no", "line_no", "record_key", "booking_type_id"),
-                     ["extract_id", "document_no", "line_no"], "inner")
-    segs = EA.number_legs(segs)
-    segs = (segs.withColumnRenamed("departure_ts", "segment_start").withColumnRenamed("arrival_ts", "segment_end"))
-    segs = EA.split_trips(segs).checkpoint()
-    flights = EA.build_flights(segs, t["geography_priority"])
-    routes = EA.route_text(segs)
-    rollups = EA.ticket_rollups(segs).checkpoint()
-    out = {"fact": fact, "segments": EA.stored_numbers(segs), "flights": flights, "routes": routes, "rollups": rollups}
-    if "tagged_text" in t:
-        # amounts: line amounts, YQ/YR surcharges, tax fee, refund signs
-        from itinera.plans import amounts as AM
-        lines = inv.unionByName(cr, allowMissingColumns=True)
-        la = AM.line_amounts(lines)
-        sur = AM.surcharges(t["tagged_text"].where(F.col("extract_id") <= F.lit(extract_id)), la)
-        f = fact.withColumn("fare_type_id", F.lit(None).cast("int")) if "fare_type_id" not in fact.columns else fact
-        amt = AM.apply_amounts(f.drop("amount", "amount_incl_vat", "business_category", "business_sub_category",
-                                      "public_price", "airport_tax", "commission_excl_vat", "ob_fees_amt",
-                                      "markup_total", "markup_gds", "markup_pub", "id_1", "crs"),
-                               la, sur)
-        out["amounts"] = EA.sign_refunds(amt, ["ticket_amt", "ticket_amt_base", "ticket_amt_tax",
-                                               "ticket_amt_tax_vat", "ticket_amt_gross"]).checkpoint()
-        # Segment value = GDS miles share of the ticket base;
-        # flight value = null-strict sum of its segments
-        # the lines of a conjunction ticket share a record key (D6): a ticket's
-        # amounts are the sums over its lines, in the lines' own types
-        k = ["record_key", "booking_type_id"]
-        types = out["amounts"].schema
-        totals = out["amounts"].groupBy(*k).agg(*[F.sum(c).cast(types[c].dataType).alias(c) for c in (
-            "ticket_amt", "ticket_amt_base", "ob_fees_amt")])
-        base = totals.select(*k, "ticket_amt_base")
-        sv = O.prorate(segs.join(base, ["record_key", "booking_type_id"], "inner"),
-                       ["extract_id", "record_key", "booking_type_id"], "mileage_gds", "ticket_amt_base",
-                       "segment_value")
-        out["segment_values"] = EA.stored_numbers(sv.select(
-            "extract_id", "record_key", "booking_type_id", "segment_nbr", "trip_nbr", "segment_value"))
-        fv = sv.groupBy("extract_id", "record_key", "booking_type_id", "trip_nbr").agg(
-            O.strict_sum("segment_value").alias("flight_value"))
-        out["flights"] = flights.join(fv, ["extract_id", "record_key", "booking_type_id", "trip_nbr"],
-                                      "left").checkpoint()
-        if "savings" in t:
-            # savings: purchase tickets with dossier, locator, traveller, composite
-            # route key, travel dates and amounts, matched to the fare summaries
-            from itinera.plans import extract_attrs as XA
-            from itinera.plans import savings as SV
-            flat = XA.flatten_sales_line(
-                fact.select("extract_id", "product_id", "document_no", "line_no", "record_key", "booking_type_id"),
-                lines, t["tagged_text"].select("product_id", "file_name",
-                                             F.col("pnr").alias("code_pnr") if "pnr" in t["tagged_text"].columns
-                                             else F.lit(None).cast("string").alias("code_pnr"),
-                                             "extract_id", "tag", "text1"))
-            amts = totals.select(*k, "ticket_amt", "ob_fees_amt")
-            # one row per ticket: the attributes of its smallest line
-            first = O.first_per_key(flat.select("extract_id", *k, "product_id", "document_no", "line_no",
-                                                "meta_dossier_id", "pnr_code",
-                                                F.col("traveler_code").cast("int").alias("traveler_id")),
-                                    k, ["product_id", "document_no", "line_no"])
-            tickets = (first.select("extract_id", *k, "meta_dossier_id", "pnr_code", "traveler_id")
-                       .join(amts, k, "inner")
-                       .join(rollups.select("record_key", "travel_start", "travel_end", "segment_cnt"),
-                             "record_key", "left"))
-            tickets = EA.composite_key(tickets, segs)
-            fl_tot = out["flights"].groupBy(*k).agg(F.sum("flight_value").alias("flight_value"))
-            sv = t["savings"]
-            out["savings"] = SV.run_savings(tickets, sv["booked"], sv["fares"], sv["options"], sv["comp_fares"],
-                                            flights=fl_tot)
-    return out
