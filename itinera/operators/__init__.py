@@ -1,7 +1,7 @@
 """Reusable relational operators (DataFrame in, DataFrame out)."""
 
 from itinera.operators.lookups import (
-    first_per_key, latest_lookup, latest_all, band_join, dated_join, match_within,
+    first_per_key, latest_lookup, latest_all, band_join, dated_join, match_within, match_nearest,
     near_in_time, contains_join, first_match, theta_or, join_role, with_group_total, keep_if_exists,
     keep_if_absent, not_in, delete_not_in, link_first,
 )

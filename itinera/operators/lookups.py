@@ -13,6 +13,8 @@ Design rules (see README "Scale"):
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -116,13 +118,67 @@ def dated_join(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], dat
     return df.join(d, reduce(lambda a, b: a & b, cond), how)
 
 
+def _amount_buckets(amount: Column, pct: Decimal, spread: bool) -> Column:
+    """Geometric buckets of an amount, by sign: as wide as the span of all amounts that match
+    one (``1 - pct`` to ``1 + pct`` times it), so an amount lies in one bucket and what it may
+    match in two neighbours (three where rounding of the logarithm could tell).  Zero only
+    matches zero and has a bucket of its own."""
+    low, high = math.log1p(-float(pct)), math.log1p(float(pct))
+    width, slack = max(high - low, 1e-4), 1e-9
+    at = F.ln(F.abs(amount).cast("double"))
+    first = F.floor((at + low) / width - slack) if spread else F.floor(at / width)
+    last = F.floor((at + high) / width + slack) if spread else first
+    # sign and bucket in one number: buckets of amounts stay far below 2**20
+    code = lambda b: F.when(amount > 0, b).otherwise(b + F.lit(1 << 21)).cast("int")
+    return F.when(amount == 0, F.array(F.lit(1 << 22))).otherwise(F.transform(F.sequence(first, last), code))
+
+
 def match_within(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                 left_amount: str, right_amount: str, pct: float) -> DataFrame:
-    """Tolerance match: equal keys and |l - r| <= pct * |r|."""
-    cond = [left[lc] == right[rc] for lc, rc in on]
-    la, ra = left[left_amount], right[right_amount]
-    cond.append(F.abs(la - ra) <= F.abs(ra) * F.lit(pct))
-    return left.join(right, reduce(lambda a, b: a & b, cond), "inner")
+                 left_amount: str, right_amount: str, pct) -> DataFrame:
+    """Tolerance match: equal keys and |l - r| <= pct * |r|, all pairs; ``pct`` is an exact
+    decimal below 1.
+
+    Amounts get geometric buckets, so this is an equi join on (keys, bucket) that compares a
+    row with the rows of its own price range only, and a hot key is spread over its buckets.
+    The exact test on the decimals follows.  Null keys and amounts match nothing.
+    """
+    pct = Decimal(str(pct))
+    if not 0 <= pct < 1:
+        raise ValueError("pct must be at least 0 and below 1")
+    # a pair meets in the one bucket of the left amount only, so it comes up once
+    l = left.withColumn("_bucket", _amount_buckets(F.col(left_amount), pct, False)[0])
+    r = right.withColumn("_bucket", F.explode(_amount_buckets(F.col(right_amount), pct, True)))
+    la, ra = l[left_amount], r[right_amount]
+    cond = [l[lc] == r[rc] for lc, rc in on] + [l["_bucket"] == r["_bucket"],
+                                                F.abs(la - ra) <= F.abs(ra) * F.lit(pct)]
+    return l.join(r, reduce(lambda a, b: a & b, cond), "inner").drop("_bucket")
+
+
+def match_nearest(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_amount: str,
+                  right_amount: str, pct, order: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``left`` with the ``keep`` columns of one right row inside the tolerance: that of the
+    smallest difference, then the first by ``order``; null where there is none.
+
+    Only distinct amounts are paired: equal amounts of a key are reduced to their first right
+    row and to one left row beforehand, both combined map-side, so a bucket of a hot key holds
+    no more rows than there are amounts in its price range, however many rows share the key.
+    """
+    rk = [rc for _, rc in on]
+    offers = first_per_key(right.select(*dict.fromkeys([*rk, right_amount, *_names(order), *keep])), [*rk, right_amount],
+                           order).select(*[F.col(c).alias(f"_r_{c}") for c in dict.fromkeys([*rk, right_amount, *_names(order), *keep])])
+    asked = left.select(*[F.col(lc).alias(f"_l_{lc}") for lc, _ in on], F.col(left_amount).alias("_amount")).distinct()
+    pairs = match_within(asked, offers, [(f"_l_{lc}", f"_r_{rc}") for lc, rc in on], "_amount", f"_r_{right_amount}", pct)
+    keys = [*[f"_l_{lc}" for lc, _ in on], "_amount"]
+    prefixed = [("-_r_" + o[1:]) if o.startswith("-") else "_r_" + o for o in order]
+    best = first_per_key(pairs.withColumn("_difference", F.abs(F.col("_amount") - F.col(f"_r_{right_amount}"))),
+                         keys, ["_difference", *prefixed])
+    best = best.select(*keys, *[F.col(f"_r_{c}").alias(c) for c in keep])
+    cond = [left[lc] == best[f"_l_{lc}"] for lc, _ in on] + [left[left_amount] == best["_amount"]]
+    return left.join(best, reduce(lambda a, b: a & b, cond), "left").drop(*keys)
+
+
+def _names(order: Sequence[str]) -> list[str]:
+    return [name for name, _ in _order_spec(order)]
 
 
 def minute_index(ts) -> Column:

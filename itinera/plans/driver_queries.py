@@ -238,14 +238,28 @@ def q_role_join(spark, sf):
 
 
 def q_match_within(spark, sf):
-    l = _t(spark, sf, "lineitem").select(*LINE_ID, "l_quantity", "l_extendedprice")
+    """Lines whose price is within the tolerance of the list price of their quantity."""
+    l = _t(spark, sf, "lineitem").select(*LINE_ID, "l_quantity", _money("l_extendedprice").alias("paid"))
     p = _t(spark, sf, "part").select("p_partkey", "p_retailprice")
-    paid = _money("l_extendedprice")
-    ref = _money("p_retailprice") * _money("l_quantity")
-    j = l.join(p, (l["l_partkey"] == p["p_partkey"])
-               & (F.abs(paid - ref) <= ref * F.lit(L.SAVINGS_PCT).cast("decimal(4,2)")))
-    return j.select(*LINE_ID, paid.alias("paid"), ref.cast(M).alias("reference"),
-                    (paid - ref).cast(M).alias("difference"))
+    offers = (l.select(F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity")).distinct()
+              .join(p, F.col("part") == F.col("p_partkey"))
+              .select("part", "quantity", (_money("p_retailprice") * _money("quantity")).alias("reference")))
+    j = O.match_within(l, offers, [("l_partkey", "part"), ("l_quantity", "quantity")], "paid", "reference", L.SAVINGS_PCT)
+    return j.select(*LINE_ID, "paid", F.col("reference").cast(M).alias("reference"),
+                    (F.col("paid") - F.col("reference")).cast(M).alias("difference"))
+
+
+def q_match_nearest(spark, sf):
+    """Every line that was not returned, with the returned line of its supplier nearest in price
+    within the tolerance."""
+    l = _t(spark, sf, "lineitem").select(*LINE_ID, "l_returnflag", _money("l_extendedprice").alias("paid"))
+    back = l.where(F.col("l_returnflag") == "R").select(
+        F.col("l_suppkey").alias("supplier"), F.col("l_orderkey").alias("match_orderkey"),
+        F.col("l_linenumber").alias("match_linenumber"), F.col("l_partkey").alias("match_partkey"),
+        F.col("paid").alias("match_amount"))
+    keep = ["match_orderkey", "match_linenumber", "match_partkey", "match_amount"]
+    return O.match_nearest(l.where(F.col("l_returnflag") != "R").drop("l_returnflag"), back, [("l_suppkey", "supplier")],
+                           "paid", "match_amount", L.SAVINGS_PCT, ["match_amount", *keep[:3]], keep)
 
 
 def q_near_in_time(spark, sf):

@@ -235,6 +235,18 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, paid, CAST(ref AS {M}) AS
        CAST(paid - ref AS {M}) AS difference
 FROM j WHERE abs(paid - ref) <= ref * CAST({L.SAVINGS_PCT} AS DECIMAL(4,2))""",
 
+"q_match_nearest": f"""
+WITH l AS (SELECT {LID}, l.l_returnflag, CAST(l.l_extendedprice AS {M}) AS paid FROM lineitem l),
+j AS (SELECT t.l_orderkey, t.l_linenumber, t.l_partkey, t.l_suppkey, t.paid, f.l_orderkey AS match_orderkey,
+             f.l_linenumber AS match_linenumber, f.l_partkey AS match_partkey, f.paid AS match_amount,
+             row_number() OVER (PARTITION BY t.l_orderkey, t.l_linenumber, t.l_partkey, t.l_suppkey
+                                ORDER BY abs(t.paid - f.paid), f.paid, f.l_orderkey, f.l_linenumber, f.l_partkey) AS rn
+      FROM l t LEFT JOIN l f ON f.l_suppkey = t.l_suppkey AND f.l_returnflag = 'R'
+           AND abs(t.paid - f.paid) <= abs(f.paid) * CAST({L.SAVINGS_PCT} AS DECIMAL(4,2))
+      WHERE t.l_returnflag <> 'R')
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, paid, match_orderkey, match_linenumber, match_partkey, match_amount
+FROM j WHERE rn = 1""",
+
 "q_near_in_time": """
 SELECT c.event_id AS click_id, e.event_id AS error_id, c.user_id, date_diff('minute', c.ts, e.ts) AS minutes_apart
 FROM events c JOIN events e ON c.user_id = e.user_id AND e.ts >= c.ts AND date_diff('minute', c.ts, e.ts) < 120

@@ -4,6 +4,7 @@ semi joins), then summarised with aggregates (no per-row sub-selects)."""
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -13,7 +14,7 @@ from itinera import operators as O
 
 MSG = ["extract_id", "message_unique_id"]
 BF = MSG + ["booked_fare_number"]
-PCT = 0.03
+PCT = Decimal("0.03")
 # fixed values: geometry pairs of rule 1 (booked, comparison)
 RULE1_SHAPES = [("OW", "OW"), ("RT", "RT"), ("OW", "2OW")]
 
@@ -28,7 +29,7 @@ def savings_keys(messages: DataFrame, tickets: DataFrame) -> DataFrame:
 
 def fare_summary(fares: DataFrame, amounts: DataFrame, segments: DataFrame,
                  keys: Sequence[str], amount_types: Sequence[str] = ("BASE", "TAX", "TOTAL", "ANCILLARY"),
-                 pct: float = PCT) -> DataFrame:
+                 pct: Decimal = PCT) -> DataFrame:
     """Per fare key: amounts pivoted by type, geometry type
     (legs and fares), first / last segment attributes, route text
     ('FROM-TO/FROM-TO' in segment order) and marketing carriers ('C1/C2'),
@@ -43,7 +44,7 @@ def fare_summary(fares: DataFrame, amounts: DataFrame, segments: DataFrame,
                 .withColumn("_carrier", F.coalesce("marketing_carrier", F.lit(""))))
     seg = segments.groupBy(*k).agg(
         F.count(F.lit(1)).alias("segment_cnt"),
-        F.size(F.collect_set("leg_number")).alias("leg_cnt"),   # legs of one fare: bounded set
+        F.count_distinct("leg_number").alias("leg_cnt"),
         F.min(F.struct("segment_rank", "departure_date", "marketing_carrier", "booking_class",
                        "cabin_class_id", "fare_basis", "airport_from")).alias("_first"),
         F.max(F.struct("segment_rank", "arrival_date", "airport_to")).alias("_last"),
@@ -66,25 +67,29 @@ def fare_summary(fares: DataFrame, amounts: DataFrame, segments: DataFrame,
         (total * F.lit(1 - pct)).alias("total_amount_down"), (total * F.lit(1 + pct)).alias("total_amount_up"))
 
 
-def match_savings(tickets: DataFrame, fares: DataFrame) -> DataFrame:
-    """A purchase matches a fare on route key, segment count, start and
-    end date, traveller and locator, with the paid amount (less online
-    fees) inside the fare's +-3 % bounds; no ancillaries; numeric dossier.
-    Percentage difference: 100 when equal or the fare is 0."""
-    paid = F.col("ticket_amt") - F.col("ob_fees_amt")
+MATCH_KEYS = [("composite_key", "route_txt"), ("segment_cnt", "segment_cnt"), ("travel_start", "from_date"),
+              ("travel_end", "to_date"), ("traveler_id", "percode"), ("pnr_code", "pnr")]
+
+
+def match_savings(tickets: DataFrame, fares: DataFrame, pct: Decimal = PCT) -> DataFrame:
+    """A purchase matches a fare on route key, segment count, start and end date,
+    traveller and locator, with the paid amount (less online fees) within ``pct`` of the fare's
+    total; no ancillaries; numeric dossier; no negative totals.  One row per matched ticket:
+    the fare with the smallest difference, then the newest extract, then the smallest message,
+    booked fare and fare number.  Percentage difference: 100 when equal or the fare is 0."""
     t = tickets.where((F.col("booking_type_id") == X.BT_PURCHASE)
-                      & X.is_int32_text(X.clean("meta_dossier_id"))).withColumn("_paid", paid)
-    f = fares.where(F.col("has_ancillaries") == 0)
-    cond = ((t["composite_key"] == f["route_txt"]) & (t["segment_cnt"] == f["segment_cnt"])
-            & (t["travel_start"] == f["from_date"]) & (t["travel_end"] == f["to_date"])
-            & (t["traveler_id"] == f["percode"]) & (t["pnr_code"] == f["pnr"])
-            & t["_paid"].between(f["total_amount_down"], f["total_amount_up"]))
-    j = t.join(f, cond, "inner")
-    pct = (F.when(F.col("_paid") == F.col("total_amount"), F.lit(100.0))
-           .when(F.col("total_amount") == 0, F.lit(100.0))
-           .otherwise(F.col("_paid").cast("double") * 100.0 / F.col("total_amount").cast("double")))
-    return j.select(t["extract_id"], "record_key", t["booking_type_id"], f["message_unique_id"],
-                    "booked_fare_number", "fare_number", pct.alias("amt_percentage_diff"))
+                      & X.is_int32_text(X.clean("meta_dossier_id"))).withColumn("_paid", F.col("ticket_amt") - F.col("ob_fees_amt"))
+    f = (fares.where((F.col("has_ancillaries") == 0) & (F.col("total_amount") >= 0))
+         .withColumn("_extract", F.col("extract_id")))
+    j = O.match_nearest(t.select("extract_id", "record_key", "booking_type_id", "_paid", *[l for l, _ in MATCH_KEYS]), f,
+                        MATCH_KEYS, "_paid", "total_amount", pct,
+                        ["-_extract", "message_unique_id", "booked_fare_number", "fare_number"],
+                        ["message_unique_id", "booked_fare_number", "fare_number", "total_amount"])
+    diff = (F.when((F.col("_paid") == F.col("total_amount")) | (F.col("total_amount") == 0), F.lit(100.0))
+            .otherwise(F.col("_paid").cast("double") * 100.0 / F.col("total_amount").cast("double")))
+    return j.where(F.col("message_unique_id").isNotNull()).select(
+        "extract_id", "record_key", "booking_type_id", "message_unique_id", "booked_fare_number", "fare_number",
+        diff.alias("amt_percentage_diff"))
 
 
 def matched_total(matches: DataFrame, flights: DataFrame) -> DataFrame:
@@ -393,7 +398,7 @@ def run_savings(tickets: DataFrame, booked: DataFrame, fares: DataFrame, options
     if flights is not None:
         # Total flight amount of all tickets matched to the same booked fare
         tot = (matched_total(matches.select(*k, *BF), flights)
-               .select(*k, F.col("booked_fare_total").alias("_tot")).dropDuplicates(k))
+               .select(*k, F.col("booked_fare_total").alias("_tot")))
         t = t.drop("savings_total_flight_amount") if "savings_total_flight_amount" in t.columns else t
         t = t.join(tot, k, "left").withColumnRenamed("_tot", "savings_total_flight_amount")
     lrf = lrf_cases(matches, fares, options)
