@@ -2,7 +2,7 @@
 inside whole-stage codegen (no Python UDF)."""
 
 from itinera.functions.text import (
-    clean, fit, is_int32_text, int32_or_null, last_token, mask_card, like_class,
+    clean, fit, is_int32_text, int32_or_null, last_token, mask_card, like_class, like_regex,
     tsql_substring, hhmm_minutes, to_money, is_numeric_text, clean_department_name,
 )
 from itinera.functions.dates import (

@@ -32,24 +32,26 @@ def tsql_substring(x, start, length) -> Column:
         F.substring(_c(x), F.greatest(start, F.lit(1)), eff_len))
 
 
+def like_regex(pattern: Column) -> Column:
+    """The regular expression of a LIKE pattern with character classes, itself a column: rule
+    tables hold patterns as data.  ``%`` any text, ``_`` one character, ``[a-x0-9]`` one of a
+    class, ``[^..]`` one outside it; everything else stands for itself, in a class as well
+    (``[[]`` is a bracket).  A bracket that is never closed matches nothing."""
+    token = F.regexp_extract_all(pattern, F.lit(r"(?s)(\[\^?[^\]]+\]|.)"), 1)
+
+    def one(t: Column) -> Column:
+        negated = t.startswith("[^") & (F.length(t) > 3)
+        inside = F.when(negated, F.substring(t, F.lit(3), F.length(t) - 3)).otherwise(F.substring(t, F.lit(2), F.length(t) - 2))
+        inside = F.regexp_replace(inside, r"([\[\\&^])", r"\\$1")
+        return (F.when(t == "%", ".*").when(t == "_", ".").when(t == "[", "(?!)")
+                .when(F.length(t) > 1, F.concat(F.when(negated, "[^").otherwise("["), inside, F.lit("]")))
+                .otherwise(F.regexp_replace(t, r"([.$*+?(){}|\\^\]])", r"\\$1")))
+    return F.concat(F.lit(r"(?s)\A"), F.array_join(F.transform(token, one), ""), F.lit(r"\z"))
+
+
 def like_class(x, pattern: str) -> Column:
-    """LIKE with character classes ([0-9], [^0-9]); translated to a regex
-    anchored at both ends."""
-    out, i = [], 0
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "%":
-            out.append(".*")
-        elif ch == "_":
-            out.append(".")
-        elif ch == "[":
-            j = pattern.index("]", i)
-            out.append(pattern[i:j + 1])
-            i = j
-        else:
-            out.append("\\" + ch if ch in ".^$*+?(){}|\\" else ch)
-        i += 1
-    return _c(x).rlike("^" + "".join(out) + "$")
+    """LIKE with character classes ([0-9], [^0-9])."""
+    return F.regexp_like(_c(x), like_regex(F.lit(pattern)))
 
 
 def is_int32_text(x) -> Column:

@@ -14,7 +14,7 @@ from itinera.operators.shaping import (
     mode_with_priority, mode_by_levels, first_last, geometry_type, dedupe_two_pass, prorate, union_all,
     union_distinct, groups_to_rows, min_by_priority,
 )
-from itinera.operators.rules import apply_rules, apply_rule_groups, active_conditions
+from itinera.operators.rules import Layer, apply_layered_rules, apply_rules, apply_rule_groups, active_conditions
 from itinera.operators.fx import fx_convert
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -14,15 +14,23 @@ matching id, so no loop is needed: attributes are unpivoted, joined to the
 active conditions once, counted per (row, rule), filtered, and the minimum
 rule id is taken.  The work runs over the distinct attribute combinations of
 the facts (pre-aggregated map-side), then joins back null-safely.
-IN / MATCH values are stored as an XML list ``<v>a</v><v>b</v>``.
+IN / MATCH values are stored as an XML list ``<v>a</v><v>b</v>``.  LIKE and
+MATCH patterns may hold character classes; they become regular expressions
+once per condition.
+
+Some rules are decided by a predicate on the row before any other
+(``Layer``); ``apply_layered_rules`` puts them in front of the rules above a
+given id, which then see only the rows that are still open.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import NamedTuple, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F  # noqa: F401
+from itinera.functions.text import like_regex
 
 DIRECT = ("=", "<>", "LIKE", "NOT LIKE")
 LISTS = ("IN", "MATCH")
@@ -44,9 +52,11 @@ def active_conditions(rules: DataFrame, as_of) -> DataFrame:
                           F.lit("r/v/text()"))).alias("value"))
     direct = act.where(F.col("comparison").isin(*DIRECT)).select(
         "rule_id", "column_name", "comparison", "value")
-    return direct.unionByName(lists).select(
+    both = direct.unionByName(lists).select(
         "rule_id", _norm(F.col("column_name")).alias("column_name"), "comparison",
         _norm(F.col("value")).alias("value"))
+    pattern = F.col("comparison").isin("LIKE", "NOT LIKE", "MATCH")
+    return both.withColumn("value", F.when(pattern, like_regex(F.col("value"))).otherwise(F.col("value")))
 
 
 def validate(rules: DataFrame) -> None:
@@ -58,9 +68,10 @@ def validate(rules: DataFrame) -> None:
 
 
 def apply_rules(facts: DataFrame, attrs: Sequence[str], rules: DataFrame, as_of,
-                out: str = "rule_id", check: bool = True) -> DataFrame:
+                out: str = "rule_id", check: bool = True, only: Column | None = None) -> DataFrame:
     """Add ``out`` = the smallest matching active rule id (null if none), in
-    the type of the rule ids, by one plan whatever the size of the rule table."""
+    the type of the rule ids, by one plan whatever the size of the rule table.
+    Rows outside ``only`` are not tried; their ``out`` means nothing."""
     if check:
         validate(rules)
     conds = active_conditions(rules, as_of)
@@ -70,16 +81,16 @@ def apply_rules(facts: DataFrame, attrs: Sequence[str], rules: DataFrame, as_of,
         F.max((F.col("comparison") == "MATCH").cast("int")).alias("_has_m")))
     attrs = list(attrs)
     # distinct combinations of the rule attributes, as text
-    combos = facts.select(*[F.col(a).cast("string").alias(a) for a in attrs]).distinct()
+    tried = facts if only is None else facts.where(only)
+    combos = tried.select(*[F.col(a).cast("string").alias(a) for a in attrs]).distinct()
     long = combos.select(*attrs, F.explode(F.array(*[
         F.struct(F.lit(a.upper()).alias("_name"), _norm(F.col(a)).alias("_val")) for a in attrs
     ])).alias("_kv")).where(F.col("_kv._val").isNotNull())
     j = long.join(conds, long["_kv._name"] == conds["column_name"], "inner")
     v, p, cmp = F.col("_kv._val"), F.col("value"), F.col("comparison")
     holds = (F.when(cmp == "=", v == p).when(cmp == "<>", v != p)
-             .when(cmp == "LIKE", F.expr("_kv._val LIKE value"))
-             .when(cmp == "NOT LIKE", ~F.expr("_kv._val LIKE value"))
-             .when(cmp == "IN", v == p).when(cmp == "MATCH", F.expr("_kv._val LIKE value")))
+             .when(cmp == "NOT LIKE", ~F.regexp_like(v, p)).when(cmp.isin("LIKE", "MATCH"), F.regexp_like(v, p))
+             .when(cmp == "IN", v == p))
     per = j.select(*attrs, "rule_id",
                    (cmp.isin(*DIRECT) & holds).cast("int").alias("_dp"),
                    (cmp.isin(*DIRECT) & ~holds).cast("int").alias("_df"),
@@ -100,6 +111,43 @@ def apply_rules(facts: DataFrame, attrs: Sequence[str], rules: DataFrame, as_of,
     return res.drop(*[f"_k_{a}" for a in attrs])
 
 
+class Layer(NamedTuple):
+    """A rule that is a predicate on the row, tried in the order of the layers.  It holds only
+    while the rule table has all of ``needs`` (column, comparison, value) active, and fills
+    rows that are still open, or all of its rows with ``override``."""
+
+    rule_id: int
+    when: Column
+    needs: Sequence[tuple[str, str, str]] = ()
+    override: bool = False
+
+
+def apply_layered_rules(facts: DataFrame, attrs: Sequence[str], rules: DataFrame, as_of, layers: Sequence[Layer],
+                        above: int, out: str = "rule_id") -> DataFrame:
+    """Layers first, then the smallest matching rule with an id greater than ``above`` for the
+    rows that no layer took.  Whether the layers' conditions are active is one row read from
+    the rule table; the layers themselves are one expression."""
+    validate(rules)
+    needed = sorted({n for layer in layers for n in layer.needs})
+    active = {n: True for n in needed}
+    if needed:
+        day = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
+        on = (F.col("effective_start") <= day) & (F.col("effective_end") >= day)
+        has = [F.coalesce(F.bool_or(on & (_norm(F.col("column_name")) == c.upper()) & (F.col("comparison") == op)
+                                    & (_norm(F.col("value")) == v.upper())), F.lit(False)) for c, op, v in needed]
+        active = dict(zip(needed, rules.agg(*[h.alias(f"n{i}") for i, h in enumerate(has)]).first()))
+    kind = rules.schema["rule_id"].dataType
+    taken = F.lit(None).cast(kind)
+    for layer in layers:
+        if all(active[n] for n in layer.needs):
+            hit = F.coalesce(layer.when, F.lit(False))
+            taken = F.when(hit if layer.override else hit & taken.isNull(), F.lit(layer.rule_id).cast(kind)).otherwise(taken)
+    layered = facts.withColumn("_layer", taken)
+    done = apply_rules(layered, attrs, rules.where(F.col("rule_id") > above), as_of, out="_rule", check=False,
+                       only=F.col("_layer").isNull())
+    return done.withColumn(out, F.coalesce("_layer", "_rule")).drop("_layer", "_rule")
+
+
 def apply_rule_groups(facts: DataFrame, rule_groups: DataFrame, rule_col: str = "rule_id",
                       target: str = "fare_type_id") -> DataFrame:
     """Fill ``target`` from the matched rule's group where still null."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from itinera import functions as X
 from itinera import operators as O
 from itinera.jobs import Job
-from itinera.operators.rules import apply_rule_groups, apply_rules
+from itinera.operators.rules import Layer, apply_layered_rules, apply_rule_groups
 from itinera.plans import amounts as AM
 from itinera.plans import extract_air as EA
 from itinera.plans import extract_attrs as XA
@@ -33,6 +33,23 @@ ROUTE_COLS = ("route_id int, route_code string, airport_from string, airport_to
 KEY_TYPE = 28
 
 
+# fixed value: the rule table is searched above this rule id
+FIRST_TABLE_RULE = 260
+
+
+def fare_type_layers(fact: DataFrame) -> list[Layer]:
+    """The rules that are decided before the table is searched (fixed ids and
+    conditions): a fare type given by the sub-category, billback dossiers, low-cost lines
+    whatever was decided before, and lines that are no primary air resource."""
+    meta, group, resource = F.col("meta_id"), F.col("service_group"), F.col("resource_type")
+    given = [Layer(-1, F.col("business_sub_category").between(12, 16) & (F.col("fare_type_id") > 0))] \
+        if "fare_type_id" in fact.columns else []
+    return given + [
+        Layer(100, F.upper(F.left(meta, F.lit(2))) == "MA", [("Meta_ID", "LIKE", "MA%")]),
+        Layer(200, group == 6, [("Service_Group", "=", "6")], override=True),
+        Layer(-2, (resource != 0) | (group != 1), [("Service_Group", "<>", "1"), ("Resource_Type", "<>", "0")])]
+
+
 def seeds(t: Tables, extract_id: int, as_of) -> DataFrame:
     """Candidate lines with booking type and record key, lineage keys and fare type."""
     mine = lambda name: t[name].where(F.col("extract_id") == F.lit(extract_id))
@@ -49,7 +66,8 @@ def seeds(t: Tables, extract_id: int, as_of) -> DataFrame:
     if "service_ledger" in t:
         fact = EA.lineage_keys(fact, fact, t["service_ledger"])
     if "fare_rules" in t:
-        fact = apply_rules(fact, t.get("fare_rule_attrs", ["ticket", "doc_kind"]), t["fare_rules"], as_of, out="fare_rule_id")
+        fact = apply_layered_rules(fact, t.get("fare_rule_attrs", ["ticket", "doc_kind"]), t["fare_rules"], as_of,
+                                   fare_type_layers(fact), FIRST_TABLE_RULE, out="fare_rule_id")
         fact = apply_rule_groups(fact, t["fare_rule_groups"], rule_col="fare_rule_id")
     return fact
 

@@ -135,3 +135,15 @@ def daylight_saving() -> list[tuple[int, dt.datetime, dt.datetime, int]]:
 
 SAVINGS_PCT = "0.03"
 ACTIVATION_DATE = dt.date(1998, 1, 1)
+
+# rules with character classes, and the conditions that switch layers on
+LAYER_RULES = [
+    (100, "p_type", "LIKE", "SMALL%", *_ON),
+    (200, "l_linestatus", "=", "O", *_ON),
+    (201, "l_returnflag", "=", "A", *_OFF),
+    (262, "p_brand", "LIKE", "brand#[1-2]%", *_ON),
+    (262, "l_returnflag", "=", "A", *_ON),
+    (263, "p_size", "MATCH", "<v>[1-2][^0-4]</v><v>_</v>", *_ON),
+    (264, "p_brand", "NOT LIKE", "%[^3-5]", *_ON),
+]
+LAYERS_ABOVE = 260

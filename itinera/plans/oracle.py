@@ -575,6 +575,19 @@ SELECT o.o_orderkey, c.c_custkey, c.c_name FROM orders o JOIN customer c
   ON o.o_custkey = c.c_custkey AND instr(c.c_name, substr(o.o_orderpriority, 1, 1)) > 0""",
 }
 SQL["q_rules_engine_setbased"] = SQL["q_rules_engine"]
+SQL["q_rules_layers"] = f"""
+WITH f AS (SELECT {LID}, l.l_returnflag, l.l_linestatus, upper(p.p_brand) AS brand, p.p_type, CAST(p.p_size AS VARCHAR) AS size,
+                  l.l_discount = 0 AS no_flag
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CASE
+         WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 200
+         WHEN size IN ('1', '2', '3') THEN -1
+         WHEN p_type LIKE 'SMALL%' THEN 100
+         WHEN no_flag THEN -2
+         WHEN regexp_matches(brand, '^BRAND#[12]') AND l_returnflag = 'A' THEN 262
+         WHEN regexp_matches(size, '^[12][^0-4]$') OR length(size) = 1 THEN 263
+         WHEN NOT regexp_matches(brand, '[^3-5]$') THEN 264 END AS INTEGER) AS rule_id
+FROM f"""
 SQL["q_fare_summary"] = f"""
 WITH legs AS (SELECT l.l_orderkey AS o_orderkey, l.l_linenumber AS leg_number,
                      'S' || CAST(s.s_nationkey AS VARCHAR) AS carrier, l.l_linestatus AS booking_class,

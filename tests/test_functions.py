@@ -48,6 +48,42 @@ def test_advance_days(spark):
     assert got == [27, 31, 0, -1, 2, 7]
 
 
+def like(value, pattern):
+    """One LIKE by recursion over the pattern."""
+    if not pattern:
+        return not value
+    if pattern[0] == "%":
+        return any(like(value[i:], pattern[1:]) for i in range(len(value) + 1))
+    if pattern[0] == "[":
+        end = pattern.find("]", 3 if pattern[1:2] == "^" else 2)
+        if end < 0:
+            return False
+        inside, rest = pattern[1:end], pattern[end + 1:]
+        negated = len(inside) > 1 and inside[0] == "^"
+        inside, chars = inside[negated:], set()
+        i = 0
+        while i < len(inside):
+            if inside[i + 1:i + 2] == "-" and i + 2 < len(inside):
+                chars |= {chr(c) for c in range(ord(inside[i]), ord(inside[i + 2]) + 1)}
+                i += 3
+            else:
+                chars.add(inside[i])
+                i += 1
+        return bool(value) and (value[0] in chars) != negated and like(value[1:], rest)
+    return bool(value) and pattern[0] in ("_", value[0]) and like(value[1:], pattern[1:])
+
+
+def test_like_patterns_as_data(spark):
+    patterns = ["%", "", "a%", "%b", "a_c", "[a-c]1", "[^a-c]1", "%[0-9][^0-9]", "x.y", "a+(b)|c$", "[[]x", "[.^]x", "[&&a]", "a[b", "100%",
+                "a\\b", "^a", "{2}", "]x", "%]", "[a-c][a-c]%_", "_%_"]
+    values = ["", "a", "b1", "d1", "abc", "a1c", "x.y", "xay", "a+(b)|c$", "[x", ".x", "^x", "&", "a", "a[b", "100", "1009", "a\\b", "^a",
+              "{2}", "22", "]x", "q]", "a\nc", "cb", "bca", "5x", "55", "a\n"]
+    df = spark.createDataFrame([(p, v) for p in patterns for v in values], "p string, v string")
+    got = {(r.p, r.v): r.hit for r in df.withColumn("hit", F.regexp_like("v", X.like_regex(F.col("p")))).collect()}
+    wrong = {k: hit for k, hit in got.items() if hit != like(k[1], k[0])}
+    assert not wrong, wrong
+
+
 def test_like_class_and_money(spark):
     got = one(spark, X.like_class("x", "[0-1][0-9][0-5][0-9]"), [("1259",), ("1260",), ("2259",)], "x string")
     assert got == [True, False, False]
