@@ -41,7 +41,7 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def block_top(qid, q, xid, x, k, tile=2048):
-    """The k nearest of this base block for each query: (query, vec, distance)."""
+    """The k nearest of this base block for each query: (query's position, vec, distance)."""
     qc, qs, qn, qe = quantise(q)
     q2 = (q ** 2).sum(1)
     best: list[list[tuple[float, int]]] = [[] for _ in qid]
@@ -65,7 +65,7 @@ def block_top(qid, q, xid, x, k, tile=2048):
             if len(near):
                 found = zip(distances(q[i], xs[near]).tolist(), ids[near].tolist())
                 best[i] = heapq.nsmallest(k, [*best[i], *found])
-    return [(int(qid[i]), v, d) for i, top in enumerate(best) for d, v in top]
+    return [(i, v, d) for i, top in enumerate(best) for d, v in top]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, query_block: int = 256,
@@ -73,7 +73,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, query_block: in
     """The k nearest rows of ``vectors`` for every row of ``queries``: query_id,
     rank from 1, vec_id, score (Euclidean distance, double).
 
-    A query never finds rows of its own id; ties go to the smaller id.  Null,
+    A query never finds rows of its own id; ties go to the smaller id.  Queries that share an
+    id and differ in their vector have a list each, under the same query_id.  Null,
     zero, non-finite vectors and null ids take no part; equal rows (id and
     vector) count once; vectors meet only those of their own length.  With
     fewer than k candidates all are returned; empty tables give no rows.
@@ -89,6 +90,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, query_block: in
     base, asked = valid(vectors), valid(queries)
     n_base = max(1, -(-base.count() // base_block))
     n_ask = max(1, -(-asked.count() // query_block))
+    asked = asked.withColumn("own", F.xxhash64("id", "v"))
     hashed = lambda n: F.pmod(F.xxhash64("id", F.lit(7)), F.lit(n)).cast("int")
     left = (asked.withColumn("qb", hashed(n_ask))
             .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(n_base - 1)))))
@@ -98,14 +100,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, query_block: in
     def tile(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(a) and len(b):
-            rows = block_top(a["id"].to_numpy(), np.stack(a["v"].to_numpy()),
-                             b["id"].to_numpy(), np.stack(b["v"].to_numpy()), k)
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
+            ids, own = a["id"].tolist(), a["own"].tolist()
+            rows = [(ids[i], own[i], v, d) for i, v, d in block_top(
+                a["id"].to_numpy(), np.stack(a["v"].to_numpy()), b["id"].to_numpy(), np.stack(b["v"].to_numpy()), k)]
+        return pd.DataFrame(rows, columns=["query_id", "own", "vec_id", "score"])
 
     keys = ["qb", "bb", "dim"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        tile, "query_id long, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        tile, "query_id long, own long, vec_id long, score double")
+    w = Window.partitionBy("query_id", "own").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 

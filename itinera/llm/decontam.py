@@ -149,10 +149,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that are not contaminated, with the columns they had.  Rows that
-    share a doc_id go together."""
-    bad = cut(decontaminate(docs, items).filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """Rows of ``docs`` that are not contaminated, with the columns they had.  A row goes by its
+    own text: rows that share an id, or have none, stay where their texts are clean.  Null and
+    empty texts stay; an empty table gives no rows, an empty benchmark keeps all."""
+    own = F.struct(F.col("doc_id"), F.xxhash64("text").alias("key")).alias("doc_id")
+    bad = cut(decontaminate(docs.select(own, "text"), items).filter("contaminated").select(
+        F.col("doc_id.doc_id").alias("bad_id"), F.col("doc_id.key").alias("bad_key")).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_key"]), "left_anti")
 
 
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,7 @@ from itinera.llm.common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"      # must exist at this path on every executor
 SPACE = "▁"
 CACHE = 150_000                 # units in each of the two generations of a worker's cache
-ROWS = 256                      # rows in one Arrow batch: whole texts of a larger one take much memory beside the heap
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = 256                      # rows encoded at a time: the lists of a larger batch take much memory beside the heap
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
 
@@ -158,18 +157,17 @@ def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "ids", name: str =
 def encode_and_decode(docs: DataFrame, path: str = MODEL, text_col: str = "text", name: str = "ids",
                       decoded: str = "decoded") -> DataFrame:
     """``docs`` with both columns, in one pass: chained UDFs whose ids are also kept would encode
-    every text twice.  Columns of these names are replaced.  Sets the session's Arrow batches to
-    ``ROWS`` rows at most."""
-    docs, conf = docs.drop(name, decoded), docs.sparkSession.conf
-    if not 0 < int(conf.get(BATCH_ROWS)) <= ROWS:
-        conf.set(BATCH_ROWS, str(ROWS))
+    every text twice.  Like ``withColumn``, it replaces columns of the names that it is given."""
+    docs = docs.drop(name, decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in batches:
-            ids = m.encode_all(batch.column(text_col))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids, m.decode_all(ids)],
-                                             [*batch.schema.names, name, decoded])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids = m.encode_all(batch.column(text_col))
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids, m.decode_all(ids)],
+                                                 [*batch.schema.names, name, decoded])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, ArrayType(IntegerType())),
                                             StructField(decoded, StringType())]))
@@ -191,11 +189,22 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
         F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with the first number from 2 on that makes it a new column."""
+    return next(c for c in (name, *(f"{name}_{i}" for i in range(2, len(taken) + 3))) if c not in taken)
+
+
 def tokenised(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """``docs`` with piece_ids, n_pieces and exact (the ids decode to the text)."""
-    done = encode_and_decode(docs, path, name="piece_ids", decoded="decoded_text")
-    return (done.withColumn("n_pieces", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long"))
-            .withColumn("exact", F.col("decoded_text").eqNullSafe(F.col("text"))).drop("decoded_text"))
+    """``docs`` with piece_ids, n_pieces and exact (the ids decode to the text); columns that
+    have such a name already stay as they are, and ours take the next free one (n_pieces_2).
+
+    Null texts have null ids, no pieces and count as exact, empty texts an empty list; repeated
+    rows stay; an empty table gives no rows.
+    """
+    ids, n, exact, decoded = (free_name(x, docs.columns) for x in ("piece_ids", "n_pieces", "exact", "decoded_text"))
+    done = encode_and_decode(docs, path, name=ids, decoded=decoded)
+    return (done.withColumn(n, F.coalesce(F.size(ids), F.lit(0)).cast("long"))
+            .withColumn(exact, F.col(decoded).eqNullSafe(F.col("text"))).drop(decoded))
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -289,3 +289,37 @@ def test_empty_tables(empty, items):
     assert pii.find_personal_data(empty).count() == 0
     assert langid.identify(empty).count() == 0
     assert pieces.round_trip(empty).count() == 0
+
+
+def test_stage_drops_contaminated_texts_not_their_ids(spark):
+    """Rows without an id, or with a repeated one, go by their own text."""
+    item = " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = " ".join(f"v{i}" for i in range(40))
+    rows = [(None, item, "a"), (None, clean, "b"), (5, item, "c"), (5, clean, "d"), (5, clean, "e"), (6, None, "f"), (7, "", "g"), (8, "x " + item, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bad_id string")
+    kept = decontam.keep_uncontaminated(docs, items)
+    assert kept.columns == docs.columns and sorted(r.bad_id for r in kept.collect()) == ["b", "d", "e", "f", "g"]
+    assert decontam.keep_uncontaminated(docs, items.limit(0)).count() == len(rows)
+    assert decontam.keep_uncontaminated(docs.limit(0), items).count() == 0
+
+
+def test_pieces_leave_columns_and_session_alone(spark, odd):
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = odd.select("doc_id", "text").withColumn("n_pieces", F.lit("mine")).withColumn("decoded_text", F.lit("too"))
+    out = pieces.tokenised(docs)
+    assert out.columns == ["doc_id", "text", "n_pieces", "decoded_text", "piece_ids", "n_pieces_2", "exact"]
+    rows = out.collect()
+    assert len(rows) == len(ODD) and {(r.n_pieces, r.decoded_text) for r in rows} == {("mine", "too")}
+    assert all(r.n_pieces_2 == len(r.piece_ids or []) and r.exact for r in rows)
+    assert before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    assert pieces.tokenised(docs.limit(0)).count() == 0
+
+
+def test_nearest_of_queries_that_share_an_id(spark):
+    base = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(1, 6)], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(100, [1.1, 1.0]), (100, [4.9, 1.0]), (100, [4.9, 1.0])], "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id) for r in ann.nearest(base, asked, k=2).collect())
+    assert got == [(1, 1), (1, 5), (2, 2), (2, 4)]
+    assert ann.nearest(base.limit(0), asked, k=2).collect() == [] == ann.nearest(base, asked.limit(0), k=2).collect()
+    assert len(ann.nearest(base, base.limit(1), k=50).collect()) == 4          # fewer candidates than k
