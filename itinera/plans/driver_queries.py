@@ -314,15 +314,17 @@ def q_mode_priority(spark, sf):
     l = _t(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_quantity", "l_shipdate")
     s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     l = l.withColumn("ship_year", F.year("l_shipdate"))
-    hist = l.where(F.col("l_quantity") >= 45).join(s, F.col("l_suppkey") == s["s_suppkey"])
+    hist = l.join(s, F.col("l_suppkey") == s["s_suppkey"])
     # the three fallback levels are counted in one pass over the history
     modes = O.mode_by_levels(hist, [["l_suppkey", "ship_year"], ["l_suppkey"], ["s_nationkey"]],
                              "l_returnflag", L.FLAG_PRIORITY, "m")
     m1 = modes.where("level = 1").select("l_suppkey", "ship_year", F.col("m").alias("m1"))
     m2 = modes.where("level = 2").select("l_suppkey", F.col("m").alias("m2"))
     m3 = modes.where("level = 3").select("s_nationkey", F.col("m").alias("m3"))
-    tg = (l.select("l_suppkey", "ship_year").distinct()
-          .join(s, F.col("l_suppkey") == s["s_suppkey"]).drop("s_suppkey"))
+    # all suppliers are asked for in all of these years: those without lines in a year, or at
+    # all, take a fallback level
+    tg = s.withColumnRenamed("s_suppkey", "l_suppkey").withColumn(
+        "ship_year", F.explode(F.sequence(*map(F.lit, L.MODE_YEARS))))
     r = (tg.join(m1, ["l_suppkey", "ship_year"], "left").join(m2, ["l_suppkey"], "left")
          .join(m3, ["s_nationkey"], "left"))
     level = (F.when(F.col("m1").isNotNull(), 1).when(F.col("m2").isNotNull(), 2)

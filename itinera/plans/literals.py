@@ -147,3 +147,6 @@ LAYER_RULES = [
     (264, "p_brand", "NOT LIKE", "%[^3-5]", *_ON),
 ]
 LAYERS_ABOVE = 260
+
+# first and last year that the mode query asks for; the lines cover some of them
+MODE_YEARS = (1993, 2003)

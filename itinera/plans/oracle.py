@@ -280,8 +280,9 @@ UNION ALL SELECT {LID}, 'tax', CAST(nullif(l_tax, 0.0) AS {M}) FROM lineitem l W
 
 "q_mode_priority": f"""
 WITH l AS (SELECT l_suppkey, l_returnflag, l_quantity, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM lineitem),
-hist AS (SELECT l.*, s.s_nationkey FROM l JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_quantity >= 45),
-tg AS (SELECT DISTINCT l.l_suppkey, l.ship_year, s.s_nationkey FROM l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+hist AS (SELECT l.*, s.s_nationkey FROM l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+tg AS (SELECT s.s_suppkey AS l_suppkey, CAST(y.y AS INTEGER) AS ship_year, s.s_nationkey
+       FROM supplier s, range({L.MODE_YEARS[0]}, {L.MODE_YEARS[1]} + 1) y(y)),
 m1 AS {MODE.format(keys='l_suppkey, ship_year', out='m1')},
 m2 AS {MODE.format(keys='l_suppkey', out='m2')},
 m3 AS {MODE.format(keys='s_nationkey', out='m3')}
