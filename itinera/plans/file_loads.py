@@ -294,24 +294,33 @@ def traveler_names(fact: DataFrame, stage_names: DataFrame, anonymous: DataFrame
     return j
 
 
-def upsert_names(name_dim: DataFrame, with_names: DataFrame, customer_system_id: int = 2) -> tuple[DataFrame, DataFrame]:
-    """New (traveller, name) members get keys; returns (new members,
-    fact with ``name_id``).  The full name is the natural key (Q7 fixed)."""
-    from itinera.sources import insert_new_members
-    nk = ["traveler_id", "customer_system_id"] + NAME_COLS
-    cand = with_names.where(F.col("last_name").isNotNull()).select(
-        "traveler_id", F.lit(customer_system_id).cast(name_dim.schema["customer_system_id"].dataType)
-        .alias("customer_system_id"), *NAME_COLS)
-    new = insert_new_members(cand, name_dim, nk, "name_id")
-    full = name_dim.select("name_id", *nk).unionByName(new.select("name_id", *nk))
+NAME_KEY = ["traveler_id", "customer_system_id"] + NAME_COLS
+
+
+def name_candidates(with_names: DataFrame, name_dim: DataFrame, customer_system_id: int = 2) -> DataFrame:
+    """The (traveller, full name) members that tickets need; the full name is part of the
+    natural key (Q7 fixed)."""
+    system = F.lit(customer_system_id).cast(name_dim.schema["customer_system_id"].dataType)
+    return with_names.where(F.col("last_name").isNotNull()).select(
+        "traveler_id", system.alias("customer_system_id"), *NAME_COLS)
+
+
+def add_name_id(with_names: DataFrame, name_dim: DataFrame, customer_system_id: int = 2) -> DataFrame:
+    """``traveler_name_id`` of each ticket, compared null-safely."""
     keyed = with_names.withColumn("customer_system_id", F.lit(customer_system_id).cast(
         name_dim.schema["customer_system_id"].dataType))
-    cond = [keyed[c].eqNullSafe(full[c]) for c in nk]
-    from functools import reduce
-    j = keyed.join(full.withColumnRenamed("name_id", "traveler_name_id"), reduce(lambda a, b: a & b, cond), "left")
-    for c in nk:
-        j = j.drop(full[c])
-    return new, j
+    dim = name_dim.select(F.col("name_id").alias("traveler_name_id"), *[F.col(c).alias(f"_n_{c}") for c in NAME_KEY])
+    cond = reduce(lambda a, b: a & b, [keyed[c].eqNullSafe(dim[f"_n_{c}"]) for c in NAME_KEY])
+    return keyed.join(dim, cond, "left").drop(*[f"_n_{c}" for c in NAME_KEY])
+
+
+def upsert_names(name_dim: DataFrame, with_names: DataFrame, customer_system_id: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(new members with keys, fact with ``traveler_name_id``); the members are not stored
+    here, jobs keep them durably with ``Job.members``."""
+    from itinera.sources import insert_new_members
+    new = insert_new_members(name_candidates(with_names, name_dim, customer_system_id), name_dim, NAME_KEY, "name_id")
+    full = name_dim.select("name_id", *NAME_KEY).unionByName(new.select("name_id", *NAME_KEY))
+    return new, add_name_id(with_names, full, customer_system_id)
 
 
 # ---- D76 custom fields ---------------------------------------------------------------

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from itinera import operators as O
+from itinera.jobs import Job
 from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
 from itinera.plans.extract_job import run_extract_air  # noqa: F401
@@ -31,54 +32,59 @@ def _write(spark: SparkSession, df: DataFrame, root: str, name: str, batch_id, s
 
 
 def run_file_air(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
-                 out_root: str | None = None) -> dict[str, DataFrame]:
+                 out_root: str | None = None, job: Job | None = None) -> dict[str, DataFrame]:
     """L1: seed -> expand -> segments -> flights -> routes -> names -> keys
-    -> custom fields -> ticket geography, for one file."""
-    root = out_root or work_path(spark, "facts")
-    log = os.path.join(root, "run_log")
-    stage = t["air_ticket"].where(F.col("file_id") == F.lit(file_id))
-
-    fact = FL.seed_file_fact(stage, t["booking_type"], file_id)
-    fact = FL.expand_ticket(fact, stage, t["travel_product"], t["fx_rate"])
-    fact = FL.add_advance_band(fact, t["advance_purchase"])
-    fact = FL.add_account(fact, t["group_account"])
-    fact = FL.add_department(fact, t["department"])
-    fact = FL.add_policy_group(fact, t["traveler_group_policy"])
-    fact = _write(spark, fact, root, "air_fact", file_id, "expand", log)
-
-    segs = FL.load_segments(fact, t["air_ticket_segment"].where(F.col("file_id") == F.lit(file_id)),
-                            t["airport"])
-    segs = FL.segment_values(segs)
-    segs = segs.join(fact.select(*FL.KEY, "travel_product_id"), FL.KEY, "inner")
-    segs = FL.segment_geography(segs, t["geography_country"], t["geography_priority"])
-    segs = _write(spark, segs, root, "air_segment_fact", file_id, "segments", log)
-
-    flights = FL.load_flights(fact, t["air_ticket_flight"].where(F.col("file_id") == F.lit(file_id)),
-                              t["airport"], t["fx_rate"])
-    flights = FL.flight_values(flights, segs)
-    fgeo = FL.rollup_geography(segs, FL.KEY + ["trip_nbr"], t["geography_priority"])
-    flights = flights.join(fgeo, FL.KEY + ["trip_nbr"], "left")
-    flights = _write(spark, flights, root, "air_flight_fact", file_id, "flights", log)
-
-    cands = (FL.route_candidates(fact, "airport_from", "airport_to")
-             .unionByName(FL.route_candidates(flights, "airport_from", "airport_to"))
-             .unionByName(FL.route_candidates(segs, "airport_from", "airport_to")).distinct())
-    new_routes = FL.upsert_routes(t["route"], cands)
-    routes = t["route"].unionByName(new_routes.select(*t["route"].columns))
-    fact_r = FL.add_route_id(fact.drop("route_id") if "route_id" in fact.columns else fact, routes,
-                             "airport_from", "airport_to")
-
-    named = FL.traveler_names(fact_r, t["traveler_stage_name"], t.get("traveler_anonymous"))
-    new_names, named = FL.upsert_names(t["traveler_name"], named)
-    tgeo = FL.rollup_geography(flights.join(fact.select(*FL.KEY, "travel_product_id"), FL.KEY),
-                               FL.KEY, t["geography_priority"], out="ticket_geography_type_id")
-    final = named.join(tgeo, FL.KEY, "left")
-    final = _write(spark, final, root, "air_fact_final", file_id, "routes_names_geography", log)
-
-    keys = register_keys(fact, FL.KEY, KEY_TYPE["air_file"])
-    cdf = FL.custom_fields(fact, t["custom_field_long"], t["department"])
-    return {"fact": final, "segments": segs, "flights": flights, "new_routes": new_routes,
-            "new_names": new_names, "keys": keys, "custom_fields": cdf}
+    -> custom fields -> ticket geography, for one file, as a restartable job.
+    Routes and names are stored members before the facts that refer to them
+    are written; route ids go onto tickets, flights and segments."""
+    job = job or Job(spark, out_root or work_path(spark, "facts"), "file_air", file_id)
+    mine = lambda name: t[name].where(F.col("file_id") == F.lit(file_id))
+
+    def expand():
+        stage = mine("air_ticket")
+        f = FL.expand_ticket(FL.seed_file_fact(stage, t["booking_type"], file_id), stage, t["travel_product"], t["fx_rate"])
+        f = FL.add_department(FL.add_account(FL.add_advance_band(f, t["advance_purchase"]), t["group_account"]), t["department"])
+        return FL.add_policy_group(f, t["traveler_group_policy"])
+    fact = job.step("expand", expand)
+
+    def segments():
+        s = FL.segment_values(FL.load_segments(fact, mine("air_ticket_segment"), t["airport"]))
+        s = s.join(fact.select(*FL.KEY, "travel_product_id"), FL.KEY, "inner")
+        return FL.segment_geography(s, t["geography_country"], t["geography_priority"])
+    segs = job.step("segments", segments)
+
+    def build_flights():
+        f = FL.flight_values(FL.load_flights(fact, mine("air_ticket_flight"), t["airport"], t["fx_rate"]), segs)
+        geo = FL.rollup_geography(segs, FL.KEY + ["trip_nbr"], t["geography_priority"])
+        return f.join(geo, FL.KEY + ["trip_nbr"], "left")
+    flights = job.step("flights", build_flights)
+
+    ends = lambda: reduce(DataFrame.unionByName, [
+        FL.route_candidates(df, "airport_from", "airport_to") for df in (fact, flights, segs)])
+    routes = job.members("air_route", ends, ["route_code", "airport_from", "airport_to"], "route_id", t["route"], FL.with_both_ways)
+    with_route = lambda df: FL.add_route_id(df.drop("route_id"), routes, "airport_from", "airport_to")
+
+    named = job.step("names", lambda: FL.traveler_names(fact, t["traveler_stage_name"], t.get("traveler_anonymous")))
+    names = job.members("traveler_name", lambda: FL.name_candidates(named, t["traveler_name"]), FL.NAME_KEY, "name_id",
+                        t["traveler_name"])
+
+    def tickets():
+        geo = FL.rollup_geography(flights.join(fact.select(*FL.KEY, "travel_product_id"), FL.KEY),
+                                  FL.KEY, t["geography_priority"], out="ticket_geography_type_id")
+        return FL.add_name_id(with_route(named), names).join(geo, FL.KEY, "left")
+    job.step("tickets", tickets)
+    job.step("keys", lambda: register_keys(fact, FL.KEY, KEY_TYPE["air_file"]))
+    job.step("custom fields", lambda: FL.custom_fields(fact, t["custom_field_long"], t["department"]))
+    out = {"segments": job.publish("air_segment_fact", "segments", "file_id", with_route(segs)),
+           "flights": job.publish("air_flight_fact", "flights", "file_id", with_route(flights)),
+           "fact": job.publish("air_fact", "tickets", "file_id"),
+           "keys": job.publish("air_fact_key", "keys", "file_id"),
+           "custom_fields": job.publish("air_custom_field", "custom fields", "file_id"),
+           "routes": routes, "names": names,
+           "new_routes": spark.read.parquet(job.committed["air_route members"]),
+           "new_names": spark.read.parquet(job.committed["traveler_name members"])}
+    job.finish()
+    return out
 
 
 def run_file_hotel(spark: SparkSession, t: dict[str, DataFrame], file_id: int,

@@ -51,3 +51,19 @@ def test_pipeline_end_to_end_and_idempotent(spark, tmp_path):
     out2 = run_file_air(spark, t, 7, str(tmp_path))
     assert out2["fact"].count() == 3
     assert spark.read.parquet(str(tmp_path / "air_fact")).where(F.col("file_id") == 7).count() == 3
+
+
+def test_two_files_in_a_row_share_members(spark, tmp_path):
+    """Members are stored before facts use them: no id has two meanings."""
+    t, root = air_tables(spark), str(tmp_path)
+    first = run_file_air(spark, t, 7, root)
+    second = run_file_air(spark, t, 8, root)
+    for dim, key, out in (("routes", "route_id", second["routes"]), ("names", "name_id", second["names"])):
+        before, after = ({r[key]: tuple(x for c, x in sorted(r.asDict().items()) if c != key) for r in d.collect()}
+                         for d in (first[dim], out))
+        assert before.items() <= after.items() and len(set(after.values())) == len(after) == out.count()
+    dim = {r.route_id: (r.airport_from, r.airport_to) for r in second["routes"].collect()}
+    for table in ("air_fact", "air_segment_fact", "air_flight_fact"):
+        rows = spark.read.parquet(f"{root}/{table}").where("airport_from is not null and airport_to is not null").collect()
+        assert rows and all(dim[r.route_id] == (r.airport_from, r.airport_to) for r in rows)
+
