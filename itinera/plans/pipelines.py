@@ -1,12 +1,9 @@
-"""Batch pipelines: each step is a DataFrame function; each output table is
-written once per run with dynamic partition overwrite on ``file_id`` (a
-re-run replaces the batch), and the ticket fact is read back from the
-written table so later steps do not recompute its lineage."""
+"""Batch jobs over external files.  Each step is a DataFrame function whose rows
+are committed before the next step reads them (``itinera.jobs``), so later
+steps do not recompute its lineage; a re-run replaces the batch."""
 
 from __future__ import annotations
 
-import datetime as dt
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,21 +13,12 @@ from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
 from itinera.plans.extract_job import run_extract_air  # noqa: F401
 from itinera.session import work_path
-from itinera.sources import log_step, register_keys, replace_batch
+from itinera.sources import register_keys
 
 # fixed values: key-table type per source
 KEY_TYPE = {"air_file": 18, "hotel_file": 19, "train_file": 17, "air_extract": 28}
 
 
-def _write(spark: SparkSession, df: DataFrame, root: str, name: str, batch_id, step: str,
-           log: str) -> DataFrame:
-    start = dt.datetime.now()
-    path = os.path.join(root, name)
-    replace_batch(df, path, "file_id", batch_id)
-    log_step(spark, log, batch_id, step, start, dt.datetime.now())
-    return spark.read.parquet(path).where(F.col("file_id") == F.lit(batch_id))
-
-
 def run_file_air(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
                  out_root: str | None = None, job: Job | None = None) -> dict[str, DataFrame]:
     """L1: seed -> expand -> segments -> flights -> routes -> names -> keys
@@ -102,28 +90,38 @@ def run_file_hotel(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
 
 
 def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
-                   out_root: str | None = None) -> dict[str, DataFrame]:
+                   out_root: str | None = None, job: Job | None = None) -> dict[str, DataFrame]:
     """L3: seed -> expand (card masked) -> segments (prefix stripped, FX) ->
-    route text from city names -> routes -> keys -> custom fields."""
-    root = out_root or work_path(spark, "facts")
-    log = os.path.join(root, "run_log")
+    route text from city names -> routes -> keys, as a restartable job;
+    routes are stored members before tickets refer to them.  Not built: trips,
+    values, names and custom fields."""
+    job = job or Job(spark, out_root or work_path(spark, "facts"), "file_train", file_id)
     stage = t["train_ticket"].where(F.col("file_id") == F.lit(file_id))
-    amounts = [c for c in FL.AIR_AMOUNTS if c in stage.columns]
-    fact = FL.seed_file_fact(stage, t["booking_type"], file_id)
-    fact = FL.expand_ticket(fact, stage, t["travel_product"], t["fx_rate"], amounts, card_col="card_nbr")
-    fact = FL.add_advance_band(fact, t["advance_purchase"])
-    fact = FL.add_account(fact, t["group_account"])
-    fact = FL.add_department(fact, t["department"])
-    fact = _write(spark, fact, root, "train_fact", file_id, "expand", log)
-    segs = HT.load_train_segments(fact, t["train_ticket_segment"].where(F.col("file_id") == F.lit(file_id)),
-                                  t["fx_rate"])
-    segs = _write(spark, segs, root, "train_segment_fact", file_id, "segments", log)
-    lang = fact.select(*FL.KEY, "travel_product_id").join(
-        t["travel_product"].select("travel_product_id", F.col("default_lang_id").alias("lang_id")),
-        "travel_product_id")
-    txt = HT.train_route_text(segs.join(lang.drop("travel_product_id"), FL.KEY), t["train_station"])
-    parsed = HT.parse_route_text(txt)
-    cands = FL.route_candidates(parsed, "route_from", "route_to")
-    new_routes = FL.upsert_routes(t["route"], cands)
-    return {"fact": fact, "segments": segs, "route_text": parsed, "new_routes": new_routes,
-            "keys": register_keys(fact, FL.KEY, KEY_TYPE["train_file"])}
+
+    def expand():
+        amounts = [c for c in FL.AIR_AMOUNTS if c in stage.columns]
+        f = FL.seed_file_fact(stage, t["booking_type"], file_id)
+        f = FL.expand_ticket(f, stage, t["travel_product"], t["fx_rate"], amounts, card_col="card_nbr")
+        return FL.add_department(FL.add_account(FL.add_advance_band(f, t["advance_purchase"]), t["group_account"]), t["department"])
+    fact = job.step("expand", expand)
+    segs = job.step("segments", lambda: HT.load_train_segments(
+        fact, t["train_ticket_segment"].where(F.col("file_id") == F.lit(file_id)), t["fx_rate"]))
+
+    def route_text():
+        lang = t["travel_product"].select("travel_product_id", F.col("default_lang_id").alias("lang_id"))
+        own = fact.select(*FL.KEY, "travel_product_id").join(lang, "travel_product_id").drop("travel_product_id")
+        return HT.parse_route_text(HT.train_route_text(segs.join(own, FL.KEY), t["train_station"]))
+    parsed = job.step("route text", route_text)
+    routes = job.members("train_route", lambda: FL.route_candidates(parsed, "route_from", "route_to"),
+                         ["route_code", "airport_from", "airport_to"], "route_id", t["route"], FL.with_both_ways)
+    job.step("tickets", lambda: fact.drop("route_id", "route_txt").join(
+        FL.add_route_id(parsed, routes, "route_from", "route_to").select(
+            *FL.KEY, *[c for c in parsed.columns if c not in fact.columns], "route_id"), FL.KEY, "left"))
+    job.step("keys", lambda: register_keys(fact, FL.KEY, KEY_TYPE["train_file"]))
+    out = {"segments": job.publish("train_segment_fact", "segments", "file_id"),
+           "fact": job.publish("train_fact", "tickets", "file_id"),
+           "keys": job.publish("train_fact_key", "keys", "file_id"),
+           "route_text": parsed, "routes": routes,
+           "new_routes": spark.read.parquet(job.committed["train_route members"])}
+    job.finish()
+    return out
