@@ -790,35 +790,43 @@ def q_route_text(spark, sf):
 
 
 def q_fare_summary(spark, sf):
-    """D88 on the driver tables: an order is a fare, its lines are the
-    segments (supplier nation -> customer nation) and its amounts (returned
-    lines as ancillaries, accepted as base, the rest as total)."""
-    from itinera.plans.savings import fare_summary
-    j = _line_nations(spark, sf, extra=("l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
-                                        "l_discount"))
-    j = O.sequence_number(j, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                                              "l_extendedprice"], "segment_rank")
-    segs = j.select(F.col("l_orderkey").alias("o_orderkey"), "segment_rank",
-                    F.col("l_linenumber").alias("leg_number"),
-                    F.lit(None).cast("timestamp_ntz").alias("departure_date"),
-                    F.lit(None).cast("timestamp_ntz").alias("arrival_date"),
-                    F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("marketing_carrier"),
-                    F.col("l_linestatus").alias("booking_class"),
-                    F.round(F.col("l_discount") * 100).cast("int").alias("cabin_class_id"),
-                    F.col("l_returnflag").alias("fare_basis"),
-                    F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("airport_from"),
-                    F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("airport_to"))
-    kind = F.when(F.col("l_returnflag") == "R", "ANCILLARY").when(F.col("l_returnflag") == "A", "BASE") \
-        .otherwise("TOTAL")
-    amounts = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
-                                               kind.alias("amount_type"), _money("l_extendedprice").alias("amount"))
-    fares = _t(spark, sf, "orders").select("o_orderkey")
-    r = fare_summary(fares, amounts, segs, ["o_orderkey"])
-    return r.select("o_orderkey", *[F.col(f"amt_{t}").cast(M).alias(f"amt_{t.lower()}")
-                                    for t in ("BASE", "TAX", "TOTAL", "ANCILLARY")],
-                    "segment_cnt", "geometry_type", "first_carrier", "first_booking_class",
-                    "first_cabin_class_id", "first_fare_basis", "route_txt", "marketing_carrier",
-                    "has_ancillaries", F.col("total_amount").cast(M).alias("total_amount"))
+    """D88 on the driver tables: an order is a fare; each of its lines is a segment (supplier
+    nation -> customer nation, a further line of a number connects) and an amount (returned
+    lines as ancillaries, accepted as fare, the rest as total), so lines are read once."""
+    from itinera.plans.saving_messages import described, finest
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    lines = (_t(spark, sf, "lineitem").select("l_orderkey", *order, "l_returnflag", "l_linestatus", "l_discount")
+             .join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "inner"))
+    j = O.sequence_number(O.with_prev(j, ["o_orderkey"], order, ["l_linenumber"], "_prev"), ["o_orderkey"], order,
+                          "segment_rank")
+    place = lambda col: F.concat(F.lit("N"), F.col(col).cast("string"))
+    no_date = F.lit(None).cast("timestamp_ntz")
+    stream = j.select(
+        "o_orderkey", F.when(F.col("l_returnflag") == "R", "ancillaries").when(F.col("l_returnflag") == "A", "fare_amount")
+        .otherwise("total_amount").alias("type"), _money("l_extendedprice").alias("amount"),
+        F.when(F.col("s_nationkey").isNotNull() & F.col("c_nationkey").isNotNull(), True).alias("_segment"),
+        "segment_rank", F.col("l_linenumber").alias("segment_number"),
+        F.when(F.col("_prev.l_linenumber") == F.col("l_linenumber"), 1).otherwise(0).alias("is_connection"),
+        F.lit(0).alias("marketing_carrier_is_lowcost"), no_date.alias("from_date"), no_date.alias("to_date"),
+        place("s_nationkey").alias("from_airport_code"), place("c_nationkey").alias("to_airport_code"),
+        F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("marketing_carrier_code"),
+        F.lit(None).cast("string").alias("flexibility_level"),
+        F.round(F.col("l_discount") * 100).cast("int").cast("string").alias("cabin_class"),
+        F.col("l_linestatus").alias("booking_class"), F.col("l_returnflag").alias("farebasis"))
+    r = o.select("o_orderkey").join(described(finest(stream, ["o_orderkey"]), ["o_orderkey"]), "o_orderkey", "left")
+    zero = F.lit(0).cast(M)
+    return r.select("o_orderkey", F.col("fare_amount").cast(M).alias("amt_base"), F.col("obfees").cast(M).alias("amt_tax"),
+                    F.col("total_amount").cast(M).alias("amt_total"), F.col("ancillaries").cast(M).alias("amt_ancillary"),
+                    "segment_cnt", F.coalesce("geometry_type", F.lit("NA")).alias("geometry_type"), "first_carrier",
+                    "first_booking_class", F.col("first_cabin_class").cast("int").alias("first_cabin_class_id"),
+                    "first_fare_basis", "route_txt", "marketing_carrier",
+                    F.coalesce("has_ancillaries", F.lit(0)).alias("has_ancillaries"),
+                    F.coalesce(F.col("total_amount").cast(M), zero).alias("total_amount"))
 
 
 QUERIES = {name: fn for name, fn in list(globals().items())

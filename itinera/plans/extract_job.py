@@ -19,6 +19,7 @@ from itinera.plans import amounts as AM
 from itinera.plans import extract_air as EA
 from itinera.plans import extract_attrs as XA
 from itinera.plans import file_loads as FL
+from itinera.plans import saving_messages as SM
 from itinera.plans import savings as SV
 from itinera.session import work_path
 from itinera.sources import register_keys
@@ -169,22 +170,40 @@ def one_per_ticket(attrs: DataFrame) -> DataFrame:
     return O.first_per_key(attrs, ["extract_id", *TICKET], ["product_id", "document_no", "line_no"])
 
 
-def savings(t: Tables, attrs: DataFrame, totals: DataFrame, rollups: DataFrame, segs: DataFrame,
-            flights: DataFrame) -> DataFrame:
-    """Purchases matched to the fare summaries; with ``legacy_fare_info`` the legacy savings
-    hold for invoices before ``savings_from``."""
-    first = one_per_ticket(attrs)
-    tickets = (first.select("extract_id", *TICKET, "product_id", "meta_dossier_id", "pnr_code", "traveler_id")
+def savings_tickets(attrs: DataFrame, totals: DataFrame, rollups: DataFrame, segs: DataFrame) -> DataFrame:
+    """One row per ticket, with what the savings messages are matched by."""
+    tickets = (one_per_ticket(attrs).select("extract_id", *TICKET, "product_id", "meta_dossier_id", "pnr_code", "traveler_id")
                .join(totals.select(*TICKET, "ticket_amt", "ob_fees_amt"), TICKET, "inner")
                .join(rollups.select("record_key", "travel_start", "travel_end", "segment_cnt"), "record_key", "left"))
-    tickets = EA.composite_key(tickets, segs)
-    sv = t["savings"]
-    out = SV.run_savings(tickets, sv["booked"], sv["fares"], sv["options"], sv["comp_fares"],
-                         flights=flights.groupBy(*TICKET).agg(F.sum("flight_value").alias("flight_value")))
+    return EA.composite_key(tickets, segs)
+
+
+def summaries(job: Job, t: Tables, tickets: DataFrame) -> tuple[Tables, DataFrame]:
+    """The four savings summaries and the matches (D87-D93): from the raw message tables, the
+    comparison side for matched messages only, or from the summaries that ``savings`` holds."""
+    if "saving_message" not in t:
+        sv = t["savings"]
+        return sv, job.step("savings matches", lambda: SV.match_savings(tickets, sv["fares"]))
+    keys = job.step("savings messages", lambda: SM.message_keys(t["saving_message"], t["saving_fare"], tickets))
+    fine = job.step("savings fare details", lambda: SM.booked_levels(t, keys))
+    sv = {"booked": job.step("savings booked fares", lambda: SM.booked_fares(t, keys, fine)),
+          "fares": job.step("savings fares", lambda: SM.fares(t, keys, fine))}
+    matches = job.step("savings matches", lambda: SV.match_savings(tickets, sv["fares"]))
+    hit = SM.matched_keys(matches)
+    fine_options = job.step("savings option details", lambda: SM.option_levels(t, hit))
+    sv["options"] = job.step("savings options", lambda: SM.options(t, hit, fine_options, sv["booked"]))
+    sv["comp_fares"] = job.step("savings comparison fares", lambda: SM.comparison_fares(t, hit, fine_options))
+    return sv, matches
+
+
+def savings(t: Tables, attrs: DataFrame, tickets: DataFrame, sv: Tables, matches: DataFrame) -> DataFrame:
+    """The rules over the matched purchases; with ``legacy_fare_info`` the legacy savings
+    hold for invoices before ``savings_from``."""
+    out = SV.run_savings(tickets, sv["booked"], sv["fares"], sv["options"], sv["comp_fares"], matches=matches)
     if "legacy_fare_info" in t:
         legacy = SV.legacy_savings(tickets, t["legacy_fare_info"], t["dossier_field"])
         legacy = O.first_per_key(legacy.select(*TICKET, F.col("low_price").alias("fare_amt_lowest")), TICKET, ["fare_amt_lowest"])
-        dates = first.select(*TICKET, "invoice_date")
+        dates = one_per_ticket(attrs).select(*TICKET, "invoice_date")
         out = SV.finish_savings(out.drop("fare_amt_lowest").join(dates, TICKET, "left"), legacy, out, t["savings_from"])
     return out
 
@@ -227,8 +246,10 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
             values.groupBy(*EA.SEG_KEY, "trip_nbr").agg(O.strict_sum("segment_value").alias("flight_value")),
             [*EA.SEG_KEY, "trip_nbr"], "left"))
         segs = values.drop("ticket_amt_base")
-        if "savings" in t:
-            out["savings"] = job.step("savings", lambda: savings(t, attrs, totals, rollups, segs, flights))
+        if "savings" in t or "saving_message" in t:
+            asked = job.step("savings tickets", lambda: savings_tickets(attrs, totals, rollups, segs))
+            sv, matches = summaries(job, t, asked)
+            out["savings"] = job.step("savings", lambda: savings(t, attrs, asked, sv, matches))
 
     def tickets() -> DataFrame:
         base = one_per_ticket(attrs) if with_text else fact.select("extract_id", *TICKET).distinct()

@@ -99,6 +99,15 @@ def matched_total(matches: DataFrame, flights: DataFrame) -> DataFrame:
     return O.with_group_total(j, BF, "flight_value", "booked_fare_total")
 
 
+def paid_total(matches: DataFrame, tickets: DataFrame) -> DataFrame:
+    """What all tickets matched to a booked fare paid (less online fees), beside each
+    matched ticket."""
+    k = ["record_key", "booking_type_id"]
+    j = matches.select(*k, *BF).join(tickets.select(*k, "ticket_amt", "ob_fees_amt"), k, "inner")
+    total = j.groupBy(*BF).agg((F.sum("ticket_amt") - F.sum("ob_fees_amt")).alias("savings_total_flight_amount"))
+    return j.join(total, BF, "inner").select(*k, "savings_total_flight_amount")
+
+
 def lowest_recommended(options: DataFrame) -> DataFrame:
     """Cheapest lowest-recommended comparison option per booked fare."""
     rec = options.where(F.col("is_lowest_recommended_fare") == 1)
@@ -387,13 +396,15 @@ def published_fare_rules23(tickets: DataFrame, pub_cases: DataFrame, comp_fares:
 
 def run_savings(tickets: DataFrame, booked: DataFrame, fares: DataFrame, options: DataFrame,
                 comp_fares: DataFrame, exclude_unknown: bool = False,
-                flights: DataFrame | None = None) -> DataFrame:
+                flights: DataFrame | None = None, matches: DataFrame | None = None) -> DataFrame:
     """D90-D98 chained over the summarised savings tables: match each
     purchase to a fare, build the lowest-recommended and published cases,
     apply the lowest-fare rules (1-3) and the published-fare rules, then the
-    negation.  One row per ticket; unmatched tickets keep nulls."""
+    negation.  One row per ticket; unmatched tickets keep nulls.  ``matches`` takes the rows of
+    ``match_savings`` where they are stored.  A booked fare's flight amount is what its tickets
+    paid, unless ``flights`` gives the value of their flights or the tickets carry it."""
     k = ["record_key", "booking_type_id"]
-    matches = match_savings(tickets, fares)
+    matches = match_savings(tickets, fares) if matches is None else matches
     t = tickets.join(matches.select(*k, "amt_percentage_diff"), k, "left")
     if flights is not None:
         # Total flight amount of all tickets matched to the same booked fare
@@ -401,6 +412,8 @@ def run_savings(tickets: DataFrame, booked: DataFrame, fares: DataFrame, options
                .select(*k, F.col("booked_fare_total").alias("_tot")))
         t = t.drop("savings_total_flight_amount") if "savings_total_flight_amount" in t.columns else t
         t = t.join(tot, k, "left").withColumnRenamed("_tot", "savings_total_flight_amount")
+    elif "savings_total_flight_amount" not in t.columns:
+        t = t.join(paid_total(matches, tickets), k, "left")
     lrf = lrf_cases(matches, fares, options)
     low = lowest_fare_rule1(t, lrf, comp_fares, options, booked, fares).unionByName(
         lowest_fare_rules23(t, lrf, comp_fares, options, booked, fares))
