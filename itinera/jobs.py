@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from itinera.sources.sinks import new_members, number_members, replace_batch
+from itinera.sources.targets import Target
 
 EVENTS = ("generation int, seq int, step string, status string, path string, n_rows long, "
           "at timestamp_ntz, note string")
@@ -54,6 +55,7 @@ class Job:
         self.generation = last + 1 if over or not last else last
         mine = [e for e in events if e.generation == self.generation]
         self.seq = max((e.seq for e in mine), default=0)
+        self.began = min((e.at for e in mine), default=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         self.committed = {e.step: e.path for e in mine if e.status == "committed"}
 
     @property
@@ -68,7 +70,7 @@ class Job:
             note: str | None = None) -> None:
         """Appends one row to the step table; it is there once its file is."""
         self.seq += 1
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if self.seq > 1 else self.began
         row = (self.generation, self.seq, step, status, path, n_rows, now, note)
         self.spark.createDataFrame([row], EVENTS).coalesce(1).write.mode("append").parquet(self.events_path)
 
@@ -87,15 +89,19 @@ class Job:
             self.committed[name] = path
         return self.spark.read.parquet(self.committed[name])
 
-    def publish(self, table: str, step: str, batch_col: str, rows: DataFrame | None = None) -> DataFrame:
+    def publish(self, table: str, step: str, batch_col: str, rows: DataFrame | None = None,
+                target: Target | None = None) -> DataFrame:
         """Replaces the batch of a table by the committed rows of a step (or what ``rows``
-        makes of them), once per generation."""
+        makes of them), once per generation, in the shape of ``target``: a row is stamped with
+        the time at which its generation began, so a repeated write stamps it alike."""
         path, name = f"{self.root}/{table}", f"publish {table}"
         if name not in self.committed:
             self.log(name, "started")
             df = rows if rows is not None else self.spark.read.parquet(self.committed[step])
             if batch_col not in df.columns:
                 df = df.withColumn(batch_col, F.lit(self.batch_id))
+            if target is not None:
+                df = target.shape(df, self.name, self.began)
             replace_batch(df, path, batch_col, self.batch_id)
             self.log(name, "committed", path)
             self.committed[name] = path

@@ -7,7 +7,7 @@ from itinera.operators.lookups import (
 )
 from itinera.operators.scans import (
     time_bucket, value_bucket, range_bucket, sequence_number, running_sum, with_next, with_prev,
-    asof_join, split_by_gap,
+    asof_join, asof_within, split_by_gap, split_and_number,
 )
 from itinera.operators.shaping import (
     strict_sum, guarded_sum, has_amount, concat_ordered, pivot_sum, unpivot_nonnull,

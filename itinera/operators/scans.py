@@ -188,37 +188,92 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     for i in range(len(ro)):
         l2 = l2.withColumn(f"_o{i}", F.lit(None).cast(r2.schema[f"_o{i}"].dataType))
     l2 = l2.withColumn("_r", F.lit(None).cast(r2.schema["_r"].dataType))
-    u = l2.unionByName(r2, allowMissingColumns=True)
-    order = ["_t", "_side"] + [f"_o{i}" for i in range(len(ro))]
+    return _asof_scan(l2.unionByName(r2, allowMissingColumns=True), keys, len(ro), lcols, out, bucket)
+
+
+def asof_within(df: DataFrame, keys: Sequence[str], time: str, is_left: Column, is_right: Column,
+                right_cols: Sequence[str], right_order: Sequence[str] = (), out: str = "match",
+                bucket: Bucket | None = None) -> DataFrame:
+    """``asof_join`` of two row sets of one table: the rows where ``is_left`` holds, each with
+    the latest row where ``is_right`` holds.  A row may be on both sides (it then finds itself
+    or a later one of its time).  The table is read once for the scan and once, with the key,
+    order and payload columns only, for the carries."""
+    keys, ro, lcols = list(keys), list(right_order), df.columns
+    known = F.col(time).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    sides = F.filter(F.array(F.when(is_right & known, F.lit(0)), F.when(is_left, F.lit(1))), lambda x: x.isNotNull())
+    u = df.select(*lcols, F.explode(sides).alias("_side"))
+    right = F.col("_side") == 0
+    u = u.select(*lcols, "_side", F.col(time).alias("_t"),
+                 *[F.when(right, F.col(o)).alias(f"_o{i}") for i, o in enumerate(ro)],
+                 F.when(right, F.struct(*[F.col(c) for c in right_cols])).alias("_r"))
+    return _asof_scan(u, keys, len(ro), lcols, out, bucket)
+
+
+def _asof_scan(u: DataFrame, keys: list[str], n_order: int, lcols: list[str], out: str, bucket) -> DataFrame:
+    """The ordered scan behind both as-of lookups over (time, side, order, payload) rows: side
+    0 offers its payload ``_r``, side 1 is returned.  Equal offers go by their payload."""
+    order = ["_t", "_side"] + [f"_o{i}" for i in range(n_order)] + ["_r"]
     if bucket is None:
         w = _w(keys, order, False).rowsBetween(Window.unboundedPreceding, 0)
         res = u.withColumn(out, F.when(F.col("_t").isNotNull(), F.last("_r", ignorenulls=True).over(w)))
         return res.where("_side = 1").select(*lcols, out)
-    if isinstance(bucket, RangeBucket):
-        u = _bucketed(u, keys, order, bucket)      # sampled ranges over (keys, time, side, ties)
-    else:
-        u = u.withColumn("_b", bucket(F.col("_t")))
-    w = _w(keys, order, True).rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_loc", F.last("_r", ignorenulls=True).over(w))
-    summ = (u.where("_side = 0").groupBy(*keys, "_b")
-            .agg(F.max(F.struct(*[F.col(o) for o in order], F.col("_r"))).alias("_e"))
-            .select(*keys, "_b", F.lit(1).alias("_f"), F.col("_e._r").alias("_e")))
-    targets = (u.where("_side = 1").select(*keys, "_b").distinct()
-               .select(*keys, "_b", F.lit(0).alias("_f"), F.lit(None).cast(summ.schema["_e"].dataType).alias("_e")))
-    wb = Window.partitionBy(*keys).orderBy("_b", "_f").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (targets.unionByName(summ)
-             .withColumn("_c", F.last("_e", ignorenulls=True).over(wb))
-             .where("_f = 0").select(*keys, "_b", "_c"))
-    lrows = u.where("_side = 1")
-    cr = carry.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col("_b").alias("_cb"), "_c")
-    cond = lrows["_b"].eqNullSafe(cr["_cb"])
-    for k in keys:   # null-safe: a left row with a null key is kept (it matches nothing)
-        cond = cond & lrows[k].eqNullSafe(cr[f"_ck_{k}"])
-    res = lrows.join(cr, cond, "left").withColumn(
+    u = _bucketed(u, keys, order, bucket).withColumn("_kb", F.struct(*keys, "_b"))
+    w = Window.partitionBy("_kb").orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    u = u.withColumn("_loc", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = u.select(*keys, "_b", "_kb", F.row_number().over(w).alias("_pos"),
+                    F.last("_r", ignorenulls=True).over(whole).alias("_end")).where("_pos = 1")
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select("_kb", F.last("_end", ignorenulls=True).over(wb).alias("_c"))
+    res = u.where("_side = 1").join(carry, "_kb").withColumn(
         out, F.when(F.col("_t").isNotNull(), F.coalesce(F.col("_loc"), F.col("_c"))))
     return res.select(*lcols, out)
 
 
+def split_and_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], prev_cols: Sequence[str],
+                     is_break: Callable[[Column], Column], out: str = "group_nbr", seq_out: str | None = None,
+                     bucket: Bucket | None = None) -> DataFrame:
+    """``split_by_gap``, and with ``seq_out`` the position of each row inside its group, in one
+    scan.  Inside a (key, bucket) one window finds the breaks behind its first row; one row a
+    bucket, its first, then decides whether it breaks from the bucket before, and carries the
+    groups, the rows and the start of the open group; one join brings the carry back.  The
+    bucket key is one struct, which equals itself whatever is null in it, so the rows stay where
+    the window put them."""
+    keys, order = list(keys), list(order)
+    cols = [c for c in df.columns if c != "_b"]
+    d = df.withColumn("_b", F.lit(0).cast("long")) if bucket is None else _bucketed(df, keys, order, bucket)
+    d = d.withColumn("_kb", F.struct(*keys, "_b"))
+    w = Window.partitionBy("_kb").orderBy(*order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    payload = F.struct(*[F.col(c) for c in prev_cols])
+    brk = lambda prev: F.when(is_break(prev), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    d = d.withColumn("_pos", F.row_number().over(w).cast("long")).withColumn("_prev", F.lag(payload).over(w))
+    d = d.withColumn("_brk", F.when(F.col("_pos") == 1, F.lit(0).cast("long")).otherwise(brk(F.col("_prev"))))
+    at = F.when(F.col("_brk") == 1, F.col("_pos"))
+    # the first row of each bucket, with what the bucket holds behind it
+    firsts = d.select(*cols, "_b", "_kb", "_pos", F.sum("_brk").over(whole).alias("_breaks"),
+                      F.count(F.lit(1)).over(whole).alias("_rows"), F.max(at).over(whole).alias("_start"),
+                      F.last(payload).over(whole).alias("_last")).where("_pos = 1")
+    by_bucket = Window.partitionBy(*keys).orderBy("_b")
+    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.withColumn("_before", F.lag("_last").over(by_bucket))
+    firsts = firsts.withColumn("_new", F.when(F.col("_before").isNull(), F.lit(1).cast("long")).otherwise(brk(F.col("_before"))))
+    firsts = firsts.withColumn("_base", F.coalesce(F.sum(F.col("_breaks") + F.col("_new")).over(before), F.lit(0)) + F.col("_new"))
+    firsts = firsts.withColumn("_skip", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    own = F.when(F.col("_new") == 1, F.col("_skip") + 1)
+    firsts = firsts.withColumn("_opened", own).withColumn("_latest", F.coalesce(F.col("_skip") + F.col("_start"), own))
+    carry = firsts.select("_kb", "_base", "_skip", F.coalesce("_opened", F.max("_latest").over(before)).alias("_open"))
+    d = d.select(*cols, "_kb", "_pos", F.sum("_brk").over(so_far).alias("_breaks"), F.max(at).over(so_far).alias("_start"))
+    d = d.join(carry, "_kb").withColumn(out, F.col("_base") + F.col("_breaks"))
+    if seq_out is None:
+        return d.select(*cols, out)
+    start = F.coalesce(F.col("_skip") + F.col("_start"), F.col("_open"))
+    return d.withColumn(seq_out, F.col("_skip") + F.col("_pos") - start + 1).select(*cols, out, seq_out)
+
+
 def split_by_gap(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  prev_cols: Sequence[str], is_break: Callable[[Column], Column],
                  out: str = "group_nbr", bucket: Bucket | None = None) -> DataFrame:
@@ -227,9 +282,9 @@ def split_by_gap(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``prev_cols`` of the previous row; current columns are plain columns).
     Replaces a recursive CTE carrying a counter with lag + running sum."""
     keys, order = list(keys), list(order)
-    d = _bucketed(df, keys, order, bucket) if bucket is not None else df
-    d = with_prev(d, keys, order, prev_cols, "_prev", bucket, keep_bucket=True)
+    if bucket is not None:
+        return split_and_number(df, keys, order, prev_cols, is_break, out, None, bucket)
+    d = with_prev(df, keys, order, prev_cols, "_prev")
     d = d.withColumn("_brk", F.when(F.col("_prev").isNull(), F.lit(1))
                      .when(is_break(F.col("_prev")), F.lit(1)).otherwise(F.lit(0)).cast("long"))
-    d = running_sum(d, keys, order, "_brk", out, bucket, keep_bucket=True)
-    return d.drop("_prev", "_brk", "_b")
+    return running_sum(d, keys, order, "_brk", out).drop("_prev", "_brk")

@@ -124,15 +124,12 @@ def q_dated_join(spark, sf):
 # ---- lookups ---------------------------------------------------------------
 
 def q_asof(spark, sf):
-    e = _t(spark, sf, "events")
-    p = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
-    c = e.where(F.col("event_type") == "click").select(
-        F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("click_ts"),
-        F.col("value").alias("click_value"))
-    r = O.asof_join(p, c, ["user_id"], "ts", "click_ts", ["click_id", "click_value"],
-                    right_order=["click_id"], out="m", bucket=O.time_bucket(DAY))
+    """J9 on one table: each purchase with the user's latest click at or before it."""
+    e = _t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    r = O.asof_within(e, ["user_id"], "ts", F.col("event_type") == "purchase", F.col("event_type") == "click",
+                      ["event_id", "value"], right_order=["event_id"], out="m", bucket=O.time_bucket(DAY))
     return r.select(F.col("event_id").alias("purchase_id"), "user_id",
-                    F.col("m.click_id").alias("click_id"), F.col("m.click_value").alias("click_value"))
+                    F.col("m.event_id").alias("click_id"), F.col("m.value").alias("click_value"))
 
 
 def q_latest_lookup(spark, sf):
@@ -361,7 +358,7 @@ def q_dedupe_two_pass(spark, sf):
                     F.col("total_rows").alias("n_kept"))
 
 
-def _sessions(spark, sf):
+def _sessions(spark, sf, seq_out=None):
     e = _t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
     us = X.epoch_micros(F.col("ts"))
 
@@ -370,8 +367,8 @@ def _sessions(spark, sf):
         return (gap > 6 * 3600 * 10**6) | ((gap > 4 * 3600 * 10**6)
                                           & (F.col("event_type") != "error")
                                           & (prev["event_type"] != "error"))
-    return O.split_by_gap(e, ["user_id"], ["ts", "event_id"], ["ts", "event_type"], brk,
-                          out="session_nbr", bucket=O.time_bucket(DAY))
+    return O.split_and_number(e, ["user_id"], ["ts", "event_id"], ["ts", "event_type"], brk,
+                              out="session_nbr", seq_out=seq_out, bucket=O.time_bucket(DAY))
 
 
 def q_split_by_gap(spark, sf):
@@ -382,10 +379,7 @@ def q_split_by_gap(spark, sf):
 
 
 def q_sequence(spark, sf):
-    s = _sessions(spark, sf)
-    r = O.sequence_number(s, ["user_id", "session_nbr"], ["ts", "event_id"], "seq_in_session",
-                          bucket=O.time_bucket(DAY))
-    return r.select("event_id", "user_id", "session_nbr", "seq_in_session")
+    return _sessions(spark, sf, "seq_in_session").select("event_id", "user_id", "session_nbr", "seq_in_session")
 
 
 def q_group_total(spark, sf):
@@ -589,15 +583,14 @@ def q_union_distinct(spark, sf):
 
 
 def q_consultant(spark, sf):
+    """D30 on the driver tables: event types are consultants, purchases are tickets."""
+    from itinera.plans.hotel_train import consultant_as_of
     e = _t(spark, sf, "events")
-    daily = (e.where(F.col("event_type") != "purchase")
-             .groupBy("user_id", F.to_date("ts").alias("day"), F.col("event_type").alias("consultant"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    top = O.first_per_key(daily, ["user_id", "day"], ["-n", "consultant"])
+    logged = e.where(F.col("event_type") != "purchase").select("user_id", F.to_date("ts").alias("event_day"),
+                                                               F.col("event_type").alias("consultant"))
     p = e.where(F.col("event_type") == "purchase").select("event_id", "user_id",
                                                           F.to_date("ts").alias("issue_day"))
-    r = O.asof_join(p, top, ["user_id"], "issue_day", "day", ["day", "consultant", "n"],
-                    out="m", bucket=O.time_bucket(7 * DAY))
+    r = consultant_as_of(p, logged, ["user_id"], "event_day", "consultant", "issue_day", "m", O.time_bucket(7 * DAY))
     return r.select("event_id", "user_id", F.col("m.consultant").alias("consultant"),
                     F.col("m.day").alias("consult_day"), F.col("m.n").alias("n_events"))
 
@@ -829,5 +822,38 @@ def q_fare_summary(spark, sf):
                     F.coalesce(F.col("total_amount").cast(M), zero).alias("total_amount"))
 
 
+def q_name_resolution(spark, sf):
+    """D72, D73, D75 on the driver tables: an order is a ticket, its customer the traveller and
+    the next customer the approver of finished orders.  Customers are the traveller table (machinery:
+    occasional, without a last name below zero), status and priority the alias of urgent orders,
+    suppliers the dossiers' fields; nations below 5 show an anonymous approver."""
+    from itinera.plans.names import mark_missing_name, resolve_names
+    o, c, s = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "supplier")
+    one = lambda: F.lit(1)
+    lines = o.select(one().alias("extract_id"), one().alias("product_id"), F.col("o_orderkey").alias("document_no"),
+                     one().alias("line_no"), F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.concat(
+                         "o_orderpriority", F.lit("/"), "o_orderstatus")).alias("traveller_alias"))
+    tickets = o.select("o_orderkey", one().alias("extract_id"), one().alias("product_id"),
+                       F.col("o_orderkey").alias("document_no"), one().alias("line_no"),
+                       F.col("o_custkey").cast("string").alias("traveler_code"),
+                       (F.col("o_custkey") % 10).cast("string").alias("meta_dossier_id"),
+                       F.when(F.col("o_orderstatus") == "F", F.col("o_custkey") + 1).alias("approver_id"),
+                       (F.col("o_custkey") % 25).cast("int").alias("group_account_id"))
+    people = c.select(one().alias("extract_id"), one().alias("product_id"), F.col("c_custkey").cast("string").alias("no"),
+                      F.when(F.col("c_mktsegment") == "MACHINERY", 1).otherwise(0).alias("is_occasional"),
+                      F.lit(None).cast("string").alias("title"), F.col("c_mktsegment").alias("first_name"),
+                      F.when(F.col("c_acctbal") >= 0, F.col("c_name")).otherwise("n/a").alias("name"))
+    fields = s.select(F.col("s_suppkey").cast("string").alias("metaid"), one().alias("product_id"), one().alias("extract_id"),
+                      F.lit("TRAVELLER_LAST_NAME").alias("fld_key"),
+                      F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("fld_value"))
+    anonymous = _t(spark, sf, "nation").where(F.col("n_nationkey") < 5).select(
+        one().alias("product_id"), F.col("n_nationkey").cast("int").alias("group_account_id"), F.lit("").alias("title"),
+        F.lit("ANON").alias("first_name"), F.lit("").alias("middle_name"), F.col("n_name").alias("last_name"))
+    r = resolve_names(tickets, 1, people, lines, fields, anonymous)
+    status = mark_missing_name(F.lit(0), F.col("last_name"), F.col("approver_id"), F.col("approver_last_name"))
+    return r.select("o_orderkey", "name_source", "first_name", "last_name", "approver_id", "approver_first_name",
+                    "approver_last_name", status.alias("record_status_id"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

@@ -280,7 +280,7 @@ def route_text(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record
     org, last = F.col("_o.airport_from"), F.col("_l")
     fallback = (F.when(last["trip_nbr"] == 1, last["airport_to"])
                 .when(last["trip_nbr"] >= 2, F.when(org != last["_ff"], last["_ff"]).otherwise(last["airport_to"])))
-    return g.select(*k, X.fit("route_txt", max_len).alias("route_txt"), org.alias("airport_from"),
+    return g.select(*k, (X.fit("route_txt", max_len) if max_len else F.col("route_txt")).alias("route_txt"), org.alias("airport_from"),
                     F.coalesce(F.col("_t._turn"), fallback).alias("airport_to"), "segment_cnt",
                     last["trip_nbr"].cast("long").alias("flight_cnt"))
 

@@ -1,7 +1,7 @@
 """L4: the ERP extract of one batch, from raw tables to written facts, as a restartable job.
 
 Steps: seeds, attributes, segments, flights, rollups, routes, amounts, values, savings,
-fact.  Each is committed before the next one reads it (``itinera.jobs``).  A step that needs
+names, fact.  Each is committed before the next one reads it (``itinera.jobs``).  A step that needs
 a table which is not given is left out; its columns are then missing.
 """
 
@@ -19,10 +19,12 @@ from itinera.plans import amounts as AM
 from itinera.plans import extract_air as EA
 from itinera.plans import extract_attrs as XA
 from itinera.plans import file_loads as FL
+from itinera.plans import names as NM
 from itinera.plans import saving_messages as SM
 from itinera.plans import savings as SV
 from itinera.session import work_path
 from itinera.sources import register_keys
+from itinera.sources.targets import AIR_TICKET, DETAIL
 
 Tables = dict[str, DataFrame]
 LINE = ["extract_id", "product_id", "document_no", "line_no"]
@@ -220,7 +222,7 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
     segs = all_segs.where("complete").drop("complete")
     flights = job.step("flights", lambda: EA.build_flights(segs, t["geography_priority"]))
     rollups = job.step("rollups", lambda: EA.ticket_rollups(segs))
-    routes = job.step("routes", lambda: EA.route_text(segs))
+    routes = job.step("routes", lambda: EA.route_text(segs, max_len=None))
 
     # routes are members before facts refer to them (K5, D60), then ids go onto all three
     seed = t.get("route", spark.createDataFrame([], ROUTE_COLS))
@@ -251,6 +253,16 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
             sv, matches = summaries(job, t, asked)
             out["savings"] = job.step("savings", lambda: savings(t, attrs, asked, sv, matches))
 
+    names = None
+    if with_text and "traveler_name" in t and "traveller" in t:
+        aliases = fact if "traveller_alias" in fact.columns else None
+        keep = [c for c in ("approver_id", "group_account_id") if c in attrs.columns]
+        named = job.step("names", lambda: NM.resolve_names(
+            one_per_ticket(attrs).select(*LINE, *TICKET, "traveler_id", "traveler_code", "meta_dossier_id", *keep), extract_id,
+            t["traveller"], aliases, t.get("dossier_field"), t.get("traveler_anonymous")))
+        names = job.members("traveler_name", lambda: NM.name_members(named, t["traveler_name"]), FL.NAME_KEY, "name_id",
+                            t["traveler_name"])
+
     def tickets() -> DataFrame:
         base = one_per_ticket(attrs) if with_text else fact.select("extract_id", *TICKET).distinct()
         lost = all_segs.where(~F.col("complete")).select(*TICKET, F.lit(True).alias("_lost"))
@@ -259,6 +271,12 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
              .join(lost, TICKET, "left"))
         status = F.col("record_status_id") if "record_status_id" in f.columns else F.lit(0)
         f = f.withColumn("record_status_id", F.when(F.col("_lost"), F.lit(10)).otherwise(status)).drop("_lost")   # D65
+        if names is not None:
+            n = NM.add_name_ids(named, names).select(*TICKET, "name_source", "traveler_name_id", "approver_name_id",
+                                                     F.col("approver_id").alias("_approver"))
+            f = f.join(n, TICKET, "left")
+            f = f.withColumn("record_status_id", NM.mark_missing_name(
+                F.col("record_status_id"), F.col("traveler_name_id"), F.col("_approver"), F.col("approver_name_id"))).drop("_approver")
         if with_text:
             f = f.join(totals, TICKET, "left")
         if "savings" in out:
@@ -267,9 +285,9 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
 
     job.step("tickets", tickets)
     job.step("keys", lambda: register_keys(fact, ["extract_id", *TICKET], KEY_TYPE))
-    out["segments"] = job.publish("air_segment_fact", "segments", "extract_id", with_route(EA.stored_numbers(segs)))
-    out["flights"] = job.publish("air_flight_fact", "flights", "extract_id", with_route(flights))
-    out["tickets"] = job.publish("air_fact", "tickets", "extract_id")
+    out["segments"] = job.publish("air_segment_fact", "segments", "extract_id", with_route(EA.stored_numbers(segs)), DETAIL)
+    out["flights"] = job.publish("air_flight_fact", "flights", "extract_id", with_route(flights), DETAIL)
+    out["tickets"] = job.publish("air_fact", "tickets", "extract_id", target=AIR_TICKET)
     out["keys"] = job.publish("air_fact_key", "keys", "extract_id")
     job.finish()
     return out

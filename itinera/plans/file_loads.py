@@ -180,16 +180,17 @@ def segment_geography(segments: DataFrame, geo_country: DataFrame, geo_priority:
            .groupBy("_product", "_country").agg(F.min(F.struct("priority", "type")).alias("_offer")))
     pairs = country.where(F.col("_to").isNotNull()).groupBy("_product", "_country", "_to").agg(
         F.min("type").alias("_pair"))
-    product = travel_product_col
-    out = _with_value(segments, own.where("_country != ''"), {product: "_product", from_country: "_country"},
-                      "_offer", "_origin")
-    out = _with_value(out, own.where("_country != ''"), {product: "_product", to_country: "_country"},
-                      "_offer", "_destination")
-    out = _with_value(out, own.where("_country = ''"), {product: "_product"}, "_offer", "_default")
-    out = _with_value(out, pairs, {product: "_product", from_country: "_country", to_country: "_to"},
-                      "_pair", "_both")
+    # the segments' distinct country pairs are looked up, a few thousand rows whatever the number
+    # of segments; the struct of a pair equals itself whatever is null in it
+    pair = F.struct(F.col(travel_product_col).alias("_p"), F.col(from_country).alias("_f"), F.col(to_country).alias("_t"))
+    out = segments.select(pair.alias("_asked")).distinct().select("_asked", "_asked.*")
+    out = _with_value(out, own.where("_country != ''"), {"_p": "_product", "_f": "_country"}, "_offer", "_origin")
+    out = _with_value(out, own.where("_country != ''"), {"_p": "_product", "_t": "_country"}, "_offer", "_destination")
+    out = _with_value(out, own.where("_country = ''"), {"_p": "_product"}, "_offer", "_default")
+    out = _with_value(out, pairs, {"_p": "_product", "_f": "_country", "_t": "_to"}, "_pair", "_both")
     chosen = least_geography(F.col("_both"), [F.col("_origin"), F.col("_destination")], F.col("_default"))
-    return out.withColumn("geography_type_id", chosen).drop("_origin", "_destination", "_default", "_both")
+    known = out.select("_asked", chosen.alias("geography_type_id"))
+    return segments.drop("geography_type_id").withColumn("_asked", pair).join(known, "_asked", "left").drop("_asked")
 
 
 def _with_value(df: DataFrame, dim: DataFrame, on: dict[str, str], value: str, out: str) -> DataFrame:
@@ -217,6 +218,26 @@ def load_flights(fact: DataFrame, flight_stage: DataFrame, airports: DataFrame,
     return f.drop("_ccy", "from_latitude", "from_longitude", "to_latitude", "to_longitude")
 
 
+def load_trips(fact: DataFrame, trip_stage: DataFrame, fx_rates: DataFrame) -> DataFrame:
+    """D42 (train): trip rows of the batch's tickets with the trip value in storage currency
+    (missing rate -> 0).  The stage names tickets by file and record key; where it has no booking
+    type, a trip belongs to every booking of its record.  Miles and route are not given for trips."""
+    on = [c for c in KEY if c in trip_stage.columns]
+    own = fact.select(*KEY, "travel_product_id", "increment_cnt", "currency_code", "invoice_date", F.col("currency").alias("_ccy"))
+    t = trip_stage.drop("travel_product_id", "increment_cnt", "currency_code", "invoice_date").join(own, on, "inner")
+    t = O.fx_convert(t, fx_rates, "invoice_date", "_ccy", "currency_code", ["trip_value"], keep_rate=None)
+    return (t.drop("_ccy", "invoice_date").withColumn("mileage_cnt", F.lit(None).cast("double"))
+            .withColumn("route_id", F.lit(None).cast("int")))
+
+
+def trip_geography(trips: DataFrame, segments: DataFrame, geo_priority: DataFrame, line_of_business: int = 5) -> DataFrame:
+    """D52 (train): a trip takes the geography of least priority among its segments; a trip
+    whose segments have none keeps its own."""
+    best = rollup_geography(segments, KEY + ["trip_nbr"], geo_priority, line_of_business=line_of_business, out="_best")
+    return (trips.join(best, KEY + ["trip_nbr"], "left")
+            .withColumn("geography_type_id", F.coalesce("_best", "geography_type_id")).drop("_best"))
+
+
 def flight_values(flights: DataFrame, segments: DataFrame, trip_col: str = "trip_nbr") -> DataFrame:
     """Flight value = strict sum of its segment values."""
     v = segments.groupBy(*KEY, trip_col).agg(O.strict_sum("segment_value").alias("_fv"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from itinera import functions as X
 from itinera import operators as O
-from itinera.plans.file_loads import KEY
+from itinera.plans.file_loads import KEY, segment_geography
 from itinera.sources import latest_extract
 
 # fixed values: hotel comparison kinds
@@ -129,6 +129,59 @@ def backfill_comparisons(stage: DataFrame, existing: DataFrame, travel_product:
 
 # ---- D30 consultant ---------------------------------------------------------------------
 
+# fixed values: actions that show who worked on a hotel, the automation's login, kinds of dossier
+HOTEL_ACTIONS = ("HCCANCEL", "TCCHANGED", "TCHOTELMODIFIED", "TCHOTELADDED", "HCBOOK", "IANHOTELCANCEL",
+                 "IANHOTELDATECHANGE", "IANHOTELPRICECHANGE", "HCADD", "CHECKOUT_INSERTION")
+AUTOMATION = 504141
+NO_DOSSIER, MANUAL_DOSSIER = "NMD", "M"
+
+
+def consultant_as_of(fact: DataFrame, events: DataFrame, keys, event_day: str, who: str, issue_day: str,
+                     out: str = "consulted", bucket=None) -> DataFrame:
+    """``fact`` with a struct (day, ``who``, n): of the newest day with events at or before the
+    issue day, who has most of them (then the smallest)."""
+    keys = list(keys)
+    daily = events.groupBy(*keys, F.col(event_day).alias("day"), who).agg(F.count(F.lit(1)).alias("n"))
+    top = O.first_per_key(daily, [*keys, "day"], ["-n", who])
+    return O.asof_join(fact, top, keys, issue_day, "day", ["day", who, "n"], out=out, bucket=bucket or O.time_bucket(30 * 86400))
+
+
+def consultant_names(logins: DataFrame) -> DataFrame:
+    """(name, named_consultant): 'LAST FIRST' of each consultant's login; equal names go to the
+    smallest id.  Ids are stored negated."""
+    name = F.concat(F.col("last_name"), F.lit(" "), F.col("first_name"))
+    return (logins.select(X.clean(name).alias("name"), (-F.col("consultant_id")).alias("_c")).where(F.col("name").isNotNull())
+            .groupBy("name").agg(F.max("_c").alias("named_consultant")))
+
+
+def consultant_by_levels(fact: DataFrame, events: DataFrame, actions: DataFrame, fields: DataFrame, logins: DataFrame,
+                         action_codes=HOTEL_ACTIONS, automation: int = AUTOMATION) -> DataFrame:
+    """D30 with its fallback: on agent-assisted tickets of a numeric dossier the consultant of
+    the event log, else of the name in the dossier's field, else none (-500000); of a manual
+    dossier ('M..', not 'NMD..') the named one, else none; of others none.  Tickets without an
+    agent keep their ``consultant_id``."""
+    a = actions.where(F.col("label_code").isin(*action_codes)).select(F.col("id").alias("action_id"))
+    ev = (events.where(F.col("consultant_id").isNotNull() & (F.col("consultant_id") != automation))
+          .join(a, "action_id", "left_semi")
+          .select(X.clean("dossier_id").alias("_dossier"), F.to_date("event_date").alias("_event_day"),
+                  (-F.col("consultant_id")).alias("_who")))
+    numeric = X.is_int32_text(X.clean("meta_dossier_id"))
+    own = [c for c in fact.columns if c != "consultant_id"]
+    f = fact.withColumn("_dossier", F.when(numeric, X.clean("meta_dossier_id"))).withColumn("_issued", F.to_date("issue_date"))
+    f = consultant_as_of(f, ev, ["_dossier"], "_event_day", "_who", "_issued", "_log")
+    by_name = (fields.where(F.col("fld_key") == "TRAVEL_CONSULTANT")
+               .select(F.col("metaid").alias("_meta"), F.col("product_id").alias("_product"), X.clean("fld_value").alias("name"))
+               .join(consultant_names(logins), "name", "inner")
+               .groupBy("_meta", "_product").agg(F.max("named_consultant").alias("_named")))
+    f = f.join(by_name, (F.col("meta_dossier_id") == F.col("_meta")) & (F.col("product_id") == F.col("_product")), "left")
+    none, meta = F.lit(CONSULTANT_NONE), X.clean("meta_dossier_id", upper=True)
+    found = (F.when(numeric, F.coalesce("_log._who", "_named", none))
+             .when(meta.startswith(NO_DOSSIER), none)
+             .when(meta.startswith(MANUAL_DOSSIER), F.coalesce("_named", none)).otherwise(none))
+    kept = F.col("consultant_id") if "consultant_id" in fact.columns else F.lit(None).cast("int")
+    return f.select(*own, F.when(F.col("agent_assisted") == 1, found).otherwise(kept).alias("consultant_id"))
+
+
 def attribute_consultant(fact: DataFrame, events: DataFrame, actions: DataFrame,
                          action_codes=("BOOK", "ISSUE", "MODIFY")) -> DataFrame:
     """For agent-assisted tickets, the consultant with the most events
@@ -136,15 +189,11 @@ def attribute_consultant(fact: DataFrame, events: DataFrame, actions: DataFrame,
     int32 text); none -> -500000."""
     a = actions.where(F.col("label_code").isin(*action_codes)).select(F.col("id").alias("action_id"))
     ev = events.join(a, "action_id", "left_semi").where(X.is_int32_text(X.clean("dossier_id")))
-    daily = (ev.groupBy(X.clean("dossier_id").cast("int").alias("dossier"),
-                        F.to_date("event_date").alias("day"), "consultant_id")
-             .agg(F.count(F.lit(1)).alias("n")))
-    top = O.first_per_key(daily, ["dossier", "day"], ["-n", "consultant_id"])
+    ev = ev.select(X.clean("dossier_id").cast("int").alias("dossier"), F.to_date("event_date").alias("event_day"), "consultant_id")
     f = fact.withColumn("dossier", F.when(X.is_int32_text(X.clean("meta_dossier_id")),
                                           X.clean("meta_dossier_id").cast("int")))
     f = f.withColumn("issue_day", F.to_date("issue_date"))
-    r = O.asof_join(f, top, ["dossier"], "issue_day", "day", ["consultant_id"], out="_m",
-                    bucket=O.time_bucket(30 * 86400))
+    r = consultant_as_of(f, ev, ["dossier"], "event_day", "consultant_id", "issue_day", "_m")
     cons = F.when(F.col("agent_assisted") == 1, F.coalesce(F.col("_m.consultant_id"), F.lit(CONSULTANT_NONE)))
     return r.withColumn("consultant_id", cons).drop("_m", "dossier", "issue_day")
 
@@ -166,10 +215,25 @@ def load_train_segments(fact: DataFrame, seg_stage: DataFrame, fx_rates: DataFra
                         keep_rate=None).drop("_ccy")
 
 
+def train_geography(segments: DataFrame, stations: DataFrame, geo_country: DataFrame, geo_priority: DataFrame,
+                    lang_id: int = 1033, line_of_business: int = 5) -> DataFrame:
+    """D51 (train): geography by the countries of both stations; a segment with an unknown
+    station has none.  ``segments`` have travel_product_id."""
+    st = O.first_per_key(stations.where(F.col("lang_id") == lang_id).select("station_code", "country_code"),
+                         ["station_code"], ["country_code"])
+    s = segments
+    for side in ("from", "to"):
+        d = st.select(F.col("station_code").alias("_sc"), F.col("country_code").alias(f"{side}_country_code"))
+        s = s.drop(f"{side}_country_code").join(d, F.col(f"station_{side}") == F.col("_sc"), "left").drop("_sc")
+    s = segment_geography(s, geo_country, geo_priority, line_of_business=line_of_business)
+    both = F.col("from_country_code").isNotNull() & F.col("to_country_code").isNotNull()
+    return s.withColumn("geography_type_id", F.when(both, F.col("geography_type_id")))
+
+
 def train_route_text(segments: DataFrame, stations: DataFrame, lang_col: str = "lang_id") -> DataFrame:
     """City names in segment order, each cut to 25 characters and
     'Unknown' where missing: every departure with '/', the arrival with '_'
-    where the next segment departs elsewhere, and the last arrival; cut to 500."""
+    where the next segment departs elsewhere, and the last arrival (cut to 500 at the sink)."""
     city = X.clean("city_name")
     shown = F.coalesce(city, X.clean("display_name")) if "display_name" in stations.columns else city
     st = stations.select(F.col("station_code").alias("_sc"), F.col(lang_col).alias("_lang"),
@@ -187,8 +251,7 @@ def train_route_text(segments: DataFrame, stations: DataFrame, lang_col: str = "
         name["from"], F.lit("/"),
         F.when(F.col("_next").isNull(), name["to"])
         .when(F.col("_place_to") != F.col("_next"), F.concat(name["to"], F.lit("_"))).otherwise("")))
-    out = s.groupBy(*KEY).agg(O.concat_ordered("_piece", ["segment_nbr"], "").alias("route_txt"))
-    return out.withColumn("route_txt", X.fit("route_txt", 500))
+    return s.groupBy(*KEY).agg(O.concat_ordered("_piece", ["segment_nbr"], "").alias("route_txt"))
 
 
 def parse_route_text(df: DataFrame, excluded_prefixes=("FR", "ES")) -> DataFrame:

@@ -619,3 +619,24 @@ SELECT o.o_orderkey, CAST(a.amt_base AS {M}) AS amt_base, CAST(a.amt_tax AS {M})
        CASE WHEN coalesce(a.amt_ancillary, 0) <> 0 THEN 1 ELSE 0 END AS has_ancillaries,
        CAST(coalesce(a.amt_total, 0) AS {M}) AS total_amount
 FROM orders o LEFT JOIN amt a ON a.o_orderkey = o.o_orderkey LEFT JOIN seg g ON g.o_orderkey = o.o_orderkey"""
+
+SQL["q_name_resolution"] = """
+WITH offers AS (
+  SELECT o.o_orderkey, 1 AS src, c.c_mktsegment AS first_name, CASE WHEN c.c_acctbal >= 0 THEN c.c_name ELSE '' END AS last_name
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE c.c_mktsegment <> 'MACHINERY'
+  UNION ALL
+  SELECT o_orderkey, 2, o_orderstatus, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+  UNION ALL
+  SELECT o.o_orderkey, 3, '', s.s_name FROM orders o JOIN supplier s ON s.s_suppkey = o.o_custkey % 10 WHERE s.s_acctbal > 0),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY
+           (first_name = '')::INT + (last_name = '')::INT, src) AS rn FROM offers) WHERE rn = 1),
+asked AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey + 1 END AS approver_id, o_custkey % 25 AS company FROM orders)
+SELECT a.o_orderkey, CAST(b.src AS INTEGER) AS name_source, b.first_name, b.last_name, a.approver_id,
+       CASE WHEN a.approver_id IS NOT NULL THEN CASE WHEN n.n_name IS NOT NULL THEN 'ANON' ELSE coalesce(c.c_mktsegment, '') END END
+           AS approver_first_name,
+       CASE WHEN a.approver_id IS NOT NULL THEN CASE WHEN n.n_name IS NOT NULL THEN n.n_name
+            WHEN c.c_acctbal >= 0 THEN c.c_name ELSE '' END END AS approver_last_name,
+       CASE WHEN b.last_name IS NULL THEN 9 ELSE 0 END AS record_status_id
+FROM asked a LEFT JOIN best b ON b.o_orderkey = a.o_orderkey
+LEFT JOIN customer c ON c.c_custkey = a.approver_id
+LEFT JOIN nation n ON n.n_nationkey = a.company AND n.n_nationkey < 5"""

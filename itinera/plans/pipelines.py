@@ -14,8 +14,10 @@ from itinera.plans import hotel_train as HT
 from itinera.plans.extract_job import run_extract_air  # noqa: F401
 from itinera.session import work_path
 from itinera.sources import register_keys
+from itinera.sources.targets import AIR_TICKET, DETAIL, TRAIN_TICKET
 
 # fixed values: key-table type per source
+TRAIN = 5                    # line of business of train tickets
 KEY_TYPE = {"air_file": 18, "hotel_file": 19, "train_file": 17, "air_extract": 28}
 
 
@@ -63,9 +65,9 @@ def run_file_air(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
     job.step("tickets", tickets)
     job.step("keys", lambda: register_keys(fact, FL.KEY, KEY_TYPE["air_file"]))
     job.step("custom fields", lambda: FL.custom_fields(fact, t["custom_field_long"], t["department"]))
-    out = {"segments": job.publish("air_segment_fact", "segments", "file_id", with_route(segs)),
-           "flights": job.publish("air_flight_fact", "flights", "file_id", with_route(flights)),
-           "fact": job.publish("air_fact", "tickets", "file_id"),
+    out = {"segments": job.publish("air_segment_fact", "segments", "file_id", with_route(segs), DETAIL),
+           "flights": job.publish("air_flight_fact", "flights", "file_id", with_route(flights), DETAIL),
+           "fact": job.publish("air_fact", "tickets", "file_id", target=AIR_TICKET),
            "keys": job.publish("air_fact_key", "keys", "file_id"),
            "custom_fields": job.publish("air_custom_field", "custom fields", "file_id"),
            "routes": routes, "names": names,
@@ -91,10 +93,10 @@ def run_file_hotel(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
 
 def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
                    out_root: str | None = None, job: Job | None = None) -> dict[str, DataFrame]:
-    """L3: seed -> expand (card masked) -> segments (prefix stripped, FX) ->
-    route text from city names -> routes -> keys, as a restartable job;
-    routes are stored members before tickets refer to them.  Not built: trips,
-    values, names and custom fields."""
+    """L3: seed -> expand (card masked) -> segments (prefix stripped, FX, geography by the
+    stations' countries) -> trips -> route text from city names -> routes -> names -> keys ->
+    custom fields, as a restartable job; routes and names are stored members before tickets
+    refer to them.  Trips, geography, names and custom fields need their tables to be given."""
     job = job or Job(spark, out_root or work_path(spark, "facts"), "file_train", file_id)
     stage = t["train_ticket"].where(F.col("file_id") == F.lit(file_id))
 
@@ -104,24 +106,55 @@ def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
         f = FL.expand_ticket(f, stage, t["travel_product"], t["fx_rate"], amounts, card_col="card_nbr")
         return FL.add_department(FL.add_account(FL.add_advance_band(f, t["advance_purchase"]), t["group_account"]), t["department"])
     fact = job.step("expand", expand)
-    segs = job.step("segments", lambda: HT.load_train_segments(
-        fact, t["train_ticket_segment"].where(F.col("file_id") == F.lit(file_id)), t["fx_rate"]))
+
+    def load_segments():
+        s = HT.load_train_segments(fact, t["train_ticket_segment"].where(F.col("file_id") == F.lit(file_id)), t["fx_rate"])
+        if "geography_country" not in t or "country_code" not in t["train_station"].columns:
+            return s
+        s = s.join(fact.select(*FL.KEY, "travel_product_id"), FL.KEY, "inner")
+        return HT.train_geography(s, t["train_station"], t["geography_country"], t["geography_priority"])
+    segs = job.step("segments", load_segments)
+    located = "geography_type_id" in segs.columns
+
+    def load_trips():
+        trips = FL.load_trips(fact, t["train_ticket_trip"].where(F.col("file_id") == F.lit(file_id)), t["fx_rate"])
+        return FL.trip_geography(trips, segs, t["geography_priority"]) if located else trips
+    if "train_ticket_trip" in t:
+        job.step("trips", load_trips)
 
     def route_text():
         lang = t["travel_product"].select("travel_product_id", F.col("default_lang_id").alias("lang_id"))
         own = fact.select(*FL.KEY, "travel_product_id").join(lang, "travel_product_id").drop("travel_product_id")
-        return HT.parse_route_text(HT.train_route_text(segs.join(own, FL.KEY), t["train_station"]))
+        return HT.parse_route_text(HT.train_route_text(segs.drop("travel_product_id").join(own, FL.KEY), t["train_station"]))
     parsed = job.step("route text", route_text)
     routes = job.members("train_route", lambda: FL.route_candidates(parsed, "route_from", "route_to"),
                          ["route_code", "airport_from", "airport_to"], "route_id", t["route"], FL.with_both_ways)
-    job.step("tickets", lambda: fact.drop("route_id", "route_txt").join(
-        FL.add_route_id(parsed, routes, "route_from", "route_to").select(
-            *FL.KEY, *[c for c in parsed.columns if c not in fact.columns], "route_id"), FL.KEY, "left"))
+    names = None
+    if "traveler_stage_name" in t and "traveler_name" in t:
+        named = job.step("names", lambda: FL.traveler_names(fact, t["traveler_stage_name"], t.get("traveler_anonymous")))
+        names = job.members("traveler_name", lambda: FL.name_candidates(named, t["traveler_name"]), FL.NAME_KEY, "name_id",
+                            t["traveler_name"])
+
+    def tickets():
+        base = fact if names is None else FL.add_name_id(named, names)
+        text = FL.add_route_id(parsed, routes, "route_from", "route_to").select(
+            *FL.KEY, *[c for c in parsed.columns if c not in fact.columns], "route_id")
+        out = base.drop("route_id", "route_txt").join(text, FL.KEY, "left")
+        if not located:
+            return out
+        geo = FL.rollup_geography(segs, FL.KEY, t["geography_priority"], line_of_business=TRAIN, out="ticket_geography_type_id")
+        return out.join(geo, FL.KEY, "left")
+    job.step("tickets", tickets)
     job.step("keys", lambda: register_keys(fact, FL.KEY, KEY_TYPE["train_file"]))
-    out = {"segments": job.publish("train_segment_fact", "segments", "file_id"),
-           "fact": job.publish("train_fact", "tickets", "file_id"),
+    out = {"segments": job.publish("train_segment_fact", "segments", "file_id", target=DETAIL),
+           "fact": job.publish("train_fact", "tickets", "file_id", target=TRAIN_TICKET),
            "keys": job.publish("train_fact_key", "keys", "file_id"),
            "route_text": parsed, "routes": routes,
            "new_routes": spark.read.parquet(job.committed["train_route members"])}
+    if "train_ticket_trip" in t:
+        out["trips"] = job.publish("train_trip_fact", "trips", "file_id", target=DETAIL)
+    if "custom_field_long" in t:
+        job.step("custom fields", lambda: FL.custom_fields(fact, t["custom_field_long"], t["department"]))
+        out["custom_fields"] = job.publish("train_custom_field", "custom fields", "file_id")
     job.finish()
     return out

@@ -195,3 +195,32 @@ def test_apply_updates_and_replace_slice(spark, tmp_path):
     replace_slice(df.where("b = 2024"), path, ["b"])
     replace_slice(df.where("b = 2024"), path, ["b"])
     assert rows(spark.read.parquet(path).select("k", "b")) == [(1, 2024), (2, 2024), (3, 2025)]
+
+
+def test_split_and_number_equals_plain_windows(spark):
+    e = _skewed_events(spark, 1200)
+    e = e.unionByName(e.limit(30).select("id", F.lit(None).cast("long").alias("u"), "ts", "t", "v"))
+    e = e.unionByName(e.limit(5).select(F.col("id") + 100000, "u", F.lit(None).cast("timestamp_ntz").alias("ts"), "t", "v").toDF(*e.columns))
+
+    def brk(prev):
+        return (X.epoch_micros(F.col("ts")) - X.epoch_micros(prev["ts"]) > 3600 * 10**6) & (F.col("t") != prev["t"])
+    args = (["u"], ["ts", "id"], ["ts", "t"], brk, "g", "s")
+    plain = O.split_by_gap(e, *args[:-1])
+    plain = rows(O.sequence_number(plain, ["u", "g"], ["ts", "id"], "s").select("id", F.coalesce("u", F.lit(-1)).alias("u"), "g", "s"))
+    for b in (None, O.time_bucket(7200), O.time_bucket(86400 * 3), O.range_bucket(5)):
+        assert rows(O.split_and_number(e, *args, bucket=b).select("id", F.coalesce("u", F.lit(-1)).alias("u"), "g", "s")) == plain
+
+
+def test_one_table_as_of_and_scans(spark, tmp_path):
+    _skewed_events(spark, 800).write.parquet(str(tmp_path / "e"))
+    e = spark.read.parquet(str(tmp_path / "e"))
+    buys, clicks = F.col("t") == "buy", F.col("t") == "click"
+    got = O.asof_within(e, ["u"], "ts", buys, clicks, ["id"], ["id"], "m", O.time_bucket(86400))
+    right = e.where(clicks).select(F.col("id").alias("cid"), "u", F.col("ts").alias("cts"))
+    exp = O.asof_join(e.where(buys), right, ["u"], "ts", "cts", ["cid"], ["cid"], "m")
+    assert rows(got.select("id", F.col("m.id").alias("c"))) == rows(exp.select("id", F.col("m.cid").alias("c")))
+    itself = O.asof_within(e, ["u"], "ts", clicks, clicks, ["id"], ["id"], "m", O.time_bucket(86400))
+    assert itself.where("ts is not null and m.id is null").isEmpty() and itself.count() == e.where(clicks).count()
+    split = O.split_and_number(e, ["u"], ["ts", "id"], ["ts"], lambda p: F.col("ts") > p["ts"], "g", "s", O.time_bucket(86400))
+    for df in (got, split):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
