@@ -136,16 +136,26 @@ def test_extract_job_takes_the_raw_tables(spark, tmp_path):
     t = raw_tables(spark)
     t.pop("savings")
     t.update(messages(spark))
-    # the ticket's own route is CCC-AAA/AAA-BBB/BBB-CCC (itinerary order), paid 300 by traveller 55
+    # the itinerary is CCC-AAA (8 May), AAA-BBB, BBB-CCC (1 May); traveller 55 paid 300
     own = [("CCC", "AAA"), ("AAA", "BBB"), ("BBB", "CCC")]
-    loop = [(*s[:8], T(2024, 5, 1, 8), T(2024, 5, 8, 11), a, b, *s[12:]) for s, (a, b) in
+    loop = [(*s[:8], T(2024, 5, 8, 9), T(2024, 5, 1, 17), a, b, *s[12:]) for s, (a, b) in
             zip((seg(5, "M1", 1, 1, rank=i, a="", b="", connection=int(i == 2))
                  for i in (1, 2, 3)), own)]
     t["saving_segment"] = spark.createDataFrame(loop, t["saving_segment"].schema)
     t["saving_comparison_segment"] = spark.createDataFrame(
         [(*s[:3], 1, 1, *s[4:]) for s in loop] + [(*s[:3], 2, 1, *s[4:]) for s in (loop[0], loop[2])],
         t["saving_comparison_segment"].schema)
+    t["traveller"] = spark.createDataFrame([("88", 1, 0, 5, "", "Bo", "Ker", 0), ("55", 1, 1, 5, "MR", "Ann", "Aye", 0)],
+                                           "no string, product_id int, is_vip int, extract_id int, title string, "
+                                           "first_name string, name string, is_occasional int")
+    t["traveler_name"] = spark.createDataFrame([(7, 55, 2, "MR", "Ann", "", "Aye")],
+                                               "name_id int, traveler_id int, customer_system_id int, title string, "
+                                               "first_name string, middle_name string, last_name string")
     out = run_extract_air(spark, t, 5, AS_OF, str(tmp_path / "facts"))
+    tickets = {r.record_key: r for r in out["tickets"].collect()}
+    # traveller 55 is a stored member; approver 77 is in no table and becomes one without a name
+    assert {r.traveler_name_id for r in tickets.values()} == {7} and tickets["INV1-10"].approver_name_id == 8
+    assert tickets["INV1-10"].record_status_id == 0 and tickets["INV1-10"].last_updated_by == "extract_air"
     got = {r.record_key: r for r in out["savings"].collect()}["INV1-10"]
     # the recommended option (100 + 50, no booked fare) has the booked shape RT; fare 1 of it costs 100
     assert round(got.amt_percentage_diff, 4) == 99.3333                # 300 less the online fee of 2
