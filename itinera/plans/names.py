@@ -129,6 +129,25 @@ def approver_names(tickets: DataFrame, extract_id, travellers: DataFrame, anonym
     return out.select(*tickets.columns, *[pick(c).alias(f"approver_{c}") for c in NAME_COLS])
 
 
+def file_approver_names(tickets: DataFrame, stage: DataFrame, anonymous: DataFrame | None = None) -> DataFrame:
+    """D73 of the file loads: the approver's parts from the stage row of the ticket's key, each
+    replaced by the company's anonymous name's where that has one, blank where neither has;
+    null parts on tickets without an approver.  Stages have approver_title, approver_first_name
+    and so on; of several rows a key or company the smallest counts."""
+    staged = [f"approver_{c}" for c in NAME_COLS]
+    s = O.first_per_key(stage.select("file_id", "record_key", F.struct(*[X.clean(c).alias(c) for c in staged]).alias("_own")),
+                        ["file_id", "record_key"], ["_own"])
+    plain = tickets.drop(*staged)
+    out = plain.join(s, ["file_id", "record_key"], "left")
+    offers = {c: [F.col(f"_own.approver_{c}")] for c in NAME_COLS}
+    if anonymous is not None:
+        a = anonymous.select(X.clean("comcode", upper=True).alias("_company"), F.struct(*NAME_COLS).alias("_anon"))
+        out = out.join(O.first_per_key(a, ["_company"], ["_anon"]), X.clean("comcode", upper=True) == F.col("_company"), "left")
+        offers = {c: [F.col(f"_anon.{c}"), *o] for c, o in offers.items()}
+    has = F.col("approver_id").isNotNull()
+    return out.select(*plain.columns, *[F.when(has, F.coalesce(*o, F.lit(""))).alias(f"approver_{c}") for c, o in offers.items()])
+
+
 def resolve_names(tickets: DataFrame, extract_id, travellers: DataFrame, lines: DataFrame | None = None,
                   fields: DataFrame | None = None, anonymous: DataFrame | None = None) -> DataFrame:
     """D72 and D73 of the tickets; without an ``approver_id`` column there is no second role."""

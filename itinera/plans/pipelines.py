@@ -12,6 +12,7 @@ from itinera.jobs import Job
 from itinera.plans import file_loads as FL
 from itinera.plans import hotel_train as HT
 from itinera.plans.extract_job import run_extract_air  # noqa: F401
+from itinera.plans.hotel_job import run_file_hotel  # noqa: F401
 from itinera.session import work_path
 from itinera.sources import register_keys
 from itinera.sources.targets import AIR_TICKET, DETAIL, TRAIN_TICKET
@@ -77,20 +78,6 @@ def run_file_air(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
     return out
 
 
-def run_file_hotel(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
-                   source_by_file_type: dict[int, int]) -> dict[str, DataFrame]:
-    """L2 (steps without the shared name / key / custom-field tail)."""
-    stage = t["hotel_stage"].where(F.col("file_id") == F.lit(file_id))
-    fact = FL.seed_file_fact(stage, t["booking_type"], file_id)
-    fact = HT.expand_hotel(fact, stage, t["travel_product"], t["fx_rate"], source_by_file_type)
-    fact = FL.add_account(fact, t["group_account"])
-    fact = FL.add_department(fact, t["department"])
-    cmp = HT.hotel_comparisons(stage, t["hotel_log"], t["hotel_log_comparison"], t["travel_product"],
-                               t["fx_rate"])
-    back = HT.backfill_comparisons(stage, cmp, t["travel_product"], t["fx_rate"])
-    return {"fact": fact, "comparisons": cmp.unionByName(back)}
-
-
 def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
                    out_root: str | None = None, job: Job | None = None) -> dict[str, DataFrame]:
     """L3: seed -> expand (card masked) -> segments (prefix stripped, FX, geography by the

@@ -34,3 +34,8 @@ NAMES = {"title": 20, "first_name": 60, "middle_name": 60, "last_name": 60, "app
 AIR_TICKET = Target({**KEYS, **NAMES, "route_txt": 150, "tour_code": 150, "pricing_entry": 100, "savings_rule": 50})
 TRAIN_TICKET = Target({**KEYS, **NAMES, "route_txt": 500})
 DETAIL = Target(KEYS)
+HOTEL_FACT = Target({"record_key": 110, "record_key_prior": 110, "record_key_original": 110, "meta_dossier_id": 20,
+                     "sales_document_code": 20, "sales_document_code_prior": 20, "itinerary_txt": 13, "hotel_name": 255,
+                     "hotel_city_name": 20, "hotel_province_name": 30, "confirmation_nbr": 30, "custom_data_txt": 2000,
+                     "approval_txt": 255, "invoice_source": 10, **NAMES}, {"hotel_country_code": 3, "currency_code": 3})
+HOTEL_COMPARISON = Target({"record_key": 110, "description": 255}, {"currency_code": 3})

@@ -4,56 +4,12 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from itinera.plans import hotel_train as HT
-from itinera.plans.pipelines import run_file_hotel, run_file_train
+from itinera.plans.pipelines import run_file_train
 from tests.fixtures import air_tables
 
 T = dt.datetime
 
 
-def hotel_tables(spark):
-    t = air_tables(spark)
-    t["hotel_stage"] = spark.createDataFrame([
-        (3, "H1", 1, 1, 10, "ACME", 100, 1, T(2024, 1, 2), T(2024, 1, 2), "EUR", 2, 7, " 112345678 ", 55,
-         D("200"), D("20"), D("220"), "EUR", D("100"), D("10"), "a", None, D("0"), None, None, None, None, None,
-         None, None, None, None, None),
-        (3, "H2", 7, 1, 10, "ACME", 100, 1, T(2024, 1, 2), T(2024, 1, 2), "EUR", 3, 8, "X1", 56,
-         D("50"), D("5"), D("55"), None, None, None, None, None, None, None, None, None, None, None, None, None,
-         None, None, None)],
-        "file_id int, record_key string, booking_type_id short, record_status_id short, travel_product_id int, "
-        "comcode string, cost_center_id int, traveler_category_id int, invoice_date timestamp_ntz, "
-        "issue_date timestamp_ntz, currency string, nights_cnt int, file_type_id int, itinerary_txt string, "
-        "hotel_id int, room_amt decimal(19,4), tax_amt decimal(19,4), gross_amt decimal(19,4), "
-        "currency_epr string, base_epr decimal(19,4), tax_epr decimal(19,4), description_epr string, "
-        "currency_esr string, base_esr decimal(19,4), tax_esr decimal(19,4), description_esr string, "
-        "currency_published string, base_published decimal(19,4), tax_published decimal(19,4), "
-        "description_published string, currency_negotiated string, base_negotiated decimal(19,4), "
-        "tax_negotiated decimal(19,4), description_negotiated string"
-    ).withColumn("booking_date", F.lit(None).cast("timestamp_ntz")).withColumn(
-        "travel_start", F.lit(None).cast("timestamp_ntz")).withColumn("card_owner_id", F.lit(None).cast("int"))
-    t["fx_rate"] = spark.createDataFrame([(20240102, "EUR", "EUR", D("1")), (20240102, "USD", "EUR", D("0.9"))],
-                                         "time_id int, from_currency string, to_currency string, rate decimal(19,8)")
-    t["hotel_log"] = spark.createDataFrame([(1, 1, 12345678, 10, "USD"), (2, 5, 12345678, 10, "USD")],
-                                           "extract_id int, log_id long, trl int, travel_product_id int, currency string")
-    t["hotel_log_comparison"] = spark.createDataFrame(
-        [(1, 1, 1, 1, D("100"), D("10"), "old"), (2, 5, 1, 1, D("90"), None, "new"), (2, 5, 2, 2, D("1"), D("1"), "x")],
-        "extract_id int, log_id long, comparison_type_id int, rate_type_id int, base decimal(19,4), "
-        "tax decimal(19,4), room_desc string")
-    return t
-
-
-def test_hotel_pipeline(spark):
-    t = hotel_tables(spark)
-    out = run_file_hotel(spark, t, 3, {7: 32, 8: 40})
-    f = {r.record_key: (r.nights_cnt, r.booking_source_id, r.booking_ref, float(r.room_amt), r.department_id)
-         for r in out["fact"].collect()}
-    assert f["H1"] == (2, 32, 12345678, 200.0, 900)
-    assert f["H2"] == (-3, 40, None, 50.0, 900)          # refund: negative nights; itinerary not numeric
-    cmp = sorted((r.record_key, r.rate_comparison_type_id, float(r.total_base_amt), r.description)
-                 for r in out["comparisons"].collect())
-    # H1 has a same-hotel log row (newest: 90 USD -> 81 EUR), so no backfill from its stage groups
-    assert cmp == [("H1", 1, 81.0, "new")]
-
-
 def test_hotel_brand_chain_and_consultant(spark):
     fact = spark.createDataFrame([("H1", 7, 32, T(2024, 5, 1)), ("H2", 8, 40, T(2024, 5, 1)), ("H3", 9, 40, T(2024, 5, 1))],
                                  "record_key string, hotel_id int, booking_source_id int, check_in_date timestamp_ntz")
