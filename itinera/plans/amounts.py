@@ -100,9 +100,72 @@ def surcharges(tagged: DataFrame, lines: DataFrame) -> DataFrame:
 TAX_FEE_EXCLUDED_FARE_TYPES = (101, 102, 103, 104, 105)
 
 
-def apply_amounts(fact: DataFrame, amounts: DataFrame, surcharge: DataFrame) -> DataFrame:
-    """Line amounts onto the fact; tax = other tax + tax/VAT; gross =
-    ticket; tax fee = |YQ| and |YR| of the first tag that applies — TAX or
+# fixed values: remarks that tell of a saving, in the order in which the first of a file counts
+SAVING_REMARKS = ("IFD", "AO", "MICE")
+
+
+def remark_savings(tagged: DataFrame, lines: DataFrame) -> DataFrame:
+    """The saving in the remarks of the files of non-low-cost lines, one row per (product,
+    file).  Of several remarks the first kind counts, then the smallest text; only IFD has an
+    amount: the number from the first digit on where a digit stands before ';', else the last
+    word; ',' is a decimal point and what is no number is 0."""
+    files = (lines.where((F.col("crs") != "LOWCOST") & (F.col("file_name") != ""))
+             .select("product_id", "file_name").distinct())
+    text = X.clean("text1")
+    said = tagged.where((F.col("tag") == "RM") & text.rlike(r"^RM\* {0,2}(IFD|AO|MICE) ")).select(
+        "product_id", "file_name", text.alias("_text"))
+    kind = F.lit(len(SAVING_REMARKS))
+    for i, word in reversed(list(enumerate(SAVING_REMARKS))):
+        kind = F.when(F.col("_text").rlike(rf"^RM.*\*.*{word} "), i).otherwise(kind)
+    first = (said.join(files, ["product_id", "file_name"], "left_semi").groupBy("product_id", "file_name")
+             .agg(F.min(F.struct(kind.alias("kind"), F.col("_text").alias("text"))).alias("_r")))
+    t = F.col("_r.text")
+    raw = F.regexp_replace(F.when(t.rlike("[0-9];"), F.regexp_extract(t, "([0-9][0-9.,]*)", 1))
+                           .otherwise(X.last_token(t, " ")), ",", ".")
+    return first.select("product_id", "file_name", F.when((F.col("_r.kind") == 0) & X.is_numeric_text(raw), X.to_money(raw))
+                        .otherwise(F.lit(0)).cast("decimal(19,4)").alias("fsf_amt_savings"))
+
+
+# fixed values: when exchanges and penalties began to be linked by ticket, and by time
+LINKED_BY_TIME_FROM, LINKED_BY_TICKET_FROM = "2014-01-01", "2014-04-01"
+PENALTY_STATUS = 11
+
+
+def exchange_penalties(fact: DataFrame, minutes: int = 2) -> DataFrame:
+    """D19 and D20 of an extract: the gross amount of an exchange grows by its penalty's, which
+    is stored as ``ticket_amt_exchange_penalty`` as well.  Exchanges invoiced from April 2014 on
+    take the first penalty (by line) of their dossier and traveller whose prior ticket is
+    their own ticket; those of the quarter before take the single penalty of dossier, traveller
+    and locator that was posted less than ``minutes`` minutes after them.  The two never meet,
+    as the dates exclude each other.  Penalties are in the storage currency already."""
+    line = ["product_id", "document_no", "line_no"]
+    gross = F.col("ticket_amt_gross")
+    paid = fact.where((F.col("record_status_id") == PENALTY_STATUS) & (F.col("booking_type_id") == X.BT_PURCHASE) & (gross > 0))
+    ex = fact.where(F.col("booking_type_id") == X.BT_EXCHANGE)
+    day = F.col("invoice_date")
+    who = ["meta_dossier_id", "traveler_id"]
+    by_ticket = O.first_per_key(
+        paid.where(F.col("business_category").isin(6, 7)).select(*who, F.col("ticket_code_prior").alias("ticket_code"),
+                                                                 "line_no", "document_no", gross.alias("_penalty")),
+        [*who, "ticket_code"], ["line_no", "document_no"]).select(*who, "ticket_code", "_penalty")
+    late = (ex.where(day >= F.lit(LINKED_BY_TICKET_FROM)).select(*line, *who, "ticket_code")
+            .join(by_ticket, [*who, "ticket_code"], "inner").select(*line, "_penalty"))
+    quarter = lambda c: (F.col(c) >= F.lit(LINKED_BY_TIME_FROM)) & (F.col(c) < F.lit(LINKED_BY_TICKET_FROM))
+    place = [*who, "pnr_code"]
+    single = (paid.where((F.col("business_category") == 6) & F.col("business_sub_category").isin(1, 2, 3)
+                         & (F.col("resource_type") == 0) & quarter("posting_date"))
+              .groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), F.max("posting_date").alias("_posted"),
+                                   F.max(gross).alias("_penalty")).where("_n = 1").drop("_n"))
+    early = O.near_in_time(ex.where(quarter("invoice_date")).select(*line, *place, "posting_date"), single, place,
+                           "posting_date", "_posted", minutes).select(*line, "_penalty")
+    j = fact.join(late.unionByName(early), line, "left")
+    return (j.withColumn("ticket_amt_gross", gross + F.coalesce("_penalty", F.lit(0)))
+            .withColumnRenamed("_penalty", "ticket_amt_exchange_penalty"))
+
+
+def apply_amounts(fact: DataFrame, amounts: DataFrame, surcharge: DataFrame, savings: DataFrame | None = None) -> DataFrame:
+    """Line amounts onto the fact; the saving of the file's remarks (0 where there is
+    none); tax = other tax + tax/VAT; gross = ticket; tax fee = |YQ| and |YR| of the first tag that applies — TAX or
     KST for purchase / void / exchange (1, 4, 5), KRF for refunds (7, 8) —
     only for ticket categories 1, 3, 10 and not company fares."""
     k = ["product_id", "document_no", "line_no"]
@@ -123,6 +186,9 @@ def apply_amounts(fact: DataFrame, amounts: DataFrame, surcharge: DataFrame) ->
     q2, r2 = pick("KRF", (7, 8))
     q3, r3 = pick("KST", (1, 4, 5))
     fee = F.coalesce(q1, q2, q3, F.lit(0)) + F.coalesce(r1, r2, r3, F.lit(0))
+    if savings is not None:
+        j = j.join(savings, ["product_id", "file_name"], "left").withColumn(
+            "fsf_amt_savings", F.coalesce("fsf_amt_savings", F.lit(0).cast("decimal(19,4)")))
     out = (j.withColumn("ticket_amt_tax", F.col("other_tax_amt") + F.col("ticket_amt_tax_vat"))
            .withColumn("ticket_amt_gross", F.col("ticket_amt"))
            .withColumn("ticket_amt_tax_fee", fee))

@@ -292,15 +292,20 @@ CABIN_PRIORITY = {4: 1, 1: 2, 2: 3, 5: 4, 3: 5, 0: 6}
 
 
 def ticket_rollups(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record_key"),
-                   flex_priority: dict | None = None) -> DataFrame:
+                   flex_priority: dict = FLEX_PRIORITY) -> DataFrame:
     """D66 travel start/end (first/last segment), D67 Saturday-night stay,
-    D68 segment count / distinct trips / all-domestic, D69 first fare basis,
+    D68 segment count / distinct trips / all-domestic, D69 first fare basis
+    and, where segments have one, the worst flexibility (least priority; none
+    counts as 0, one without priority does not count),
     D70 trip type (1 one way, 2 round trip, 3 other), D71 best cabin by
     priority then trip."""
     k = list(keys)
     prio = X.map_code("cabin_class_id", CABIN_PRIORITY, 99)
     s = in_itinerary_order(segments).withColumn("_cp", prio)
+    flexible = "fare_flexibility_id" in s.columns
+    flex = F.coalesce(F.col("fare_flexibility_id"), F.lit(0)).cast("string") if flexible else F.lit(None).cast("string")
     g = s.groupBy(*k).agg(
+        F.min(X.map_code(flex, flex_priority)).alias("_flex"),
         F.min(F.struct("segment_nbr", "segment_start", "basis")).alias("_first"),
         F.max(F.struct("segment_nbr", "segment_end")).alias("_last"),
         F.count(F.lit(1)).alias("segment_cnt"), F.count_distinct("trip_nbr").alias("trip_cnt"),
@@ -317,7 +322,9 @@ def ticket_rollups(segments: DataFrame, keys: Sequence[str] = ("extract_id", "re
                     "segment_cnt", "trip_cnt", "within_country",
                     F.col("_first.basis").alias("first_basis"), trip_type.alias("trip_type_id"),
                     F.col("_cab.cabin_class_id").alias("cabin_class_id"),
-                    F.col("_cab.class_code").alias("class_code"))
+                    F.col("_cab.class_code").alias("class_code"),
+                    *([X.map_code("_flex", {p: int(f) for f, p in flex_priority.items()}).alias("fare_flexibility_id")]
+                      if flexible else []))
 
 
 def mark_incomplete(fact: DataFrame, segments: DataFrame, keys=("extract_id", "record_key")) -> tuple[DataFrame, DataFrame]:
@@ -418,11 +425,9 @@ def link_penalty_by_time(exchanges: DataFrame, penalties: DataFrame, minutes: in
 
 
 def sign_refunds(fact: DataFrame, amounts: Sequence[str]) -> DataFrame:
-    """Void / refund / partial-refund amounts negative."""
-    out = fact
-    for a in amounts:
-        out = out.withColumn(a, X.signed(F.col(a), F.col("booking_type_id")))
-    return out
+    """Void / refund / partial-refund amounts negative, others as they are."""
+    negative = F.col("booking_type_id").isin(*X.NEGATIVE_TYPES)
+    return fact.withColumns({a: F.when(negative, -F.abs(a)).otherwise(F.col(a)) for a in amounts})
 
 
 def composite_key(fact: DataFrame, segments: DataFrame) -> DataFrame:
@@ -558,6 +563,49 @@ def write_seeds(working: DataFrame, path: str | None = None) -> DataFrame:
     return out
 
 
+def _principal_lines(headers: DataFrame, lines: DataFrame, legs: DataFrame, extract_id) -> DataFrame:
+    """Eligible lines with their principal ticket's summed amount, whether it has a leg on the
+    document, and the record key: the line's own, or that of the principal ticket's first
+    primary line of the same ticket type (null where there is none)."""
+    g = ["extract_id", "product_id", "document_no"]
+    own = lines.where((F.col("extract_id") == F.lit(extract_id)) & (F.col("resource_type") == 0))
+    principal = F.col("ticket").alias("principal_ticket")
+    sums = own.groupBy(*g, principal).agg(F.sum("amount_incl_vat").alias("_sum"))
+    firsts = own.where(F.col("service_group").isin(1, 6)).groupBy(*g, principal, "ticket_type").agg(
+        F.min("line_no").alias("_first_line"))
+    flown = legs.select(*g, F.col("ticket_no").alias("principal_ticket")).distinct().withColumn("_flown", F.lit(True))
+    alone = F.coalesce(X.clean("principal_ticket"), F.lit("")) == ""
+    j = (_eligible(headers, lines, legs, extract_id).join(sums, [*g, "principal_ticket"], "left")
+         .join(firsts, [*g, "principal_ticket", "ticket_type"], "left").join(flown, [*g, "principal_ticket"], "left"))
+    number = F.when(alone, F.col("line_no")).otherwise(F.col("_first_line"))
+    return j.withColumns({"_alone": alone, "_paid": alone | F.coalesce(F.col("_sum") != 0, F.lit(False)),
+                          "_flown": F.coalesce("_flown", F.lit(False)),
+                          "record_key": F.when(number.isNotNull(), F.concat_ws("-", X.clean("document_no"), number.cast("string")))})
+
+
+def segment_lines(fact: DataFrame, invoices: tuple[DataFrame, DataFrame], credits: tuple[DataFrame, DataFrame],
+                  legs: DataFrame, extract_id) -> DataFrame:
+    """The sales lines whose legs become segments, as one relation of three branches:
+    invoices that are no exchange (conjunction tickets too, where the principal ticket was paid
+    and has a leg), issued exchanges (type 5), and credits.  Conjunction lines carry the record
+    key of their principal line, so their legs join that ticket.  A line without a type takes
+    the ticket's (the smallest of several); lines of no loaded ticket are left out.
+
+    ``invoices`` and ``credits`` are (headers, lines)."""
+    inv = _principal_lines(*invoices, legs, extract_id).where((F.col("type") == 3) & (F.col("group") != 1))
+    cols = ["extract_id", "product_id", "document_no", "line_no", "ticket", "record_key"]
+    untyped = F.lit(None).cast("int").alias("booking_type_id")
+    plain = inv.where((F.col("exchange_ticket") == 0) & (F.col("_alone") | (F.col("_paid") & F.col("_flown")))).select(*cols, untyped)
+    exchanged = inv.where((F.col("exchange_ticket") == 1) & (F.col("ticket_type") == 1) & F.col("_paid")).select(
+        *cols, F.lit(X.BT_EXCHANGE).alias("booking_type_id"))
+    cr = _principal_lines(*credits, legs, extract_id).where(F.col("business_category").isin(1, 3, 10) & F.col("_paid"))
+    lines = plain.unionByName(exchanged).unionByName(cr.select(*cols, untyped))
+    key = ["extract_id", "product_id", "record_key"]
+    kinds = fact.groupBy(*key).agg(F.min("booking_type_id").alias("_type"))
+    typed = lines.join(kinds, key, "inner").withColumn("booking_type_id", F.coalesce("booking_type_id", "_type")).drop("_type")
+    return typed.join(fact.select(*key, "booking_type_id"), [*key, "booking_type_id"], "left_semi")
+
+
 def segment_seeds(fact: DataFrame, legs: DataFrame) -> DataFrame:
     """The travel legs of the loaded tickets (same extract, product,
     document and ticket), each with its ticket's record key and booking

@@ -248,6 +248,36 @@ def flatten_sales_line(fact: DataFrame, sales_lines: DataFrame, tagged: DataFram
         F.when(F.col("service_group") == 6, 1).otherwise(0).alias("low_cost"))
 
 
+def account_department(fact: DataFrame, headers: DataFrame, lines: DataFrame, accounts: DataFrame,
+                       departments: DataFrame, customer_system_id: int = 2) -> DataFrame:
+    """D16 and D17 of an extract: the account of the document's customer (digits only) and
+    product; the department whose name is the line's cleaned analytical code, compared without
+    case.  No account, no department; of several the smallest id."""
+    h = headers.where(F.col("sell_to_customer_no").rlike("^[0-9]+$")).groupBy(
+        "extract_id", "product_id", F.col("no").alias("document_no")).agg(F.min("sell_to_customer_no").alias("comcode"))
+    a = (accounts.groupBy(F.col("travel_product_id").alias("product_id"), "comcode")
+         .agg(F.min("group_account_id").alias("group_account_id")))
+    d = (departments.where(F.col("customer_system_id") == customer_system_id)
+         .groupBy("group_account_id", X.clean("name", upper=True).alias("_name")).agg(F.min("department_id").alias("department_id")))
+    j = (fact.drop("group_account_id", "department_id")
+         .join(lines.select(*KEY_SL, X.clean_department_name("analytical_code_1").alias("_name")), KEY_SL, "left")
+         .join(h, ["extract_id", "product_id", "document_no"], "left").join(a, ["product_id", "comcode"], "left")
+         .join(d, ["group_account_id", "_name"], "left"))
+    return j.drop("comcode", "_name")
+
+
+def policy_group(fact: DataFrame, traveler_accounts: DataFrame, policies: DataFrame, customer_system_id: int = 2) -> DataFrame:
+    """D18 of an extract: the policy group of the traveller's account record, where the ticket's
+    group account has that group; else null."""
+    mine = F.col("customer_system_id") == customer_system_id
+    known = policies.where(mine).select("group_account_id", "policy_id").distinct()
+    b = traveler_accounts.where(mine & F.col("group_account_id").isNotNull()).select(F.col("tuid").alias("_tuid"), "policy_id")
+    who = (fact.select(*KEY_SL, "group_account_id", F.col("traveler_code").try_cast("int").alias("_tuid"))
+           .join(b, "_tuid", "inner").join(known, ["group_account_id", "policy_id"], "left_semi")
+           .groupBy(*KEY_SL).agg(F.min("policy_id").alias("policy_id")))
+    return fact.drop("policy_id").join(who, KEY_SL, "left")
+
+
 def service_fee_flag(fact: DataFrame, sales_lines: DataFrame, remarks: DataFrame,
                      agent_logins: DataFrame) -> DataFrame:
     """A line whose file (air, not low-cost, primary, type 3) carries an

@@ -29,7 +29,9 @@ from itinera.sources.targets import AIR_TICKET, DETAIL
 Tables = dict[str, DataFrame]
 LINE = ["extract_id", "product_id", "document_no", "line_no"]
 TICKET = ["record_key", "booking_type_id"]
-STATUS_PENALTY = EA.STATUS_EXCHANGE_PENALTY
+# fixed values: amounts that are negative on refunds (those of fares follow from the savings)
+SIGNED_AMOUNTS = ["ticket_amt", "ticket_amt_base", "ticket_amt_tax", "ticket_amt_gross", "markup_amt", "markup_gds_amt",
+                  "markup_pub_amt", "ob_fees_amt", "ticket_amt_tax_fee", "fsf_amt_savings"]
 ROUTE_COLS = ("route_id int, route_code string, airport_from string, airport_to string, route_code_bidirectional string, "
               "airport_from_bidirectional string, airport_to_bidirectional string")
 # fixed value: key-table type of air extracts
@@ -105,20 +107,31 @@ def attributes(t: Tables, fact: DataFrame) -> DataFrame:
     for needs, step in steps:
         if all(n in t for n in needs):
             out = step(out)
+    if headers is not None and "group_account" in t and "analytical_code_1" in lines.columns:
+        out = XA.account_department(out, headers, lines, t["group_account"], t["department"])
+        if "traveler_group_policy" in t and "traveler_account" in t:
+            out = XA.policy_group(out, t["traveler_account"], t["traveler_group_policy"])
     out = out.withColumn("record_status_id", F.lit(0))
     if "invoice_date" in out.columns and "subscription" in lines.columns:
         out = EA.record_status(out, inv, cr)
     return out.withColumn("traveler_id", F.col("traveler_code").try_cast("int"))
 
 
-def segments(t: Tables, fact: DataFrame, extract_id: int, as_of) -> DataFrame:
+def segment_lines(t: Tables, fact: DataFrame, extract_id: int) -> DataFrame:
+    """The sales lines whose legs become segments (D43), from the extract's raw lines."""
+    own = lambda name: t[name].where(F.col("extract_id") == F.lit(extract_id))
+    return EA.segment_lines(fact, (t["invoice_header"], own("invoice_line")), (t["credit_header"], own("credit_line")),
+                            own("travel_leg"), extract_id)
+
+
+def segments(t: Tables, fact: DataFrame, extract_id: int, as_of, lines: DataFrame) -> DataFrame:
     """Cleaned legs of the loaded tickets with cabin, flexibility, both numbers, trips and
     offsets.  ``complete`` is false where an airport is missing; such rows end here."""
     legs = EA.clean_legs(t["travel_leg"].where(F.col("extract_id") == F.lit(extract_id)), as_of)
     if "class_of_service" in t:
         legs = EA.cabin_class(legs.drop("class_code", "cabin_class_id", "within_country"), t["class_of_service"])
     if "ticket_no" in legs.columns:
-        segs = EA.segment_seeds(fact, legs)
+        segs = EA.segment_seeds(lines, legs)
     else:
         segs = legs.join(fact.select("extract_id", "document_no", "line_no", *TICKET),
                          ["extract_id", "document_no", "line_no"], "inner")
@@ -134,29 +147,33 @@ def segments(t: Tables, fact: DataFrame, extract_id: int, as_of) -> DataFrame:
         lost.withColumn("complete", F.lit(False)), allowMissingColumns=True)
 
 
-def ticket_amounts(t: Tables, fact: DataFrame, attrs: DataFrame | None, extract_id: int) -> DataFrame:
-    """Signed amounts of every line, with the original ticket's on exchanges and the linked
-    penalties in the gross."""
+def line_amounts(t: Tables, fact: DataFrame, attrs: DataFrame | None, extract_id: int) -> DataFrame:
+    """Amounts of every line, with the original ticket's on exchanges."""
     la = AM.line_amounts(fact)
-    sur = AM.surcharges(t["tagged_text"].where(F.col("extract_id") <= F.lit(extract_id)), la)
+    tagged = t["tagged_text"].where(F.col("extract_id") <= F.lit(extract_id))
+    sur, said = AM.surcharges(tagged, la), AM.remark_savings(tagged, la)
     f = fact if "fare_type_id" in fact.columns else fact.withColumn("fare_type_id", F.lit(None).cast("int"))
     amt = AM.apply_amounts(f.drop("amount", "amount_incl_vat", "business_category", "business_sub_category",
                                   "public_price", "airport_tax", "commission_excl_vat", "ob_fees_amt",
-                                  "markup_total", "markup_gds", "markup_pub", "id_1", "crs"), la, sur)
+                                  "markup_total", "markup_gds", "markup_pub", "id_1", "crs"), la, sur, said)
     if attrs is not None:
-        keep = [c for c in ("traveler_id", "pnr_code", "meta_dossier_id", "ticket_code_prior", "record_status_id")
-                if c not in amt.columns]
+        keep = [c for c in ("traveler_id", "pnr_code", "meta_dossier_id", "ticket_code", "ticket_code_prior",
+                            "record_status_id", "invoice_date")
+                if c in attrs.columns and c not in amt.columns]
         amt = amt.join(attrs.select(*LINE, *keep), LINE, "inner")
         if "service_ledger" in t:
             lines = fact.where("doc_kind = 'I'")
             origin = AM.exchange_origin(amt.drop("sell_to_customer_no").withColumn("ticket_prior", F.col("ticket_code_prior")),
                                         lines, t["service_ledger"])
             amt = AM.add_exchange_origin(amt, origin)
-        penalties = amt.where(F.col("record_status_id") == STATUS_PENALTY).withColumnRenamed("ticket_amt_gross", "gross_amt")
-        amt = (FL.link_penalty(amt.withColumnRenamed("ticket_amt_gross", "gross_amt"), penalties)
-               .withColumnRenamed("gross_amt", "ticket_amt_gross"))
-    return EA.sign_refunds(amt, ["ticket_amt", "ticket_amt_base", "ticket_amt_tax", "ticket_amt_tax_vat",
-                                 "ticket_amt_gross"])
+    return amt
+
+
+def ticket_amounts(amt: DataFrame) -> DataFrame:
+    """Signed amounts of every line, the linked penalties in the gross of exchanges."""
+    if {"invoice_date", "record_status_id"} <= set(amt.columns):
+        amt = AM.exchange_penalties(amt)
+    return EA.sign_refunds(amt, SIGNED_AMOUNTS)
 
 
 def ticket_totals(amounts: DataFrame) -> DataFrame:
@@ -218,7 +235,10 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
     with_text = "tagged_text" in t
     fact = job.step("seeds", lambda: seeds(t, extract_id, as_of))
     attrs = job.step("attributes", lambda: attributes(t, fact)) if with_text else None
-    all_segs = job.step("segments", lambda: segments(t, fact, extract_id, as_of))
+    flown = fact
+    if "invoice_header" in t and "ticket_no" in t["travel_leg"].columns:
+        flown = job.step("segment lines", lambda: segment_lines(t, fact, extract_id))
+    all_segs = job.step("segments", lambda: segments(t, fact, extract_id, as_of, flown))
     segs = all_segs.where("complete").drop("complete")
     flights = job.step("flights", lambda: EA.build_flights(segs, t["geography_priority"]))
     rollups = job.step("rollups", lambda: EA.ticket_rollups(segs))
@@ -235,7 +255,8 @@ def run_extract_air(spark: SparkSession, t: Tables, extract_id: int, as_of, out_
     out = {"fact": fact, "rollups": rollups, "routes": with_route(routes), "route_dim": route_dim}
     if with_text:
         out["attributes"] = attrs
-        out["amounts"] = job.step("amounts", lambda: ticket_amounts(t, fact, attrs, extract_id))
+        lines = job.step("line amounts", lambda: line_amounts(t, fact, attrs, extract_id))
+        out["amounts"] = job.step("amounts", lambda: ticket_amounts(lines))
         totals = ticket_totals(out["amounts"])
         # Segment value = GDS miles share of the ticket base;
         # flight value = null-strict sum of its segments

@@ -21,6 +21,10 @@ KEY = ["file_id", "record_key", "booking_type_id"]
 LANG_EN = 1033
 AIR_AMOUNTS = ["ticket_amt", "base_amt", "tax_amt", "vat_amt", "penalty_amt", "commission_amt",
                "markup_amt", "gross_amt"]
+FARE_AMOUNTS = ["fare_amt_lowest_in_policy", "fare_amt_published", "fare_amt_negotiated"]
+# fixed values: fare types that follow from the business sub-category; a file's exchange penalties
+SUBCATEGORY_FARE_TYPE = {12: 101, 13: 104, 14: 102, 15: 105, 16: 103}
+ANCILLARY, PENALTY_STATUS = 6, 9
 
 
 # ---- D1 seed ------------------------------------------------------------------
@@ -45,7 +49,8 @@ def expand_ticket(fact: DataFrame, stage: DataFrame, travel_product: DataFrame,
     """Ticket attributes from the stage row of the same key: trimmed codes,
     advance-purchase days, increment count, central-bill flag, storage
     currency and FX conversion of every amount (missing rate -> 0).
-    Tax is stored as tax + VAT.  With ``card_col`` the card is masked.
+    The three comparison fares, the fare type of the listed sub-categories and
+    the low-fare choice are taken where the stage has them.  Tax is stored as tax + VAT.  With ``card_col`` the card is masked.
 
     The stage row is found by (file, record key) — its own booking type may
     be null where the fact's is 0 — deduplicated to one row per key first
@@ -58,11 +63,17 @@ def expand_ticket(fact: DataFrame, stage: DataFrame, travel_product: DataFrame,
     j = j.withColumn("advance_purchase_days", X.advance_days(
         "booking_type_id", "booking_date", "issue_date", "travel_start", F.lit(None).cast("int")))
     j = j.withColumn("increment_cnt", X.increment_count("booking_type_id"))
+    if "business_sub_category" in j.columns and "fare_type_id" in j.columns:
+        j = j.withColumn("fare_type_id", F.coalesce(X.map_code(F.col("business_sub_category").cast("int"), SUBCATEGORY_FARE_TYPE),
+                                                    F.col("fare_type_id")))
+    if "low_fare_choice_type_id" in j.columns:
+        j = j.withColumn("low_fare_chosen", F.when(F.col("low_fare_choice_type_id").isin(0, 1), F.col("low_fare_choice_type_id")))
     j = j.withColumn("central_bill", F.when(F.col("card_owner_id") == 1, 1)
                      .when(F.col("card_owner_id") == 2, 0))
     if "tax_amt" in amounts and "vat_amt" in amounts:
         j = j.withColumn("tax_amt", F.col("tax_amt") + F.col("vat_amt"))
-    j = O.fx_convert(j, fx_rates, "invoice_date", "currency", "currency_code", list(amounts))
+    j = O.fx_convert(j, fx_rates, "invoice_date", "currency", "currency_code",
+                     [*amounts, *(c for c in FARE_AMOUNTS if c in j.columns)])
     if card_col:
         first6, last4 = X.mask_card(card_col)
         j = j.withColumn("card_first6", first6).withColumn("card_last4", last4).drop(card_col)
@@ -108,19 +119,31 @@ def add_policy_group(fact: DataFrame, policies: DataFrame, customer_system_id: i
 
 def link_penalty(fact: DataFrame, penalties: DataFrame) -> DataFrame:
     """The first exchange penalty per (dossier, traveller, prior ticket)
-    is linked to the exchange with that prior ticket; gross += penalty."""
+    is linked to the exchange whose own ticket that is; gross += penalty."""
     p = O.first_per_key(
         penalties.select("meta_dossier_id", "traveler_id", F.col("ticket_code_prior").alias("_prior"),
                          F.col("gross_amt").alias("penalty_linked"), F.col("record_key").alias("penalty_key")),
         ["meta_dossier_id", "traveler_id", "_prior"], ["penalty_key"])
     j = fact.join(p, (fact["meta_dossier_id"] == p["meta_dossier_id"])
                   & (fact["traveler_id"] == p["traveler_id"])
-                  & (fact["ticket_code_prior"] == p["_prior"])
+                  & (fact["ticket_code"] == p["_prior"])
                   & (fact["booking_type_id"] == X.BT_EXCHANGE), "left")
     j = j.drop(p["meta_dossier_id"]).drop(p["traveler_id"]).drop("_prior")
     return j.withColumn("gross_amt", F.col("gross_amt") + F.coalesce("penalty_linked", F.lit(0)))
 
 
+def stage_penalties(stage: DataFrame, travel_product: DataFrame, fx_rates: DataFrame) -> DataFrame:
+    """The exchange penalties among a file's stage rows (purchases of ancillaries with a gross
+    amount), in the product's currency; no rate: 0."""
+    p = stage.where((F.col("business_category") == ANCILLARY) & (F.col("record_status_id") == PENALTY_STATUS)
+                    & (F.col("booking_type_id") == X.BT_PURCHASE) & (F.col("gross_amt") > 0))
+    tp = travel_product.select("travel_product_id", F.col("currency_code_storage").alias("currency_code"))
+    p = p.join(tp, "travel_product_id", "inner").withColumns(
+        {c: X.clean(c) for c in ("meta_dossier_id", "ticket_code_prior")})
+    return O.fx_convert(p, fx_rates, "invoice_date", "currency", "currency_code", ["gross_amt"]).select(
+        "meta_dossier_id", "traveler_id", "ticket_code_prior", "gross_amt", "record_key")
+
+
 # ---- D40 / D48 / D49 / D51 segments --------------------------------------------------
 
 def _airports(airports: DataFrame, lang_id: int = LANG_EN) -> DataFrame:
@@ -346,6 +369,25 @@ def upsert_names(name_dim: DataFrame, with_names: DataFrame, customer_system_id:
 
 # ---- D76 custom fields ---------------------------------------------------------------
 
+def custom_field_rows(stage: DataFrame, fields: dict[str, tuple[int, str]]) -> DataFrame:
+    """A stage's custom columns, ``{column: (field id, field name)}``, as one row per value
+    that is not null.  One scan, nothing is shuffled; columns that the stage lacks are skipped."""
+    there = [c for c in fields if c in stage.columns]
+    keyed = stage.withColumn("booking_type_id", F.coalesce("booking_type_id", F.lit(0)).cast("short"))
+    rows = O.unpivot_nonnull(keyed, KEY, there, "_column", "field_value", "string") if there else keyed.select(
+        *KEY, F.lit(None).cast("string").alias("_column"), F.lit(None).cast("string").alias("field_value")).where("false")
+    return rows.select(*KEY, X.map_code("_column", {c: fields[c][0] for c in there}).cast("int").alias("field_id"),
+                       X.map_code("_column", {c: fields[c][1] for c in there}).cast("string").alias("field_name"), "field_value")
+
+
+def custom_values(t: dict, stage: DataFrame) -> DataFrame | None:
+    """A job's custom values: ``custom_field_long`` as given, or unpivoted from the stage's
+    ``custom_field_columns``; None where neither is given."""
+    if "custom_field_columns" in t:
+        return custom_field_rows(stage, t["custom_field_columns"])
+    return t.get("custom_field_long")
+
+
 def custom_fields(fact: DataFrame, cdf_long: DataFrame, departments: DataFrame,
                   customer_system_id: int = 2) -> DataFrame:
     """Non-null custom values, first per (ticket, field) by (name,

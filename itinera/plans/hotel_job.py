@@ -247,8 +247,9 @@ def run_file_hotel(spark: SparkSession, t: dict[str, DataFrame], file_id: int, o
            "keys": job.publish("hotel_fact_key", "keys", "file_id")}
     if names is not None:
         out["names"] = names
-    if "custom_field_long" in t:
-        job.step("custom fields", lambda: FL.custom_fields(fact, t["custom_field_long"], t["department"]))
+    custom = FL.custom_values(t, stage)
+    if custom is not None:
+        job.step("custom fields", lambda: FL.custom_fields(fact, custom, t["department"]))
         out["custom_fields"] = job.publish("hotel_custom_field", "custom fields", "file_id")
     job.finish()
     return out

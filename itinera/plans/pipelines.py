@@ -34,6 +34,8 @@ def run_file_air(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
     def expand():
         stage = mine("air_ticket")
         f = FL.expand_ticket(FL.seed_file_fact(stage, t["booking_type"], file_id), stage, t["travel_product"], t["fx_rate"])
+        if {"business_category", "ticket_code"} <= set(stage.columns):
+            f = FL.link_penalty(f, FL.stage_penalties(stage, t["travel_product"], t["fx_rate"]))
         f = FL.add_department(FL.add_account(FL.add_advance_band(f, t["advance_purchase"]), t["group_account"]), t["department"])
         return FL.add_policy_group(f, t["traveler_group_policy"])
     fact = job.step("expand", expand)
@@ -65,7 +67,7 @@ def run_file_air(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
         return FL.add_name_id(with_route(named), names).join(geo, FL.KEY, "left")
     job.step("tickets", tickets)
     job.step("keys", lambda: register_keys(fact, FL.KEY, KEY_TYPE["air_file"]))
-    job.step("custom fields", lambda: FL.custom_fields(fact, t["custom_field_long"], t["department"]))
+    job.step("custom fields", lambda: FL.custom_fields(fact, FL.custom_values(t, mine("air_ticket")), t["department"]))
     out = {"segments": job.publish("air_segment_fact", "segments", "file_id", with_route(segs), DETAIL),
            "flights": job.publish("air_flight_fact", "flights", "file_id", with_route(flights), DETAIL),
            "fact": job.publish("air_fact", "tickets", "file_id", target=AIR_TICKET),
@@ -140,8 +142,9 @@ def run_file_train(spark: SparkSession, t: dict[str, DataFrame], file_id: int,
            "new_routes": spark.read.parquet(job.committed["train_route members"])}
     if "train_ticket_trip" in t:
         out["trips"] = job.publish("train_trip_fact", "trips", "file_id", target=DETAIL)
-    if "custom_field_long" in t:
-        job.step("custom fields", lambda: FL.custom_fields(fact, t["custom_field_long"], t["department"]))
+    custom = FL.custom_values(t, stage)
+    if custom is not None:
+        job.step("custom fields", lambda: FL.custom_fields(fact, custom, t["department"]))
         out["custom_fields"] = job.publish("train_custom_field", "custom fields", "file_id")
     job.finish()
     return out

@@ -1,0 +1,138 @@
+"""Penalties, remark savings, worst flexibility, accounts, segment branches and custom columns."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from itinera.plans import amounts as AM
+from itinera.plans import extract_air as EA
+from itinera.plans import extract_attrs as XA
+from itinera.plans import file_loads as FL
+from tests.fixtures import air_tables
+
+T = dt.datetime
+
+
+def test_remark_savings(spark):
+    lines = spark.createDataFrame([(1, f"F{i}", "1A") for i in range(1, 9)] + [(1, "LOW", "LOWCOST"), (1, "", "1A")],
+                                  "product_id int, file_name string, crs string")
+    texts = [("F1", "RM*IFD 12,50; ab12"), ("F1", "RM*AO 99"), ("F2", " RM* IFD saved 7.25 "), ("F3", "RM*  AO 5,00 x1"),
+             ("F4", "RM*IFD none"), ("F5", "RM*   IFD 3"), ("F6", "RM*MICE 4"), ("F7", "RM*IFD 3,5;"), ("F7", "RM*IFD 2,5; z"),
+             ("LOW", "RM*IFD 9"), ("", "RM*IFD 9"), ("F8", None), ("OTHER", "RM*IFD 9")]
+    tagged = spark.createDataFrame([(1, f, "RM", x) for f, x in texts] + [(1, "F8", "TAX", "RM*IFD 9"), (2, "F8", "RM", "RM*IFD 9")],
+                                   "product_id int, file_name string, tag string, text1 string")
+    got = {r.file_name: r.fsf_amt_savings for r in AM.remark_savings(tagged, lines).collect()}
+    assert got == {"F1": D("12.5"), "F2": D("7.25"), "F3": 0, "F4": 0, "F6": 0, "F7": D("2.5")}
+    assert AM.remark_savings(tagged.limit(0), lines).count() == 0
+
+
+def test_exchange_penalties_by_ticket_and_by_time(spark):
+    late, early, mid = T(2014, 5, 1), T(2014, 2, 1), T(2014, 2, 1, 10, 0, 30)
+    rows = [
+        # key parts, type, status, category, sub, dossier, traveller, pnr, ticket, prior, gross, invoiced, posted
+        (1, "D1", 10, 5, 0, 1, 0, "M", 5, "P", "T2", "T1", "100", late, late),           # takes the first line's 20
+        (1, "D2", 30, 1, 11, 6, 1, "M", 5, "P", "X", "T2", "50", late, late),
+        (1, "D2", 20, 1, 11, 7, 1, "M", 5, "P", "X", "T2", "20", late, late),
+        (1, "D3", 10, 1, 11, 6, 1, "M", 5, "P", "X", "T9", "70", late, late),            # of no exchange
+        (1, "D4", 10, 5, 0, 1, 0, "M", 6, "P", "T2", None, "100", late, late),           # other traveller
+        (1, "D5", 10, 1, 11, 6, 1, "M", 6, "P", "X", "T2", "0", late, late),             # nothing paid
+        (1, "E1", 10, 5, 0, 1, 0, "N", 5, "Q", "T2", "T1", "100", early, mid),           # by time: 30
+        (1, "E2", 10, 1, 11, 6, 2, "N", 5, "Q", None, None, "30", early, mid + dt.timedelta(seconds=80)),
+        (1, "E3", 10, 5, 0, 1, 0, "O", 5, "Q", None, None, "100", early, mid),           # two penalties: neither
+        (1, "E4", 10, 1, 11, 6, 2, "O", 5, "Q", None, None, "30", early, mid),
+        (1, "E4", 20, 1, 11, 6, 2, "O", 5, "Q", None, None, "31", early, mid),
+        (1, "E5", 10, 5, 0, 1, 0, "R", 5, "Q", None, None, "100", early, mid),           # posted before the exchange
+        (1, "E6", 10, 1, 11, 6, 2, "R", 5, "Q", None, None, "30", early, mid - dt.timedelta(seconds=1)),
+        (1, "G1", 10, 5, 0, 1, 0, None, None, None, None, None, "100", None, None)]
+    fact = spark.createDataFrame([r[:12] + (D(r[12]),) + r[13:] for r in rows],
+                                 "product_id int, document_no string, line_no int, booking_type_id int, record_status_id int, "
+                                 "business_category int, business_sub_category int, meta_dossier_id string, traveler_id int, pnr_code string, "
+                                 "ticket_code string, ticket_code_prior string, ticket_amt_gross decimal(19,4), "
+                                 "invoice_date timestamp_ntz, posting_date timestamp_ntz").withColumn("resource_type", F.lit(0))
+    got = AM.exchange_penalties(fact)
+    assert got.count() == len(rows)
+    assert {(r.document_no, float(r.ticket_amt_gross), float(r.ticket_amt_exchange_penalty))
+            for r in got.where("ticket_amt_exchange_penalty is not null").collect()} == {("D1", 120.0, 20.0), ("E1", 130.0, 30.0)}
+    assert got.where("ticket_amt_exchange_penalty is null and booking_type_id = 5 and ticket_amt_gross <> 100").isEmpty()
+
+
+def test_refunds_are_negative_and_others_unchanged(spark):
+    df = spark.createDataFrame([(1, D("-5")), (7, D("5")), (8, D("-5")), (4, None), (5, D("5"))], "booking_type_id int, a decimal(19,4)")
+    assert [r.a for r in EA.sign_refunds(df, ["a"]).collect()] == [D("-5"), D("-5"), D("-5"), None, D("5")]
+
+
+def test_worst_flexibility(spark):
+    segs = spark.createDataFrame([(5, k, n, f) for k, fs in (("A", [3, 4, 2]), ("B", [1, None]), ("C", [100, 0]), ("D", [77]), ("E", [77, 3]))
+                                  for n, f in enumerate(fs, 1)], "extract_id int, record_key string, segment_nbr int, fare_flexibility_id int")
+    segs = segs.withColumns({"segment_start": F.lit(T(2024, 1, 1)), "segment_end": F.lit(T(2024, 1, 2)), "basis": F.lit("Y"),
+                             "trip_nbr": F.lit(1), "within_country": F.lit(1), "cabin_class_id": F.lit(1), "class_code": F.lit("Y"),
+                             "airport_from": F.lit("A"), "airport_to": F.lit("B")})
+    got = {r.record_key: r.fare_flexibility_id for r in EA.ticket_rollups(segs).collect()}
+    assert got == {"A": 4, "B": 0, "C": 100, "D": None, "E": 3}
+    assert "fare_flexibility_id" not in EA.ticket_rollups(segs.drop("fare_flexibility_id")).columns
+
+
+def test_account_department_and_policy_of_an_extract(spark):
+    fact = spark.createDataFrame([(5, 1, "I1", 10, "55"), (5, 1, "I1", 20, "x"), (5, 1, "I2", 10, "55"), (5, 1, "I3", 10, "56"),
+                                  (5, 2, "I1", 10, "55")], "extract_id int, product_id int, document_no string, line_no int, traveler_code string")
+    lines = fact.select("extract_id", "product_id", "document_no", "line_no",
+                        F.when(F.col("line_no") == 10, " Sales,  EU. ").alias("analytical_code_1"))
+    headers = spark.createDataFrame([(5, 1, "I1", "900"), (5, 1, "I2", "9x"), (5, 1, "I3", "901"), (4, 1, "I3", "900")],
+                                    "extract_id int, product_id int, no string, sell_to_customer_no string")
+    accounts = spark.createDataFrame([(30, "900", 1), (31, "901", 1), (32, "900", 3), (33, "9x", 1)],
+                                     "group_account_id int, comcode string, travel_product_id int")
+    deps = spark.createDataFrame([(7, 30, 2, "sales EU "), (6, 30, 2, "SALES EU"), (5, 30, 1, "SALES EU"), (8, 31, 2, "Other")],
+                                 "department_id int, group_account_id int, customer_system_id int, name string")
+    out = XA.account_department(fact, headers, lines, accounts, deps)
+    people = spark.createDataFrame([(55, 2, 30, 4), (55, 2, 30, 3), (56, 2, 31, 9), (56, 1, 31, 4), (55, 2, None, 1)],
+                                   "tuid int, customer_system_id int, group_account_id int, policy_id int")
+    policies = spark.createDataFrame([(4, 30, 2), (9, 31, 1), (1, 30, 2)], "policy_id int, group_account_id int, customer_system_id int")
+    out = XA.policy_group(out, people, policies)
+    got = {(r.product_id, r.document_no, r.line_no): (r.group_account_id, r.department_id, r.policy_id) for r in out.collect()}
+    assert got == {(1, "I1", 10): (30, 6, 4), (1, "I1", 20): (30, None, None), (1, "I2", 10): (None, None, None),
+                   (1, "I3", 10): (31, None, None), (2, "I1", 10): (None, None, None)}
+
+
+def test_segment_lines_have_three_branches(spark):
+    line = ("extract_id int, product_id int, document_no string, line_no int, ticket string, principal_ticket string, ticket_type int, "
+            "exchange_ticket int, amount_incl_vat int")
+    rows = [(5, 1, "I", 10, "T1", None, 1, 0, 100), (5, 1, "I", 20, "T2", "T1", 1, 0, 0),      # T2 rides on T1
+            (5, 1, "I", 30, "T3", "T9", 1, 0, 5),                                              # principal without leg or sum
+            (5, 1, "I", 40, "T4", "", 1, 1, 7), (5, 1, "I", 50, "T5", None, 2, 1, 7),          # issued exchange; one that is not
+            (5, 1, "I", 60, "T6", None, 1, 0, 7)]                                              # no leg
+    extra = {"resource_type": 0, "service_group": 1, "type": 3, "group": 0, "business_category": 1, "original_ticket": "", "reservation_mode": 0}
+    inv = spark.createDataFrame(rows, line).withColumns({k: F.lit(v) for k, v in extra.items()}).withColumn("sell_to_customer_no", F.lit("9"))
+    cr = inv.where("line_no in (10, 20)").withColumn("document_no", F.lit("C"))
+    cr = cr.unionByName(cr.where("line_no = 10").withColumns({"line_no": F.lit(70), "business_category": F.lit(2)}))
+    head = spark.createDataFrame([(5, 1, "I", "9"), (5, 1, "C", "9")], "extract_id int, product_id int, no string, sell_to_customer_no string")
+    legs = spark.createDataFrame([(5, 1, d, k) for d, k in (("I", "T1"), ("I", "T2"), ("I", "T3"), ("I", "T4"), ("I", "T5"), ("C", "T1"), ("C", "T2"))],
+                                 "extract_id int, product_id int, document_no string, ticket_no string")
+    fact = spark.createDataFrame([(5, 1, "I-10", 1), (5, 1, "I-40", 5), (5, 1, "C-10", 7)],
+                                 "extract_id int, product_id int, record_key string, booking_type_id int")
+    got = sorted((r.document_no, r.line_no, r.ticket, r.record_key, r.booking_type_id)
+                 for r in EA.segment_lines(fact, (head, inv), (head, cr), legs, 5).collect())
+    assert got == [("C", 10, "T1", "C-10", 7), ("C", 20, "T2", "C-10", 7), ("I", 10, "T1", "I-10", 1), ("I", 20, "T2", "I-10", 1),
+                   ("I", 40, "T4", "I-40", 5)]
+    assert EA.segment_lines(fact.limit(0), (head, inv), (head, cr), legs, 5).count() == 0
+
+
+def test_file_amounts_penalties_and_custom_columns(spark):
+    t = air_tables(spark)
+    stage = t["air_ticket"].withColumns({
+        "fare_amt_published": F.lit(D("10")).cast("decimal(19,4)"), "fare_amt_negotiated": F.lit(None).cast("decimal(19,4)"),
+        "business_sub_category": F.when(F.col("record_key") == "K1", 14).otherwise(0), "fare_type_id": F.lit(7),
+        "low_fare_choice_type_id": F.when(F.col("record_key") == "K1", 1).otherwise(9)})
+    f = FL.expand_ticket(FL.seed_file_fact(stage, t["booking_type"], 7), stage, t["travel_product"], t["fx_rate"])
+    got = {r.record_key: (float(r.fare_amt_published), r.fare_amt_negotiated, r.fare_type_id, r.low_fare_chosen) for r in f.collect()}
+    assert got["K1"] == (11.5, None, 102, 1) and got["K2"] == (10.0, None, 7, None)
+    pen = stage.where("file_id = 7 and record_key in ('K1', 'K2')").withColumns({
+        "business_category": F.lit(6), "record_status_id": F.lit(9), "booking_type_id": F.lit(1), "ticket_code_prior": F.lit(" TK ")})
+    assert sorted((r.record_key, r.ticket_code_prior, float(r.gross_amt)) for r in
+                  FL.stage_penalties(pen, t["travel_product"], t["fx_rate"]).collect()) == [("K1", "TK", 115.0), ("K2", "TK", 50.0)]
+    wide = stage.where("file_id = 7").withColumns({"cc1": F.when(F.col("record_key") == "K1", "v"), "cc2": F.lit(4), "cc3": F.lit(None).cast("string")})
+    rows = FL.custom_field_rows(wide, {"cc1": (3, "One"), "cc2": (4, "Two"), "cc3": (5, "Three"), "cc9": (6, "Not there")})
+    assert sorted((r.record_key, r.field_id, r.field_name, r.field_value) for r in rows.where("record_key in ('K1', 'K3')").collect()) == [
+        ("K1", 3, "One", "v"), ("K1", 4, "Two", "4"), ("K3", 4, "Two", "4")]
+    assert rows.where("record_key = 'K3'").first().booking_type_id == 0
+    assert FL.custom_field_rows(wide, {"cc9": (6, "Not there")}).count() == 0

@@ -35,7 +35,7 @@ def test_utc_offset_and_incomplete(spark):
 def test_link_penalty(spark):
     fact = spark.createDataFrame([(7, "K2", 5, "M", 55, "TK0", D("50")), (7, "K1", 1, "M", 55, None, D("100"))],
                                  "file_id int, record_key string, booking_type_id short, meta_dossier_id string, "
-                                 "traveler_id int, ticket_code_prior string, gross_amt decimal(19,4)")
+                                 "traveler_id int, ticket_code string, gross_amt decimal(19,4)")
     pen = spark.createDataFrame([("M", 55, "TK0", D("20"), "P2"), ("M", 55, "TK0", D("30"), "P1")],
                                 "meta_dossier_id string, traveler_id int, ticket_code_prior string, gross_amt decimal(19,4), "
                                 "record_key string")

@@ -105,6 +105,19 @@ def everything(spark, root):
     return out
 
 
+@pytest.fixture(scope="module", autouse=True)
+def interpreted(spark):
+    """Many small plans: compiling each takes longer than running it."""
+    small = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+             "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture(scope="module")
 def whole(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("hotel"))
