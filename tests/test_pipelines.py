@@ -78,8 +78,8 @@ def extract_tables(spark):
     return t
 
 
-def test_extract_pipeline(spark):
-    out = run_extract_air(spark, extract_tables(spark), 5, dt.date(2024, 6, 1))
+def test_extract_pipeline(spark, tmp_path):
+    out = run_extract_air(spark, extract_tables(spark), 5, dt.date(2024, 6, 1), str(tmp_path))
     fact = sorted((r.document_no, r.line_no, r.record_key, r.booking_type_id) for r in out["fact"].collect())
     assert fact == [("CR1", 10, "CR1-10", 7), ("INV1", 10, "INV1-10", 1), ("INV2", 10, "INV2-10", 5),
                     ("INV2", 20, "INV2-10", 1)]
@@ -110,7 +110,7 @@ def test_extract_pipeline(spark):
 
 
 
-def test_extract_pipeline_rules_exclude_company_fares(spark):
+def test_extract_pipeline_rules_exclude_company_fares(spark, tmp_path):
     t = extract_tables(spark)
     t.pop("savings")
     on = (dt.date(2000, 1, 1), dt.date(2100, 1, 1))
@@ -118,14 +118,14 @@ def test_extract_pipeline_rules_exclude_company_fares(spark):
                                             "rule_id int, column_name string, comparison string, value string, "
                                             "effective_start date, effective_end date")
     t["fare_rule_groups"] = spark.createDataFrame([(300, 101)], "rule_id int, fare_type_id int")
-    out = run_extract_air(spark, t, 5, dt.date(2024, 6, 1))
+    out = run_extract_air(spark, t, 5, dt.date(2024, 6, 1), str(tmp_path))
     ft = {(r.document_no, r.line_no): r.fare_type_id for r in out["fact"].collect()}
     assert ft[("INV1", 10)] == 101 and ft[("CR1", 10)] is None
     am = {(r.document_no, r.line_no): float(r.ticket_amt_tax_fee) for r in out["amounts"].collect()}
     assert am[("INV1", 10)] == 0.0        # company fare: no tax fee
 
 
-def test_extract_conjunction_ticket_sums_its_lines(spark):
+def test_extract_conjunction_ticket_sums_its_lines(spark, tmp_path):
     from pyspark.sql import functions as F
     t = extract_tables(spark)
     # INV1 becomes a conjunction ticket: a second line of the same principal ticket, 120 beside 300
@@ -136,7 +136,7 @@ def test_extract_conjunction_ticket_sums_its_lines(spark):
     t["invoice_line"] = t["invoice_line"].where("document_no <> 'INV1'").unionByName(line).unionByName(second)
     leg = t["travel_leg"].where("document_no = 'INV1' AND entry_no = 2").withColumn("line_no", F.lit(20))
     t["travel_leg"] = t["travel_leg"].where("document_no <> 'INV1' OR entry_no <> 2").unionByName(leg)
-    out = run_extract_air(spark, t, 5, dt.date(2024, 6, 1))
+    out = run_extract_air(spark, t, 5, dt.date(2024, 6, 1), str(tmp_path))
     assert sorted((r.line_no, float(r.ticket_amt_base)) for r in out["amounts"].where("record_key = 'INV1-10'").collect()) \
         == [(10, 265.0), (20, 85.0)]
     # 265 + 85 over three legs of 100 miles, and nothing lost
