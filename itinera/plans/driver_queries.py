@@ -22,6 +22,8 @@ from itinera.sources import insert_new_members, latest_extract, replace_slice
 M = "decimal(18,2)"
 DAY = 86400
 NEAR_MINUTES = 120
+ROWS_PER_TASK = 250_000
+SHARES = 8
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -215,14 +217,36 @@ def q_theta_or(spark, sf):
     return r.select(*LINE_ID, "o_orderkey", "o_custkey", "branch")
 
 
+def _tasks(spark, rows: int) -> int | None:
+    """So many partitions that one holds about ``ROWS_PER_TASK`` of the rows, which bounds a
+    task's sorts as the tables grow; None where the session's own number is as large."""
+    n = -(-rows // ROWS_PER_TASK)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def _line_nations(spark, sf, extra=()):
+    """Lines with their order and both nations.  Lines meet their suppliers and orders their
+    customers first, so a line moves to its order once and stays there for steps by order.
+    The number of lines comes from the files' footers; many lines of one supplier are dealt in
+    ``SHARES``, as Spark splits no skewed partition of a stated number of them."""
     lx = [c for c in extra if c.startswith("l_")]
     ox = [c for c in extra if c.startswith("o_")]
-    j = _lines_orders(spark, sf, LINE_ID + lx, ["o_orderkey", "o_custkey"] + ox)
+    lines = _t(spark, sf, "lineitem")
+    n = _tasks(spark, lines.count())
+    l = lines.select(*LINE_ID, *lx)
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", *ox)
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    return (j.join(c, j["o_custkey"] == c["c_custkey"])
-            .join(s, j["l_suppkey"] == s["s_suppkey"]))
+    o = o.join(c, o["o_custkey"] == c["c_custkey"])
+    if n is None:
+        l = l.join(s, l["l_suppkey"] == s["s_suppkey"])
+    else:
+        s = s.select("*", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("_of"))
+        l = l.withColumn("_share", F.pmod(F.xxhash64("l_orderkey"), F.lit(SHARES)).cast("int"))
+        l = (l.repartition(n, "l_suppkey", "_share")
+             .join(s, (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("_share") == F.col("_of")))
+             .drop("_share", "_of").repartition(n, "l_orderkey"))
+    return l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def q_role_join(spark, sf):
@@ -774,10 +798,9 @@ def q_route_text(spark, sf):
                     F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("airport_to"),
                     F.lit(1).alias("trip_nbr"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                     "l_extendedprice")
-    legs = O.sequence_number(legs, ["extract_id", "record_key"],
-                             ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
-                             "segment_nbr")
-    r = route_text(legs)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    legs = O.sequence_number(legs, ["extract_id", "record_key"], order, "segment_nbr")
+    r = route_text(legs, order=order)
     return r.select(F.col("record_key").alias("l_orderkey"), "route_txt", "airport_from", "airport_to",
                     "segment_cnt", "flight_cnt")
 

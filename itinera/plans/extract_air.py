@@ -250,7 +250,7 @@ def build_flights(segments: DataFrame, geo_priority: DataFrame, keys: Sequence[s
 # ---- D62 route text ---------------------------------------------------------------------
 
 def route_text(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record_key"),
-               max_len: int = 150) -> DataFrame:
+               max_len: int = 150, order: Sequence[str] = ("segment_nbr",)) -> DataFrame:
     """D62: 'A/B/C' with '_X/Y' where a leg does not start where the previous
     ended.  Destination: the first return or open-leg point in segment order;
     else, from the last segment: its arrival on a one-trip ticket, otherwise
@@ -258,9 +258,10 @@ def route_text(segments: DataFrame, keys: Sequence[str] = ("extract_id", "record
     trip, else its own) unless that is the route origin, then its arrival.
     Flight count = the last segment's trip number.  One window pass over a
     ticket's legs (a bounded group) and one aggregate replace the recursive
-    CTE."""
+    CTE.  ``order``: the columns that ``segment_nbr`` was numbered by, when that
+    was just done; the legs then stay as sorted and are not sorted again."""
     k = list(keys)
-    w = Window.partitionBy(*k).orderBy("segment_nbr")
+    w = Window.partitionBy(*k).orderBy(*order)
     s = (in_itinerary_order(segments).withColumn("_pf", F.lag("airport_from").over(w)).withColumn("_pt", F.lag("airport_to").over(w))
          .withColumn("_ptrip", F.lag("trip_nbr").over(w)))
     piece = (F.when(F.col("_pt").isNull(), F.concat_ws("/", "airport_from", "airport_to"))
